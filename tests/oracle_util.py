@@ -1,0 +1,82 @@
+"""Run a registered query and its DuckDB oracle side by side (the driver's check, locally)."""
+
+from __future__ import annotations
+
+import math
+import sys
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return None if math.isnan(v) else round(v, 6)
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+    if hasattr(v, "asDict"):
+        return tuple(sorted((k, _norm(x)) for k, x in v.asDict().items()))
+    if isinstance(v, (bytes, bytearray)):
+        return bytes(v)
+    return v
+
+
+def rows_of(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
+
+
+def compare(spark, name: str, sf_dir: str, con=None) -> dict:
+    from eventide.plans import ORACLES, QUERIES
+    df = QUERIES[name](spark, sf_dir)
+    s_cols = df.columns
+    s_rows = [tuple(r) for r in df.collect()]
+    out = {"name": name, "spark_rows": len(s_rows)}
+    if name not in ORACLES:
+        out["oracle"] = None
+        return out
+    con = con or duck(sf_dir)
+    rel = con.sql(ORACLES[name])
+    o_cols = rel.columns
+    o_rows = rel.fetchall()
+    out.update(oracle_rows=len(o_rows), cols_match=sorted(s_cols) == sorted(o_cols),
+               spark_cols=s_cols, oracle_cols=o_cols)
+    out["values_match"] = out["cols_match"] and rows_of(s_cols, s_rows) == rows_of(o_cols, o_rows)
+    if not out["values_match"] and out["cols_match"]:
+        a, b = rows_of(s_cols, s_rows), rows_of(o_cols, o_rows)
+        sa, sb = set(a), set(b)
+        out["only_spark"] = sorted(sa - sb, key=repr)[:3]
+        out["only_oracle"] = sorted(sb - sa, key=repr)[:3]
+    return out
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, ".")
+    from eventide.session import build_session
+    from eventide.plans import QUERIES
+    sf = "/root/testdata/sf0.01"
+    names = sys.argv[1:] or sorted(QUERIES)
+    spark = build_session("local[8]", 8)
+    con = duck(sf)
+    bad = 0
+    for n in names:
+        try:
+            r = compare(spark, n, sf, con)
+        except Exception as e:  # report and continue
+            r = {"name": n, "error": repr(e)[:400]}
+        ok = r.get("values_match", r.get("oracle", 0) is None and "error" not in r)
+        bad += not ok
+        print("OK  " if ok else "BAD ", r if not ok else {k: r[k] for k in r if k in ("name", "spark_rows", "oracle_rows")},
+              flush=True)
+    print("failures:", bad)
