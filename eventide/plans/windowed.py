@@ -166,7 +166,7 @@ def sliding_min(spark: SparkSession, sf_dir: str):
 
 # ---------------------------------------------------------------- AGG9
 @register("running_min",
-          "SELECT event_id, user_id, CASE WHEN row_number() OVER w = 1 THEN epoch_ms(ts) ELSE 0 END AS ts_ms, "
+          "SELECT event_id, user_id, CASE WHEN row_number() OVER w = 1 THEN epoch_us(ts) // 1000 ELSE 0 END AS ts_ms, "
           "min(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_min "
           "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def running_min_q(spark: SparkSession, sf_dir: str):
