@@ -58,3 +58,10 @@ def parse_dmy_time(s: Column) -> Column:
 def format_slash_time(ts: Column) -> Column:
     """Format a timestamp as ``yyyy/MM/dd-HH:mm:ss`` (FUN4)."""
     return F.date_format(ts, "yyyy/MM/dd-HH:mm:ss")
+
+
+def ntz_from_epoch(c: Column | str, unit: str = "ms") -> Column:
+    """Epoch seconds / milliseconds (long) -> TIMESTAMP_NTZ wall clock in UTC (STR1 input step)."""
+    col = F.col(c) if isinstance(c, str) else c
+    mult = {"s": 1_000_000, "ms": 1_000, "us": 1}[unit]
+    return from_epoch_us(col.cast("long") * F.lit(mult))

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # LTZ conversions (streams); batch operators work on TIMESTAMP_NTZ.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,0 +1,41 @@
+"""Fixture DataFrames built from the small CSV files in tests/data (event time in UTC wall clock)."""
+
+from pyspark.sql import functions as F
+
+from conftest import read_lines
+from eventide.functions.timefn import ntz_from_epoch
+
+
+def sensors(spark):
+    rows = [(n, i, int(t), float(v)) for n, i, t, v in read_lines("sensors.csv")]
+    df = spark.createDataFrame(rows, "line long, id string, t_ms long, temperature double")
+    return df.withColumn("ts", ntz_from_epoch("t_ms", "ms"))
+
+
+def logins(spark):
+    rows = [(n, int(u), ip, e, int(t)) for n, u, ip, e, t in read_lines("LoginLog.csv")]
+    df = spark.createDataFrame(rows, "line long, user_id long, ip string, event_type string, t_s long")
+    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+
+
+def orders(spark):
+    rows = [(n, int(o), e, tx, int(t)) for n, o, e, tx, t in read_lines("OrderLog.csv")]
+    df = spark.createDataFrame(rows, "line long, order_id long, event_type string, tx_id string, t_s long")
+    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+
+
+def receipts(spark):
+    rows = [(n, tx, ch, int(t)) for n, tx, ch, t in read_lines("ReceiptLog.csv")]
+    df = spark.createDataFrame(rows, "line long, tx_id string, channel string, t_s long")
+    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+
+
+def ad_clicks(spark):
+    rows = [(n, int(u), int(a), p, c, int(t)) for n, u, a, p, c, t in read_lines("AdClickLog.csv")]
+    df = spark.createDataFrame(rows, "line long, user_id long, ad_id long, province string, city string, t_s long")
+    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+
+
+def t_ms(c):
+    from eventide.functions.timefn import epoch_us
+    return (epoch_us(c) / 1000).cast("long")
