@@ -11,7 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.functions.timefn import add_us, duration_us
+from eventide.functions.timefn import add_us, duration_us, epoch_us, from_epoch_us, slice_id
+from eventide.operators.sequence import with_neighbours, with_running
 
 # (output name, function, input column or "*")
 Agg = tuple[str, str, str]
@@ -20,6 +21,10 @@ Agg = tuple[str, str, str]
 # rows are first reduced to panes of length `slide`, so the copy per window is
 # made for (pane, key) partials instead of raw rows.
 PANE_MIN_OVERLAP = 8
+# From this overlap on, counts use the change-point plan (no copies at all).
+# Measured at sf0.1 / local[8]: overlap 12 pane 0.42 s vs change points 0.86 s;
+# 60: 1.8 vs 1.2; 120: 2.0 vs 1.4; 720: 21 vs 1.9.
+DELTA_MIN_OVERLAP = 24
 
 
 def _plain_agg(fn: str, col: str) -> Column:
@@ -80,8 +85,54 @@ def window_agg(df: DataFrame, keys: Sequence[str], ts: str, size: str,
 
 def window_count(df: DataFrame, keys: Sequence[str], ts: str, size: str,
                  slide: str | None = None, name: str = "cnt", plan: str = "auto") -> DataFrame:
-    """Count rows per key and window (AGG1-AGG5, AGG10)."""
-    return window_agg(df, keys, ts, size, slide, [(name, "count", "*")], plan)
+    """Count rows per key and window (AGG1-AGG5, AGG10).
+
+    Sliding counts with overlap >= DELTA_MIN_OVERLAP use the change-point plan
+    (:func:`_delta_count`), from PANE_MIN_OVERLAP the pane plan; ``plan``
+    forces ``'plain'``, ``'pane'`` or ``'delta'``.
+    """
+    size_us = duration_us(size)
+    slide_us = duration_us(slide) if slide else size_us
+    overlap = size_us // slide_us
+    if plan == "auto":
+        plan = "delta" if overlap >= DELTA_MIN_OVERLAP and size_us % slide_us == 0 else "auto"
+    if plan == "delta" and overlap > 1 and size_us % slide_us == 0:
+        return _delta_count(df, keys, ts, size_us, slide_us, name)
+    return window_agg(df, keys, ts, size, slide, [(name, "count", "*")], "auto" if plan == "delta" else plan)
+
+
+# Change points of a key are stitched per slice of this many window sizes.
+DELTA_SLICE_SIZES = 64
+
+
+def _delta_count(df: DataFrame, keys: Sequence[str], ts: str, size_us: int, slide_us: int,
+                 name: str) -> DataFrame:
+    """Sliding count in O(panes + output) instead of O(rows x size/slide).
+
+    A pane [ps, ps+slide) with n rows raises the count of every window ending
+    in [ps+slide, ps+size] by n: +n at ps+slide, -n at ps+size+slide. A running
+    sum of these changes per key gives the count on each stretch between two
+    change points; each stretch with a positive count is expanded into its
+    window ends (the output rows themselves), so no copy of the input is made
+    and nothing shuffles after the expansion. Counts are integers, so the
+    running sum is exact.
+    """
+    t = "_cp"
+    panes = df.groupBy(*keys, F.floor(epoch_us(ts) / F.lit(slide_us)).cast("long").alias("_pi")) \
+              .agg(F.count(F.lit(1)).alias("_n"))
+    start = F.col("_pi") * F.lit(slide_us)
+    deltas = panes.select(*keys, F.explode(F.array(
+        F.struct((start + slide_us).alias(t), F.col("_n").alias("_d")),
+        F.struct((start + size_us + slide_us).alias(t), (-F.col("_n")).alias("_d")))).alias("_e"))
+    deltas = deltas.groupBy(*keys, F.col("_e")[t].alias(t)).agg(F.sum(F.col("_e._d")).alias("_d"))
+    sl = F.floor(F.col(t) / F.lit(size_us * DELTA_SLICE_SIZES)).cast("long")
+    lv = with_running(deltas, keys, [t], F.col("_d"), "sum", "_lv", slice_col=sl)
+    lv = with_neighbours(lv, keys, [t], [t], 1, direction="next", prefix="_nx", slice_col=sl)
+    seg = lv.where(F.col("_lv") > 0)
+    ends = F.sequence(F.col(t), F.col("_nx1")[t] - F.lit(slide_us), F.lit(slide_us))
+    out = seg.select(*keys, F.explode(ends).alias("_end"), F.col("_lv").alias(name))
+    end = from_epoch_us(F.col("_end"))
+    return out.select(add_us(end, -size_us).alias("window_start"), end.alias("window_end"), *keys, name)
 
 
 def unique_visitors(df: DataFrame, ts: str, user: str, size: str, slide: str | None = None,

@@ -172,12 +172,15 @@ def test_rise_pairs(spark, size):
     assert timeouts.count() == 4
 
 
-def test_sliding_pane_equals_plain(spark):
+@pytest.mark.parametrize("size,slide", [("60 minutes", "5 seconds"), ("10 minutes", "1 minute"),
+                                        ("1 minute", "30 seconds")])
+def test_sliding_plans_agree(spark, size, slide):
     clicks = ad_clicks(spark)
-    a = window_count(clicks, ["province"], "ts", "60 minutes", "5 seconds", plan="plain")
-    b = window_count(clicks, ["province"], "ts", "60 minutes", "5 seconds", plan="pane")
-    assert sorted(a.collect()) == sorted(b.collect())
+    a = window_count(clicks, ["province"], "ts", size, slide, plan="plain")
     assert a.count() > 0
+    for plan in ("pane", "delta", "auto"):
+        b = window_count(clicks, ["province"], "ts", size, slide, plan=plan)
+        assert sorted(a.collect()) == sorted(b.collect()), plan
 
 
 def test_empty_input(spark):
