@@ -6,15 +6,22 @@ task. With one key holding a third of all rows that task is the whole job. The
 slice boundaries from small per-slice summaries:
 
 * the window over (key, slice) is the only full shuffle;
-* per-slice summaries are pre-aggregated (partial aggregation or a partial
-  ``WindowGroupLimit``) before they shuffle, so they are tiny;
+* per-slice summaries (last rows, totals) are pre-aggregated before they
+  shuffle (partial ``WindowGroupLimit`` / partial aggregation), so they are
+  tiny; they read the input a second time, which costs a column-pruned scan
+  but no second full shuffle or full sort;
 * the carry from earlier slices is a window over the summaries (one row per
   non-empty slice of a key), joined back on (key, slice), which keeps the big
   side's partitioning, so no second full shuffle happens.
 
 ``slice_col`` must be monotone non-decreasing in ``order`` (a time slice of the
-leading order column). Keys are assumed non-null. Without ``slice_col`` the
-plain window is used (right for small inputs and for tests of equivalence).
+leading order column). Without ``slice_col`` the plain window is used (right
+for small inputs and for tests of equivalence).
+
+The sliced forms group on a non-nullable surrogate, ``struct(keys)`` and a
+null-safe slice id: NULL keys form one group as in a plain window, and the
+optimizer infers no NOT NULL filter for the carry side of the join, which
+would make the two branches differ and cost a second scan and shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +31,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _S = "_slice"
+_K = "_key"
+_NULL_SLICE = 1 << 62  # slice of rows with a NULL order value (first asc, last desc)
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column, reverse: bool) -> DataFrame:
+    sl = F.coalesce(-slice_col, F.lit(_NULL_SLICE)) if reverse else F.coalesce(slice_col, F.lit(-_NULL_SLICE))
+    return df.withColumn(_K, F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))) \
+             .withColumn(_S, sl.cast("long"))
 
 
 def _ordering(order: Sequence[str], reverse: bool) -> list[Column]:
@@ -50,35 +65,35 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             df = df.withColumn(f"{prefix}{i}", F.lag(value, i).over(w))
         return df
 
-    sl = -slice_col if reverse else slice_col
-    base = df.withColumn(_S, sl)
-    w = Window.partitionBy(*keys, _S).orderBy(*_ordering(order, reverse))
-    base = base.withColumn("_pos", F.row_number().over(w))
+    w = Window.partitionBy(_K, _S).orderBy(*_ordering(order, reverse))
+    base = _sliced(df, keys, slice_col, reverse).withColumn("_pos", F.row_number().over(w))
     for i in range(1, n + 1):
         base = base.withColumn(f"_in{i}", F.lag(value, i).over(w))
 
-    # Last n rows of every slice (first n when reversed): row_number <= n is
-    # planned as a partial WindowGroupLimit before the shuffle.
-    wd = Window.partitionBy(*keys, _S).orderBy(*_ordering(order, not reverse))
-    tail = (df.withColumn(_S, sl)
+    # Last n rows of every slice (first n when reversed), nearest-to-the-end
+    # first, from the input: ``row_number() <= n`` is planned as a partial
+    # WindowGroupLimit before its shuffle, so at most n rows per (key, slice)
+    # leave each map task.
+    wd = Window.partitionBy(_K, _S).orderBy(*_ordering(order, not reverse))
+    tail = (_sliced(df, keys, slice_col, reverse)
             .withColumn("_rd", F.row_number().over(wd))
             .where(F.col("_rd") <= n)
-            .groupBy(*keys, _S)
+            .groupBy(_K, _S)
             .agg(F.sort_array(F.collect_list(F.struct("_rd", value.alias("v")))).alias("_t"))
-            .select(*keys, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
+            .select(_K, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
     # Carry: the n rows just before the slice, nearest first. Each non-empty
     # slice holds at least one row, so n earlier slices are always enough.
-    wk = _spec(keys).orderBy(_S).rowsBetween(-n, -1)
-    carry = tail.select(*keys, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
+    wk = Window.partitionBy(_K).orderBy(_S).rowsBetween(-n, -1)
+    carry = tail.select(_K, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
                         .alias("_carry"))
 
-    out = base.join(carry, on=[*keys, _S], how="left")
+    out = base.join(carry, on=[_K, _S], how="left")
     for i in range(1, n + 1):
         out = out.withColumn(
             f"{prefix}{i}",
             F.when(F.col("_pos") > i, F.col(f"_in{i}"))
              .otherwise(F.get(F.col("_carry"), F.lit(i) - F.col("_pos"))))
-    return out.drop(_S, "_pos", "_carry", *[f"_in{i}" for i in range(1, n + 1)])
+    return out.drop(_K, _S, "_pos", "_carry", *[f"_in{i}" for i in range(1, n + 1)])
 
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
@@ -100,15 +115,14 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         w = _spec(keys).orderBy(*_ordering(order, reverse)).rowsBetween(Window.unboundedPreceding, upper)
         return df.withColumn(name, agg(value).over(w))
 
-    sl = -slice_col if reverse else slice_col
-    base = df.withColumn(_S, sl)
-    w = (Window.partitionBy(*keys, _S).orderBy(*_ordering(order, reverse))
-         .rowsBetween(Window.unboundedPreceding, upper))
-    base = base.withColumn("_in", agg(value).over(w))
-    summary = df.withColumn(_S, sl).groupBy(*keys, _S).agg(agg(value).alias("_tot"))
-    wk = _spec(keys).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, _S, _MERGE[fn]("_tot").over(wk).alias("_carry"))
-    out = base.join(carry, on=[*keys, _S], how="left")
+    w = Window.partitionBy(_K, _S).orderBy(*_ordering(order, reverse))
+    base = _sliced(df, keys, slice_col, reverse) \
+        .withColumn("_in", agg(value).over(w.rowsBetween(Window.unboundedPreceding, upper)))
+    # One total per slice: a partial aggregate before its (small) shuffle.
+    summary = _sliced(df, keys, slice_col, reverse).groupBy(_K, _S).agg(agg(value).alias("_tot"))
+    wk = Window.partitionBy(_K).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(_K, _S, _MERGE[fn]("_tot").over(wk).alias("_carry"))
+    out = base.join(carry, on=[_K, _S], how="left")
     if fn in _COMBINE:
         res = _COMBINE[fn](F.col("_in"), F.col("_carry"))
     elif fn == "count":
@@ -117,7 +131,7 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         res = F.when(F.col("_in").isNull(), F.col("_carry")) \
                .when(F.col("_carry").isNull(), F.col("_in")) \
                .otherwise(F.col("_in") + F.col("_carry"))
-    return out.withColumn(name, res).drop(_S, "_in", "_carry")
+    return out.withColumn(name, res).drop(_K, _S, "_in", "_carry")
 
 
 def next_where(df: DataFrame, keys: Sequence[str], order: Sequence[str], cond: Column,

@@ -15,6 +15,7 @@ def seq(spark):
     rows = []
     for i in range(600):
         key = 0 if rnd.random() < 0.5 else rnd.randint(1, 6)  # key 0 is hot
+        key = None if rnd.random() < 0.03 else key             # NULL keys form one group
         sec = rnd.randint(0, 4 * 86400)                       # four days, many empty hours
         val = None if rnd.random() < 0.05 else rnd.randint(0, 20) / 2
         rows.append((i, key, sec, val, rnd.random() < 0.3))
@@ -25,7 +26,7 @@ def seq(spark):
 
 
 def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
 @pytest.mark.parametrize("direction", ["prev", "next"])
@@ -64,7 +65,7 @@ def test_next_and_prev_where(seq):
 
 
 def test_next_where_brute_force(seq):
-    rows = sorted(seq.collect(), key=lambda r: (r.k, r.ts, r.id))
+    rows = sorted(seq.collect(), key=lambda r: (r.k is not None, r.k or 0, r.ts, r.id))
     expect = {}
     for i, r in enumerate(rows):
         nxt = next((x for x in rows[i + 1:] if x.k == r.k and x.c), None)
