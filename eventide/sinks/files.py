@@ -15,7 +15,8 @@ def insert_csv(df: DataFrame, path: str, mode: str = "append", sep: str = ",") -
 
 def stream_csv(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Streaming form of :func:`insert_csv` (append mode, exactly once by checkpoint)."""
-    w = df.writeStream.format("csv").option("path", path).option("checkpointLocation", checkpoint)
+    w = (df.writeStream.format("csv").option("path", path).option("checkpointLocation", checkpoint)
+         .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT))
     w = w.outputMode("append")
     if trigger:
         w = w.trigger(**trigger)

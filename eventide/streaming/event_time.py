@@ -80,3 +80,9 @@ def stream_flag_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     within the watermark (later copies are the repeats)."""
     return df.dropDuplicatesWithinWatermark(list(keys))
 
+
+
+def stream_running_min(df: DataFrame, key: str, value: str, name: str = "running_min") -> DataFrame:
+    """Running minimum per key on a stream (AGG9): one updated row per key and
+    micro-batch, for output mode ``update``."""
+    return df.groupBy(key).agg(F.min(value).alias(name))

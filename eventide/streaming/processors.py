@@ -28,8 +28,11 @@ class OrderedProcessor(StatefulProcessor):
     payload: list[tuple[str, str]] = []
     out_fields: list[tuple[str, str]] = []
 
-    def __init__(self, key_fields: Sequence[tuple[str, str]]):
+    def __init__(self, key_fields: Sequence[tuple[str, str]], ttl_ms: int | None = None):
         self.key_fields = list(key_fields)
+        # STA4: optional time-to-live of the processor's state (processing
+        # time, refreshed on write; expired values are never returned).
+        self.ttl_ms = ttl_ms
 
     # -- schema ---------------------------------------------------------------
     def output_schema(self) -> str:
@@ -42,7 +45,7 @@ class OrderedProcessor(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         schema = ", ".join(f"{n} {t}" for n, t in [("ev_t", "long"), ("ev_id", "long"), *self.payload])
-        self.buf = handle.getListState("buf", schema)
+        self.buf = handle.getListState("buf", schema, self.ttl_ms)
         self.setup(handle)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -81,6 +84,12 @@ class OrderedProcessor(StatefulProcessor):
     def setup(self, handle) -> None:
         pass
 
+    def value_state(self, name: str, schema: str):
+        return self.handle.getValueState(name, schema, self.ttl_ms)
+
+    def list_state(self, name: str, schema: str):
+        return self.handle.getListState(name, schema, self.ttl_ms)
+
     def step(self, key, row) -> list[tuple]:
         raise NotImplementedError
 
@@ -107,12 +116,12 @@ class ClickCapProcessor(OrderedProcessor):
     payload = [("day", "long")]
     out_fields = [("output", "string"), ("event_id", "long"), ("t_us", "long"), ("day", "long")]
 
-    def __init__(self, key_fields, max_count: int):
-        super().__init__(key_fields)
+    def __init__(self, key_fields, max_count: int, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
         self.max_count = max_count
 
     def setup(self, handle):
-        self.st = handle.getValueState("cap", "day long, n long, warned boolean")
+        self.st = self.value_state("cap", "day long, n long, warned boolean")
 
     def step(self, key, r):
         t, i, day = r
@@ -147,12 +156,12 @@ class MissingFollowupProcessor(OrderedProcessor):
     payload = [("kind", "int")]
     out_fields = [("event_id", "long"), ("t_us", "long")]
 
-    def __init__(self, key_fields, within_us: int):
-        super().__init__(key_fields)
+    def __init__(self, key_fields, within_us: int, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
         self.within = within_us
 
     def setup(self, handle):
-        self.pend = handle.getListState("pending", "t long, id long")
+        self.pend = self.list_state("pending", "t long, id long")
 
     def _pending(self):
         return list(self.pend.get()) if self.pend.exists() else []
@@ -184,12 +193,12 @@ class ConsecutiveProcessor(OrderedProcessor):
     payload = [("c", "boolean")]
     out_fields = [("first_event_id", "long"), ("first_t_us", "long"), ("event_id", "long"), ("t_us", "long")]
 
-    def __init__(self, key_fields, times: int, within_us: int):
-        super().__init__(key_fields)
+    def __init__(self, key_fields, times: int, within_us: int, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
         self.times, self.within = times, within_us
 
     def setup(self, handle):
-        self.last = handle.getListState("last", "t long, id long, c boolean")
+        self.last = self.list_state("last", "t long, id long, c boolean")
 
     def step(self, key, r):
         t, i, c = r
@@ -211,12 +220,12 @@ class JumpProcessor(OrderedProcessor):
     out_fields = [("event_id", "long"), ("t_us", "long"), ("value", "double"), ("prev_value", "double"),
                   ("jumped", "boolean")]
 
-    def __init__(self, key_fields, limit: float, first_prev: float = 0.0):
-        super().__init__(key_fields)
+    def __init__(self, key_fields, limit: float, first_prev: float = 0.0, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
         self.limit, self.first_prev = limit, first_prev
 
     def setup(self, handle):
-        self.prev = handle.getValueState("prev", "v double")
+        self.prev = self.value_state("prev", "v double")
 
     def step(self, key, r):
         t, i, v = r
@@ -235,12 +244,12 @@ class RisingAlertProcessor(OrderedProcessor):
     payload = [("v", "double")]
     out_fields = [("run_start_us", "long"), ("alert_us", "long")]
 
-    def __init__(self, key_fields, hold_us: int, repeat: bool = False):
-        super().__init__(key_fields)
+    def __init__(self, key_fields, hold_us: int, repeat: bool = False, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
         self.hold, self.repeat = hold_us, repeat
 
     def setup(self, handle):
-        self.st = handle.getValueState("rise", "prev double, alert long, start long, done boolean")
+        self.st = self.value_state("rise", "prev double, alert long, start long, done boolean")
 
     def _get(self):
         return self.st.get() if self.st.exists() else (None, None, None, False)
@@ -268,3 +277,71 @@ class RisingAlertProcessor(OrderedProcessor):
         if out:
             self.st.update(s)
         return out
+
+
+# ---------------------------------------------------------------- PAT4
+class FollowedByProcessor(OrderedProcessor):
+    """``kind`` 1 rows open a partial match; a later ``kind`` 2 row within
+    ``within`` (strict) completes every open one (``success``); a match whose
+    limit the watermark passes is emitted as ``timeout`` (the side output)."""
+
+    payload = [("kind", "int")]
+    out_fields = [("result", "string"), ("event_id", "long"), ("t_us", "long"),
+                  ("follow_event_id", "long"), ("follow_t_us", "long")]
+
+    def __init__(self, key_fields, within_us: int, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
+        self.within = within_us
+
+    def setup(self, handle):
+        self.open = self.list_state("open", "t long, id long")
+
+    def _open(self):
+        return list(self.open.get()) if self.open.exists() else []
+
+    def step(self, key, r):
+        t, i, kind = r
+        out = []
+        if kind == 2:
+            pend = self._open()
+            done = [c for c in pend if t - c[0] < self.within]
+            out = [("success", c[1], c[0], i, t) for c in done]
+            rest = [c for c in pend if t - c[0] >= self.within]
+            if done:
+                self.open.put(rest) if rest else self.open.clear()
+        if kind == 1:
+            self.open.appendValue((t, i))
+            self.handle.registerTimer((t + self.within) // 1000 + 1)
+        return out
+
+    def on_watermark(self, key, wm_us):
+        pend = self._open()
+        expired = [c for c in pend if c[0] + self.within <= wm_us]
+        if expired:
+            rest = [c for c in pend if c[0] + self.within > wm_us]
+            self.open.put(rest) if rest else self.open.clear()
+        return [("timeout", c[1], c[0], None, None) for c in sorted(expired)]
+
+
+# ---------------------------------------------------------------- WIN1
+class OverRowsProcessor(OrderedProcessor):
+    """count / avg of the value over the current row and the ``preceding``
+    rows before it (analytic windows are not allowed on streams)."""
+
+    payload = [("v", "double")]
+    out_fields = [("event_id", "long"), ("t_us", "long"), ("cnt", "long"), ("avg", "double")]
+
+    def __init__(self, key_fields, preceding: int = 2, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
+        self.preceding = preceding
+
+    def setup(self, handle):
+        self.last = self.list_state("last_values", "v double")
+
+    def step(self, key, r):
+        t, i, v = r
+        prev = [x[0] for x in self.last.get()] if self.last.exists() else []
+        vals = [x for x in [*prev, v] if x is not None]
+        keep = [*prev, v][-self.preceding:] if self.preceding else []
+        self.last.put([(x,) for x in keep]) if keep else self.last.clear()
+        return [(i, t, len(vals), sum(vals) / len(vals) if vals else None)]

@@ -1,0 +1,120 @@
+"""More stream forms against their batch definitions: PAT4, WIN1, AGG9, STR5, the ETL job, CSV stream I/O."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_streaming import batch, collect_stream, rows, source, stream_dir  # noqa: F401  (fixtures)
+from eventide.functions.timefn import duration_us
+from eventide.operators.analytic import over_rows
+from eventide.operators.patterns import followed_by
+from eventide.session import scratch_path
+from eventide.sinks.files import stream_csv
+from eventide.sinks.upsert import latest_per_key, read_snapshot
+from eventide.sources.files import scan_csv
+from eventide.streaming.etl import run_etl
+from eventide.streaming.event_time import stream_running_min
+from eventide.streaming.late import stream_split_late
+from eventide.streaming.processors import FollowedByProcessor, OverRowsProcessor, run_ordered
+
+KEY = [("user_id", "long")]
+ORDER = ["ts", "event_id"]
+
+
+def test_followed_by_processor(spark, stream_dir, batch):
+    ev = source(spark, stream_dir, batch).where(F.col("event_type").isin("signup", "purchase"))
+    kind = F.when(F.col("event_type") == "signup", 1).otherwise(2).alias("kind")
+    got = collect_stream(spark, run_ordered(ev, ["user_id"], "event_time", "event_id", [kind],
+                                            FollowedByProcessor(KEY, duration_us("1 day"))))
+    want = followed_by(batch, "user_id", ORDER, F.col("event_type") == "signup",
+                       F.col("event_type") == "purchase", "1 day")
+    want = want.select("event_id", F.when(F.col("matched"), "success").otherwise("timeout").alias("result"),
+                       F.when(F.col("matched"), F.col("follow.event_id")).alias("follow_event_id"))
+    assert rows(got, ["event_id", "result", "follow_event_id"]) == \
+        rows(want, ["event_id", "result", "follow_event_id"])
+
+
+def test_over_rows_processor(spark, stream_dir, batch):
+    ev = source(spark, stream_dir, batch)
+    got = collect_stream(spark, run_ordered(ev, ["user_id"], "event_time", "event_id",
+                                            [F.col("value").alias("v")], OverRowsProcessor(KEY, 2)))
+    want = over_rows(batch, "user_id", ORDER, "value", 2)
+    g = got.select("event_id", "cnt", F.round("avg", 6).alias("avg"))
+    w = want.select("event_id", "cnt", F.round("avg", 6).alias("avg"))
+    assert rows(g, ["event_id", "cnt", "avg"]) == rows(w, ["event_id", "cnt", "avg"])
+
+
+def test_stream_running_min_update_mode(spark, stream_dir, batch):
+    s = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(stream_dir)
+    got = collect_stream(spark, stream_running_min(s, "user_id", "value"), mode="update")
+    final = got.groupBy("user_id").agg(F.min("running_min").alias("m")).where("user_id >= 0")
+    want = batch.groupBy("user_id").agg(F.min("value").alias("m"))
+    assert rows(final, ["user_id", "m"]) == rows(want, ["user_id", "m"])
+
+
+def test_late_rows_split(spark, batch):
+    """Late = behind the largest event time of earlier batches by more than the delay."""
+    d = scratch_path(spark, "late-src")
+    pdf = batch.toPandas().sort_values("event_id")
+    # arrival order: files by event_id blocks, so time goes back and forth between files
+    files = [pdf[pdf.event_id % 4 == i] for i in range(4)]
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    import time as _t
+    os.makedirs(d, exist_ok=True)
+    for i, f in enumerate(files):
+        p = os.path.join(d, f"part-{i}.parquet")
+        schema = pa.schema([("event_id", pa.int64()), ("ts", pa.timestamp("us")), ("user_id", pa.int64()),
+                            ("event_type", pa.string()), ("value", pa.float64()), ("props", pa.string())])
+        pq.write_table(pa.Table.from_pandas(f.sort_values("ts").iloc[::-1], schema=schema, preserve_index=False), p)
+        os.utime(p, (_t.time() + i, _t.time() + i))
+    outs = {"ok": [], "late": []}
+    s = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(d)
+    q = stream_split_late(s, "ts", "2 days", scratch_path(spark, "late-state"), scratch_path(spark, "late-ckpt"),
+                          lambda b, i: outs["ok"].extend(r.event_id for r in b.select("event_id").collect()),
+                          lambda b, i: outs["late"].extend(r.event_id for r in b.select("event_id").collect()),
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    # brute force, batch by batch in arrival order
+    expect, seen = [], None
+    for f in files:
+        if seen is not None:
+            expect += [int(e) for e, t in zip(f.event_id, f.ts) if (seen - t).total_seconds() > 2 * 86400]
+        m = f.ts.max()
+        seen = m if seen is None else max(seen, m)
+    assert sorted(outs["late"]) == sorted(expect)
+    assert len(outs["ok"]) + len(outs["late"]) == len(pdf)
+
+
+def test_etl_routes_dimensions_and_facts(spark, batch):
+    d = scratch_path(spark, "etl-src")
+    # bus records: topic = event type, value = props, with broken payloads mixed in
+    rec = batch.select(F.col("event_type").alias("topic"), "user_id", "ts", "event_id",
+                       F.when(F.col("event_id") % 5 == 0, F.lit("[1]")).otherwise(F.col("props")).alias("value"))
+    rec.repartition(3).write.parquet(d)
+    s = spark.readStream.schema(rec.schema).option("maxFilesPerTrigger", 1).parquet(d)
+    dim_root, fact_root = scratch_path(spark, "etl-dim"), scratch_path(spark, "etl-fact")
+    q = run_etl(s, scratch_path(spark, "etl-ckpt"), ["signup", "error"], ["topic", "user_id"], ORDER,
+                dim_root, fact_root, trigger={"availableNow": True})
+    q.awaitTermination()
+    valid = rec.where(F.col("event_id") % 5 != 0)
+    dims = read_snapshot(spark, dim_root, rec.schema)
+    want_dims = latest_per_key(valid.where(F.col("topic").isin("signup", "error")), ["topic", "user_id"], ORDER)
+    assert rows(dims, ["topic", "user_id", "event_id"]) == rows(want_dims, ["topic", "user_id", "event_id"])
+    facts = spark.read.parquet(fact_root)
+    want_facts = valid.where(~F.col("topic").isin("signup", "error"))
+    assert facts.count() == want_facts.count()
+    assert {r.topic for r in facts.select("topic").distinct().collect()} == {"dwdclick", "dwdview", "dwdpurchase"}
+
+
+def test_csv_stream_source_and_sink(spark, batch):
+    src, out = scratch_path(spark, "csv-src"), scratch_path(spark, "csv-out")
+    from eventide.sinks.files import insert_csv
+    insert_csv(batch.repartition(4), src)
+    ddl = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    s = scan_csv(spark, src, ddl, streaming=True, max_files_per_trigger=1)
+    q = stream_csv(s.where(F.col("value") > 10), out, scratch_path(spark, "csv-ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    back = scan_csv(spark, out, ddl)
+    assert rows(back, ["event_id", "ts", "value"]) == rows(batch.where(F.col("value") > 10), ["event_id", "ts", "value"])
