@@ -30,9 +30,12 @@ class OrderedProcessor(StatefulProcessor):
 
     def __init__(self, key_fields: Sequence[tuple[str, str]], ttl_ms: int | None = None):
         self.key_fields = list(key_fields)
-        # STA4: optional time-to-live of the processor's state (processing
-        # time, refreshed on write; expired values are never returned).
-        self.ttl_ms = ttl_ms
+        # STA4: optional time-to-live of a key's state in *event time*: the
+        # state expires ``ttl_ms`` after the key's last row, is refreshed by
+        # every row, and an expired value is never read. (Spark's own state TTL
+        # works only in processing-time mode, which cannot order by event time.)
+        self.ttl_us = ttl_ms * 1000 if ttl_ms else None
+        self._states = []
 
     # -- schema ---------------------------------------------------------------
     def output_schema(self) -> str:
@@ -45,7 +48,8 @@ class OrderedProcessor(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         schema = ", ".join(f"{n} {t}" for n, t in [("ev_t", "long"), ("ev_id", "long"), *self.payload])
-        self.buf = handle.getListState("buf", schema, self.ttl_ms)
+        self.buf = handle.getListState("buf", schema)
+        self._last = handle.getValueState("last_seen", "t long")
         self.setup(handle)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -64,8 +68,11 @@ class OrderedProcessor(StatefulProcessor):
         due = sorted(r for r in rows if r[0] < wm)
         out = []
         for r in due:
+            self._expire_if_idle(r[0])
             out.extend(self.step(key, r))
+            self._touch(r[0])
         out.extend(self.on_watermark(key, wm))
+        self._expire_if_idle(wm)
         if due:
             rest = [r for r in rows if r[0] >= wm]
             if rest:
@@ -85,10 +92,26 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
     def value_state(self, name: str, schema: str):
-        return self.handle.getValueState(name, schema, self.ttl_ms)
+        st = self.handle.getValueState(name, schema)
+        self._states.append(st)
+        return st
 
     def list_state(self, name: str, schema: str):
-        return self.handle.getListState(name, schema, self.ttl_ms)
+        st = self.handle.getListState(name, schema)
+        self._states.append(st)
+        return st
+
+    def _expire_if_idle(self, now_us: int) -> None:
+        """Clear the key's state when its last row is more than the TTL before ``now_us``."""
+        if self.ttl_us is not None and self._last.exists() and self._last.get()[0] + self.ttl_us < now_us:
+            for st in self._states:
+                st.clear()
+            self._last.clear()
+
+    def _touch(self, t_us: int) -> None:
+        if self.ttl_us is not None:
+            self._last.update((t_us,))
+            self.handle.registerTimer((t_us + self.ttl_us) // 1000 + 1)
 
     def step(self, key, row) -> list[tuple]:
         raise NotImplementedError

@@ -1,0 +1,112 @@
+"""Scans, catalog, sinks and small stream options (SRC1-SRC7, SNK1-SNK3, STR4, STA4, JON1 stream)."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from eventide.session import scratch_path
+from eventide.sinks.bus import to_topic_frame
+from eventide.sinks.files import to_console
+from eventide.sources.bus import decode_records, parse_csv_payload
+from eventide.sources.catalog import read_table, save_table, use_catalog
+from eventide.sources.files import parse_access_log, scan_csv
+
+
+def _write(path, text):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.csv"), "w") as f:
+        f.write(text)
+
+
+def test_csv_trim_blank_lines_and_bad_rows(spark):
+    p = scratch_path(spark, "csv-bad")
+    _write(p, "sensor_1, 1592184525920, 23.5\n\n  sensor_2,1592184525925 ,79.1\nsensor_3,notanumber,1.0\n")
+    schema = "id STRING, t LONG, temperature DOUBLE"
+    kept = scan_csv(spark, p, schema, bad_rows="drop").collect()
+    assert [(r.id, r.t) for r in kept] == [("sensor_1", 1592184525920), ("sensor_2", 1592184525925)]
+    nulls = scan_csv(spark, p, schema, bad_rows="null").collect()
+    assert len(nulls) == 3 and nulls[2].t is None
+    with pytest.raises(Exception):
+        scan_csv(spark, p, schema, bad_rows="fail").collect()
+
+
+def test_access_log_fields(spark):
+    lines = spark.createDataFrame([("83.149.9.216 - 1035 17/05/2015:10:05:03 +0000 GET /presentations/",),
+                                   ("   ",)], "value string")
+    r = parse_access_log(lines).collect()
+    assert len(r) == 1
+    assert (r[0].ip, r[0].user_id, r[0].method, r[0].url) == ("83.149.9.216", "1035", "GET", "/presentations/")
+    assert str(r[0].event_time) == "2015-05-17 10:05:03"
+
+
+def test_catalog_database_and_table(spark):
+    db = "eventide_test_db"
+    use_catalog(spark, db)
+    try:
+        df = spark.read.parquet(f"{SF001}/region.parquet")
+        save_table(df, "regions", scratch_path(spark, "cat-table"))
+        assert read_table(spark, f"{db}.regions").count() == df.count()
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_bus_payload_and_topic_frame(spark):
+    raw = spark.createDataFrame([("ods", bytearray("1,a,2.5".encode("utf-8")))], "topic string, value binary")
+    rec = decode_records(raw)
+    row = parse_csv_payload(rec, "value", "id INT, name STRING, v DOUBLE").first()
+    assert (row.id, row.name, row.v) == (1, "a", 2.5)
+    frame = to_topic_frame(rec).first()
+    assert frame.topic == "dwdods" and frame.key is None and bytes(frame.value).decode("utf-8") == "1,a,2.5"
+
+
+def test_console_sink_batch(spark, capsys):
+    assert to_console(spark.range(2), "label") is None
+    assert "label" in capsys.readouterr().out
+
+
+def test_stream_window_join_and_ttl(spark):
+    from test_streaming import collect_stream
+    from eventide.operators.joins import window_join
+    from eventide.streaming.event_time import with_event_time, with_ingest_time
+    from eventide.streaming.processors import JumpProcessor, run_ordered
+
+    src = scratch_path(spark, "wj-src")
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    ev.write.parquet(src)
+    s = with_event_time(spark.readStream.schema(ev.schema).parquet(src), "ts", delay="1 hour")
+    hi = s.where(F.col("value") > 10).select("user_id", F.col("event_id").alias("l_id"), F.col("event_time").alias("lt"),
+                                             F.window("event_time", "1 hour").start.alias("lw"))
+    lo = s.where(F.col("value") <= 10).select(F.col("user_id").alias("ru"), F.col("event_id").alias("r_id"),
+                                               F.col("event_time").alias("rt"),
+                                               F.window("event_time", "1 hour").start.alias("rw"))
+    cond = (F.col("user_id") == F.col("ru")) & (F.col("lw") == F.col("rw"))
+    # a stream-stream inner join needs time bounds on both sides: same window = within one hour
+    bound = F.col("rt").between(F.col("lt") - F.expr("INTERVAL 1 HOUR"), F.col("lt") + F.expr("INTERVAL 1 HOUR"))
+    got = collect_stream(spark, hi.join(lo, cond & bound, "inner"))
+    want = window_join(ev.where(F.col("value") > 10), ev.where(F.col("value") <= 10), "user_id", "ts", "1 hour",
+                       "inner", ["event_id"], ["event_id"])
+    assert sorted((r.l_id, r.r_id) for r in got.collect()) == \
+        sorted((r.l_event_id, r.r_event_id) for r in want.collect())
+
+    # STA4: with a one-hour TTL the previous value is forgotten after an idle
+    # hour, so such a row compares with the initial 0.0 again.
+    ttl_src = scratch_path(spark, "ttl-src")
+    sentinel = ev.limit(1).withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz")) \
+        .withColumn("user_id", F.lit(-1).cast("long"))
+    ev.unionByName(sentinel).write.parquet(ttl_src)
+    s2 = with_event_time(spark.readStream.schema(ev.schema).parquet(ttl_src), "ts", delay="1 hour")
+    out = collect_stream(spark, run_ordered(with_ingest_time(s2), ["user_id"], "event_time", "event_id",
+                                            [F.col("value").alias("v")],
+                                            JumpProcessor([("user_id", "long")], 5.0, ttl_ms=3_600_000)))
+    pdf = ev.toPandas().sort_values(["user_id", "ts", "event_id"])
+    expect = {}
+    for _, g in pdf.groupby("user_id"):
+        prev_t, prev_v = None, None
+        for t, i, v in zip(g.ts, g.event_id, g.value):
+            idle = prev_t is None or (t - prev_t).total_seconds() > 3600
+            expect[int(i)] = 0.0 if idle else prev_v
+            prev_t, prev_v = t, v
+    got = {r.event_id: r.prev_value for r in out.collect() if r.user_id >= 0}
+    assert got == expect
