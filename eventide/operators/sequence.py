@@ -151,3 +151,26 @@ def prev_where(df: DataFrame, keys: Sequence[str], order: Sequence[str], cond: C
     v = F.when(cond, F.struct(*[F.col(c) for c in fields]))
     return with_running(df, keys, order, v, "max", name, include_current=False,
                         reverse=False, slice_col=slice_col)
+
+
+# Candidate slice lengths, longest first, and the row budget of one (key, slice).
+SLICE_CANDIDATES = ("1 day", "1 hour", "10 minutes", "1 minute", "10 seconds", "1 second")
+SLICE_TARGET_ROWS = 4_000_000
+
+
+def choose_slice(df: DataFrame, keys: Sequence[str], ts: str,
+                 target_rows: int = SLICE_TARGET_ROWS) -> str:
+    """The longest candidate slice whose busiest (key, slice) stays within
+    ``target_rows``, judged from the busiest (key, day).
+
+    One aggregate over ``df`` (partial aggregation, one number to the driver);
+    callers memoize it per table, like table statistics.
+    """
+    from eventide.functions.timefn import duration_us
+
+    day = F.to_date(F.col(ts))
+    busiest = df.groupBy(*keys, day.alias("_day")).count().agg(F.max("count")).first()[0] or 0
+    for c in SLICE_CANDIDATES:
+        if busiest * duration_us(c) / duration_us("1 day") <= target_rows:
+            return c
+    return SLICE_CANDIDATES[-1]

@@ -21,14 +21,25 @@ def prop_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-# Per-key sequences are computed per (key, day) slice and stitched; see
-# eventide.operators.sequence. One day keeps a slice of a hot key bounded
-# by time, whatever the key's share of the data.
-SLICE = "1 day"
+# Per-key sequences are computed per (key, time slice) and stitched; see
+# eventide.operators.sequence. The slice length comes from the measured
+# density of the table (the busiest key-day), memoized per table and key set:
+# 1 day at the test scales, minutes when one key carries billions of rows.
+_SLICES: dict[tuple, str] = {}
 
 
-def day_slice(ts: str = "ts") -> Column:
-    return slice_id(ts, SLICE)
+def seq_slice_size(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("user_id",),
+                   ts: str = "ts", table_name: str = "events") -> str:
+    from eventide.operators.sequence import choose_slice
+    memo = (sf_dir.rstrip("/"), table_name, tuple(keys), ts)
+    if memo not in _SLICES:
+        _SLICES[memo] = choose_slice(table(spark, sf_dir, table_name), list(keys), ts)
+    return _SLICES[memo]
+
+
+def seq_slice(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("user_id",),
+              ts: str = "ts", table_name: str = "events") -> Column:
+    return slice_id(ts, seq_slice_size(spark, sf_dir, keys, ts, table_name))
 
 
 # DuckDB side: the same id from props.

@@ -8,7 +8,7 @@ from eventide.functions.timefn import duration_us
 from eventide.operators.patterns import (consecutive, followed_by, followed_by_any, missing_followup,
                                          next_pairs, not_followed_by, not_next, rate_cap, rising_alert,
                                          split_late)
-from eventide.plans.inputs import day_slice, events
+from eventide.plans.inputs import events, seq_slice, seq_slice_size
 from eventide.plans.registry import register
 from eventide.plans.windowed import CAP_KEYS, CAP_MAX, SQL_CAP_PASSED, SQL_CAP_RANKED
 
@@ -30,7 +30,8 @@ def _ev(spark, sf_dir):
           f"WHERE epoch_us(mx) - epoch_us(ts) > {2 * HOUR}")
 def late_rows(spark: SparkSession, sf_dir: str):
     ev = _ev(spark, sf_dir).withColumn("arrival", F.timestamp_add("HOUR", F.col("event_id") % 5, F.col("ts")))
-    _, late = split_late(ev, "ts", "2 hours", ["arrival", "event_id"])
+    # arrival = ts + 0..4 h, so the density of ts sizes the arrival slices
+    _, late = split_late(ev, "ts", "2 hours", ["arrival", "event_id"], slice_size=seq_slice_size(spark, sf_dir, ()))
     return late.select("event_id", "user_id", "ts", "arrival")
 
 
@@ -60,7 +61,8 @@ def click_cap_warnings(spark: SparkSession, sf_dir: str):
           "ON a.user_id = b.user_id AND b.seg = a.seg + 1 WHERE a.run_start IS NOT NULL AND "
           "(b.seg_start IS NULL OR b.seg_start > a.run_start + INTERVAL 5 HOUR)")
 def rising_alert_q(spark: SparkSession, sf_dir: str):
-    return rising_alert(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", slice_col=day_slice())
+    return rising_alert(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", 
+                   slice_col=seq_slice(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- PAT4, STA3
@@ -79,7 +81,8 @@ def _is(t: str):
           f"ELSE 'timeout' END AS result, CASE WHEN epoch_us(nx.ts) - epoch_us(ts) < {DAY} THEN nx.event_id END "
           f"AS pay_event_id FROM ({_NEXT_PAY}) WHERE event_type = 'signup'")
 def order_pay_result(spark: SparkSession, sf_dir: str):
-    r = followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day", slice_col=day_slice())
+    r = followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day", 
+                   slice_col=seq_slice(spark, sf_dir))
     return r.select("user_id", "event_id", "ts",
                     F.when(F.col("matched"), "success").otherwise("timeout").alias("result"),
                     F.when(F.col("matched"), F.col("follow.event_id")).alias("pay_event_id"))
@@ -89,7 +92,8 @@ def order_pay_result(spark: SparkSession, sf_dir: str):
           f"SELECT user_id, event_id, ts FROM ({_NEXT_PAY}) WHERE event_type = 'signup' AND "
           f"(nx IS NULL OR epoch_us(nx.ts) - epoch_us(ts) > {DAY})")
 def order_unpaid(spark: SparkSession, sf_dir: str):
-    r = missing_followup(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day", slice_col=day_slice())
+    r = missing_followup(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day", 
+                   slice_col=seq_slice(spark, sf_dir))
     return r.select("user_id", "event_id", "ts")
 
 
@@ -103,14 +107,16 @@ _SQL_FAILS = (f"SELECT * FROM (SELECT user_id, event_id, ts, event_type, lag(eve
           f"SELECT user_id, pid AS first_event_id, pts AS first_ts, event_id AS second_event_id, ts AS second_ts "
           f"FROM ({_SQL_FAILS})")
 def login_fail_pairs(spark: SparkSession, sf_dir: str):
-    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour", slice_col=day_slice())
+    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour", 
+                   slice_col=seq_slice(spark, sf_dir))
     return r.select("user_id", F.col("prev1.event_id").alias("first_event_id"), F.col("prev1.ts").alias("first_ts"),
                     F.col("event_id").alias("second_event_id"), F.col("ts").alias("second_ts"))
 
 
 @register("login_fail_lists", f"SELECT user_id, [pid, event_id] AS event_ids, ts AS last_ts FROM ({_SQL_FAILS})")
 def login_fail_lists(spark: SparkSession, sf_dir: str):
-    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour", slice_col=day_slice())
+    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour", 
+                   slice_col=seq_slice(spark, sf_dir))
     return r.select("user_id", F.array(F.col("prev1.event_id"), F.col("event_id")).alias("event_ids"),
                     F.col("ts").alias("last_ts"))
 
@@ -122,7 +128,8 @@ _IN_TIME = f"nts IS NOT NULL AND epoch_us(nts) - epoch_us(ts) < {5 * HOUR}"
 
 
 def _rise(spark, sf_dir):
-    return next_pairs(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", slice_col=day_slice())
+    return next_pairs(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", 
+                   slice_col=seq_slice(spark, sf_dir))
 
 
 @register("rise_pairs",
@@ -156,7 +163,8 @@ def followed_by_any_q(spark: SparkSession, sf_dir: str):
           f"lead(event_type) OVER w AS nt FROM events {W_USER}) "
           f"WHERE event_type = 'signup' AND (nt IS NULL OR nt <> 'error')")
 def not_next_q(spark: SparkSession, sf_dir: str):
-    r = not_next(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), slice_col=day_slice())
+    r = not_next(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), 
+                   slice_col=seq_slice(spark, sf_dir))
     return r.select("user_id", "event_id", "ts")
 
 
@@ -166,5 +174,6 @@ def not_next_q(spark: SparkSession, sf_dir: str):
           "FROM events WHERE event_type IN ('signup', 'error')) WHERE event_type = 'signup' AND "
           f"(ne IS NULL OR epoch_us(ne) - epoch_us(ts) >= {DAY})")
 def not_followed_by_q(spark: SparkSession, sf_dir: str):
-    r = not_followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), "1 day", slice_col=day_slice())
+    r = not_followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), "1 day", 
+                   slice_col=seq_slice(spark, sf_dir))
     return r.select("user_id", "event_id", "ts")

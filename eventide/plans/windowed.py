@@ -9,7 +9,7 @@ from eventide.operators.analytic import jump_flag, over_rows, running_min
 from eventide.operators.patterns import rate_cap
 from eventide.operators.topn import render_report, topn_per_group
 from eventide.operators.windows import flag_repeats, unique_visitors, window_agg, window_count
-from eventide.plans.inputs import SQL_K, day_slice, events, prop_k
+from eventide.plans.inputs import SQL_K, events, prop_k, seq_slice
 from eventide.plans.registry import register
 
 ORDER = ["ts", "event_id"]
@@ -171,7 +171,7 @@ def sliding_min(spark: SparkSession, sf_dir: str):
           "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def running_min_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    r = running_min(ev, "user_id", ORDER, "value", slice_col=day_slice())
+    r = running_min(ev, "user_id", ORDER, "value", slice_col=seq_slice(spark, sf_dir))
     # The reduce keeps the first row's timestamp and zeroes it afterwards.
     first = r.groupBy("user_id").agg(F.min(F.struct(*ORDER)).alias("_f"))
     r = r.join(first, "user_id").withColumn(
@@ -208,7 +208,7 @@ def flag_repeats_q(spark: SparkSession, sf_dir: str):
           "ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
 def over_last3(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    r = over_rows(ev, "user_id", ORDER, "value", preceding=2, slice_col=day_slice())
+    r = over_rows(ev, "user_id", ORDER, "value", preceding=2, slice_col=seq_slice(spark, sf_dir))
     return r.select("event_id", "user_id", "cnt", F.round("avg", 4).alias("avg_value"))
 
 
@@ -219,5 +219,5 @@ def over_last3(spark: SparkSession, sf_dir: str):
           "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def jump_flag_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    r = jump_flag(ev, "user_id", ORDER, "value", 5.0, slice_col=day_slice())
+    r = jump_flag(ev, "user_id", ORDER, "value", 5.0, slice_col=seq_slice(spark, sf_dir))
     return r.select("event_id", "user_id", "value", "prev_value", "jumped")

@@ -72,3 +72,12 @@ def test_next_where_brute_force(seq):
         expect[r.id] = None if nxt is None else nxt.id
     got = next_where(seq, ["k"], ["ts", "id"], F.col("c"), [], "m", slice_col=slice_id("ts", "1 hour"))
     assert {r.id: (r.m.id if r.m else None) for r in got.collect()} == expect
+
+
+def test_choose_slice_follows_density(seq):
+    from eventide.operators.sequence import choose_slice
+    assert choose_slice(seq, ["k"], "ts") == "1 day"                     # a few hundred rows
+    # the hot key has ~100 rows on its busiest day: with a budget of 10 rows
+    # per slice, one hour (~4 rows) fits and one day does not
+    assert choose_slice(seq, ["k"], "ts", target_rows=10) == "1 hour"
+    assert choose_slice(seq, ["k"], "ts", target_rows=1) == "10 minutes"
