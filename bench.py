@@ -38,10 +38,41 @@ def main() -> None:
         run(n)
     times = {n: round(statistics.median(run(n) for _ in range(runs)), 4) for n in names}
     sf = os.path.basename(sf_dir).removeprefix("sf")
-    print(json.dumps({"metric": "sum_of_median_query_sec", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
+    out = {"metric": "sum_of_median_query_sec", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}
+    if not only and os.environ.get("BENCH_PLANS", "1") == "1":
+        out["plans"] = plan_comparison(spark, sf_dir, full=os.environ.get("BENCH_FULL") == "1")
+    print(json.dumps(out))
     spark.stop()
 
 
+def plan_comparison(spark, sf_dir: str, full: bool = False) -> dict:
+    """Sliding count per province over the click-cap rows (AGG5) under each
+    window plan: 60 min / 1 min (60 windows per row) and 60 min / 5 s (720).
+    One timed run each after a warm-up; not part of the headline sum. The
+    plain plan at 720 windows (~1 min here) only with BENCH_FULL=1."""
+    from pyspark.sql import functions as F
+
+    from eventide.operators.windows import window_count
+    from eventide.plans.windowed import cap_passed
+
+    rows = cap_passed(spark, sf_dir).select("ts", (F.col("user_id") % 7).alias("province"))
+
+    def timed(slide, plan):
+        t = time.perf_counter()
+        window_count(rows, ["province"], "ts", "60 minutes", slide, plan=plan) \
+            .write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - t, 3)
+
+    timed("1 minute", "delta")
+    res = {}
+    for label, slide in (("geo60", "1 minute"), ("geo720", "5 seconds")):
+        for plan in ("plain", "pane", "delta"):
+            if label == "geo720" and plan == "plain" and not full:
+                continue
+            res[f"{label}_{plan}"] = timed(slide, plan)
+    return res
+
+
 if __name__ == "__main__":
     main()
