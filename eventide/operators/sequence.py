@@ -70,22 +70,31 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     for i in range(1, n + 1):
         base = base.withColumn(f"_in{i}", F.lag(value, i).over(w))
 
-    # Last n rows of every slice (first n when reversed), nearest-to-the-end
-    # first, from the input: ``row_number() <= n`` is planned as a partial
-    # WindowGroupLimit before its shuffle, so at most n rows per (key, slice)
-    # leave each map task.
-    wd = Window.partitionBy(_K, _S).orderBy(*_ordering(order, not reverse))
-    tail = (_sliced(df, keys, slice_col, reverse)
-            .withColumn("_rd", F.row_number().over(wd))
-            .where(F.col("_rd") <= n)
-            .groupBy(_K, _S)
-            .agg(F.sort_array(F.collect_list(F.struct("_rd", value.alias("v")))).alias("_t"))
-            .select(_K, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
-    # Carry: the n rows just before the slice, nearest first. Each non-empty
-    # slice holds at least one row, so n earlier slices are always enough.
-    wk = Window.partitionBy(_K).orderBy(_S).rowsBetween(-n, -1)
-    carry = tail.select(_K, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
-                        .alias("_carry"))
+    if n == 1:
+        # Last row of every slice (first when reversed): a hash aggregate with
+        # partial aggregation, no sort; the carry is the previous slice's.
+        pick = F.min_by if reverse else F.max_by
+        key = F.struct(*[F.col(o) for o in order])
+        last = _sliced(df, keys, slice_col, reverse).groupBy(_K, _S).agg(pick(value, key).alias("_t"))
+        carry = last.select(_K, _S, F.array(F.lag("_t", 1).over(Window.partitionBy(_K).orderBy(_S)))
+                            .alias("_carry"))
+    else:
+        # Last n rows of every slice (first n when reversed), nearest-to-the-end
+        # first, from the input: ``row_number() <= n`` is planned as a partial
+        # WindowGroupLimit before its shuffle, so at most n rows per (key,
+        # slice) leave each map task.
+        wd = Window.partitionBy(_K, _S).orderBy(*_ordering(order, not reverse))
+        tail = (_sliced(df, keys, slice_col, reverse)
+                .withColumn("_rd", F.row_number().over(wd))
+                .where(F.col("_rd") <= n)
+                .groupBy(_K, _S)
+                .agg(F.sort_array(F.collect_list(F.struct("_rd", value.alias("v")))).alias("_t"))
+                .select(_K, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
+        # Carry: the n rows just before the slice, nearest first. Each non-empty
+        # slice holds at least one row, so n earlier slices are always enough.
+        wk = Window.partitionBy(_K).orderBy(_S).rowsBetween(-n, -1)
+        carry = tail.select(_K, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
+                            .alias("_carry"))
 
     out = base.join(carry, on=[_K, _S], how="left")
     for i in range(1, n + 1):
