@@ -18,10 +18,9 @@ slice boundaries from small per-slice summaries:
 leading order column). Without ``slice_col`` the plain window is used (right
 for small inputs and for tests of equivalence).
 
-The sliced forms group on a non-nullable surrogate, ``struct(keys)`` and a
-null-safe slice id: NULL keys form one group as in a plain window, and the
-optimizer infers no NOT NULL filter for the carry side of the join, which
-would make the two branches differ and cost a second scan and shuffle.
+The sliced forms group on non-nullable surrogates of the keys (value with a
+typed default, plus a NULL flag) and a null-safe slice id: NULL keys form one
+group as in a plain window, and the carry join is null-safe.
 """
 
 from __future__ import annotations
@@ -31,14 +30,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _S = "_slice"
-_K = "_key"
 _NULL_SLICE = 1 << 62  # slice of rows with a NULL order value (first asc, last desc)
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column, reverse: bool) -> DataFrame:
+def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Non-nullable surrogate columns for ``keys``: ``coalesce(key, default)``
+    plus ``isnull(key)`` per key (NULL keys stay one group, apart from the
+    default value), so joins on them are null-safe, no NOT NULL filter is
+    inferred, and a numeric key keeps the fast prefix sort. Keys of types
+    without a natural default go through one struct."""
+    from pyspark.sql import types as T
+
+    if not keys:
+        return df.withColumn("_k0", F.lit(0)), ["_k0"]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for i, k in enumerate(keys):
+        t = types.get(k)
+        if isinstance(t, T.NumericType):
+            default = F.lit(0).cast(t)
+        elif isinstance(t, T.StringType):
+            default = F.lit("")
+        elif isinstance(t, T.BooleanType):
+            default = F.lit(False)
+        elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            default = F.lit(0).cast("timestamp").cast(t)
+        else:
+            return df.withColumn("_k0", F.struct(*[F.col(x) for x in keys])), ["_k0"]
+        df = df.withColumn(f"_kv{i}", F.coalesce(F.col(k), default)).withColumn(f"_kn{i}", F.col(k).isNull())
+        cols += [f"_kv{i}", f"_kn{i}"]
+    return df, cols
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column, reverse: bool) -> tuple[DataFrame, list[str]]:
     sl = F.coalesce(-slice_col, F.lit(_NULL_SLICE)) if reverse else F.coalesce(slice_col, F.lit(-_NULL_SLICE))
-    return df.withColumn(_K, F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0))) \
-             .withColumn(_S, sl.cast("long"))
+    df, kc = _key_cols(df, keys)
+    return df.withColumn(_S, sl.cast("long")), kc
 
 
 def _ordering(order: Sequence[str], reverse: bool) -> list[Column]:
@@ -65,8 +92,9 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             df = df.withColumn(f"{prefix}{i}", F.lag(value, i).over(w))
         return df
 
-    w = Window.partitionBy(_K, _S).orderBy(*_ordering(order, reverse))
-    base = _sliced(df, keys, slice_col, reverse).withColumn("_pos", F.row_number().over(w))
+    src, kc = _sliced(df, keys, slice_col, reverse)
+    w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, reverse))
+    base = src.withColumn("_pos", F.row_number().over(w))
     for i in range(1, n + 1):
         base = base.withColumn(f"_in{i}", F.lag(value, i).over(w))
 
@@ -75,34 +103,33 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         # partial aggregation, no sort; the carry is the previous slice's.
         pick = F.min_by if reverse else F.max_by
         key = F.struct(*[F.col(o) for o in order])
-        last = _sliced(df, keys, slice_col, reverse).groupBy(_K, _S).agg(pick(value, key).alias("_t"))
-        carry = last.select(_K, _S, F.array(F.lag("_t", 1).over(Window.partitionBy(_K).orderBy(_S)))
+        last = src.groupBy(*kc, _S).agg(pick(value, key).alias("_t"))
+        carry = last.select(*kc, _S, F.array(F.lag("_t", 1).over(Window.partitionBy(*kc).orderBy(_S)))
                             .alias("_carry"))
     else:
         # Last n rows of every slice (first n when reversed), nearest-to-the-end
         # first, from the input: ``row_number() <= n`` is planned as a partial
         # WindowGroupLimit before its shuffle, so at most n rows per (key,
         # slice) leave each map task.
-        wd = Window.partitionBy(_K, _S).orderBy(*_ordering(order, not reverse))
-        tail = (_sliced(df, keys, slice_col, reverse)
-                .withColumn("_rd", F.row_number().over(wd))
+        wd = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, not reverse))
+        tail = (src.withColumn("_rd", F.row_number().over(wd))
                 .where(F.col("_rd") <= n)
-                .groupBy(_K, _S)
+                .groupBy(*kc, _S)
                 .agg(F.sort_array(F.collect_list(F.struct("_rd", value.alias("v")))).alias("_t"))
-                .select(_K, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
+                .select(*kc, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
         # Carry: the n rows just before the slice, nearest first. Each non-empty
         # slice holds at least one row, so n earlier slices are always enough.
-        wk = Window.partitionBy(_K).orderBy(_S).rowsBetween(-n, -1)
-        carry = tail.select(_K, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
+        wk = Window.partitionBy(*kc).orderBy(_S).rowsBetween(-n, -1)
+        carry = tail.select(*kc, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
                             .alias("_carry"))
 
-    out = base.join(carry, on=[_K, _S], how="left")
+    out = base.join(carry, on=[*kc, _S], how="left")
     for i in range(1, n + 1):
         out = out.withColumn(
             f"{prefix}{i}",
             F.when(F.col("_pos") > i, F.col(f"_in{i}"))
              .otherwise(F.get(F.col("_carry"), F.lit(i) - F.col("_pos"))))
-    return out.drop(_K, _S, "_pos", "_carry", *[f"_in{i}" for i in range(1, n + 1)])
+    return out.drop(*kc, _S, "_pos", "_carry", *[f"_in{i}" for i in range(1, n + 1)])
 
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
@@ -124,14 +151,14 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         w = _spec(keys).orderBy(*_ordering(order, reverse)).rowsBetween(Window.unboundedPreceding, upper)
         return df.withColumn(name, agg(value).over(w))
 
-    w = Window.partitionBy(_K, _S).orderBy(*_ordering(order, reverse))
-    base = _sliced(df, keys, slice_col, reverse) \
-        .withColumn("_in", agg(value).over(w.rowsBetween(Window.unboundedPreceding, upper)))
+    src, kc = _sliced(df, keys, slice_col, reverse)
+    w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, reverse))
+    base = src.withColumn("_in", agg(value).over(w.rowsBetween(Window.unboundedPreceding, upper)))
     # One total per slice: a partial aggregate before its (small) shuffle.
-    summary = _sliced(df, keys, slice_col, reverse).groupBy(_K, _S).agg(agg(value).alias("_tot"))
-    wk = Window.partitionBy(_K).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(_K, _S, _MERGE[fn]("_tot").over(wk).alias("_carry"))
-    out = base.join(carry, on=[_K, _S], how="left")
+    summary = src.groupBy(*kc, _S).agg(agg(value).alias("_tot"))
+    wk = Window.partitionBy(*kc).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*kc, _S, _MERGE[fn]("_tot").over(wk).alias("_carry"))
+    out = base.join(carry, on=[*kc, _S], how="left")
     if fn in _COMBINE:
         res = _COMBINE[fn](F.col("_in"), F.col("_carry"))
     elif fn == "count":
@@ -140,7 +167,7 @@ def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
         res = F.when(F.col("_in").isNull(), F.col("_carry")) \
                .when(F.col("_carry").isNull(), F.col("_in")) \
                .otherwise(F.col("_in") + F.col("_carry"))
-    return out.withColumn(name, res).drop(_K, _S, "_in", "_carry")
+    return out.withColumn(name, res).drop(*kc, _S, "_in", "_carry")
 
 
 def next_where(df: DataFrame, keys: Sequence[str], order: Sequence[str], cond: Column,
