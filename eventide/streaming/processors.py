@@ -174,14 +174,16 @@ class ClickCapProcessor(OrderedProcessor):
 class MissingFollowupProcessor(OrderedProcessor):
     """``kind`` 1 rows open a deadline ``t + within``; a later ``kind`` 2 row at
     or before the deadline settles every open one; a deadline the watermark
-    passes unsettled is emitted as a timeout."""
+    passes unsettled is emitted as a timeout. ``inclusive=False`` makes the
+    limit strict (``gap < within``), which is PAT6 not-followed-by."""
 
     payload = [("kind", "int")]
     out_fields = [("event_id", "long"), ("t_us", "long")]
 
-    def __init__(self, key_fields, within_us: int, ttl_ms: int | None = None):
+    def __init__(self, key_fields, within_us: int, ttl_ms: int | None = None, inclusive: bool = True):
         super().__init__(key_fields, ttl_ms)
         self.within = within_us
+        self.inclusive = inclusive
 
     def setup(self, handle):
         self.pend = self.list_state("pending", "t long, id long")
@@ -195,15 +197,23 @@ class MissingFollowupProcessor(OrderedProcessor):
             self.pend.appendValue((t, i))
             self.handle.registerTimer((t + self.within) // 1000 + 1)
         elif kind == 2:
-            keep = [c for c in self._pending() if t - c[0] > self.within]
+            if self.inclusive:
+                keep = [c for c in self._pending() if t - c[0] > self.within]
+            else:
+                keep = [c for c in self._pending() if t - c[0] >= self.within]
             self.pend.put(keep) if keep else self.pend.clear()
         return []
 
+    def _expired(self, c, wm_us) -> bool:
+        # every row before the watermark is processed: a deadline is final
+        # once no settling row can still come (strict limit: at the deadline)
+        return c[0] + self.within < wm_us if self.inclusive else c[0] + self.within <= wm_us
+
     def on_watermark(self, key, wm_us):
         pend = self._pending()
-        expired = [c for c in pend if c[0] + self.within < wm_us]
+        expired = [c for c in pend if self._expired(c, wm_us)]
         if expired:
-            rest = [c for c in pend if c[0] + self.within >= wm_us]
+            rest = [c for c in pend if not self._expired(c, wm_us)]
             self.pend.put(rest) if rest else self.pend.clear()
         return [(c[1], c[0]) for c in sorted(expired)]
 
@@ -368,3 +378,43 @@ class OverRowsProcessor(OrderedProcessor):
         keep = [*prev, v][-self.preceding:] if self.preceding else []
         self.last.put([(x,) for x in keep]) if keep else self.last.clear()
         return [(i, t, len(vals), sum(vals) / len(vals) if vals else None)]
+
+
+# ---------------------------------------------------------------- PAT5
+class NextPairsProcessor(OrderedProcessor):
+    """Any row followed *immediately* (next row of the key) by a row with a
+    greater value within ``within`` (strict): completed pairs are ``match``;
+    a start whose next row does not come within the time is ``timeout``."""
+
+    payload = [("v", "double")]
+    out_fields = [("result", "string"), ("event_id", "long"), ("t_us", "long"), ("value", "double"),
+                  ("next_event_id", "long"), ("next_t_us", "long"), ("next_value", "double")]
+
+    def __init__(self, key_fields, within_us: int, ttl_ms: int | None = None):
+        super().__init__(key_fields, ttl_ms)
+        self.within = within_us
+
+    def setup(self, handle):
+        self.last = self.value_state("start", "t long, id long, v double")
+
+    def step(self, key, r):
+        t, i, v = r
+        out = []
+        if self.last.exists():
+            lt, li, lv = self.last.get()
+            if t - lt < self.within:
+                if v > lv:
+                    out.append(("match", li, lt, lv, i, t, v))
+            else:
+                out.append(("timeout", li, lt, lv, None, None, None))
+        self.last.update((t, i, v))
+        self.handle.registerTimer((t + self.within) // 1000 + 1)
+        return out
+
+    def on_watermark(self, key, wm_us):
+        if self.last.exists():
+            lt, li, lv = self.last.get()
+            if lt + self.within <= wm_us:  # its next row can no longer come in time
+                self.last.clear()
+                return [("timeout", li, lt, lv, None, None, None)]
+        return []

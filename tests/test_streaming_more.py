@@ -118,3 +118,28 @@ def test_csv_stream_source_and_sink(spark, batch):
     q.awaitTermination()
     back = scan_csv(spark, out, ddl)
     assert rows(back, ["event_id", "ts", "value"]) == rows(batch.where(F.col("value") > 10), ["event_id", "ts", "value"])
+
+
+def test_next_pairs_processor(spark, stream_dir, batch):
+    from eventide.operators.patterns import next_pairs
+    from eventide.streaming.processors import NextPairsProcessor
+    ev = source(spark, stream_dir, batch)
+    got = collect_stream(spark, run_ordered(ev, ["user_id"], "event_time", "event_id", [F.col("value").alias("v")],
+                                            NextPairsProcessor(KEY, duration_us("5 hours"))))
+    pairs, timeouts = next_pairs(batch, "user_id", ORDER, "value", "5 hours")
+    assert rows(got.where("result = 'match'"), ["event_id", "next_event_id"]) == \
+        rows(pairs.select("event_id", F.col("nxt.event_id").alias("n")), ["event_id", "n"])
+    # the sentinel rows of the stream are the last rows of their key: they never time out
+    assert rows(got.where("result = 'timeout'"), ["event_id"]) == rows(timeouts, ["event_id"])
+
+
+def test_not_followed_by_processor(spark, stream_dir, batch):
+    from eventide.operators.patterns import not_followed_by
+    from eventide.streaming.processors import MissingFollowupProcessor
+    ev = source(spark, stream_dir, batch).where(F.col("event_type").isin("signup", "error"))
+    kind = F.when(F.col("event_type") == "signup", 1).otherwise(2).alias("kind")
+    got = collect_stream(spark, run_ordered(ev, ["user_id"], "event_time", "event_id", [kind],
+                                            MissingFollowupProcessor(KEY, duration_us("1 day"), inclusive=False)))
+    want = not_followed_by(batch, "user_id", ORDER, F.col("event_type") == "signup",
+                           F.col("event_type") == "error", "1 day")
+    assert rows(got, ["event_id"]) == rows(want, ["event_id"])
