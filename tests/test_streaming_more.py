@@ -143,3 +143,15 @@ def test_not_followed_by_processor(spark, stream_dir, batch):
     want = not_followed_by(batch, "user_id", ORDER, F.col("event_type") == "signup",
                            F.col("event_type") == "error", "1 day")
     assert rows(got, ["event_id"]) == rows(want, ["event_id"])
+
+
+def test_stream_flag_first_keeps_one_row_per_key(spark, stream_dir, batch):
+    from eventide.operators.windows import flag_repeats
+    from eventide.streaming.event_time import stream_flag_first
+    ev = source(spark, stream_dir, batch, delay="1 day").withColumn("day", F.to_date("ts"))
+    got = collect_stream(spark, stream_flag_first(ev, ["user_id", "event_type", "day"]))
+    got = got.where("user_id >= 0")
+    b = batch.withColumn("day", F.to_date("ts"))
+    firsts = flag_repeats(b, ["user_id", "event_type", "day"], ORDER).where(~F.col("seen_before"))
+    assert got.count() == firsts.count()
+    assert rows(got, ["user_id", "event_type", "day"]) == rows(firsts, ["user_id", "event_type", "day"])
