@@ -73,14 +73,16 @@ def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Se
         return  # replay of a committed batch
     cols = batch.columns
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    new = latest_per_key(batch, keys, order).withColumn(BUCKET, bucket)
-    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most `buckets` values
+    new = batch.withColumn(BUCKET, bucket)
+    # at most `buckets` values: a hash aggregate over the key columns only
+    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
     current = _committed(spark, root)
     old_paths = [current[b] for b in touched if b in current]
     merged = new
     if old_paths:
         old = spark.read.schema(batch.select(*cols).schema).parquet(*old_paths).withColumn(BUCKET, bucket)
         merged = old.unionByName(new)
+    # one de-duplication over old snapshot rows and the raw batch together
     out = latest_per_key(merged, keys, order)
     out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/v={batch_id}")
 
