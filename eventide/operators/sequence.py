@@ -195,18 +195,23 @@ SLICE_TARGET_ROWS = 4_000_000
 
 
 def choose_slice(df: DataFrame, keys: Sequence[str], ts: str,
-                 target_rows: int = SLICE_TARGET_ROWS) -> str:
-    """The longest candidate slice whose busiest (key, slice) stays within
-    ``target_rows``, judged from the busiest (key, day).
-
-    One aggregate over ``df`` (partial aggregation, one number to the driver);
-    callers memoize it per table, like table statistics.
+                 target_rows: int = SLICE_TARGET_ROWS) -> str | None:
+    """Slice length for the sliced plans, from the data: ``None`` (plain
+    per-key window) when even the busiest key fits in ``target_rows``; else the
+    longest candidate slice whose busiest (key, slice) stays within the budget,
+    judged from the busiest (key, day).
+
+    One job of two chained aggregates (partial aggregation, two numbers to the
+    driver); callers memoize it per table, like table statistics.
     """
     from eventide.functions.timefn import duration_us
 
-    day = F.to_date(F.col(ts))
-    busiest = df.groupBy(*keys, day.alias("_day")).count().agg(F.max("count")).first()[0] or 0
+    per_day = df.groupBy(*keys, F.to_date(F.col(ts)).alias("_day")).count()
+    per_key = per_day.groupBy(*keys).agg(F.sum("count").alias("_n"), F.max("count").alias("_d"))
+    busiest_key, busiest_day = per_key.agg(F.max("_n"), F.max("_d")).first()
+    if (busiest_key or 0) <= target_rows:
+        return None
     for c in SLICE_CANDIDATES:
-        if busiest * duration_us(c) / duration_us("1 day") <= target_rows:
+        if busiest_day * duration_us(c) / duration_us("1 day") <= target_rows:
             return c
     return SLICE_CANDIDATES[-1]

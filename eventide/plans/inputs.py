@@ -21,15 +21,17 @@ def prop_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-# Per-key sequences are computed per (key, time slice) and stitched; see
-# eventide.operators.sequence. The slice length comes from the measured
-# density of the table (the busiest key-day), memoized per table and key set:
-# 1 day at the test scales, minutes when one key carries billions of rows.
-_SLICES: dict[tuple, str] = {}
+# Per-key sequences run as one window per key while every key fits in one
+# task, and per (key, time slice), stitched, once a key does not; see
+# eventide.operators.sequence. The choice and the slice length come from the
+# measured density of the table (busiest key, busiest key-day), memoized per
+# table and key set: plain windows at the test scales, minutes when one key
+# carries billions of rows.
+_SLICES: dict[tuple, str | None] = {}
 
 
 def seq_slice_size(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("user_id",),
-                   ts: str = "ts", table_name: str = "events") -> str:
+                   ts: str = "ts", table_name: str = "events") -> str | None:
     from eventide.operators.sequence import choose_slice
     memo = (sf_dir.rstrip("/"), table_name, tuple(keys), ts)
     if memo not in _SLICES:
@@ -38,8 +40,9 @@ def seq_slice_size(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("u
 
 
 def seq_slice(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("user_id",),
-              ts: str = "ts", table_name: str = "events") -> Column:
-    return slice_id(ts, seq_slice_size(spark, sf_dir, keys, ts, table_name))
+              ts: str = "ts", table_name: str = "events") -> Column | None:
+    size = seq_slice_size(spark, sf_dir, keys, ts, table_name)
+    return None if size is None else slice_id(ts, size)
 
 
 # DuckDB side: the same id from props.

@@ -76,8 +76,9 @@ def test_next_where_brute_force(seq):
 
 def test_choose_slice_follows_density(seq):
     from eventide.operators.sequence import choose_slice
-    assert choose_slice(seq, ["k"], "ts") == "1 day"                     # a few hundred rows
-    # the hot key has ~100 rows on its busiest day: with a budget of 10 rows
-    # per slice, one hour (~4 rows) fits and one day does not
+    assert choose_slice(seq, ["k"], "ts") is None                        # every key fits one task
+    # the hot key has ~300 rows, ~100 on its busiest day: with a budget of
+    # 200 rows a day fits; of 10 rows one hour (~4 rows) fits and a day does not
+    assert choose_slice(seq, ["k"], "ts", target_rows=200) == "1 day"
     assert choose_slice(seq, ["k"], "ts", target_rows=10) == "1 hour"
     assert choose_slice(seq, ["k"], "ts", target_rows=1) == "10 minutes"
