@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -49,9 +50,20 @@ class OrderedProcessor(StatefulProcessor):
         self.handle = handle
         schema = ", ".join(f"{n} {t}" for n, t in [("ev_t", "long"), ("ev_id", "long"), *self.payload])
         self.buf = handle.getListState("buf", schema)
+        self._buf_timer = handle.getValueState("buf_timer", "ms long")
         self._last = handle.getValueState("last_seen", "t long")
         self.setup(handle)
 
+    def _arm(self, first_t_us: int) -> None:
+        """Keep one flush timer per key, at the earliest buffered row."""
+        ms = first_t_us // 1000 + 1
+        cur = self._buf_timer.get()[0] if self._buf_timer.exists() else None
+        if cur is None or ms < cur:
+            if cur is not None:
+                self.handle.deleteTimer(cur)
+            self.handle.registerTimer(ms)
+            self._buf_timer.update((ms,))
+
     def handleInputRows(self, key, rows, timerValues):
         new = []
         for pdf in rows:
@@ -59,25 +71,23 @@ class OrderedProcessor(StatefulProcessor):
             new.extend(zip(*cols))
         if new:
             self.buf.appendList([tuple(r) for r in new])
-            self.handle.registerTimer(min(r[0] for r in new) // 1000 + 1)
+            self._arm(min(r[0] for r in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs() * 1000
+        if self._buf_timer.exists() and self._buf_timer.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self._buf_timer.clear()
         rows = list(self.buf.get()) if self.buf.exists() else []
         due = sorted(r for r in rows if r[0] < wm)
-        out = []
-        for r in due:
-            self._expire_if_idle(r[0])
-            out.extend(self.step(key, r))
-            self._touch(r[0])
+        out = self.process_due(key, due) if due else []
         out.extend(self.on_watermark(key, wm))
         self._expire_if_idle(wm)
         if due:
             rest = [r for r in rows if r[0] >= wm]
             if rest:
                 self.buf.put(rest)
-                self.handle.registerTimer(min(r[0] for r in rest) // 1000 + 1)
+                self._arm(min(r[0] for r in rest))
             else:
                 self.buf.clear()
         if out:
@@ -113,6 +123,18 @@ class OrderedProcessor(StatefulProcessor):
             self._last.update((t_us,))
             self.handle.registerTimer((t_us + self.ttl_us) // 1000 + 1)
 
+    def process_due(self, key, due: list[tuple]) -> list[tuple]:
+        """Rows whose time the watermark has passed, in (time, id) order.
+        Row by row through ``step``; subclasses may replace it with a
+        vectorised form (a hot key then costs numpy work, not a Python call
+        per row)."""
+        out = []
+        for r in due:
+            self._expire_if_idle(r[0])
+            out.extend(self.step(key, r))
+            self._touch(r[0])
+        return out
+
     def step(self, key, row) -> list[tuple]:
         raise NotImplementedError
 
@@ -162,6 +184,31 @@ class ClickCapProcessor(OrderedProcessor):
         self.st.update((day, n, warned))
         return out
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        t, i, day = (np.asarray(c) for c in zip(*due))
+        s = self.st.get() if self.st.exists() else None
+        out = []
+        # rows are in time order, so days form runs; each run continues or resets the count
+        starts = np.flatnonzero(np.r_[True, day[1:] != day[:-1]])
+        for a, b in zip(starts, np.r_[starts[1:], len(day)]):
+            d = int(day[a])
+            n0, warned = (s[1], s[2]) if s is not None and s[0] == d else (0, False)
+            if s is None or s[0] != d:
+                self.handle.registerTimer((d + 1) * 86_400_000 + 1)
+            rank = n0 + np.arange(1, b - a + 1)
+            keep = np.flatnonzero(rank <= self.max_count + 1) + a
+            out += [("pass", int(i[j]), int(t[j]), d) for j in keep]
+            over = np.flatnonzero(rank > self.max_count + 1)
+            if not warned and len(over):
+                j = int(over[0]) + a
+                out.append(("warn", int(i[j]), int(t[j]), d))
+                warned = True
+            s = (d, int(n0 + (b - a)), warned)
+        self.st.update(s)
+        return out
+
     def on_watermark(self, key, wm_us):
         if self.st.exists():
             day = self.st.get()[0]
@@ -266,6 +313,17 @@ class JumpProcessor(OrderedProcessor):
         self.prev.update((v,))
         return [(i, t, v, p, abs(v - p) > self.limit)]
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        t, i, v = (np.asarray(c) for c in zip(*due))
+        v = v.astype(float)
+        p0 = self.prev.get()[0] if self.prev.exists() else self.first_prev
+        prev = np.concatenate([[p0], v[:-1]])
+        jumped = np.abs(v - prev) > self.limit
+        self.prev.update((float(v[-1]),))
+        return list(zip(i.tolist(), t.tolist(), v.tolist(), prev.tolist(), jumped.tolist()))
+
 
 # ---------------------------------------------------------------- STA2
 class RisingAlertProcessor(OrderedProcessor):
