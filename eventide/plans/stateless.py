@@ -106,12 +106,17 @@ def split_high_low(spark: SparkSession, sf_dir: str):
 
 
 # ---------------------------------------------------------------- RTE2, FUN6
+# Fixed value: the side-output alarm text, with the reading's id and value.
+ALARM_FORMAT = "freezing-alarm for {id},temperature is {value}"
+
+
 @register("side_output_alarm",
-          "SELECT event_id, 'low-value alarm for user ' || CAST(user_id AS VARCHAR) || ', value is ' || "
+          "SELECT event_id, 'freezing-alarm for ' || CAST(user_id AS VARCHAR) || ',temperature is ' || "
           "CAST(value AS VARCHAR) AS alarm FROM events WHERE value < 5")
 def side_output_alarm(spark: SparkSession, sf_dir: str):
-    text = F.concat(F.lit("low-value alarm for user "), F.col("user_id").cast("string"),
-                    F.lit(", value is "), F.col("value").cast("string"))
+    head, tail = ALARM_FORMAT.split("{id}")
+    mid = tail.split("{value}")[0]
+    text = F.concat(F.lit(head), F.col("user_id").cast("string"), F.lit(mid), F.col("value").cast("string"))
     _, side = side_output(events(spark, sf_dir), F.col("value") < 5, text, ["event_id"])
     return side
 

@@ -17,13 +17,16 @@ from eventide.operators.routing import route
 from eventide.sinks.bus import to_topic_frame, write_kafka
 from eventide.sinks.upsert import upsert_batch
 
+# The topics routed to the dimension sink by default.
+DIM_TOPICS = ["based", "basewebsite", "membervip"]
 
-def etl_batch(batch: DataFrame, batch_id: int, dim_topics: Sequence[str], dim_keys: Sequence[str],
+
+def etl_batch(batch: DataFrame, batch_id: int, dim_topics: Sequence[str] | None, dim_keys: Sequence[str],
               dim_order: Sequence[str], dim_root: str, fact_root: str | None = None,
               servers: str | None = None, prefix: str = "dwd") -> None:
     valid = batch.where(is_json_object(F.col("value"))).persist()
     try:
-        dim, fact = route(valid, "topic", dim_topics)
+        dim, fact = route(valid, "topic", DIM_TOPICS if dim_topics is None else dim_topics)
         upsert_batch(dim, batch_id, dim_keys, dim_order, dim_root)
         frame = to_topic_frame(fact, prefix=prefix)
         if servers:
