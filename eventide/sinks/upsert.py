@@ -7,8 +7,12 @@ directory, and is idempotent by batch id (a replayed batch whose version is
 already committed is skipped), so an executor or driver restart never loses or
 doubles an update.
 
-Layout: ``<root>/v=<batch id>/_b=<bucket>/part-*.parquet``; the snapshot of a
-bucket is its newest committed version.
+Layout: ``<root>/v=<batch id>/_b=<bucket>/part-*.parquet`` holds the buckets a
+batch rewrote; ``<root>/_manifest/v=<batch id>`` maps every bucket to the
+directory of its newest version after that batch (at most ``buckets`` rows).
+A batch is committed once its manifest is written, so reading the snapshot
+costs one listing of the manifest folder and one small read, however long the
+stream has run.
 """
 
 from __future__ import annotations
@@ -33,24 +37,22 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def _committed(spark: SparkSession, root: str) -> dict[int, str]:
-    """bucket -> path of its newest committed version (metadata listing only)."""
-    fs, path = _fs(spark, root)
+def _latest_manifest(spark: SparkSession, root: str) -> int | None:
+    fs, path = _fs(spark, f"{root}/_manifest")
     if not fs.exists(path):
+        return None
+    done = [int(st.getPath().getName()[2:]) for st in fs.listStatus(path)
+            if st.getPath().getName().startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS"))]
+    return max(done) if done else None
+
+
+def _committed(spark: SparkSession, root: str) -> dict[int, str]:
+    """bucket -> path of its newest committed version (from the latest manifest)."""
+    v = _latest_manifest(spark, root)
+    if v is None:
         return {}
-    newest: dict[int, tuple[int, str]] = {}
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if not name.startswith("v=") or not fs.exists(st.getPath().suffix("/_SUCCESS")):
-            continue
-        v = int(name[2:])
-        for b in fs.listStatus(st.getPath()):
-            bn = b.getPath().getName()
-            if bn.startswith(f"{BUCKET}="):
-                k = int(bn.split("=", 1)[1])
-                if k not in newest or newest[k][0] < v:
-                    newest[k] = (v, b.getPath().toString())
-    return {k: p for k, (_, p) in newest.items()}
+    rows = spark.read.parquet(f"{root}/_manifest/v={v}").collect()  # at most `buckets` rows
+    return {r["bucket"]: r["path"] for r in rows}
 
 
 def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -68,7 +70,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Se
                  root: str, buckets: int = 64) -> None:
     """Merge one batch into the snapshot at ``root`` (the ``foreachBatch`` body)."""
     spark = batch.sparkSession
-    fs, path = _fs(spark, f"{root}/v={batch_id}")
+    fs, path = _fs(spark, f"{root}/_manifest/v={batch_id}")
     if fs.exists(path.suffix("/_SUCCESS")):
         return  # replay of a committed batch
     cols = batch.columns
@@ -85,6 +87,11 @@ def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Se
     # one de-duplication over old snapshot rows and the raw batch together
     out = latest_per_key(merged, keys, order)
     out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/v={batch_id}")
+    # commit: the new bucket map, written after the data
+    fresh = {b: f"{root}/v={batch_id}/{BUCKET}={b}" for b in touched}
+    mapping = sorted({**current, **fresh}.items())
+    (spark.createDataFrame(mapping, "bucket int, path string").coalesce(1)
+          .write.mode("overwrite").parquet(f"{root}/_manifest/v={batch_id}"))
 
 
 def stream_upsert(df: DataFrame, keys: Sequence[str], order: Sequence[str], root: str,
