@@ -152,6 +152,18 @@ def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
         outputMode="Append", timeMode="EventTime")
 
 
+def _next_second(t: np.ndarray, kind: np.ndarray, pend: list[tuple]) -> tuple:
+    """For the open starts (pending ones first, then kind-1 rows of ``t``,
+    which is in (time, id) order): their time, id, and the time / row index of
+    the first later kind-2 row (-1 if none)."""
+    seconds = np.flatnonzero(kind == 2)
+    firsts = np.flatnonzero(kind == 1)
+    cand_pos = np.r_[np.full(len(pend), -1, dtype=np.int64), firsts]
+    k = np.searchsorted(seconds, cand_pos, side="right")
+    nxt = np.where(k < len(seconds), seconds[np.minimum(k, max(len(seconds) - 1, 0))] if len(seconds) else -1, -1)
+    return cand_pos, nxt
+
+
 # ---------------------------------------------------------------- STA1
 class ClickCapProcessor(OrderedProcessor):
     """First ``max_count + 1`` rows per key and day pass; the next raises one
@@ -251,6 +263,22 @@ class MissingFollowupProcessor(OrderedProcessor):
             self.pend.put(keep) if keep else self.pend.clear()
         return []
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        t, i, kind = (np.asarray(c) for c in zip(*due))
+        pend = self._pending()
+        cand_pos, nxt = _next_second(t, kind, pend)
+        ct = np.r_[np.array([c[0] for c in pend], dtype=np.int64), t[cand_pos[len(pend):]]]
+        ci = np.r_[np.array([c[1] for c in pend], dtype=np.int64), i[cand_pos[len(pend):]]]
+        gap = np.where(nxt >= 0, t[np.maximum(nxt, 0)] - ct, -1)
+        settled = (nxt >= 0) & ((gap <= self.within) if self.inclusive else (gap < self.within))
+        keep = list(zip(ct[~settled].tolist(), ci[~settled].tolist()))
+        self.pend.put(keep) if keep else self.pend.clear()
+        if keep:
+            self.handle.registerTimer((min(c[0] for c in keep) + self.within) // 1000 + 1)
+        return []
+
     def _expired(self, c, wm_us) -> bool:
         # every row before the watermark is processed: a deadline is final
         # once no settling row can still come (strict limit: at the deadline)
@@ -262,6 +290,8 @@ class MissingFollowupProcessor(OrderedProcessor):
         if expired:
             rest = [c for c in pend if not self._expired(c, wm_us)]
             self.pend.put(rest) if rest else self.pend.clear()
+            if rest:
+                self.handle.registerTimer((min(c[0] for c in rest) + self.within) // 1000 + 1)
         return [(c[1], c[0]) for c in sorted(expired)]
 
 
@@ -405,12 +435,32 @@ class FollowedByProcessor(OrderedProcessor):
             self.handle.registerTimer((t + self.within) // 1000 + 1)
         return out
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        t, i, kind = (np.asarray(c) for c in zip(*due))
+        pend = self._open()
+        cand_pos, nxt = _next_second(t, kind, pend)
+        ct = np.r_[np.array([c[0] for c in pend], dtype=np.int64), t[cand_pos[len(pend):]]]
+        ci = np.r_[np.array([c[1] for c in pend], dtype=np.int64), i[cand_pos[len(pend):]]]
+        gap = np.where(nxt >= 0, t[np.maximum(nxt, 0)] - ct, -1)
+        done = (nxt >= 0) & (gap < self.within)
+        out = [("success", int(a), int(b), int(i[n]), int(t[n]))
+               for a, b, n in zip(ci[done], ct[done], nxt[done])]
+        keep = list(zip(ct[~done].tolist(), ci[~done].tolist()))
+        self.open.put(keep) if keep else self.open.clear()
+        if keep:
+            self.handle.registerTimer((min(c[0] for c in keep) + self.within) // 1000 + 1)
+        return out
+
     def on_watermark(self, key, wm_us):
         pend = self._open()
         expired = [c for c in pend if c[0] + self.within <= wm_us]
         if expired:
             rest = [c for c in pend if c[0] + self.within > wm_us]
             self.open.put(rest) if rest else self.open.clear()
+            if rest:
+                self.handle.registerTimer((min(c[0] for c in rest) + self.within) // 1000 + 1)
         return [("timeout", c[1], c[0], None, None) for c in sorted(expired)]
 
 
