@@ -321,6 +321,23 @@ class ConsecutiveProcessor(OrderedProcessor):
         self.last.put(keep)
         return out
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        prev = list(self.last.get()) if self.last.exists() else []
+        rows = prev + [(r[0], r[1], bool(r[2])) for r in due]
+        t = np.array([r[0] for r in rows], dtype=np.int64)
+        ids = np.array([r[1] for r in rows], dtype=np.int64)
+        c = np.array([r[2] for r in rows], dtype=np.int64)
+        n, m = self.times, len(rows)
+        cs = np.r_[0, np.cumsum(c)]
+        j = np.arange(max(len(prev), n - 1), m)          # due rows with n-1 rows before them
+        first = j - (n - 1)
+        ok = (cs[j + 1] - cs[first] == n) & (t[j] - t[first] < self.within)
+        out = [(int(ids[a]), int(t[a]), int(ids[b]), int(t[b])) for a, b in zip(first[ok], j[ok])]
+        self.last.put([(int(t[x]), int(ids[x]), bool(c[x])) for x in range(max(0, m - (n - 1)), m)])
+        return out
+
 
 # ---------------------------------------------------------------- WIN3
 class JumpProcessor(OrderedProcessor):
@@ -487,6 +504,26 @@ class OverRowsProcessor(OrderedProcessor):
         self.last.put([(x,) for x in keep]) if keep else self.last.clear()
         return [(i, t, len(vals), sum(vals) / len(vals) if vals else None)]
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        prev = [x[0] for x in self.last.get()] if self.last.exists() else []
+        p, P = self.preceding, len(prev)
+        allv = np.array([*prev, *[r[2] for r in due]], dtype=float)
+        valid = ~np.isnan(allv)
+        cs = np.r_[0.0, np.cumsum(np.where(valid, allv, 0.0))]
+        cn = np.r_[0, np.cumsum(valid)]
+        pos = np.arange(P, len(allv))
+        start = np.maximum(pos - p, 0)
+        cnt = cn[pos + 1] - cn[start]
+        tot = cs[pos + 1] - cs[start]
+        avg = np.divide(tot, cnt, out=np.full(len(tot), np.nan), where=cnt > 0)
+        out = [(int(r[1]), int(r[0]), int(k), None if k == 0 else float(a))
+               for r, k, a in zip(due, cnt.tolist(), avg.tolist())]
+        keep = allv[-p:].tolist() if p else []
+        self.last.put([(x,) for x in keep]) if keep else self.last.clear()
+        return out
+
 
 # ---------------------------------------------------------------- PAT5
 class NextPairsProcessor(OrderedProcessor):
@@ -519,6 +556,23 @@ class NextPairsProcessor(OrderedProcessor):
         self.handle.registerTimer((t + self.within) // 1000 + 1)
         return out
 
+    def process_due(self, key, due):
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        rows = ([tuple(self.last.get())] if self.last.exists() else []) + [tuple(r) for r in due]
+        t = np.array([r[0] for r in rows], dtype=np.int64)
+        ids = np.array([r[1] for r in rows], dtype=np.int64)
+        v = np.array([r[2] for r in rows], dtype=float)
+        in_time = (t[1:] - t[:-1]) < self.within          # consecutive (start, next) pairs
+        match = np.flatnonzero(in_time & (v[1:] > v[:-1]))
+        late = np.flatnonzero(~in_time)
+        out = [("match", int(ids[a]), int(t[a]), float(v[a]), int(ids[a + 1]), int(t[a + 1]), float(v[a + 1]))
+               for a in match.tolist()]
+        out += [("timeout", int(ids[a]), int(t[a]), float(v[a]), None, None, None) for a in late.tolist()]
+        self.last.update((int(t[-1]), int(ids[-1]), float(v[-1])))
+        self.handle.registerTimer((int(t[-1]) + self.within) // 1000 + 1)
+        return out
+
     def on_watermark(self, key, wm_us):
         if self.last.exists():
             lt, li, lv = self.last.get()
