@@ -1,7 +1,5 @@
 """Fixture DataFrames built from the small CSV files in tests/data (event time in UTC wall clock)."""
 
-from pyspark.sql import functions as F
-
 from conftest import read_lines
 from eventide.functions.timefn import ntz_from_epoch
 

@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from test_streaming import batch, collect_stream, rows, source, stream_dir  # noqa: F401  (fixtures)
