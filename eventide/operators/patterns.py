@@ -160,18 +160,15 @@ def followed_by_any(df: DataFrame, key: str, ts: str, tiebreak: str, first: Colu
 
 
 # ---------------------------------------------------------------- STA2
-def rising_alert(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
-                 slice_col: Column | None = None) -> DataFrame:
-    """First alert of every rising run: a run starts at the first rise
-    (``v > prev``) after the last fall (``v < prev``; equal values neither start
-    nor cancel); it alerts at ``t0 + hold`` if the next fall comes later than
-    that or never. Output: key, ``run_start``, ``alert_ts``.
-    """
+def _rising_runs(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
+                 slice_col: Column | None) -> tuple[DataFrame, DataFrame]:
+    """(rows with segment id and rise flag, first alert of every run with its segment)."""
     ts = order[0]
     d = with_neighbours(df, [key], order, [value], 1, prefix="_p", slice_col=slice_col)
     prev = F.col("_p1")[value]
     d = (d.withColumn("_fall", F.coalesce(F.col(value) < prev, F.lit(False)).cast("long"))
-          .withColumn("_rise", F.coalesce(F.col(value) > prev, F.lit(False))))
+          .withColumn("_rise", F.coalesce(F.col(value) > prev, F.lit(False)))
+          .drop("_p1"))
     d = with_running(d, [key], order, F.col("_fall"), "sum", "_seg", slice_col=slice_col)
     # Per segment (rows between falls; a fall opens a new segment): first rise
     # and the segment's first row. Both are partial aggregates.
@@ -179,12 +176,36 @@ def rising_alert(df: DataFrame, key: str, order: Sequence[str], value: str, hold
         F.min(F.when(F.col("_rise"), F.col(ts))).alias("run_start"),
         F.min(F.col(ts)).alias("_seg_start"))
     nxt = seg.select(key, (F.col("_seg") - 1).alias("_seg"), F.col("_seg_start").alias("_next_fall"))
-    lim = duration_us(hold)
-    alert = F.timestamp_add("MICROSECOND", F.lit(lim), F.col("run_start"))
-    return (seg.where(F.col("run_start").isNotNull())
-               .join(nxt, on=[key, "_seg"], how="left")
-               .where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
-               .select(key, "run_start", alert.alias("alert_ts")))
+    alert = F.timestamp_add("MICROSECOND", F.lit(duration_us(hold)), F.col("run_start"))
+    alerts = (seg.where(F.col("run_start").isNotNull())
+                 .join(nxt, on=[key, "_seg"], how="left")
+                 .where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
+                 .select(key, "_seg", "run_start", alert.alias("alert_ts")))
+    return d, alerts
+
+
+def rising_alert(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
+                 slice_col: Column | None = None) -> DataFrame:
+    """First alert of every rising run: a run starts at the first rise
+    (``v > prev``) after the last fall (``v < prev``; equal values neither start
+    nor cancel); it alerts at ``t0 + hold`` if the next fall comes later than
+    that or never. Output: key, ``run_start``, ``alert_ts``.
+    """
+    _, alerts = _rising_runs(df, key, order, value, hold, slice_col)
+    return alerts.drop("_seg")
+
+
+def rising_alert_rows(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
+                      slice_col: Column | None = None) -> DataFrame:
+    """The rising readings behind every alert (the list the alert carries, as
+    rows): rises of the alerted run from ``run_start`` to ``alert_ts``. Rows,
+    not one list per run, so a long run of a hot key is never one value.
+    Joined on (key, segment), which spreads a hot key over its runs."""
+    ts = order[0]
+    d, alerts = _rising_runs(df, key, order, value, hold, slice_col)
+    rises = d.where(F.col("_rise")).drop("_rise", "_fall")
+    j = rises.join(alerts, on=[key, "_seg"], how="inner")
+    return j.where(F.col(ts).between(F.col("run_start"), F.col("alert_ts"))).drop("_seg")
 
 
 # ---------------------------------------------------------------- STR5

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession, functions as F
 from eventide.functions.timefn import duration_us
 from eventide.operators.patterns import (consecutive, followed_by, followed_by_any, missing_followup,
                                          next_pairs, not_followed_by, not_next, rate_cap, rising_alert,
-                                         split_late)
+                                         rising_alert_rows, split_late)
 from eventide.plans.inputs import events, seq_slice, seq_slice_size
 from eventide.plans.registry import register
 from eventide.plans.windowed import CAP_KEYS, CAP_MAX, SQL_CAP_PASSED, SQL_CAP_RANKED
@@ -51,18 +51,31 @@ def click_cap_warnings(spark: SparkSession, sf_dir: str):
 
 
 # ---------------------------------------------------------------- STA2
-@register("rising_alert",
-          "WITH p AS (SELECT user_id, ts, event_id, value, lag(value) OVER w AS pv FROM events " + W_USER + "), "
-          "s AS (SELECT *, sum(CASE WHEN value < pv THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, "
-          "event_id ROWS UNBOUNDED PRECEDING) AS seg FROM p), "
-          "g AS (SELECT user_id, seg, min(CASE WHEN value > pv THEN ts END) AS run_start, min(ts) AS seg_start "
-          "FROM s GROUP BY user_id, seg) "
-          "SELECT a.user_id, a.run_start, a.run_start + INTERVAL 5 HOUR AS alert_ts FROM g a LEFT JOIN g b "
-          "ON a.user_id = b.user_id AND b.seg = a.seg + 1 WHERE a.run_start IS NOT NULL AND "
-          "(b.seg_start IS NULL OR b.seg_start > a.run_start + INTERVAL 5 HOUR)")
+_SQL_RISE_SEGS = (
+    "WITH p AS (SELECT user_id, ts, event_id, value, lag(value) OVER w AS pv FROM events " + W_USER + "), "
+    "s AS (SELECT *, sum(CASE WHEN value < pv THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, "
+    "event_id ROWS UNBOUNDED PRECEDING) AS seg FROM p), "
+    "g AS (SELECT user_id, seg, min(CASE WHEN value > pv THEN ts END) AS run_start, min(ts) AS seg_start "
+    "FROM s GROUP BY user_id, seg), "
+    "a AS (SELECT a.user_id, a.seg, a.run_start, a.run_start + INTERVAL 5 HOUR AS alert_ts FROM g a LEFT JOIN g b "
+    "ON a.user_id = b.user_id AND b.seg = a.seg + 1 WHERE a.run_start IS NOT NULL AND "
+    "(b.seg_start IS NULL OR b.seg_start > a.run_start + INTERVAL 5 HOUR)) ")
+
+
+@register("rising_alert", _SQL_RISE_SEGS + "SELECT user_id, run_start, alert_ts FROM a")
 def rising_alert_q(spark: SparkSession, sf_dir: str):
-    return rising_alert(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", 
-                   slice_col=seq_slice(spark, sf_dir))
+    return rising_alert(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours",
+                        slice_col=seq_slice(spark, sf_dir))
+
+
+@register("rising_alert_rows",
+          _SQL_RISE_SEGS + "SELECT s.user_id, a.run_start, a.alert_ts, s.event_id, s.ts, s.value FROM s "
+          "JOIN a ON s.user_id = a.user_id AND s.seg = a.seg WHERE s.value > s.pv AND "
+          "s.ts BETWEEN a.run_start AND a.alert_ts")
+def rising_alert_rows_q(spark: SparkSession, sf_dir: str):
+    r = rising_alert_rows(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours",
+                          slice_col=seq_slice(spark, sf_dir))
+    return r.select("user_id", "run_start", "alert_ts", "event_id", "ts", "value")
 
 
 # ---------------------------------------------------------------- PAT4, STA3

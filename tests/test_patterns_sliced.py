@@ -78,3 +78,14 @@ def test_split_late_brute_force(ev):
             expect.add(r.id)
         seen = r.ts if seen is None else max(seen, r.ts)
     assert {r.id for r in late.collect()} == expect and expect
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_rising_alert_rows(ev, size):
+    from eventide.operators.patterns import rising_alert_rows
+    a = rising_alert_rows(ev, "k", ORDER, "v", "2 hours")
+    b = rising_alert_rows(ev, "k", ORDER, "v", "2 hours", slice_col=slice_id("ts", size))
+    cols = ["k", "run_start", "alert_ts", "id"]
+    assert _rows(a, cols) == _rows(b, cols) and a.count() > 0
+    # every alert carries at least its first rise
+    assert a.select("k", "run_start").distinct().count() == rising_alert(ev, "k", ORDER, "v", "2 hours").count()
