@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.functions.timefn import duration_us, slice_id
-from eventide.operators.sequence import next_where, with_neighbours, with_running
+from eventide.operators.sequence import next_where, null_safe_join, with_neighbours, with_running
 
 # Fixed value: the warning text of the click cap, with the cap inserted.
 CAP_WARNING = "Click over {n} times today."
@@ -177,8 +177,7 @@ def _rising_runs(df: DataFrame, key: str, order: Sequence[str], value: str, hold
         F.min(F.col(ts)).alias("_seg_start"))
     nxt = seg.select(key, (F.col("_seg") - 1).alias("_seg"), F.col("_seg_start").alias("_next_fall"))
     alert = F.timestamp_add("MICROSECOND", F.lit(duration_us(hold)), F.col("run_start"))
-    alerts = (seg.where(F.col("run_start").isNotNull())
-                 .join(nxt, on=[key, "_seg"], how="left")
+    alerts = (null_safe_join(seg.where(F.col("run_start").isNotNull()), nxt, [key], "left", extra=["_seg"])
                  .where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
                  .select(key, "_seg", "run_start", alert.alias("alert_ts")))
     return d, alerts
@@ -204,7 +203,7 @@ def rising_alert_rows(df: DataFrame, key: str, order: Sequence[str], value: str,
     ts = order[0]
     d, alerts = _rising_runs(df, key, order, value, hold, slice_col)
     rises = d.where(F.col("_rise")).drop("_rise", "_fall")
-    j = rises.join(alerts, on=[key, "_seg"], how="inner")
+    j = null_safe_join(rises, alerts, [key], "inner", extra=["_seg"])
     return j.where(F.col(ts).between(F.col("run_start"), F.col("alert_ts"))).drop("_seg")
 
 

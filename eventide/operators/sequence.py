@@ -215,3 +215,15 @@ def choose_slice(df: DataFrame, keys: Sequence[str], ts: str,
         if busiest_day * duration_us(c) / duration_us("1 day") <= target_rows:
             return c
     return SLICE_CANDIDATES[-1]
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+                   extra: Sequence[str] = ()) -> DataFrame:
+    """Join on ``keys`` (plus ``extra`` plain columns) where NULL keys match
+    each other, as rows of one group do in a window or aggregate. Both sides
+    get the same non-nullable surrogates (see :func:`_key_cols`), so the join
+    stays an equi-join; the right side's key columns are dropped."""
+    left, kc = _key_cols(left, keys)
+    right, _ = _key_cols(right, keys)
+    right = right.drop(*keys)
+    return left.join(right, on=[*kc, *extra], how=how).drop(*kc)

@@ -170,8 +170,10 @@ def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     it joins back on the key (AQE turns this into a broadcast when the runtime
     size is small and splits a skewed key otherwise).
     """
+    from eventide.operators.sequence import null_safe_join
+
     first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    return (df.join(first, on=list(keys), how="inner")
+    return (null_safe_join(df, first, list(keys), "inner")
               .withColumn(name, F.struct(*order) != F.col("_first"))
               .drop("_first"))
 

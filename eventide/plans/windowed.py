@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession, functions as F
 from eventide.functions.timefn import duration_us, epoch_us
 from eventide.operators.analytic import jump_flag, over_rows, running_min
 from eventide.operators.patterns import rate_cap
+from eventide.operators.sequence import null_safe_join
 from eventide.operators.topn import render_report, topn_per_group
 from eventide.operators.windows import flag_repeats, unique_visitors, window_agg, window_count
 from eventide.plans.inputs import SQL_K, events, prop_k, seq_slice
@@ -174,7 +175,7 @@ def running_min_q(spark: SparkSession, sf_dir: str):
     r = running_min(ev, "user_id", ORDER, "value", slice_col=seq_slice(spark, sf_dir))
     # The reduce keeps the first row's timestamp and zeroes it afterwards.
     first = r.groupBy("user_id").agg(F.min(F.struct(*ORDER)).alias("_f"))
-    r = r.join(first, "user_id").withColumn(
+    r = null_safe_join(r, first, ["user_id"]).withColumn(
         "ts_ms", F.when(F.struct(*ORDER) == F.col("_f"), F.floor(epoch_us("ts") / 1000)).otherwise(0).cast("long"))
     return r.select("event_id", "user_id", "ts_ms", "running_min")
 

@@ -89,3 +89,14 @@ def test_rising_alert_rows(ev, size):
     assert _rows(a, cols) == _rows(b, cols) and a.count() > 0
     # every alert carries at least its first rise
     assert a.select("k", "run_start").distinct().count() == rising_alert(ev, "k", ORDER, "v", "2 hours").count()
+
+
+def test_null_keys_are_one_group(ev):
+    """A NULL key behaves as one key, as in a window: compare with a sentinel key."""
+    from eventide.operators.windows import flag_repeats
+    filled = ev.withColumn("k", F.coalesce("k", F.lit(-99)))
+    for fn in (lambda d: rising_alert(d, "k", ORDER, "v", "2 hours"),
+               lambda d: flag_repeats(d, ["k"], ORDER).select("id", "seen_before")):
+        a = fn(ev).withColumn("k", F.coalesce("k", F.lit(-99))) if "k" in fn(ev).columns else fn(ev)
+        b = fn(filled)
+        assert _rows(a, a.columns) == _rows(b, a.columns)
