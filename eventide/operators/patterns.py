@@ -153,7 +153,7 @@ def followed_by_any(df: DataFrame, key: str, ts: str, tiebreak: str, first: Colu
     b = df.where(second).select(*keep).withColumn("_b", slice_id(ts, within))
     a = a.select(*[F.col(c).alias(f"first_{c}") if c != key else F.col(c) for c in keep], "_b")
     b = b.select(*[F.col(c).alias(f"second_{c}") if c != key else F.col(c) for c in keep], "_b")
-    j = a.join(b, on=[key, "_b"], how="inner")
+    j = null_safe_join(a, b, [key], "inner", extra=["_b"])
     after = (F.col(f"second_{ts}") > F.col(f"first_{ts}")) | (
         (F.col(f"second_{ts}") == F.col(f"first_{ts}")) & (F.col(f"second_{tiebreak}") > F.col(f"first_{tiebreak}")))
     return j.where(after & (_gap_us(F.col(f"first_{ts}"), F.col(f"second_{ts}")) < lim)).drop("_b")

@@ -95,8 +95,11 @@ def test_null_keys_are_one_group(ev):
     """A NULL key behaves as one key, as in a window: compare with a sentinel key."""
     from eventide.operators.windows import flag_repeats
     filled = ev.withColumn("k", F.coalesce("k", F.lit(-99)))
+    from eventide.operators.patterns import followed_by_any
     for fn in (lambda d: rising_alert(d, "k", ORDER, "v", "2 hours"),
-               lambda d: flag_repeats(d, ["k"], ORDER).select("id", "seen_before")):
+               lambda d: flag_repeats(d, ["k"], ORDER).select("id", "seen_before"),
+               lambda d: followed_by_any(d, "k", "ts", "id", F.col("kind") == "a", F.col("kind") == "b",
+                                         "2 hours").select("first_id", "second_id")):
         a = fn(ev).withColumn("k", F.coalesce("k", F.lit(-99))) if "k" in fn(ev).columns else fn(ev)
         b = fn(filled)
         assert _rows(a, a.columns) == _rows(b, a.columns)
