@@ -22,6 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BUCKET = "_b"
+# Snapshot buckets are sized when the snapshot is created: about this many keys
+# per bucket (one bucket's rewrite is one task), between 1 and MAX_BUCKETS.
+KEYS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 4096
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -46,13 +50,17 @@ def _latest_manifest(spark: SparkSession, root: str) -> int | None:
     return max(done) if done else None
 
 
-def _committed(spark: SparkSession, root: str) -> dict[int, str]:
-    """bucket -> path of its newest committed version (from the latest manifest)."""
+def _manifest(spark: SparkSession, root: str) -> tuple[dict[int, str], int | None]:
+    """(bucket -> path of its newest committed version, bucket count) from the latest manifest."""
     v = _latest_manifest(spark, root)
     if v is None:
-        return {}
+        return {}, None
     rows = spark.read.parquet(f"{root}/_manifest/v={v}").collect()  # at most `buckets` rows
-    return {r["bucket"]: r["path"] for r in rows}
+    return {r["bucket"]: r["path"] for r in rows}, (rows[0]["buckets"] if rows else None)
+
+
+def _committed(spark: SparkSession, root: str) -> dict[int, str]:
+    return _manifest(spark, root)[0]
 
 
 def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -67,18 +75,27 @@ def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame | No
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[str],
-                 root: str, buckets: int = 64) -> None:
-    """Merge one batch into the snapshot at ``root`` (the ``foreachBatch`` body)."""
+                 root: str, buckets: int | None = None) -> None:
+    """Merge one batch into the snapshot at ``root`` (the ``foreachBatch`` body).
+
+    ``buckets`` fixes the bucket count of a new snapshot; by default it is
+    sized from the first batch (``approx_count_distinct`` of the keys). An
+    existing snapshot keeps the count its manifest records."""
     spark = batch.sparkSession
     fs, path = _fs(spark, f"{root}/_manifest/v={batch_id}")
     if fs.exists(path.suffix("/_SUCCESS")):
         return  # replay of a committed batch
     cols = batch.columns
+    current, recorded = _manifest(spark, root)
+    if recorded is not None:
+        buckets = recorded
+    elif buckets is None:
+        est = batch.agg(F.approx_count_distinct(F.struct(*keys))).first()[0] or 0
+        buckets = int(min(MAX_BUCKETS, max(1, -(-est // KEYS_PER_BUCKET))))
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     new = batch.withColumn(BUCKET, bucket)
     # at most `buckets` values: a hash aggregate over the key columns only
     touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-    current = _committed(spark, root)
     old_paths = [current[b] for b in touched if b in current]
     merged = new
     if old_paths:
@@ -89,13 +106,13 @@ def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Se
     out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/v={batch_id}")
     # commit: the new bucket map, written after the data
     fresh = {b: f"{root}/v={batch_id}/{BUCKET}={b}" for b in touched}
-    mapping = sorted({**current, **fresh}.items())
-    (spark.createDataFrame(mapping, "bucket int, path string").coalesce(1)
+    mapping = [(b, p, buckets) for b, p in sorted({**current, **fresh}.items())]
+    (spark.createDataFrame(mapping, "bucket int, path string, buckets int").coalesce(1)
           .write.mode("overwrite").parquet(f"{root}/_manifest/v={batch_id}"))
 
 
 def stream_upsert(df: DataFrame, keys: Sequence[str], order: Sequence[str], root: str,
-                  checkpoint: str, buckets: int = 64, trigger: dict | None = None):
+                  checkpoint: str, buckets: int | None = None, trigger: dict | None = None):
     """Start a streaming query that upserts every micro-batch into ``root``."""
     w = (df.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda b, i: upsert_batch(b, i, keys, order, root, buckets)))
