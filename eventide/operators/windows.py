@@ -163,17 +163,16 @@ def unique_visitors(df: DataFrame, ts: str, user: str, size: str, slide: str | N
 
 
 def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 name: str = "seen_before") -> DataFrame:
-    """Flag every row whose key already occurred earlier in ``order`` (AGG13).
+                 name: str = "seen_before", slice_col: Column | None = None) -> DataFrame:
+    """Flag every row whose key already occurred earlier in ``order`` (AGG13):
+    the running count of earlier rows of the key is positive.
 
-    The first occurrence per key is a partial-aggregated ``min(struct(order))``;
-    it joins back on the key (AQE turns this into a broadcast when the runtime
-    size is small and splits a skewed key otherwise).
+    Through :func:`eventide.operators.sequence.with_running`: one window per
+    key while keys fit in a task, per (key, time slice) with a carried count
+    when ``slice_col`` is given (a hot key is spread over its slices).
     """
-    from eventide.operators.sequence import null_safe_join
-
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    return (null_safe_join(df, first, list(keys), "inner")
-              .withColumn(name, F.struct(*order) != F.col("_first"))
-              .drop("_first"))
+    from eventide.operators.sequence import with_running
 
+    d = with_running(df, list(keys), list(order), F.lit(1), "count", "_n_before",
+                     include_current=False, slice_col=slice_col)
+    return d.withColumn(name, F.col("_n_before") > 0).drop("_n_before")

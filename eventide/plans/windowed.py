@@ -198,7 +198,9 @@ def unique_visitors_q(spark: SparkSession, sf_dir: str):
           "FROM events")
 def flag_repeats_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", F.to_date("ts").alias("day"))
-    r = flag_repeats(ev, ["user_id", "event_type", "day"], ORDER)
+    # density of (user, type) bounds that of (user, type, day)
+    r = flag_repeats(ev, ["user_id", "event_type", "day"], ORDER,
+                     slice_col=seq_slice(spark, sf_dir, ("user_id", "event_type")))
     return r.select("event_id", "user_id", "event_type", "day", "seen_before")
 
 

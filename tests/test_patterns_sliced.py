@@ -103,3 +103,13 @@ def test_null_keys_are_one_group(ev):
         a = fn(ev).withColumn("k", F.coalesce("k", F.lit(-99))) if "k" in fn(ev).columns else fn(ev)
         b = fn(filled)
         assert _rows(a, a.columns) == _rows(b, a.columns)
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_flag_repeats_sliced(ev, size):
+    from eventide.operators.windows import flag_repeats
+    a = flag_repeats(ev, ["k", "kind"], ORDER)
+    b = flag_repeats(ev, ["k", "kind"], ORDER, slice_col=slice_id("ts", size))
+    assert _rows(a, ["id", "seen_before"]) == _rows(b, ["id", "seen_before"])
+    firsts = {(r.k, r.kind) for r in ev.select("k", "kind").distinct().collect()}
+    assert a.where(~F.col("seen_before")).count() == len(firsts)
