@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession, functions as F
 from eventide.functions.timefn import duration_us, epoch_us
 from eventide.operators.analytic import jump_flag, over_rows, running_min
 from eventide.operators.patterns import rate_cap
-from eventide.operators.sequence import null_safe_join
+from eventide.operators.sequence import with_running
 from eventide.operators.topn import render_report, topn_per_group
 from eventide.operators.windows import flag_repeats, unique_visitors, window_agg, window_count
 from eventide.plans.inputs import SQL_K, events, prop_k, seq_slice
@@ -172,11 +172,13 @@ def sliding_min(spark: SparkSession, sf_dir: str):
           "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def running_min_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    r = running_min(ev, "user_id", ORDER, "value", slice_col=seq_slice(spark, sf_dir))
-    # The reduce keeps the first row's timestamp and zeroes it afterwards.
-    first = r.groupBy("user_id").agg(F.min(F.struct(*ORDER)).alias("_f"))
-    r = null_safe_join(r, first, ["user_id"]).withColumn(
-        "ts_ms", F.when(F.struct(*ORDER) == F.col("_f"), F.floor(epoch_us("ts") / 1000)).otherwise(0).cast("long"))
+    sl = seq_slice(spark, sf_dir)
+    r = running_min(ev, "user_id", ORDER, "value", slice_col=sl)
+    # The reduce keeps the first row's timestamp and zeroes it afterwards:
+    # the first row is the one with no earlier row of its key.
+    r = with_running(r, ["user_id"], ORDER, F.lit(1), "count", "_before", include_current=False, slice_col=sl)
+    r = r.withColumn("ts_ms", F.when(F.col("_before") == 0, F.floor(epoch_us("ts") / 1000)).otherwise(0)
+                     .cast("long"))
     return r.select("event_id", "user_id", "ts_ms", "running_min")
 
 
