@@ -76,15 +76,10 @@ def test_stream_window_join_and_ttl(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     ev.write.parquet(src)
     s = with_event_time(spark.readStream.schema(ev.schema).parquet(src), "ts", delay="1 hour")
-    hi = s.where(F.col("value") > 10).select("user_id", F.col("event_id").alias("l_id"), F.col("event_time").alias("lt"),
-                                             F.window("event_time", "1 hour").start.alias("lw"))
-    lo = s.where(F.col("value") <= 10).select(F.col("user_id").alias("ru"), F.col("event_id").alias("r_id"),
-                                               F.col("event_time").alias("rt"),
-                                               F.window("event_time", "1 hour").start.alias("rw"))
-    cond = (F.col("user_id") == F.col("ru")) & (F.col("lw") == F.col("rw"))
-    # a stream-stream inner join needs time bounds on both sides: same window = within one hour
-    bound = F.col("rt").between(F.col("lt") - F.expr("INTERVAL 1 HOUR"), F.col("lt") + F.expr("INTERVAL 1 HOUR"))
-    got = collect_stream(spark, hi.join(lo, cond & bound, "inner"))
+    from eventide.streaming.joins import stream_window_join
+    j = stream_window_join(s.where(F.col("value") > 10), s.where(F.col("value") <= 10), "user_id", "event_time",
+                           "1 hour", ["event_id"], ["event_id"])
+    got = collect_stream(spark, j.select(F.col("l_event_id").alias("l_id"), F.col("r_event_id").alias("r_id")))
     want = window_join(ev.where(F.col("value") > 10), ev.where(F.col("value") <= 10), "user_id", "ts", "1 hour",
                        "inner", ["event_id"], ["event_id"])
     assert sorted((r.l_id, r.r_id) for r in got.collect()) == \

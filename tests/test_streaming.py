@@ -120,15 +120,12 @@ def test_unique_visitors(spark, stream_dir, batch):
 
 
 def test_interval_join_full_outer(spark, stream_dir, batch):
-    tol = duration_us("1 hour") // 1_000_000
+    from eventide.streaming.joins import stream_interval_match
     ev = source(spark, stream_dir, batch)
-    pay = ev.where(F.col("event_type") == "purchase").select(
-        F.col("user_id").alias("l_user"), F.col("event_id").alias("l_event_id"), F.col("event_time").alias("l_t"))
-    clk = ev.where(F.col("event_type") == "click").select(
-        F.col("user_id").alias("r_user"), F.col("event_id").alias("r_event_id"), F.col("event_time").alias("r_t"))
-    cond = (F.col("l_user") == F.col("r_user")) & F.col("r_t").between(
-        F.col("l_t") - F.expr(f"INTERVAL {tol} SECONDS"), F.col("l_t") + F.expr(f"INTERVAL {tol} SECONDS"))
-    got = collect_stream(spark, pay.join(clk, cond, "full_outer")) \
+    pay = ev.where(F.col("event_type") == "purchase")
+    clk = ev.where(F.col("event_type") == "click")
+    j = stream_interval_match(pay, clk, "user_id", "event_time", "event_time", "1 hour", ["event_id"], ["event_id"])
+    got = collect_stream(spark, j) \
         .where("coalesce(l_event_id, 0) < 1000000000 AND coalesce(r_event_id, 0) < 1000000000")
     b = batch.select("event_id", "ts", "user_id", "event_type")
     m, lo, ro = interval_match(b.where(F.col("event_type") == "purchase"), b.where(F.col("event_type") == "click"),
