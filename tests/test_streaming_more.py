@@ -154,3 +154,22 @@ def test_stream_flag_first_keeps_one_row_per_key(spark, stream_dir, batch):
     firsts = flag_repeats(b, ["user_id", "event_type", "day"], ORDER).where(~F.col("seen_before"))
     assert got.count() == firsts.count()
     assert rows(got, ["user_id", "event_type", "day"]) == rows(firsts, ["user_id", "event_type", "day"])
+
+
+def test_late_split_with_arrival_column(spark, batch):
+    """Inside a batch, rows that arrived earlier count too (arrival column given)."""
+    from eventide.streaming.late import split_late_batch
+    root = scratch_path(spark, "late-arrival")
+    d = batch.withColumn("arrival", F.timestamp_add("HOUR", F.col("event_id") % 5, F.col("ts")))
+    first = d.where(F.col("event_id") < 500)
+    second = d.where(F.col("event_id") >= 500)
+    _, late0 = split_late_batch(first, 0, "ts", "2 hours", root, ["arrival", "event_id"])
+    _, late1 = split_late_batch(second, 1, "ts", "2 hours", root, ["arrival", "event_id"])
+    got = {r.event_id for r in late0.collect()} | {r.event_id for r in late1.collect()}
+    expect, seen = set(), None
+    for part in (first, second):
+        for r in sorted(part.collect(), key=lambda r: (r.arrival, r.event_id)):
+            if seen is not None and (seen - r.ts).total_seconds() > 2 * 3600:
+                expect.add(r.event_id)
+            seen = r.ts if seen is None else max(seen, r.ts)
+    assert got == expect and expect
