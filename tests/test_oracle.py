@@ -2,8 +2,12 @@
 
 import pytest
 
+import oracle_util
 from conftest import SF001, SF01
 from oracle_util import compare, duck
+
+# compare doubles exactly, as a value hash does
+oracle_util.STRICT = True
 from eventide.plans import ORACLES, QUERIES
 
 
