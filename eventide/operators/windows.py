@@ -22,10 +22,24 @@ Agg = tuple[str, str, str]
 PANE_MIN_OVERLAP = 8
 # From this overlap on, counts use the change-point plan (no copies at all).
 # Measured at sf0.1 / local[8], pane vs change points: overlap 12: 0.35 vs
-# 0.56 s; 60: 1.6 vs 0.85; 120: 2.4 vs 1.05; 720: 24 vs 1.3.
+# 0.56 s; 60: 1.6 vs 0.85; 120: 2.4 vs 1.05; 720: 24 vs 1.3. The pane plan
+# shuffles ~overlap copies per (key, pane), the change-point plan ~2 rows, so
+# on large dense inputs the change points win much earlier: both thresholds
+# can be set per session (see _threshold).
 DELTA_MIN_OVERLAP = 24
 
 
+def _threshold(name: str, default: int) -> int:
+    """Session override: ``spark.conf.set('eventide.window.<name>', n)``."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return default
+    v = spark.conf.get(f"eventide.window.{name}", None)
+    return int(v) if v else default
+
+
 def _plain_agg(fn: str, col: str) -> Column:
     c = F.lit(1) if col == "*" else F.col(col)
     return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}[fn](c)
@@ -61,7 +75,7 @@ def window_agg(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     slide_us = duration_us(slide) if slide else size_us
     overlap = size_us // slide_us
     if plan == "auto":
-        plan = "pane" if overlap >= PANE_MIN_OVERLAP else "plain"
+        plan = "pane" if overlap >= _threshold("paneMinOverlap", PANE_MIN_OVERLAP) else "plain"
     if plan == "pane" and (size_us % slide_us or overlap == 1):
         plan = "plain"
 
@@ -94,7 +108,8 @@ def window_count(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     slide_us = duration_us(slide) if slide else size_us
     overlap = size_us // slide_us
     if plan == "auto":
-        plan = "delta" if overlap >= DELTA_MIN_OVERLAP and size_us % slide_us == 0 else "auto"
+        delta_min = _threshold("deltaMinOverlap", DELTA_MIN_OVERLAP)
+        plan = "delta" if overlap >= delta_min and size_us % slide_us == 0 else "auto"
     if plan == "delta" and overlap > 1 and size_us % slide_us == 0:
         return _delta_count(df, keys, ts, size_us, slide_us, name)
     return window_agg(df, keys, ts, size, slide, [(name, "count", "*")], "auto" if plan == "delta" else plan)

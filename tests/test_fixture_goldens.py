@@ -187,3 +187,16 @@ def test_empty_input(spark):
     empty = sensors(spark).limit(0)
     assert window_count(empty, ["id"], "ts", "10 seconds").count() == 0
     assert over_rows(empty, "id", ["ts", "line"], "temperature", 2, slice_col=slice_id("ts", "1 hour")).count() == 0
+
+
+def test_window_plan_thresholds_from_session(spark):
+    from eventide.operators import windows as W
+    clicks = ad_clicks(spark)
+    a = window_count(clicks, ["province"], "ts", "10 minutes", "1 minute")   # overlap 10: pane
+    spark.conf.set("eventide.window.deltaMinOverlap", "4")
+    try:
+        assert W._threshold("deltaMinOverlap", 24) == 4
+        b = window_count(clicks, ["province"], "ts", "10 minutes", "1 minute")  # now change points
+        assert sorted(a.collect()) == sorted(b.collect())
+    finally:
+        spark.conf.unset("eventide.window.deltaMinOverlap")
