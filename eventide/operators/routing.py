@@ -35,6 +35,11 @@ def side_output(df: DataFrame, cond: Column, side_expr: Column, side_cols: Seque
     return df, df.where(cond).select(*side_cols, side_expr.alias(name))
 
 
+def route_label(col: str, dim_values: Sequence[str], dim: str = "dim", fact: str = "fact") -> Column:
+    """The branch of :func:`route` as a column: one scan labels every row."""
+    return F.when(F.col(col).isin(list(dim_values)), F.lit(dim)).otherwise(F.lit(fact))
+
+
 def route(df: DataFrame, col: str, dim_values: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Dimension rows (``col`` in ``dim_values``) and fact rows (the rest) (RTE3)."""
     is_dim = F.col(col).isin(list(dim_values))

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from eventide.functions.jsonfn import json_objects_only
 from eventide.functions.strings import java_string_hash, register_string_hash
-from eventide.operators.routing import connect_map, route, side_output, split
+from eventide.operators.routing import branch_label, connect_map, route, route_label, side_output
 from eventide.plans.inputs import SQL_K, events, prop_k
 from eventide.session import scratch_path
 from eventide.sinks.bus import to_topic_frame
@@ -101,8 +101,9 @@ def filter_threshold(spark: SparkSession, sf_dir: str):
 @register("split_high_low",
           "SELECT event_id, value, CASE WHEN value > 40 THEN 'high' ELSE 'low' END AS branch FROM events")
 def split_high_low(spark: SparkSession, sf_dir: str):
-    parts = split(events(spark, sf_dir).select("event_id", "value"), {"high": F.col("value") > 40}, "low")
-    return parts["high"].unionByName(parts["low"])
+    # the labelled stream in one scan; `split` gives the per-branch views of it
+    return events(spark, sf_dir).select("event_id", "value",
+                                        branch_label({"high": F.col("value") > 40}, "low").alias("branch"))
 
 
 # ---------------------------------------------------------------- RTE2, FUN6
@@ -130,8 +131,7 @@ DIM_TOPICS = ["signup", "error"]
           "ELSE 'fact' END AS route FROM events")
 def route_dim_fact(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", F.col("event_type").alias("topic"))
-    dim, fact = route(ev, "topic", DIM_TOPICS)
-    return dim.withColumn("route", F.lit("dim")).unionByName(fact.withColumn("route", F.lit("fact")))
+    return ev.withColumn("route", route_label("topic", DIM_TOPICS))
 
 
 # ---------------------------------------------------------------- SNK3, FUN9
