@@ -62,3 +62,20 @@ def test_hot_key_plan_matches_oracle(spark, con, name, budget, monkeypatch):
     assert size is not None and (budget > 2 or size != "1 day")
     r = compare(spark, name, SF01, con)
     assert r["values_match"], r
+
+
+WINDOW_QUERIES = ["sliding_count", "hot_items_topn", "marketing_counts", "url_topn", "geo_click_counts"]
+
+
+@pytest.mark.parametrize("plan,pane_min,delta_min", [("plain", 10**6, 10**6), ("pane", 2, 10**6),
+                                                     ("delta", 2, 2)])
+@pytest.mark.parametrize("name", WINDOW_QUERIES)
+def test_window_plans_match_oracle(spark, con, name, plan, pane_min, delta_min):
+    spark.conf.set("eventide.window.paneMinOverlap", str(pane_min))
+    spark.conf.set("eventide.window.deltaMinOverlap", str(delta_min))
+    try:
+        r = compare(spark, name, SF01, con)
+    finally:
+        spark.conf.unset("eventide.window.paneMinOverlap")
+        spark.conf.unset("eventide.window.deltaMinOverlap")
+    assert r["values_match"], (plan, r)
