@@ -152,16 +152,17 @@ def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
         outputMode="Append", timeMode="EventTime")
 
 
-def _next_second(t: np.ndarray, kind: np.ndarray, pend: list[tuple]) -> tuple:
-    """For the open starts (pending ones first, then kind-1 rows of ``t``,
-    which is in (time, id) order): their time, id, and the time / row index of
-    the first later kind-2 row (-1 if none)."""
+def _next_second(t: np.ndarray, kind: np.ndarray, pend: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Open starts are the ``pend`` rows (earlier than every due row) followed
+    by the kind-1 due rows. Returns their due-row positions (-1 for pending
+    ones) and, for each, the position of the first later kind-2 due row (-1 if
+    none). Due rows are in (time, id) order."""
     seconds = np.flatnonzero(kind == 2)
-    firsts = np.flatnonzero(kind == 1)
-    cand_pos = np.r_[np.full(len(pend), -1, dtype=np.int64), firsts]
+    cand_pos = np.r_[np.full(len(pend), -1, dtype=np.int64), np.flatnonzero(kind == 1)]
+    if not len(seconds):
+        return cand_pos, np.full(len(cand_pos), -1, dtype=np.int64)
     k = np.searchsorted(seconds, cand_pos, side="right")
-    nxt = np.where(k < len(seconds), seconds[np.minimum(k, max(len(seconds) - 1, 0))] if len(seconds) else -1, -1)
-    return cand_pos, nxt
+    return cand_pos, np.where(k < len(seconds), seconds[np.minimum(k, len(seconds) - 1)], -1)
 
 
 # ---------------------------------------------------------------- STA1
