@@ -36,16 +36,20 @@ def register_csv_table(spark: SparkSession, name: str, path: str, schema: Struct
     return df
 
 
-def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
+def parse_access_log(lines: DataFrame, col: str = "value", tz: str = "UTC") -> DataFrame:
     """Split space-separated access-log lines: fields 0 ip, 2 user, 3 time
-    ``dd/MM/yyyy:HH:mm:ss``, 5 method, 6 url (SRC3, FUN1, FUN3)."""
+    ``dd/MM/yyyy:HH:mm:ss``, 5 method, 6 url (SRC3, FUN1, FUN3). The time is a
+    wall clock in ``tz``; ``event_time`` is the same instant as a UTC wall
+    clock (TIMESTAMP_NTZ)."""
     parts = F.split(F.trim(F.col(col)), " ")
+    local = parse_dmy_time(parts.getItem(3))
+    when = local if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
     return (lines.where(F.length(F.trim(F.col(col))) > 0)
                  .select(parts.getItem(0).alias("ip"), parts.getItem(2).alias("user_id"),
-                         parse_dmy_time(parts.getItem(3)).alias("event_time"),
+                         when.alias("event_time"),
                          parts.getItem(5).alias("method"), parts.getItem(6).alias("url")))
 
 
-def scan_access_log(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def scan_access_log(spark: SparkSession, path: str, streaming: bool = False, tz: str = "UTC") -> DataFrame:
     r = spark.readStream if streaming else spark.read
-    return parse_access_log(r.text(path))
+    return parse_access_log(r.text(path), tz=tz)

@@ -39,6 +39,9 @@ def test_access_log_fields(spark):
     assert len(r) == 1
     assert (r[0].ip, r[0].user_id, r[0].method, r[0].url) == ("83.149.9.216", "1035", "GET", "/presentations/")
     assert str(r[0].event_time) == "2015-05-17 10:05:03"
+    # a log written in Beijing time: 10:05 local is 02:05 UTC
+    r8 = parse_access_log(lines, tz="Asia/Shanghai").first()
+    assert str(r8.event_time) == "2015-05-17 02:05:03"
 
 
 def test_catalog_database_and_table(spark):
