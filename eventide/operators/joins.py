@@ -32,11 +32,12 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
 def interval_match(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
                    tolerance: str | None, left_cols: Sequence[str] = (),
                    right_cols: Sequence[str] = (), lp: str = "l_",
-                   rp: str = "r_") -> tuple[DataFrame, DataFrame, DataFrame]:
+                   rp: str = "r_", unified: bool = False):
     """Match left and right rows on ``key`` with ``|rts - lts| <= tolerance``.
 
     Returns (matched pairs, left rows without partner, right rows without
-    partner). A range condition on a key alone would compare every pair of a
+    partner), or with ``unified=True`` one DataFrame with NULLs on the missing
+    side (JON5). A range condition on a key alone would compare every pair of a
     hot key, so the range is bucketed: the side that probes is copied into the
     three buckets of length ``tolerance`` around it, the other side sits in
     one bucket, and the join is an equi-join on (key, bucket). ``tolerance=None``
@@ -47,6 +48,8 @@ def interval_match(left: DataFrame, right: DataFrame, key: str, lts: str, rts: s
     lt, rt = f"{lp}{lts}", f"{rp}{rts}"
     if tolerance is None:
         j = l.join(r, on=[key], how="full")
+        if unified:
+            return j
         return (j.where(F.col(lt).isNotNull() & F.col(rt).isNotNull()),
                 j.where(F.col(rt).isNull()).select(*l.columns),
                 j.where(F.col(lt).isNull()).select(*r.columns))
@@ -71,6 +74,8 @@ def interval_match(left: DataFrame, right: DataFrame, key: str, lts: str, rts: s
     matched = one(l, lt).join(three(r, rt), on=[key, "_b"], how="inner").where(within()).drop("_b")
     left_only = anti(one(l, lt), three(r, rt))
     right_only = anti(one(r, rt), three(l, lt))
+    if unified:
+        return unify(matched, left_only, right_only)
     return matched, left_only, right_only
 
 

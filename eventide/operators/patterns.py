@@ -107,16 +107,20 @@ def next_row(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
 
 
 def next_pairs(df: DataFrame, key: str, order: Sequence[str], value: str, within: str,
-               slice_col: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Any row followed *immediately* by a row with a greater ``value`` within
-    ``within`` -> (completed pairs, timed-out starts). A start times out when no
-    next row arrives within the time; a next row that is not greater just ends
-    the partial match."""
+               slice_col: Column | None = None, cond=None,
+               cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Any row followed *immediately* by a row satisfying ``cond`` within
+    ``within`` -> (completed pairs, timed-out starts). ``cond(nxt)`` gets the
+    next row as struct column ``nxt`` (fields: order, ``value``, ``cols``) and
+    may compare it with the current row's columns; the default is "``value``
+    is greater". A start times out when no next row arrives within the time; a
+    next row that fails ``cond`` just ends the partial match."""
     ts = order[0]
-    d = next_row(df, key, order, [value], slice_col)
+    d = next_row(df, key, order, [value, *cols], slice_col)
     gap = _gap_us(F.col(ts), F.col("nxt")[ts])
     in_time = F.col("nxt").isNotNull() & (gap < duration_us(within))
-    pairs = d.where(in_time & (F.col("nxt")[value] > F.col(value)))
+    test = cond(F.col("nxt")) if cond is not None else F.col("nxt")[value] > F.col(value)
+    pairs = d.where(in_time & test)
     timeouts = d.where(~F.coalesce(in_time, F.lit(False))).drop("nxt")
     return pairs, timeouts
 

@@ -18,6 +18,12 @@ def topn_per_group(df: DataFrame, group: Sequence[str], n: int, score: str,
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
+def topn_per_window(counts: DataFrame, n: int, count: str = "cnt", tiebreak: Sequence[str] = (),
+                    window: str = "window_end", rank: str = "rank") -> DataFrame:
+    """TOP1/TOP2 on the output of a window count: the ``n`` largest per window end."""
+    return topn_per_group(counts, [window], n, count, tiebreak, rank)
+
+
 def render_report(top: DataFrame, group: str, rank: str, label: str, item: str, score: str,
                   name: str = "report") -> DataFrame:
     """One text block per group: a time line, then ``No<rank>: <label>=<item> count=<score>``.

@@ -35,6 +35,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+# the batch form under its inventory name (SNK4)
+upsert_latest = latest_per_key
+
+
 def _fs(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)

@@ -200,3 +200,16 @@ def test_window_plan_thresholds_from_session(spark):
         assert sorted(a.collect()) == sorted(b.collect())
     finally:
         spark.conf.unset("eventide.window.deltaMinOverlap")
+
+
+def test_api_forms(spark):
+    from eventide.operators.patterns import next_pairs
+    from eventide.operators.topn import topn_per_window
+    m = interval_match(_pays(spark), receipts(spark), "tx_id", "ts", "ts", "5 seconds", unified=True)
+    assert m.count() == 5 + 35 + 35
+    # a custom cross-row condition: next reading cooler by more than 20
+    pairs, _ = next_pairs(sensors(spark), "id", ["ts", "line"], "temperature", "5 seconds",
+                          cond=lambda nxt: nxt["temperature"] < F.col("temperature") - 20)
+    assert sorted(r.line for r in pairs.collect()) == [3, 4, 9]
+    top = topn_per_window(window_count(ad_clicks(spark), ["province"], "ts", "1 hour"), 1, "cnt", ["province"])
+    assert {r.province for r in top.collect()} == {"beijing"}
