@@ -51,11 +51,13 @@ def rate_cap(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
 # ---------------------------------------------------------------- PAT1, PAT2
 def consecutive(df: DataFrame, key: str, order: Sequence[str], cond: Column, times: int = 2,
                 within: str | None = None, cols: Sequence[str] = (),
-                slice_col: Column | None = None) -> DataFrame:
+                slice_col: Column | None = None, emit: str = "last") -> DataFrame:
     """``times`` rows in a row (strict contiguity within the key) that all satisfy
     ``cond``, the last within ``within`` of the first. Overlapping matches are
     all emitted. Returns the matching last rows with struct columns
-    ``prev1 .. prev{times-1}`` (order + cols of the earlier rows)."""
+    ``prev1 .. prev{times-1}`` (order + cols of the earlier rows);
+    ``emit='list'`` adds ``events``, the matched rows in order (bounded by
+    ``times``)."""
     ts = order[0]
     fields = list(dict.fromkeys([*order, *cols, "_c"]))
     d = df.withColumn("_c", cond)
@@ -68,6 +70,9 @@ def consecutive(df: DataFrame, key: str, order: Sequence[str], cond: Column, tim
     out = d.where(m)
     for i in range(1, times):
         out = out.withColumn(f"prev{i}", F.col(f"prev{i}").dropFields("_c"))
+    if emit == "list":
+        this = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *cols])])
+        out = out.withColumn("events", F.array(*[F.col(f"prev{i}") for i in range(times - 1, 0, -1)], this))
     return out.drop("_c")
 
 

@@ -173,3 +173,18 @@ def test_late_split_with_arrival_column(spark, batch):
                 expect.add(r.event_id)
             seen = r.ts if seen is None else max(seen, r.ts)
     assert got == expect and expect
+
+
+def test_rule_wrappers_match_batch(spark, stream_dir, batch):
+    from eventide.operators.patterns import consecutive, rate_cap
+    from eventide.streaming.rules import stream_consecutive, stream_rate_cap
+    ev = source(spark, stream_dir, batch)
+    cap = collect_stream(spark, stream_rate_cap(ev, ["user_id", "event_type"], "event_time", "event_id", 0))
+    passed, _ = rate_cap(batch, ["user_id", "event_type"], "ts", ORDER, 0)
+    assert rows(cap.where("output = 'pass' AND user_id >= 0"), ["event_id"]) == rows(passed, ["event_id"])
+    ev2 = source(spark, stream_dir, batch)
+    runs = collect_stream(spark, stream_consecutive(ev2, "user_id", "event_time", "event_id",
+                                                    F.col("event_type") == "error", 3, "1 day"))
+    want = consecutive(batch, "user_id", ORDER, F.col("event_type") == "error", 3, "1 day", emit="list")
+    assert rows(runs, ["event_id"]) == rows(want, ["event_id"])
+    assert all(len(r.events) == 3 for r in want.collect())
