@@ -75,3 +75,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = shared_dir(spark)
     spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
     return spark.sparkContext.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventide`` code usable in the Python workers without installing
+    it there: PySpark's cloudpickle serialises this package's classes and
+    functions *by value* (the stream state processors are classes that would
+    otherwise be pickled by reference and imported on the worker). On a
+    cluster ``--py-files`` or an installed package works as well."""
+    from pyspark import cloudpickle
+
+    import eventide
+
+    key = "by-value"
+    if key not in _SHIPPED:
+        cloudpickle.register_pickle_by_value(eventide)
+        _SHIPPED.add(key)

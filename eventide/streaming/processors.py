@@ -145,6 +145,15 @@ class OrderedProcessor(StatefulProcessor):
 def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                 payload: Sequence[Column], processor: OrderedProcessor) -> DataFrame:
     """Group a watermarked stream by ``keys`` and run ``processor`` on it (append mode)."""
+    from eventide.session import ship_package
+
+    spark = df.sparkSession
+    ship_package(spark)
+    # state with several column families needs the RocksDB provider (it also
+    # serves every other stateful operator); set it if the session has another
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     inp = df.select(*keys, F.unix_micros(F.col(ts)).alias("ev_t"), F.col(tiebreak).cast("long").alias("ev_id"),
                     *payload)
     return inp.groupBy(*keys).transformWithStateInPandas(
