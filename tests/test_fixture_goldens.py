@@ -214,3 +214,22 @@ def test_api_forms(spark):
     top = topn_per_window(window_count(ad_clicks(spark), ["province"], "ts", "1 hour"), 1, "cnt", ["province"])
     got = sorted((r.window_end.hour, r.province, r.cnt) for r in top.collect())
     assert got == [(2, "guangdong", 5), (3, "beijing", 121)]
+
+
+@pytest.mark.parametrize("fn", ["avg", "min", "max", "sum"])
+def test_sliding_pane_aggregates_equal_plain(spark, fn):
+    clicks = ad_clicks(spark).withColumn("v", (F.col("ad_id") % 97).cast("double"))
+    aggs = [("x", fn, "v")]
+    a = window_agg(clicks, ["province"], "ts", "10 minutes", "1 minute", aggs, plan="plain")
+    b = window_agg(clicks, ["province"], "ts", "10 minutes", "1 minute", aggs, plan="pane")
+    r = lambda d: sorted((x.window_end, x.province, round(x.x, 9)) for x in d.collect())
+    assert r(a) == r(b) and a.count() > 0
+
+
+def test_unique_visitors_approximate(spark):
+    from eventide.operators.windows import unique_visitors
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").where(F.col("event_type") == "view")
+    exact = {x.window_end: x.uv for x in unique_visitors(ev, "ts", "user_id", "1 day").collect()}
+    approx = {x.window_end: x.uv for x in unique_visitors(ev, "ts", "user_id", "1 day", exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.1 * exact[k]) for k in exact)
