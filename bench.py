@@ -23,7 +23,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(f"local[{cpus}]", cpus, app="eventide-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(f"local[{cpus}]", parts, app="eventide-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     from eventide.plans import QUERIES
 
