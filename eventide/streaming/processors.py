@@ -420,6 +420,58 @@ class RisingAlertProcessor(OrderedProcessor):
         self.st.update((v, alert, start, done))
         return out
 
+    def process_due(self, key, due):
+        """The row rules above, jumping between events: with an alert armed,
+        the first row past the alert time fires it unless a fall comes first;
+        without one, the next rise arms it (the next fall re-enables a run
+        that has already alerted). Work is per alert and per fall, not per row."""
+        if self.ttl_us is not None:
+            return super().process_due(key, due)
+        t = np.array([r[0] for r in due], dtype=np.int64)
+        v = np.array([r[2] for r in due], dtype=float)
+        prev0, alert, start, done = self._get()
+        prev = np.r_[np.nan if prev0 is None else prev0, v[:-1]]
+        known = ~np.isnan(prev)
+        falls = np.flatnonzero(known & (v < prev))
+        rises = np.flatnonzero(known & (v > prev))
+        n, pos, out = len(t), 0, []
+
+        def after(idx, p):
+            k = np.searchsorted(idx, p, side="left")
+            return int(idx[k]) if k < len(idx) else None
+
+        while pos < n:
+            if alert is not None:
+                j = max(int(np.searchsorted(t, alert, side="right")), pos)
+                f = after(falls, pos)
+                if j < n and (f is None or j <= f):
+                    out.append((start, alert))
+                    alert, start, done = None, None, not self.repeat
+                    pos = j
+                    continue
+                if f is None:
+                    break
+                alert, start, done = None, None, False
+                pos = f + 1
+                continue
+            f = after(falls, pos)
+            if done:
+                if f is None:
+                    break
+                done, pos = False, f + 1
+                continue
+            a = after(rises, pos)
+            if a is None:
+                break
+            if f is not None and f < a:
+                pos = f + 1
+                continue
+            alert, start = int(t[a]) + self.hold, int(t[a])
+            self.handle.registerTimer(alert // 1000 + 1)
+            pos = a + 1
+        self.st.update((float(v[-1]), alert, start, done))
+        return out
+
     def on_watermark(self, key, wm_us):
         s, out = self._fire(self._get(), wm_us, inclusive=False)
         if out:

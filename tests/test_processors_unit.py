@@ -7,7 +7,7 @@ import pytest
 
 from eventide.streaming.processors import (ClickCapProcessor, ConsecutiveProcessor, FollowedByProcessor,
                                            JumpProcessor, MissingFollowupProcessor, NextPairsProcessor,
-                                           OrderedProcessor, OverRowsProcessor)
+                                           OrderedProcessor, OverRowsProcessor, RisingAlertProcessor)
 
 
 class _Value:
@@ -83,12 +83,16 @@ def _make(kind):
         "pairs3": lambda: ConsecutiveProcessor(KEY, 3, WITHIN),
         "over": lambda: OverRowsProcessor(KEY, 2),
         "next": lambda: NextPairsProcessor(KEY, WITHIN),
+        "rise": lambda: RisingAlertProcessor(KEY, WITHIN),
+        "rise_repeat": lambda: RisingAlertProcessor(KEY, WITHIN, repeat=True),
     }[kind]()
 
 
 def _payload(kind, rnd):
     if kind in ("jump", "over", "next"):
         return float(rnd.randint(0, 9))
+    if kind in ("rise", "rise_repeat"):
+        return float(rnd.choice([0, 1, 1, 2, 2, 2]))  # mostly rising or flat, some falls
     if kind == "cap":
         return None  # day, filled from t
     if kind in ("pairs2", "pairs3"):
@@ -97,7 +101,7 @@ def _payload(kind, rnd):
 
 
 @pytest.mark.parametrize("kind", ["jump", "cap", "unpaid", "not_followed", "followed", "pairs2", "pairs3",
-                                  "over", "next"])
+                                  "over", "next", "rise", "rise_repeat"])
 def test_vectorised_equals_row_by_row(kind):
     rnd = random.Random(hash(kind) % 1000)
     a, b = _make(kind), _make(kind)
