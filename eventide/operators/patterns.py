@@ -203,6 +203,58 @@ def rising_alert(df: DataFrame, key: str, order: Sequence[str], value: str, hold
     return alerts.drop("_seg")
 
 
+def rising_alert_chain(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
+                       slice_col: Column | None = None, max_rounds: int = 40) -> DataFrame:
+    """Rising alerts with re-arming (the stream processor's ``repeat=True``):
+    in a run, the first rise arms an alert at ``t0 + hold``; after it fires,
+    the first rise later than the alert time arms the next one. The chain of
+    arming rises is found with pointer doubling: ``nxt(r)`` = first rise of the
+    run later than ``r + hold``; ``log2(chain length)`` joins build the jump
+    tables and as many more collect the chain from each run's first rise. The
+    driver loops over rounds, never over rows. An alert fires when the run's
+    next fall is later than it (or never comes).
+    """
+    ts, tie = order[0], order[1]
+    lim = duration_us(hold)
+    d, alerts = _rising_runs(df, key, order, value, hold, slice_col)
+    seg_end = alerts.select(key, "_seg").distinct()  # only runs that alert at least once
+    rises = null_safe_join(d.where(F.col("_rise")).select(key, "_seg", ts, tie, value), seg_end, [key], "inner",
+                           extra=["_seg"])
+    nf = d.groupBy(key, "_seg").agg(F.min(ts).alias("_start"))
+    nf = nf.select(key, (F.col("_seg") - 1).alias("_seg"), F.col("_start").alias("_next_fall"))
+    node = F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"))
+    # nxt(r): probes at r + hold sort after rises of the same time, so the
+    # first rise after a probe is the first one strictly later than r + hold
+    probe = rises.select(key, "_seg", F.timestamp_add("MICROSECOND", F.lit(lim), F.col(ts)).alias("_pt"),
+                         F.lit(1).alias("_kind"), node.alias("_from"))
+    rise_pts = rises.select(key, "_seg", F.col(ts).alias("_pt"), F.lit(0).alias("_kind"), node.alias("_from"))
+    both = probe.unionByName(rise_pts)
+    both = next_where(both, [key, "_seg"], ["_pt", "_kind"], F.col("_kind") == 0, ["_from"], "_n")
+    from eventide.session import ensure_checkpoint_dir
+
+    # each round uses the previous table twice: cut the lineage every round
+    # (reliable checkpoints in the shared checkpoint folder)
+    ensure_checkpoint_dir(df.sparkSession)
+    ptr = both.where(F.col("_kind") == 1).select(key, "_seg", F.col("_from").alias("_node"),
+                                                  F.col("_n._from").alias("_to")).checkpoint()
+    tables = [ptr]
+    for _ in range(max_rounds):  # P_{k+1} = P_k o P_k until no pointer is left
+        last = tables[-1]
+        if last.where(F.col("_to").isNotNull()).limit(1).count() == 0:
+            break
+        hop = last.select(key, "_seg", F.col("_node").alias("_mid"), F.col("_to").alias("_to2"))
+        nxt = null_safe_join(last.withColumnRenamed("_to", "_mid"), hop, [key], "left", extra=["_seg", "_mid"])
+        tables.append(nxt.select(key, "_seg", "_node", F.col("_to2").alias("_to")).checkpoint())
+    chain = rises.groupBy(key, "_seg").agg(F.min(node).alias("_node")).checkpoint()
+    for table in reversed(tables[:-1] if len(tables) > 1 else tables):
+        step = null_safe_join(chain, table, [key], "inner", extra=["_seg", "_node"]).where(F.col("_to").isNotNull())
+        chain = chain.unionByName(step.select(key, "_seg", F.col("_to").alias("_node"))).distinct().checkpoint()
+    alert = F.timestamp_add("MICROSECOND", F.lit(lim), F.col("_node.t"))
+    out = null_safe_join(chain, nf, [key], "left", extra=["_seg"])
+    return (out.where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
+               .select(key, F.col("_node.t").alias("run_start"), alert.alias("alert_ts")))
+
+
 def rising_alert_rows(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
                       slice_col: Column | None = None) -> DataFrame:
     """The rising readings behind every alert (the list the alert carries, as

@@ -113,3 +113,40 @@ def test_flag_repeats_sliced(ev, size):
     assert _rows(a, ["id", "seen_before"]) == _rows(b, ["id", "seen_before"])
     firsts = {(r.k, r.kind) for r in ev.select("k", "kind").distinct().collect()}
     assert a.where(~F.col("seen_before")).count() == len(firsts)
+
+
+def _brute_chain(rows, hold_s):
+    """Re-arming alerts by the row rules, per key (rows sorted by ts, id)."""
+    out = []
+    by = {}
+    for r in rows:
+        by.setdefault(r.k, []).append(r)
+    for k, rs in by.items():
+        prev, alert, start = None, None, None
+        for r in rs:
+            t = r.ts
+            if alert is not None and alert < t:
+                out.append((k, start, alert))
+                alert, start = None, None
+            if prev is not None and r.v < prev:
+                alert, start = None, None
+            elif prev is not None and r.v > prev and alert is None:
+                import datetime as _d
+                alert, start = t + _d.timedelta(seconds=hold_s), t
+            prev = r.v
+        if alert is not None:
+            out.append((k, start, alert))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("size", [None, "1 hour"])
+def test_rising_alert_chain_brute_force(ev, size):
+    from eventide.operators.patterns import rising_alert_chain
+    d = ev.where(F.col("k").isNotNull())
+    got = rising_alert_chain(d, "k", ORDER, "v", "2 hours", slice_col=None if size is None else slice_id("ts", size))
+    rows = sorted(d.collect(), key=lambda r: (r.k, r.ts, r.id))
+    want = _brute_chain(rows, 7200)
+    assert sorted(((r.k, r.run_start, r.alert_ts) for r in got.collect()), key=repr) == want and want
+    # every first-per-run alert is also in the chain
+    firsts = {(r.k, r.run_start) for r in rising_alert(d, "k", ORDER, "v", "2 hours").collect()}
+    assert firsts <= {(k, s) for k, s, _ in want}

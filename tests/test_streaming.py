@@ -207,3 +207,16 @@ def test_stream_upsert_survives_restart(spark, stream_dir, batch):
     snap = read_snapshot(spark, root, s.schema).where(F.col("user_id") != SENTINEL_USER)
     want = latest_per_key(batch.select("user_id", "event_id", "ts", "value"), ["user_id"], ORDER)
     assert rows(snap, ["user_id", "event_id"]) == rows(want, ["user_id", "event_id"])
+
+
+def test_rising_alert_repeat_processor_equals_chain(spark, stream_dir, batch):
+    from eventide.operators.patterns import rising_alert_chain
+    ev = source(spark, stream_dir, batch)
+    proc = RisingAlertProcessor(KEY, duration_us("5 hours"), repeat=True)
+    got = collect_stream(spark, run_ordered(ev, ["user_id"], "event_time", "event_id",
+                                            [F.col("value").alias("v")], proc))
+    want = rising_alert_chain(batch, "user_id", ORDER, "value", "5 hours")
+    g = got.select("user_id", F.timestamp_micros("run_start_us").cast("timestamp_ntz").alias("run_start"),
+                   F.timestamp_micros("alert_us").cast("timestamp_ntz").alias("alert_ts"))
+    assert rows(g, ["user_id", "run_start", "alert_ts"]) == rows(want, ["user_id", "run_start", "alert_ts"])
+    assert want.count() > rising_alert(batch, "user_id", ORDER, "value", "5 hours").count()
