@@ -53,8 +53,10 @@ def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]
             default = F.lit("")
         elif isinstance(t, T.BooleanType):
             default = F.lit(False)
-        elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            default = F.lit(0).cast("timestamp").cast(t)
+        elif isinstance(t, T.DateType):
+            default = F.lit("1970-01-01").cast(t)
+        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            default = F.lit("1970-01-01 00:00:00").cast(t)
         else:
             return df.withColumn("_k0", F.struct(*[F.col(x) for x in keys])), ["_k0"]
         df = df.withColumn(f"_kv{i}", F.coalesce(F.col(k), default)).withColumn(f"_kn{i}", F.col(k).isNull())
