@@ -123,8 +123,9 @@ def keep_one(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one per distinct text."""
     index = build_index(docs, "doc_id", "text", capacity)
     text = lower_az(F.col("text"))
-    rows = docs.withColumn("_key", F.xxhash64(text)).withColumn("_digest", F.sha2(text, 256))
-    winners = index.select(F.col("key").alias("_k"), F.col("digest").alias("_d"), F.col("keep_id").alias("_keep"))
-    on = ((F.col("_key") == F.col("_k")) & (F.col("_digest") == F.col("_d"))
-          & F.col("doc_id").eqNullSafe(F.col("_keep")))
-    return rows.join(winners, on, "left_semi").drop("_key", "_digest")
+    # the row travels as one struct, so no column name of its own can clash
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(text).alias("key"),
+                       F.sha2(text, 256).alias("digest"))
+    winners = index.select("key", "digest", F.col("keep_id").alias("id"))
+    on = ((rows["key"] == winners["key"]) & (rows["digest"] == winners["digest"]) & rows["id"].eqNullSafe(winners["id"]))
+    return rows.join(winners, on, "left_semi").select("row.*")

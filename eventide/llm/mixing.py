@@ -58,9 +58,10 @@ def targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS, weights: tuple[int,
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...] = (1, 2, 3), seed: str = SEED,
         cell_digits: int = CELL_DIGITS) -> DataFrame:
-    """``docs`` (``doc_id, text, source`` and any more columns) with the columns
-    ``_size, _source_size, _target, _reps`` (times the mix takes the document)."""
-    rows = (docs.withColumn("_size", n_words(F.col("text")))
+    """``doc_id``, ``row`` (all columns of ``docs``, which has ``doc_id, text,
+    source`` and any more, as one struct, so their names cannot clash), ``_size,
+    _source_size, _target, _reps`` (times the mix takes the document)."""
+    rows = (docs.select("doc_id", "text", "source", F.struct("*").alias("row")).withColumn("_size", n_words(F.col("text")))
             .withColumn("_order", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
             .withColumn("_cell", F.substring("_order", 1, cell_digits))
             .withColumn("_tie", F.md5(F.coalesce(F.col("text"), F.lit("")))))
@@ -84,11 +85,11 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...]
     rest = F.col("_target") - F.col("_whole") * F.col("_source_size")
     extra = (F.col("_ahead") + F.col("_before")) * 2 + F.col("_size") <= rest * 2
     reps = F.when(F.col("_size") == 0, 0).otherwise(F.col("_whole") + F.when(extra, 1).otherwise(0))
-    return (placed.withColumn("_whole", whole).withColumn("_reps", reps.cast("long"))
-            .drop("_src", "_none", "_cell", "_order", "_in_cell", "_ahead", "_before", "_whole", "_tie"))
+    return (placed.withColumn("_whole", whole)
+            .select("doc_id", "row", "_size", "_source_size", "_target", reps.cast("long").alias("_reps")))
 
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as the mix takes it, with the columns of ``docs``."""
     return (mix(docs, **options).where(F.col("_reps") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_reps")))).select(*docs.columns))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_reps")))).select("row.*"))

@@ -5,16 +5,50 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventide.llm import exact_dedup, mixing
+from eventide.llm import (bpe, exact_dedup, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
+                          urlfilter)
 from eventide.llm.registry import ORACLES, QUERIES, register
 from eventide.llm.textops import table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+TOKENIZERS = "/opt/tokenizers"     # folder of the rank files; a parameter of the encoder
+RANKS = "byte_bpe_50k.tiktoken"
+
+# Rules (action, host and path); fixed values of the query.
+RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+# Sites that are blocked with all their subdomains where no rule fits.
+LISTED = ("ads-track.example.org", "casino-win.example.org", "cheap-pills.example.com", "free-bets.example.com",
+          "spam-farm.example.org")
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path of the rank file and the pattern that splits text before the merges."""
+    try:
+        import public_tokenizers
+        return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    except ModuleNotFoundError:   # the module is the folder's own __init__.py
+        import runpy
+        return f"{TOKENIZERS}/{RANKS}", runpy.run_path(f"{TOKENIZERS}/__init__.py")["PATTERN"]
+
+
+@register("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.learn_from_labels(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, lexicon)
+            .select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
+
+
+@register("op2_minhash_join")
+def op2_minhash_join(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op3_exact_dedup", f"""
 WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), {_AZ})) AS text_sha256,
                   translate(coalesce(text, ''), {_AZ}) AS norm FROM documents),
@@ -26,6 +60,48 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op4_suffix_array")
+def op4_suffix_array(spark, sf_dir):
+    return (suffix_dedup.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .withColumnRenamed("start", "start_word").withColumnRenamed("end", "end_word").withColumnRenamed("first_id", "first_doc_id"))
+
+
+@register("op5_fm_index")
+def op5_fm_index(spark, sf_dir):
+    cut = substring_dedup.removed_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _rules_sql() -> str:
+    rules = ", ".join(f"('{a}', '{t}', '{t.partition('/')[0]}', '/{t.partition('/')[2]}')" for a, t in RULES)
+    listed = ", ".join(f"('{s}')" for s in LISTED)
+    return f"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+     p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_AZ}) AS host,
+                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+     r(action, rule, rhost, rpath) AS (VALUES {rules}),
+     l(site) AS (VALUES {listed}),
+     d AS (SELECT DISTINCT host, path FROM p),
+     m AS (SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(action, length(rule)) AS action
+           FROM d JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY host, path),
+     b AS (SELECT DISTINCT host FROM d JOIN l ON host = site OR ends_with(host, '.' || site))
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN b.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN m USING (host, path) LEFT JOIN b USING (host)
+"""
+
+
+@register("op6_url_filter", _rules_sql())
+def op6_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.verdicts(pages, urlfilter.entries(spark, RULES, LISTED)).drop("url")
+
+
+@register("op7_quality")
+def op7_quality(spark, sf_dir):
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
+
+
 @register("op8_source_mix", rf"""
 WITH d AS (SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size,
                   md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
@@ -56,3 +132,21 @@ def op8_source_mix(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
                         F.col("_target").alias("target"), (F.col("_size") * F.col("_reps")).alias("taken"))
+
+
+@register("op9_byte_bpe")
+def op9_byte_bpe(spark, sf_dir):
+    ranks, pattern = tokenizer()
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
+    back = bpe.decode(ids, ranks)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@register("op10_iblt_fingerprint")
+def op10_iblt_fingerprint(spark, sf_dir):
+    versions = fingerprint.with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return (fingerprint.compared(versions, "text", {"edited": ("edited_fingerprint", "near_edited"), "next_text": (None, "near_next")})
+            .select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                    "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
