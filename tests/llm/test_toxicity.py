@@ -3,6 +3,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from eventide.llm import toxicity
 from eventide.llm.queries import QUERIES
@@ -44,9 +45,10 @@ def test_awkward_rows_and_tables_without_labels(spark):
 def test_held_out_rows_never_reach_learning(spark):
     rows = [(i, "aaaa bbbb cccc", None, None, 1) for i in range(300)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
-    held = {r["doc_id"] for r in frame(spark, rows).where(toxicity.held_out(frame(spark, rows)["doc_id"])).collect()}
+    held = {r["doc_id"] for r in frame(spark, rows).where(toxicity.held_out(F.col("doc_id"))).collect()}
     assert held == {i for i in range(300) if zlib.crc32(str(i).encode()) % 3 == 1}
-    n = toxicity.sampled(frame(spark, rows), labels.select("doc_id", labels["toxic"].alias("label")).where(~toxicity.held_out(labels["doc_id"]))).count()
+    seen = labels.select("doc_id", F.col("toxic").alias("label")).where(~toxicity.held_out(F.col("doc_id")))
+    n = toxicity.sampled(frame(spark, rows), seen).count()
     assert n == 300 - len(held)
 
 
