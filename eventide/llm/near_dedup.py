@@ -37,9 +37,9 @@ from eventide.llm.textops import U, Words, grams, mix, steps
 
 SHINGLE = 5
 PERCENT = 75          # similarity in per cent at least
-POSTED, PROBED = 32, 64
+POSTED, PROBED = 32, 224
 SHARED = 10           # of the posted coordinates; for 75 %
-MATCHES = 48          # of all coordinates; for 75 %
+MATCHES = 158         # of all coordinates; for 75 %: five standard deviations below the 192 expected
 PIVOTS = 4
 BLOCK = 512
 _SHORT = 0x8CB92BA72F3D8DD7
@@ -129,7 +129,8 @@ def prefixes(nodes: DataFrame, posted: int = POSTED, shared: int = SHARED) -> Da
     """``key, node``: the postings in the prefix of each node (pairs that no
     other node has stand first in the order and need no posting)."""
     posts = nodes.select("node", F.explode("keys").alias("key"))
-    common = posts.groupBy("key").agg(F.count("*").alias("f")).where(F.col("f") > 1)
+    # written first: a join of two plain shuffles can be split where one pair is hot
+    common = saved(posts.groupBy("key").agg(F.count("*").alias("f")).where(F.col("f") > 1), "near-common")
     return (posts.join(common, "key").groupBy("node")
             .agg(F.sort_array(F.collect_list(F.struct("f", "key"))).alias("own"))           # at most `posted`
             .where(F.size("own") >= shared)
@@ -225,11 +226,13 @@ def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block
     placed = (lists.join(size, "key").withColumn("_of", blocks)
               .withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_of")).cast("int"))
               .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))))
+    # a pair is reported in the first list that both are in: at most `posted` keys a node
+    own = lists.groupBy("node").agg(F.collect_set("key").alias("own"))
     dealt = (placed.select("key", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"),
                            (F.col("_mine") > F.col("_other")).alias("second"), "node", "root")
-             .join(info.select("node", "n", "sig"), "node")
+             .join(info.select("node", "n", "sig").join(own, "node"), "node")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "second", "node")
-             .select("key", "i", "j", "second", "node", "root", "n", "sig"))
+             .select("key", "i", "j", "second", "node", "root", "n", "sig", "own"))
 
     def compare(batches):
         rest = None
@@ -239,7 +242,7 @@ def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block
             n = table.num_rows
             cut = np.flatnonzero(np.any([g[1:] != g[:-1] for g in group], 0)) + 1 if n > 1 else np.empty(0, np.int64)
             done = int(cut[-1]) if len(cut) else 0
-            rest = table.slice(done)
+            rest = table.slice(done).combine_chunks()
             if done:
                 yield _compare_groups(table.slice(0, done), np.concatenate([[0], cut]), matches, percent)
         if rest is not None and rest.num_rows:
@@ -250,6 +253,14 @@ def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block
 
 def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: int) -> pa.RecordBatch:
     second, node, root, n = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in range(3, 7))
+    key, own = table.column(0).to_numpy(), {}
+    lists = table.column(8).combine_chunks()
+
+    def keys_of(i):
+        if i not in own:
+            own[i] = set(lists[i].as_py())
+        return own[i]
+
     within = table.column(1).to_numpy() == table.column(2).to_numpy()
     raw = table.column(7).combine_chunks()
     sig = _matrix(raw, len(raw[0].as_py()))
@@ -264,7 +275,7 @@ def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: i
             other = other[(root[other] != root[i]) & (np.minimum(n[other], n[i]) * 100 >= np.maximum(n[other], n[i]) * percent)]
             if len(other):
                 hit = other[(sig[other] == sig[i]).sum(1) >= matches]
-                out += [(node[i], x) for x in node[hit].tolist()]
+                out += [(node[i], node[x]) for x in hit.tolist() if min(keys_of(i) & keys_of(x)) == key[i]]
     a, b = (np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -288,8 +299,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def star(lists, pivots: int, name: str):
         pick = [F.min(F.struct(F.xxhash64(F.col("node"), F.lit(i)), "node", "root")) for i in range(pivots)]
-        centre = (lists.groupBy("key").agg(F.array(*pick).alias("p")).select("key", F.explode(F.array_distinct("p")).alias("p"))
-                  .select("key", F.col("p.node").alias("a"), F.col("p.root").alias("ra")))
+        centre = saved(lists.groupBy("key").agg(F.array(*pick).alias("p")).select("key", F.explode(F.array_distinct("p")).alias("p"))
+                  .select("key", F.col("p.node").alias("a"), F.col("p.root").alias("ra")), f"near-{name}-centre")
         pairs = lists.join(centre, "key").where("root != ra").select("a", F.col("node").alias("b")).distinct()
         return confirmed(saved(similar(pairs, info, matches, percent), f"near-{name}"), texts, size, percent)
 
