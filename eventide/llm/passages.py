@@ -118,7 +118,8 @@ def repeated_segments(rows: DataFrame, across: bool, min_words: int = MIN_WORDS,
     found = rows.mapInArrow(_emit(min_words, k), _SEGMENT)
     last = F.coalesce(F.col("doc"), F.lit(2**63 - 1))
     stats = found.groupBy("key").agg(F.min(last).alias("_lo"), F.max(last).alias("_hi"), F.count("*").alias("_n"))
-    many = stats.where(F.col("_lo") < F.col("_hi") if across else F.col("_n") > 1).select("key")
+    # written first: a join of two plain shuffles can be split where one key is hot
+    many = saved(stats.where(F.col("_lo") < F.col("_hi") if across else F.col("_n") > 1).select("key"), "passage-keys")
     return saved(found.join(many, "key"), "passage-segments")
 
 
