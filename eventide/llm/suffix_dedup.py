@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from eventide.llm import passages
@@ -95,27 +96,36 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = (segs.join(judged.where(twice), ["key", "content"])
               .groupBy("doc", "rid").agg(F.collect_list(F.struct("start", "first_docs", "places")).alias("segs")))
 
+    names = [id_col, "start", "end", "n_words", "first_id", "places"]
+
     def runs(batches):
         for batch in batches:
-            out = {n: [] for n in ("doc", "start", "end", "n_words", "first", "places")}
-            for doc, segs_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                start = np.concatenate([s["start"] + np.arange(len(s["places"])) for s in segs_])
-                low = np.concatenate([s["first_docs"] for s in segs_])
-                n = np.concatenate([s["places"] for s in segs_])
-                window = {int(a): (int(b), int(c)) for a, b, c in zip(start, low, n, strict=True) if c > 1}
-                mask = np.zeros(int(start.max()) + min_words, bool)
-                for a in window:
-                    mask[a:a + min_words] = True
-                for a, b in passages.spans(mask):
-                    own = [window[x] for x in range(a, b) if x in window]
-                    row = (doc, a, b, b - a, own[0][0], max(c for _, c in own))
-                    for k, v in zip(out, row, strict=True):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc"], pa.int64()), *[pa.array(out[n], pa.int32()) for n in ("start", "end", "n_words")],
-                 pa.array([None if x == 2**63 - 1 else x for x in out["first"]], pa.int64()), pa.array(out["places"], pa.int64())],
-                [id_col, "start", "end", "n_words", "first_id", "places"])
-
-    id_type = "long"
+            for at in range(0, batch.num_rows, 256):       # a document may have many segments
+                part = batch.slice(at, 256)
+                yield _runs(part.column(0), part.column(1), min_words, names)
+
     return marked.select("doc", "segs").mapInArrow(
-        runs, f"`{id_col}` {id_type}, start int, end int, n_words int, first_id long, places long")
+        runs, f"`{id_col}` long, start int, end int, n_words int, first_id long, places long")
+
+
+def _runs(doc: pa.Array, segs: pa.ListArray, min_words: int, names: list[str]) -> pa.RecordBatch:
+    """Maximal runs of repeated words from each document's judged segments."""
+    seg = segs.flatten()
+    low, places = seg.field("first_docs"), seg.field("places")
+    count = pc.list_value_length(places).to_numpy()
+    row = np.repeat(np.repeat(np.arange(len(doc)), np.diff(segs.offsets.to_numpy())), count)
+    start = np.repeat(seg.field("start").to_numpy(), count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    low, places = low.flatten().to_numpy(), places.flatten().to_numpy()
+    twice = np.flatnonzero(places > 1)
+    order = twice[np.lexsort((start[twice], row[twice]))]
+    row, start, low, places = row[order], start[order].astype(np.int64), low[order], places[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > start[:-1] + min_words)     # not even touching
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row))[:len(first)] - 1
+    end = start[last] + min_words
+    most = np.maximum.reduceat(places, first) if len(first) else places
+    none = low[first] == 2**63 - 1
+    return pa.RecordBatch.from_arrays(
+        [doc.take(pa.array(row[first])), *[pa.array(x.astype(np.int32)) for x in (start[first], end, end - start[first])],
+         pa.array(low[first], pa.int64(), mask=none), pa.array(most)], names)
