@@ -30,8 +30,8 @@ from eventide.llm.textops import U, Words, mix, steps
 
 BUCKETS = 1 << 16
 SMOOTH = 1.0
-SHARPNESS = 8.0
-KEEP = 0.8          # share of the rows that is sampled
+SHARPNESS = 40.0
+KEEP = 0.85         # share of the rows that is sampled
 EMPTY = -1e9
 _PAIR = 0xD1B54A32D192ED03
 

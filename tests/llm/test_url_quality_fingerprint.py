@@ -139,3 +139,17 @@ def test_fingerprint_is_a_whole_sketch():
     assert len(base64.b64decode(s.strings()[0])) == 16 * fingerprint.CELLS and len(d) == 3
     row, d2, sign, whole = s.peel()
     assert whole.all() and set(d2.tolist()) == set(d.tolist()) and (sign == 1).all()
+
+
+def test_sample_keeps_the_good_and_drops_the_poor(spark):
+    """By the labels of the given table: held-out rows (a third) never are in the target."""
+    from pyspark.sql import functions as F
+    from eventide.llm.textops import table
+    from eventide.llm.toxicity import held_out
+    sf = "/root/testdata/sf0.1"
+    labels = table(spark, sf, "labels")
+    good = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select("doc_id")
+    got = quality.resample(table(spark, sf, "documents"), good)
+    share = {r["quality"]: r["kept"] for r in got.join(labels.where(held_out(F.col("doc_id"))), "doc_id").groupBy("quality")
+             .agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] > 0.95 and share[0] < 0.25
