@@ -34,16 +34,16 @@ def java_string_hash(s: Column, factor: int = 1) -> Column:
 
 
 def register_scalar(spark: SparkSession, name: str, fn, return_type) -> None:
-    """Register a Python function for SQL (UDF1). Prefer a Column expression
-    (see :func:`register_string_hash`) where one exists."""
-    spark.udf.register(name, fn, return_type)
+    """Register a function from pandas Series to pandas Series for SQL (UDF1):
+    one call per Arrow batch. Prefer a Column expression where one exists."""
+    spark.udf.register(name, F.pandas_udf(fn, return_type))
 
 
 def register_string_hash(spark: SparkSession, name: str, factor: int) -> None:
     """Register ``name(s)`` = string hash x ``factor`` for SQL, with the factor
     bound at registration (the constructor parameter of the reference UDF).
 
-    Vectorised pandas UDF: one Arrow batch per call, not one row.
+    A pandas UDF that hashes each different text of an Arrow batch once.
     """
     def _hash(text: str | None) -> int | None:
         if text is None:
@@ -55,8 +55,9 @@ def register_string_hash(spark: SparkSession, name: str, factor: int) -> None:
         h = (h * factor) % _M
         return h - _M if h >= (1 << 31) else h
 
-    @F.pandas_udf(IntegerType())
     def hash_batch(s: pd.Series) -> pd.Series:
-        return s.map(_hash).astype("Int32")
+        codes, texts = pd.factorize(s)
+        hashes = pd.array([*map(_hash, texts), None], "Int32")     # code -1: no text
+        return pd.Series(hashes[codes])
 
-    spark.udf.register(name, hash_batch)
+    register_scalar(spark, name, hash_batch, IntegerType())

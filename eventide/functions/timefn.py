@@ -47,7 +47,10 @@ def from_epoch_us(us: Column) -> Column:
 
 def slice_id(ts: Column | str, size: str | int) -> Column:
     """Index of the epoch-aligned time slice of length ``size`` holding ``ts``."""
-    return F.floor(epoch_us(ts) / F.lit(duration_us(size))).cast("long")
+    us = duration_us(size)
+    if us <= 0:
+        raise ValueError("a slice has a positive length")
+    return F.floor(epoch_us(ts) / F.lit(us)).cast("long")
 
 
 def parse_dmy_time(s: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.operators.sequence import with_neighbours, with_running
+from eventide.operators.sequence import Running, with_neighbours, with_runnings
 
 
 def over_rows(df: DataFrame, key: str, order: Sequence[str], value: str, preceding: int = 2,
@@ -32,13 +32,18 @@ def jump_flag(df: DataFrame, key: str, order: Sequence[str], value: str, limit:
     """Compare each value with the previous one of its key (the first row with
     ``first_prev``); ``jumped`` when ``abs(diff) > limit`` (WIN3)."""
     d = with_neighbours(df, [key], order, [value], 1, prefix="_jp", slice_col=slice_col)
-    prev = F.coalesce(F.col("_jp1")[value], F.lit(first_prev))
+    # no earlier row: first_prev; an earlier row without a value: NULL
+    prev = F.when(F.col("_jp1").isNull(), F.lit(first_prev)).otherwise(F.col("_jp1")[value])
     return (d.withColumn("prev_value", prev)
              .withColumn("jumped", F.abs(F.col(value) - prev) > F.lit(limit))
              .drop("_jp1"))
 
 
 def running_min(df: DataFrame, key: str, order: Sequence[str], value: str, name: str = "running_min",
-                slice_col: Column | None = None) -> DataFrame:
-    """One output row per input row: minimum of ``value`` so far for the key (AGG9)."""
-    return with_running(df, [key], order, F.col(value), "min", name, slice_col=slice_col)
+                slice_col: Column | None = None, before: str | None = None) -> DataFrame:
+    """One output row per input row: minimum of ``value`` so far for the key
+    (AGG9); ``before`` names a column for the number of earlier rows."""
+    specs = [Running(name, F.col(value), "min")]
+    if before:
+        specs.append(Running(before, F.lit(1), "count", include_current=False))
+    return with_runnings(df, [key], order, specs, slice_col)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from eventide.functions.timefn import add_us, duration_us, slice_id
+from eventide.operators.sequence import Running, with_runnings
 
 
 def _prefixed(df: DataFrame, keep: Sequence[str], key: str, p: str) -> DataFrame:
@@ -19,12 +20,16 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
     """Rows of both sides with the same key in the same tumbling window pair up.
 
     An equi-join on (key, window start); ``how`` is inner (JON1), left (JON2:
-    unmatched left rows keep NULL right columns) or full (JON3).
+    unmatched left rows keep NULL right columns) or full (JON3: the left join
+    and the right rows without partner, two joins that a skewed (key, window)
+    can be split in, which a full outer join cannot).
     """
     us = duration_us(size)
     l = _prefixed(left, [key, ts, *left_cols], key, lp).withColumn("_w", slice_id(f"{lp}{ts}", us))
     r = _prefixed(right, [key, ts, *right_cols], key, rp).withColumn("_w", slice_id(f"{rp}{ts}", us))
-    j = l.join(r, on=[key, "_w"], how={"inner": "inner", "left": "left", "full": "full"}[how])
+    j = l.join(r, on=[key, "_w"], how={"inner": "inner", "left": "left", "full": "left"}[how])
+    if how == "full":
+        j = j.unionByName(r.join(l.select(key, "_w"), on=[key, "_w"], how="left_anti"), allowMissingColumns=True)
     start = add_us(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("_w") * F.lit(us))
     return j.withColumn("window_start", start).withColumn("window_end", add_us(start, us)).drop("_w")
 
@@ -32,51 +37,59 @@ def window_join(left: DataFrame, right: DataFrame, key: str, ts: str, size: str,
 def interval_match(left: DataFrame, right: DataFrame, key: str, lts: str, rts: str,
                    tolerance: str | None, left_cols: Sequence[str] = (),
                    right_cols: Sequence[str] = (), lp: str = "l_",
-                   rp: str = "r_", unified: bool = False):
+                   rp: str = "r_", unified: bool = False, slice_size: str = "6 hours"):
     """Match left and right rows on ``key`` with ``|rts - lts| <= tolerance``.
 
     Returns (matched pairs, left rows without partner, right rows without
     partner), or with ``unified=True`` one DataFrame with NULLs on the missing
-    side (JON5). A range condition on a key alone would compare every pair of a
-    hot key, so the range is bucketed: the side that probes is copied into the
-    three buckets of length ``tolerance`` around it, the other side sits in
-    one bucket, and the join is an equi-join on (key, bucket). ``tolerance=None``
-    is a plain full outer join on the key.
+    side (JON5).
+
+    Pairs: a range condition on a key alone would compare every pair of a hot
+    key, so the range is bucketed: the side that probes is copied into the
+    three buckets of length ``tolerance`` around it, the other side sits in one
+    bucket, and the join is an equi-join on (key, bucket); tolerance 0 is an
+    equi-join on (key, time). Rows without partner: both sides in one sequence
+    per key, sliced by ``slice_size``; a row has a partner if the other side's
+    nearest row before or after it is near enough. ``tolerance=None`` matches
+    on the key alone. Rows with a NULL key or (with a tolerance) a NULL time
+    have no partner.
     """
     l = _prefixed(left, [key, lts, *left_cols], key, lp)
     r = _prefixed(right, [key, rts, *right_cols], key, rp)
     lt, rt = f"{lp}{lts}", f"{rp}{rts}"
     if tolerance is None:
-        j = l.join(r, on=[key], how="full")
-        if unified:
-            return j
-        return (j.where(F.col(lt).isNotNull() & F.col(rt).isNotNull()),
-                j.where(F.col(rt).isNull()).select(*l.columns),
-                j.where(F.col(lt).isNull()).select(*r.columns))
+        out = (l.join(r, on=[key], how="inner"), l.join(r.select(key), on=[key], how="left_anti"),
+               r.join(l.select(key), on=[key], how="left_anti"))
+        return unify(*out) if unified else out
 
     tol = duration_us(tolerance)
-
-    def one(df, t):
-        return df.withColumn("_b", slice_id(t, tol))
-
-    def three(df, t):
-        b = slice_id(t, tol)
-        return df.withColumn("_b", F.explode(F.array(b - 1, b, b + 1)))
-
-    def within():
-        return F.abs(F.timestamp_diff("MICROSECOND", F.col(lt), F.col(rt))) <= tol
-
-    def anti(probe: DataFrame, other: DataFrame) -> DataFrame:
-        o = other.withColumnRenamed(key, "_ok").withColumnRenamed("_b", "_ob")
-        cond = (F.col(key) == F.col("_ok")) & (F.col("_b") == F.col("_ob")) & within()
-        return probe.join(o, cond, "left_anti").drop("_b")
-
-    matched = one(l, lt).join(three(r, rt), on=[key, "_b"], how="inner").where(within()).drop("_b")
-    left_only = anti(one(l, lt), three(r, rt))
-    right_only = anti(one(r, rt), three(l, lt))
+    if tol == 0:
+        matched = (l.withColumn("_b", F.col(lt)).join(r.withColumn("_b", F.col(rt)), on=[key, "_b"], how="inner").drop("_b"))
+    else:
+        b = slice_id(rt, tol)
+        near = F.abs(F.timestamp_diff("MICROSECOND", F.col(lt), F.col(rt))) <= tol
+        matched = (l.withColumn("_b", slice_id(lt, tol))
+                   .join(r.withColumn("_b", F.explode(F.array(b - 1, b, b + 1))), on=[key, "_b"], how="inner")
+                   .where(near).drop("_b"))
+    alone = _without_partner(l, r, key, lt, rt, tol, slice_size)
     if unified:
-        return unify(matched, left_only, right_only)
-    return matched, left_only, right_only
+        return matched.unionByName(alone.drop("_side"), allowMissingColumns=True)
+    return (matched, alone.where(F.col("_side") == 0).select(*l.columns), alone.where(F.col("_side") == 1).select(*r.columns))
+
+
+def _without_partner(l: DataFrame, r: DataFrame, key: str, lt: str, rt: str, tol: int, slice_size: str) -> DataFrame:
+    """Rows of both sides (``_side`` 0 and 1) without a partner, in one pass."""
+    both = (l.withColumn("_side", F.lit(0)).withColumn("_t", F.col(lt))
+            .unionByName(r.withColumn("_side", F.lit(1)).withColumn("_t", F.col(rt)), allowMissingColumns=True))
+    on = lambda side: F.when(F.col("_side") == side, F.col("_t"))
+    specs = [Running(f"_{at}{side}", on(side), fn, include_current=False, reverse=rev)
+             for side in (0, 1) for at, fn, rev in (("before", "max", False), ("after", "min", True))]
+    # rows of equal time lie next to each other, so one of the two directions sees them
+    d = with_runnings(both, [key], ["_t", "_side"], specs, slice_id("_t", slice_size))
+    gap = lambda at: F.abs(F.timestamp_diff("MICROSECOND", F.col(at), F.col("_t"))) <= tol
+    close = lambda side: F.coalesce(gap(f"_before{side}"), F.lit(False)) | F.coalesce(gap(f"_after{side}"), F.lit(False))
+    has = F.when(F.col("_side") == 0, close(1)).otherwise(close(0)) & F.col(key).isNotNull()
+    return d.where(~has).drop("_t", *[s.name for s in specs])
 
 
 def unify(matched: DataFrame, left_only: DataFrame, right_only: DataFrame) -> DataFrame:

@@ -26,22 +26,33 @@ def _gap_us(a: Column, b: Column) -> Column:
 
 
 # ---------------------------------------------------------------- STA1
+#: Largest k for which Spark plans ``row_number() <= k`` with a partial limit
+#: before the shuffle (``spark.sql.optimizer.windowGroupLimitThreshold``).
+GROUP_LIMIT = 1000
+
+
 def rate_cap(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], max_count: int,
-             day_tz: str = "UTC") -> tuple[DataFrame, DataFrame]:
+             day_tz: str = "UTC", slice_size: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Click cap per key and day: the first ``max_count + 1`` rows pass; the
     next one raises one warning; later rows are dropped; the count resets each
     day (midnight in ``day_tz``; ``ts`` is a UTC wall clock).
 
-    Both outputs are ``row_number() <= k`` per (key, day), planned as a partial
-    WindowGroupLimit, so at most k rows per group leave each map task even if
-    one key holds most of the data.
+    Up to ``GROUP_LIMIT`` both outputs are ``row_number() <= k`` per (key, day),
+    planned as a partial WindowGroupLimit, so at most k rows per group leave
+    each map task even if one key holds most of the data. A larger cap has no
+    such limit: its rows are numbered per (key, day, time slice) of
+    ``slice_size`` (then "10 minutes" by default) and stitched.
     """
     local = F.col(ts) if day_tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(day_tz), F.col(ts))
     d = df.withColumn("day", F.to_date(local))
-    w = Window.partitionBy(*keys, "day").orderBy(*order)
-    passed = d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_count + 1).drop("_rn")
-    warn = (d.withColumn("_rn", F.row_number().over(w))
-             .where(F.col("_rn") <= max_count + 2)
+    if max_count + 2 > GROUP_LIMIT and slice_size is None:
+        slice_size = "10 minutes"
+    if slice_size:
+        d = with_running(d, [*keys, "day"], order, F.lit(1), "count", "_rn", slice_col=slice_id(ts, slice_size))
+    else:
+        d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "day").orderBy(*order)))
+    passed = d.where(F.col("_rn") <= max_count + 1).drop("_rn")
+    warn = (d.where(F.col("_rn") <= max_count + 2)
              .where(F.col("_rn") == max_count + 2)
              .select(*keys, "day", F.col(ts).alias("warn_ts"),
                      F.lit(CAP_WARNING.format(n=max_count)).alias("msg")))
@@ -204,7 +215,7 @@ def rising_alert(df: DataFrame, key: str, order: Sequence[str], value: str, hold
 
 
 def rising_alert_chain(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
-                       slice_col: Column | None = None, max_rounds: int = 40) -> DataFrame:
+                       slice_size: str | None = None, max_rounds: int = 60) -> DataFrame:
     """Rising alerts with re-arming (the stream processor's ``repeat=True``):
     in a run, the first rise arms an alert at ``t0 + hold``; after it fires,
     the first rise later than the alert time arms the next one. The chain of
@@ -216,7 +227,8 @@ def rising_alert_chain(df: DataFrame, key: str, order: Sequence[str], value: str
     """
     ts, tie = order[0], order[1]
     lim = duration_us(hold)
-    d, alerts = _rising_runs(df, key, order, value, hold, slice_col)
+    sliced = lambda t: slice_id(t, slice_size) if slice_size else None
+    d, alerts = _rising_runs(df, key, order, value, hold, sliced(ts))
     seg_end = alerts.select(key, "_seg").distinct()  # only runs that alert at least once
     rises = null_safe_join(d.where(F.col("_rise")).select(key, "_seg", ts, tie, value), seg_end, [key], "inner",
                            extra=["_seg"])
@@ -229,7 +241,7 @@ def rising_alert_chain(df: DataFrame, key: str, order: Sequence[str], value: str
                          F.lit(1).alias("_kind"), node.alias("_from"))
     rise_pts = rises.select(key, "_seg", F.col(ts).alias("_pt"), F.lit(0).alias("_kind"), node.alias("_from"))
     both = probe.unionByName(rise_pts)
-    both = next_where(both, [key, "_seg"], ["_pt", "_kind"], F.col("_kind") == 0, ["_from"], "_n")
+    both = next_where(both, [key, "_seg"], ["_pt", "_kind"], F.col("_kind") == 0, ["_from"], "_n", slice_col=sliced("_pt"))
     from eventide.session import ensure_checkpoint_dir
 
     # each round uses the previous table twice: cut the lineage every round
@@ -240,11 +252,13 @@ def rising_alert_chain(df: DataFrame, key: str, order: Sequence[str], value: str
     tables = [ptr]
     for _ in range(max_rounds):  # P_{k+1} = P_k o P_k until no pointer is left
         last = tables[-1]
-        if last.where(F.col("_to").isNotNull()).limit(1).count() == 0:
+        if last.where(F.col("_to").isNotNull()).isEmpty():
             break
         hop = last.select(key, "_seg", F.col("_node").alias("_mid"), F.col("_to").alias("_to2"))
         nxt = null_safe_join(last.withColumnRenamed("_to", "_mid"), hop, [key], "left", extra=["_seg", "_mid"])
         tables.append(nxt.select(key, "_seg", "_node", F.col("_to2").alias("_to")).checkpoint())
+    else:
+        raise RuntimeError(f"a chain of alerts is longer than 2**{max_rounds}")
     chain = rises.groupBy(key, "_seg").agg(F.min(node).alias("_node")).checkpoint()
     for table in reversed(tables[:-1] if len(tables) > 1 else tables):
         step = null_safe_join(chain, table, [key], "inner", extra=["_seg", "_node"]).where(F.col("_to").isNotNull())

@@ -15,8 +15,9 @@ slice boundaries from small per-slice summaries:
   side's partitioning, so no second full shuffle happens.
 
 ``slice_col`` must be monotone non-decreasing in ``order`` (a time slice of the
-leading order column). Without ``slice_col`` the plain window is used (right
-for small inputs and for tests of equivalence).
+leading order column); its length is a parameter, so that one slice of the
+busiest key fits a task: hours for calm keys, milliseconds for a burst. Without
+``slice_col`` the plain window is used (for tests of equivalence).
 
 The sliced forms group on non-nullable surrogates of the keys (value with a
 typed default, plus a NULL flag) and a null-safe slice id: NULL keys form one
@@ -26,11 +27,12 @@ group as in a plain window, and the carry join is null-safe.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _S = "_slice"
-_NULL_SLICE = 1 << 62  # slice of rows with a NULL order value (first asc, last desc)
+_NULL_SLICE = 1 << 62  # slice of rows with a NULL order value: before all others
 
 
 def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -42,7 +44,9 @@ def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]
     from pyspark.sql import types as T
 
     if not keys:
-        return df.withColumn("_k0", F.lit(0)), ["_k0"]
+        # one group, under a key the optimizer does not fold: the rows are
+        # partitioned by their slices, only the per-slice summaries meet
+        return df.withColumn("_k0", F.pmod(F.col(_S), F.lit(1))) if _S in df.columns else df.withColumn("_k0", F.lit(0)), ["_k0"]
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for i, k in enumerate(keys):
@@ -64,10 +68,13 @@ def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]
     return df, cols
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column, reverse: bool) -> tuple[DataFrame, list[str]]:
-    sl = F.coalesce(-slice_col, F.lit(_NULL_SLICE)) if reverse else F.coalesce(slice_col, F.lit(-_NULL_SLICE))
-    df, kc = _key_cols(df, keys)
-    return df.withColumn(_S, sl.cast("long")), kc
+def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column) -> tuple[DataFrame, list[str]]:
+    df = df.withColumn(_S, F.coalesce(slice_col, F.lit(-_NULL_SLICE)).cast("long"))
+    return _key_cols(df, keys)
+
+
+def _by_slice(reverse: bool) -> Column:
+    return F.col(_S).desc() if reverse else F.col(_S).asc()
 
 
 def _ordering(order: Sequence[str], reverse: bool) -> list[Column]:
@@ -94,7 +101,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             df = df.withColumn(f"{prefix}{i}", F.lag(value, i).over(w))
         return df
 
-    src, kc = _sliced(df, keys, slice_col, reverse)
+    src, kc = _sliced(df, keys, slice_col)
     w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, reverse))
     base = src.withColumn("_pos", F.row_number().over(w))
     for i in range(1, n + 1):
@@ -106,7 +113,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         pick = F.min_by if reverse else F.max_by
         key = F.struct(*[F.col(o) for o in order])
         last = src.groupBy(*kc, _S).agg(pick(value, key).alias("_t"))
-        carry = last.select(*kc, _S, F.array(F.lag("_t", 1).over(Window.partitionBy(*kc).orderBy(_S)))
+        carry = last.select(*kc, _S, F.array(F.lag("_t", 1).over(Window.partitionBy(*kc).orderBy(_by_slice(reverse))))
                             .alias("_carry"))
     else:
         # Last n rows of every slice (first n when reversed), nearest-to-the-end
@@ -121,7 +128,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 .select(*kc, _S, F.transform("_t", lambda x: x["v"]).alias("_t")))
         # Carry: the n rows just before the slice, nearest first. Each non-empty
         # slice holds at least one row, so n earlier slices are always enough.
-        wk = Window.partitionBy(*kc).orderBy(_S).rowsBetween(-n, -1)
+        wk = Window.partitionBy(*kc).orderBy(_by_slice(reverse)).rowsBetween(-n, -1)
         carry = tail.select(*kc, _S, F.slice(F.flatten(F.reverse(F.collect_list("_t").over(wk))), 1, n)
                             .alias("_carry"))
 
@@ -138,38 +145,64 @@ _MERGE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
 _COMBINE = {"min": F.least, "max": F.greatest}
 
 
+@dataclass(frozen=True)
+class Running:
+    """``name`` = running ``fn`` (min, max, sum, count) of ``value`` over the rows
+    before each row (after it when ``reverse``), optionally including it."""
+
+    name: str
+    value: Column
+    fn: str
+    include_current: bool = True
+    reverse: bool = False
+
+
+def with_runnings(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequence[Running],
+                  slice_col: Column | None = None) -> DataFrame:
+    """Add several running values in one pass: one shuffle by (key, slice), one
+    summary per slice, one carry join, whatever the number and directions."""
+    agg = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
+
+    def frame(w, spec):
+        return w.rowsBetween(Window.unboundedPreceding, Window.currentRow if spec.include_current else -1)
+
+    if slice_col is None:
+        for s in specs:
+            df = df.withColumn(s.name, agg[s.fn](s.value).over(frame(_spec(keys).orderBy(*_ordering(order, s.reverse)), s)))
+        return df
+
+    src, kc = _sliced(df, keys, slice_col)
+    base, totals, carries = src, [], []
+    for i, s in enumerate(specs):
+        w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, s.reverse))
+        base = base.withColumn(f"_in{i}", agg[s.fn](s.value).over(frame(w, s)))
+        # one total per slice: a partial aggregate before its (small) shuffle
+        totals.append(agg[s.fn](s.value).alias(f"_tot{i}"))
+        wk = Window.partitionBy(*kc).orderBy(_by_slice(s.reverse)).rowsBetween(Window.unboundedPreceding, -1)
+        carries.append(_MERGE[s.fn](f"_tot{i}").over(wk).alias(f"_carry{i}"))
+    carry = src.groupBy(*kc, _S).agg(*totals).select(*kc, _S, *carries)
+    out = base.join(carry, on=[*kc, _S], how="left")
+    for i, s in enumerate(specs):
+        here, before = F.col(f"_in{i}"), F.col(f"_carry{i}")
+        if s.fn in _COMBINE:
+            res = _COMBINE[s.fn](here, before)
+        elif s.fn == "count":
+            res = here + F.coalesce(before, F.lit(0))
+        else:
+            res = F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
+        out = out.withColumn(s.name, res)
+    return out.drop(*kc, _S, *[f"_{x}{i}" for x in ("in", "carry") for i in range(len(specs))])
+
+
 def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
                  fn: str, name: str, *, include_current: bool = True, reverse: bool = False,
                  slice_col: Column | None = None) -> DataFrame:
-    """Add ``name`` = running ``fn`` (min, max, sum, count) of ``value`` over the
-    rows before each row (after it when ``reverse``), optionally including it.
+    """One :class:`Running` value.
 
     Reverse running min over later rows of ``when(cond, struct(ts, id, ...))``
     gives "the next row satisfying cond"; forward max gives "the previous one".
     """
-    agg = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}[fn]
-    upper = Window.currentRow if include_current else -1
-    if slice_col is None:
-        w = _spec(keys).orderBy(*_ordering(order, reverse)).rowsBetween(Window.unboundedPreceding, upper)
-        return df.withColumn(name, agg(value).over(w))
-
-    src, kc = _sliced(df, keys, slice_col, reverse)
-    w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, reverse))
-    base = src.withColumn("_in", agg(value).over(w.rowsBetween(Window.unboundedPreceding, upper)))
-    # One total per slice: a partial aggregate before its (small) shuffle.
-    summary = src.groupBy(*kc, _S).agg(agg(value).alias("_tot"))
-    wk = Window.partitionBy(*kc).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*kc, _S, _MERGE[fn]("_tot").over(wk).alias("_carry"))
-    out = base.join(carry, on=[*kc, _S], how="left")
-    if fn in _COMBINE:
-        res = _COMBINE[fn](F.col("_in"), F.col("_carry"))
-    elif fn == "count":
-        res = F.col("_in") + F.coalesce(F.col("_carry"), F.lit(0))
-    else:
-        res = F.when(F.col("_in").isNull(), F.col("_carry")) \
-               .when(F.col("_carry").isNull(), F.col("_in")) \
-               .otherwise(F.col("_in") + F.col("_carry"))
-    return out.withColumn(name, res).drop(*kc, _S, "_in", "_carry")
+    return with_runnings(df, keys, order, [Running(name, value, fn, include_current, reverse)], slice_col)
 
 
 def next_where(df: DataFrame, keys: Sequence[str], order: Sequence[str], cond: Column,
@@ -191,34 +224,6 @@ def prev_where(df: DataFrame, keys: Sequence[str], order: Sequence[str], cond: C
                         reverse=False, slice_col=slice_col)
 
 
-# Candidate slice lengths, longest first, and the row budget of one (key, slice).
-SLICE_CANDIDATES = ("1 day", "1 hour", "10 minutes", "1 minute", "10 seconds", "1 second")
-SLICE_TARGET_ROWS = 4_000_000
-
-
-def choose_slice(df: DataFrame, keys: Sequence[str], ts: str,
-                 target_rows: int = SLICE_TARGET_ROWS) -> str | None:
-    """Slice length for the sliced plans, from the data: ``None`` (plain
-    per-key window) when even the busiest key fits in ``target_rows``; else the
-    longest candidate slice whose busiest (key, slice) stays within the budget,
-    judged from the busiest (key, day).
-
-    One job of two chained aggregates (partial aggregation, two numbers to the
-    driver); callers memoize it per table, like table statistics.
-    """
-    from eventide.functions.timefn import duration_us
-
-    per_day = df.groupBy(*keys, F.to_date(F.col(ts)).alias("_day")).count()
-    per_key = per_day.groupBy(*keys).agg(F.sum("count").alias("_n"), F.max("count").alias("_d"))
-    busiest_key, busiest_day = per_key.agg(F.max("_n"), F.max("_d")).first()
-    if (busiest_key or 0) <= target_rows:
-        return None
-    for c in SLICE_CANDIDATES:
-        if busiest_day * duration_us(c) / duration_us("1 day") <= target_rows:
-            return c
-    return SLICE_CANDIDATES[-1]
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
                    extra: Sequence[str] = ()) -> DataFrame:
     """Join on ``keys`` (plus ``extra`` plain columns) where NULL keys match

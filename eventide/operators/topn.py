@@ -7,13 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+GROUP_LIMIT = 1000     # of Spark's spark.sql.optimizer.windowGroupLimitThreshold
+SALTS = 64
+
+
 def topn_per_group(df: DataFrame, group: Sequence[str], n: int, score: str,
                    tiebreak: Sequence[str], rank: str = "rank") -> DataFrame:
     """Keep the ``n`` rows with the highest ``score`` per group; ties by ``tiebreak`` ascending.
 
     ``row_number() <= n`` is planned as a partial ``WindowGroupLimit`` before
-    the shuffle, so each map task ships at most ``n`` rows per group.
+    the shuffle, so each map task ships at most ``n`` rows per group. Spark does
+    so up to ``GROUP_LIMIT``; for a larger ``n`` the rows of a group are first
+    limited in ``SALTS`` parts, by hash, so no task gets a whole hot group.
     """
+    if n > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*tiebreak, score), F.lit(SALTS))
+        w = Window.partitionBy(*group, part).orderBy(F.col(score).desc(), *[F.col(t).asc() for t in tiebreak])
+        df = df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n).drop(rank)
     w = Window.partitionBy(*group).orderBy(F.col(score).desc(), *[F.col(t).asc() for t in tiebreak])
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 

@@ -21,28 +21,20 @@ def prop_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-# Per-key sequences run as one window per key while every key fits in one
-# task, and per (key, time slice), stitched, once a key does not; see
-# eventide.operators.sequence. The choice and the slice length come from the
-# measured density of the table (busiest key, busiest key-day), memoized per
-# table and key set: plain windows at the test scales, minutes when one key
-# carries billions of rows.
-_SLICES: dict[tuple, str | None] = {}
-
-
-def seq_slice_size(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("user_id",),
-                   ts: str = "ts", table_name: str = "events") -> str | None:
-    from eventide.operators.sequence import choose_slice
-    memo = (sf_dir.rstrip("/"), table_name, tuple(keys), ts)
-    if memo not in _SLICES:
-        _SLICES[memo] = choose_slice(table(spark, sf_dir, table_name), list(keys), ts)
-    return _SLICES[memo]
-
-
-def seq_slice(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("user_id",),
-              ts: str = "ts", table_name: str = "events") -> Column | None:
-    size = seq_slice_size(spark, sf_dir, keys, ts, table_name)
-    return None if size is None else slice_id(ts, size)
+# Per-key sequences always run per (key, time slice), stitched at the slice
+# boundaries (eventide.operators.sequence): one plan at every scale. The length
+# of a slice is a parameter of the session: long enough that a slice holds many
+# rows of a usual key, short enough that one slice of the busiest key fits a
+# task (a key with a million rows a second wants "1 second").
+SEQ_SLICE = "6 hours"
+
+
+def seq_slice_size(spark: SparkSession) -> str:
+    return spark.conf.get("eventide.sequence.slice", SEQ_SLICE)
+
+
+def seq_slice(spark: SparkSession, ts: str = "ts") -> Column:
+    return slice_id(ts, seq_slice_size(spark))
 
 
 # DuckDB side: the same id from props.

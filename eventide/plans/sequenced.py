@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession, functions as F
 from eventide.functions.timefn import duration_us
 from eventide.operators.patterns import (consecutive, followed_by, followed_by_any, missing_followup,
                                          next_pairs, not_followed_by, not_next, rate_cap, rising_alert,
-                                         rising_alert_rows, split_late)
+                                         rising_alert_chain, rising_alert_rows, split_late)
 from eventide.plans.inputs import events, seq_slice, seq_slice_size
 from eventide.plans.registry import register
 from eventide.plans.windowed import CAP_KEYS, CAP_MAX, SQL_CAP_PASSED, SQL_CAP_RANKED
@@ -30,8 +30,7 @@ def _ev(spark, sf_dir):
           f"WHERE epoch_us(mx) - epoch_us(ts) > {2 * HOUR}")
 def late_rows(spark: SparkSession, sf_dir: str):
     ev = _ev(spark, sf_dir).withColumn("arrival", F.timestamp_add("HOUR", F.col("event_id") % 5, F.col("ts")))
-    # arrival = ts + 0..4 h, so the density of ts sizes the arrival slices
-    _, late = split_late(ev, "ts", "2 hours", ["arrival", "event_id"], slice_size=seq_slice_size(spark, sf_dir, ()))
+    _, late = split_late(ev, "ts", "2 hours", ["arrival", "event_id"], slice_size=seq_slice_size(spark))
     return late.select("event_id", "user_id", "ts", "arrival")
 
 
@@ -65,7 +64,7 @@ _SQL_RISE_SEGS = (
 @register("rising_alert", _SQL_RISE_SEGS + "SELECT user_id, run_start, alert_ts FROM a")
 def rising_alert_q(spark: SparkSession, sf_dir: str):
     return rising_alert(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours",
-                        slice_col=seq_slice(spark, sf_dir))
+                        slice_col=seq_slice(spark))
 
 
 @register("rising_alert_rows",
@@ -74,10 +73,30 @@ def rising_alert_q(spark: SparkSession, sf_dir: str):
           "s.ts BETWEEN a.run_start AND a.alert_ts")
 def rising_alert_rows_q(spark: SparkSession, sf_dir: str):
     r = rising_alert_rows(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours",
-                          slice_col=seq_slice(spark, sf_dir))
+                          slice_col=seq_slice(spark))
     return r.select("user_id", "run_start", "alert_ts", "event_id", "ts", "value")
 
 
+_SQL_RISE_CHAIN = (
+    "WITH RECURSIVE p AS (SELECT user_id, ts, event_id, value, lag(value) OVER w AS pv FROM events " + W_USER +
+    "), s AS (SELECT *, sum(CASE WHEN value < pv THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, "
+    "event_id ROWS UNBOUNDED PRECEDING) AS seg FROM p), "
+    "r AS (SELECT user_id, seg, ts FROM s WHERE value > pv), "
+    "nf AS (SELECT user_id, seg - 1 AS seg, min(ts) AS next_fall FROM s GROUP BY user_id, seg), "
+    "chain(user_id, seg, ts) AS (SELECT user_id, seg, min(ts) FROM r GROUP BY user_id, seg "
+    "UNION ALL SELECT c.user_id, c.seg, (SELECT min(r.ts) FROM r WHERE r.user_id = c.user_id AND "
+    "r.seg = c.seg AND r.ts > c.ts + INTERVAL 5 HOUR) FROM chain c WHERE c.ts IS NOT NULL) "
+    "SELECT c.user_id, c.ts AS run_start, c.ts + INTERVAL 5 HOUR AS alert_ts FROM chain c LEFT JOIN nf "
+    "ON nf.user_id = c.user_id AND nf.seg = c.seg WHERE c.ts IS NOT NULL AND "
+    "(nf.next_fall IS NULL OR nf.next_fall > c.ts + INTERVAL 5 HOUR)")
+
+
+@register("rising_alert_repeat", _SQL_RISE_CHAIN)
+def rising_alert_repeat(spark: SparkSession, sf_dir: str):
+    """Alerts with re-arming: after an alert the run's next rise arms again."""
+    return rising_alert_chain(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", slice_size=seq_slice_size(spark))
+
+
 # ---------------------------------------------------------------- PAT4, STA3
 _NEXT_PAY = ("SELECT *, min(CASE WHEN event_type = 'purchase' THEN {'ts': ts, 'event_id': event_id} END) "
              "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) "
@@ -94,8 +113,8 @@ def _is(t: str):
           f"ELSE 'timeout' END AS result, CASE WHEN epoch_us(nx.ts) - epoch_us(ts) < {DAY} THEN nx.event_id END "
           f"AS pay_event_id FROM ({_NEXT_PAY}) WHERE event_type = 'signup'")
 def order_pay_result(spark: SparkSession, sf_dir: str):
-    r = followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day", 
-                   slice_col=seq_slice(spark, sf_dir))
+    r = followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day",
+                    slice_col=seq_slice(spark))
     return r.select("user_id", "event_id", "ts",
                     F.when(F.col("matched"), "success").otherwise("timeout").alias("result"),
                     F.when(F.col("matched"), F.col("follow.event_id")).alias("pay_event_id"))
@@ -105,8 +124,8 @@ def order_pay_result(spark: SparkSession, sf_dir: str):
           f"SELECT user_id, event_id, ts FROM ({_NEXT_PAY}) WHERE event_type = 'signup' AND "
           f"(nx IS NULL OR epoch_us(nx.ts) - epoch_us(ts) > {DAY})")
 def order_unpaid(spark: SparkSession, sf_dir: str):
-    r = missing_followup(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day", 
-                   slice_col=seq_slice(spark, sf_dir))
+    r = missing_followup(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("purchase"), "1 day",
+                    slice_col=seq_slice(spark))
     return r.select("user_id", "event_id", "ts")
 
 
@@ -120,17 +139,17 @@ _SQL_FAILS = (f"SELECT * FROM (SELECT user_id, event_id, ts, event_type, lag(eve
           f"SELECT user_id, pid AS first_event_id, pts AS first_ts, event_id AS second_event_id, ts AS second_ts "
           f"FROM ({_SQL_FAILS})")
 def login_fail_pairs(spark: SparkSession, sf_dir: str):
-    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour", 
-                   slice_col=seq_slice(spark, sf_dir))
+    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour",
+                    slice_col=seq_slice(spark))
     return r.select("user_id", F.col("prev1.event_id").alias("first_event_id"), F.col("prev1.ts").alias("first_ts"),
                     F.col("event_id").alias("second_event_id"), F.col("ts").alias("second_ts"))
 
 
 @register("login_fail_lists", f"SELECT user_id, [pid, event_id] AS event_ids, ts AS last_ts FROM ({_SQL_FAILS})")
 def login_fail_lists(spark: SparkSession, sf_dir: str):
-    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour", 
-                   slice_col=seq_slice(spark, sf_dir))
-    return r.select("user_id", F.array(F.col("prev1.event_id"), F.col("event_id")).alias("event_ids"),
+    r = consecutive(_ev(spark, sf_dir), "user_id", ORDER, _is("error"), 2, "1 hour",
+                    slice_col=seq_slice(spark), emit="list")
+    return r.select("user_id", F.transform("events", lambda e: e["event_id"]).alias("event_ids"),
                     F.col("ts").alias("last_ts"))
 
 
@@ -141,8 +160,8 @@ _IN_TIME = f"nts IS NOT NULL AND epoch_us(nts) - epoch_us(ts) < {5 * HOUR}"
 
 
 def _rise(spark, sf_dir):
-    return next_pairs(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours", 
-                   slice_col=seq_slice(spark, sf_dir))
+    return next_pairs(_ev(spark, sf_dir), "user_id", ORDER, "value", "5 hours",
+                    slice_col=seq_slice(spark))
 
 
 @register("rise_pairs",
@@ -176,8 +195,8 @@ def followed_by_any_q(spark: SparkSession, sf_dir: str):
           f"lead(event_type) OVER w AS nt FROM events {W_USER}) "
           f"WHERE event_type = 'signup' AND (nt IS NULL OR nt <> 'error')")
 def not_next_q(spark: SparkSession, sf_dir: str):
-    r = not_next(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), 
-                   slice_col=seq_slice(spark, sf_dir))
+    r = not_next(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"),
+                    slice_col=seq_slice(spark))
     return r.select("user_id", "event_id", "ts")
 
 
@@ -187,6 +206,6 @@ def not_next_q(spark: SparkSession, sf_dir: str):
           "FROM events WHERE event_type IN ('signup', 'error')) WHERE event_type = 'signup' AND "
           f"(ne IS NULL OR epoch_us(ne) - epoch_us(ts) >= {DAY})")
 def not_followed_by_q(spark: SparkSession, sf_dir: str):
-    r = not_followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), "1 day", 
-                   slice_col=seq_slice(spark, sf_dir))
+    r = not_followed_by(_ev(spark, sf_dir), "user_id", ORDER, _is("signup"), _is("error"), "1 day",
+                    slice_col=seq_slice(spark))
     return r.select("user_id", "event_id", "ts")

@@ -11,7 +11,7 @@ from eventide.plans.inputs import SQL_K, events, prop_k
 from eventide.session import scratch_path
 from eventide.sinks.bus import to_topic_frame
 from eventide.sinks.files import insert_csv
-from eventide.sources.bus import parse_csv_payload
+from eventide.sources.bus import decode_records, parse_csv_payload
 from eventide.sources.catalog import read_table, save_table
 from eventide.sources.files import register_csv_table, scan_access_log, scan_csv
 from eventide.plans.registry import register
@@ -139,15 +139,18 @@ def route_dim_fact(spark: SparkSession, sf_dir: str):
           "SELECT 'dwd' || event_type AS topic, CAST(NULL AS BLOB) IS NULL AS key_is_null, props AS value_text "
           "FROM events WHERE event_type NOT IN ('signup', 'error')")
 def dwd_topic_frame(spark: SparkSession, sf_dir: str):
-    ev = events(spark, sf_dir).select(F.col("event_type").alias("topic"), F.col("props").alias("value"))
-    _, fact = route(ev, "topic", DIM_TOPICS)
+    # bus records as they come (binary values), decoded, routed and framed again
+    raw = events(spark, sf_dir).select(F.col("event_type").alias("topic"), F.encode("props", "UTF-8").alias("value"))
+    _, fact = route(decode_records(raw), "topic", DIM_TOPICS)
     frame = to_topic_frame(fact)
     return frame.select("topic", F.col("key").isNull().alias("key_is_null"),
                         F.decode("value", "UTF-8").alias("value_text"))
 
 
 # ---------------------------------------------------------------- FLT3, FUN8
-_PAYLOAD = ("CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '[1]' WHEN 2 THEN '{\"k\": ' ELSE '' END")
+# every row's text is parsed: as it is, in an array, cut short, after blanks
+_PAYLOAD = ("CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '[' || props || ']' "
+            "WHEN 2 THEN substr(props, 1, length(props) - 1) ELSE '  ' || props END")
 
 
 @register("json_object_filter",

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession, functions as F
 
-from eventide.functions.timefn import duration_us, epoch_us
+from eventide.functions.timefn import duration_us, epoch_us, format_slash_time
 from eventide.operators.analytic import jump_flag, over_rows, running_min
 from eventide.operators.patterns import rate_cap
-from eventide.operators.sequence import with_running
 from eventide.operators.topn import render_report, topn_per_group
 from eventide.operators.windows import flag_repeats, unique_visitors, window_agg, window_count
 from eventide.plans.inputs import SQL_K, events, prop_k, seq_slice
@@ -117,11 +116,11 @@ _GEO = f"SELECT ts, user_id % 7 AS province FROM ({SQL_CAP_PASSED})"
 @register("geo_click_counts",
           f"SELECT make_timestamp(_ws + {duration_us('60 minutes')}) AS window_end, "
           f"strftime(make_timestamp(_ws + {duration_us('60 minutes')}), '%Y/%m/%d-%H:%M:%S') AS window_end_text, "
-          f"province, count(*) AS cnt FROM {sql_sliding(_GEO, '60 minutes', '1 minute')} GROUP BY _ws, province")
+          f"province, count(*) AS cnt FROM {sql_sliding(_GEO, '60 minutes', '5 seconds')} GROUP BY _ws, province")
 def geo_click_counts(spark: SparkSession, sf_dir: str):
     rows = cap_passed(spark, sf_dir).select("ts", (F.col("user_id") % 7).alias("province"))
-    c = window_count(rows, ["province"], "ts", "60 minutes", "1 minute")
-    return c.select("window_end", F.date_format("window_end", "yyyy/MM/dd-HH:mm:ss").alias("window_end_text"),
+    c = window_count(rows, ["province"], "ts", "60 minutes", "5 seconds")
+    return c.select("window_end", format_slash_time(F.col("window_end")).alias("window_end_text"),
                     "province", "cnt")
 
 
@@ -172,11 +171,9 @@ def sliding_min(spark: SparkSession, sf_dir: str):
           "FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def running_min_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    sl = seq_slice(spark, sf_dir)
-    r = running_min(ev, "user_id", ORDER, "value", slice_col=sl)
-    # The reduce keeps the first row's timestamp and zeroes it afterwards:
-    # the first row is the one with no earlier row of its key.
-    r = with_running(r, ["user_id"], ORDER, F.lit(1), "count", "_before", include_current=False, slice_col=sl)
+    # The reduce keeps the first row's timestamp and zeroes it afterwards: the
+    # first row is the one with no earlier row of its key. Both in one pass.
+    r = running_min(ev, "user_id", ORDER, "value", slice_col=seq_slice(spark), before="_before")
     r = r.withColumn("ts_ms", F.when(F.col("_before") == 0, F.floor(epoch_us("ts") / 1000)).otherwise(0)
                      .cast("long"))
     return r.select("event_id", "user_id", "ts_ms", "running_min")
@@ -200,9 +197,7 @@ def unique_visitors_q(spark: SparkSession, sf_dir: str):
           "FROM events")
 def flag_repeats_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts", F.to_date("ts").alias("day"))
-    # density of (user, type) bounds that of (user, type, day)
-    r = flag_repeats(ev, ["user_id", "event_type", "day"], ORDER,
-                     slice_col=seq_slice(spark, sf_dir, ("user_id", "event_type")))
+    r = flag_repeats(ev, ["user_id", "event_type", "day"], ORDER, slice_col=seq_slice(spark))
     return r.select("event_id", "user_id", "event_type", "day", "seen_before")
 
 
@@ -213,7 +208,7 @@ def flag_repeats_q(spark: SparkSession, sf_dir: str):
           "ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
 def over_last3(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    r = over_rows(ev, "user_id", ORDER, "value", preceding=2, slice_col=seq_slice(spark, sf_dir))
+    r = over_rows(ev, "user_id", ORDER, "value", preceding=2, slice_col=seq_slice(spark))
     return r.select("event_id", "user_id", "cnt", F.round("avg", 4).alias("avg_value"))
 
 
@@ -224,5 +219,5 @@ def over_last3(spark: SparkSession, sf_dir: str):
           "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def jump_flag_q(spark: SparkSession, sf_dir: str):
     ev = events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
-    r = jump_flag(ev, "user_id", ORDER, "value", 5.0, slice_col=seq_slice(spark, sf_dir))
+    r = jump_flag(ev, "user_id", ORDER, "value", 5.0, slice_col=seq_slice(spark))
     return r.select("event_id", "user_id", "value", "prev_value", "jumped")

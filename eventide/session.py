@@ -49,7 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is
-    unset, as in local tests, a fresh local folder is created and registered.
+    unset and the master is local, as in tests, a fresh local folder is created
+    and registered; on a cluster that is an error, since executors do not share
+    local folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -57,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not (spark.sparkContext.master or "").startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

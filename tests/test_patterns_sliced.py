@@ -143,7 +143,7 @@ def _brute_chain(rows, hold_s):
 def test_rising_alert_chain_brute_force(ev, size):
     from eventide.operators.patterns import rising_alert_chain
     d = ev.where(F.col("k").isNotNull())
-    got = rising_alert_chain(d, "k", ORDER, "v", "2 hours", slice_col=None if size is None else slice_id("ts", size))
+    got = rising_alert_chain(d, "k", ORDER, "v", "2 hours", slice_size=size)
     rows = sorted(d.collect(), key=lambda r: (r.k, r.ts, r.id))
     want = _brute_chain(rows, 7200)
     assert sorted(((r.k, r.run_start, r.alert_ts) for r in got.collect()), key=repr) == want and want

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions.timefn import slice_id
-from eventide.operators.sequence import next_where, prev_where, with_neighbours, with_running
+from eventide.operators.sequence import Running, next_where, prev_where, with_neighbours, with_running, with_runnings
 
 
 @pytest.fixture(scope="module")
@@ -74,11 +74,41 @@ def test_next_where_brute_force(seq):
     assert {r.id: (r.m.id if r.m else None) for r in got.collect()} == expect
 
 
-def test_choose_slice_follows_density(seq):
-    from eventide.operators.sequence import choose_slice
-    assert choose_slice(seq, ["k"], "ts") is None                        # every key fits one task
-    # the hot key has ~300 rows, ~100 on its busiest day: with a budget of
-    # 200 rows a day fits; of 10 rows one hour (~4 rows) fits and a day does not
-    assert choose_slice(seq, ["k"], "ts", target_rows=200) == "1 day"
-    assert choose_slice(seq, ["k"], "ts", target_rows=10) == "1 hour"
-    assert choose_slice(seq, ["k"], "ts", target_rows=1) == "10 minutes"
+def test_several_running_values_in_one_pass(seq):
+    specs = [Running("a", F.col("v"), "min"), Running("b", F.lit(1), "count", include_current=False),
+             Running("c", F.col("v"), "max", include_current=False, reverse=True)]
+    plain = with_runnings(seq, ["k"], ["ts", "id"], specs)
+    sliced = with_runnings(seq, ["k"], ["ts", "id"], specs, slice_id("ts", "1 hour"))
+    assert _rows(plain, ["id", "a", "b", "c"]) == _rows(sliced, ["id", "a", "b", "c"])
+    # the rows once, and three small ones for the summaries
+    assert sliced._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 4
+
+
+def test_burst_of_one_key_is_dealt_over_its_slices(spark):
+    """One key, all rows inside one second: slices of milliseconds spread it."""
+    rows = [(i, i * 7919 % 100_000) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, us long").select(
+        "id", F.lit(1).alias("k"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, us * 1e-5)").alias("ts"))
+    size = slice_id("ts", "10 milliseconds")
+    assert df.groupBy(size).count().agg(F.max("count")).first()[0] <= 40      # no task gets a long run
+    plain = with_neighbours(df, ["k"], ["ts", "id"], ["id"])
+    sliced = with_neighbours(df, ["k"], ["ts", "id"], ["id"], slice_col=size)
+    assert _rows(plain, ["id", "prev1"]) == _rows(sliced, ["id", "prev1"])
+
+
+def test_no_job_while_a_query_is_built_and_no_single_partition(spark):
+    from conftest import SF001
+    from eventide.plans import QUERIES
+    tracker = spark.sparkContext.statusTracker()
+    spark.read.parquet(f"{SF001}/events.parquet").schema
+    for name in ("late_rows", "over_last3", "running_min", "rise_pairs", "not_followed_by"):
+        df = QUERIES[name](spark, SF001)
+        assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString(), name
+    spark.sparkContext.setJobGroup("building", "queries being built")
+    try:
+        for name in ("late_rows", "over_last3", "rising_alert"):
+            QUERIES[name](spark, SF001)
+        jobs = [j for j in tracker.getJobIdsForGroup("building")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 3      # at most the schema of the file, once a query
