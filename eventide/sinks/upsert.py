@@ -9,10 +9,11 @@ doubles an update.
 
 Layout: ``<root>/v=<batch id>/_b=<bucket>/part-*.parquet`` holds the buckets a
 batch rewrote; ``<root>/_manifest/v=<batch id>`` maps every bucket to the
-directory of its newest version after that batch (at most ``buckets`` rows).
-A batch is committed once its manifest is written, so reading the snapshot
-costs one listing of the manifest folder and one small read, however long the
-stream has run.
+directory of its newest version and its row count after that batch. A batch is
+committed once its manifest is written; a reader looks for the newest
+committed one from the top. When a bucket outgrows ``keys_per_bucket`` the next
+batch doubles their number and rewrites all. Versions that none of the newest
+``RETAIN`` manifests points to are removed.
 """
 
 from __future__ import annotations
@@ -22,10 +23,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 BUCKET = "_b"
-# Snapshot buckets are sized when the snapshot is created: about this many keys
-# per bucket (one bucket's rewrite is one task), between 1 and MAX_BUCKETS.
-KEYS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+BUCKETS = 16                  # of a new snapshot
+KEYS_PER_BUCKET = 2_000_000   # rows at which the number of buckets doubles
+RETAIN = 5                    # committed versions that stay readable
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -45,26 +45,40 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def _latest_manifest(spark: SparkSession, root: str) -> int | None:
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the manifests, newest first."""
     fs, path = _fs(spark, f"{root}/_manifest")
     if not fs.exists(path):
-        return None
-    done = [int(st.getPath().getName()[2:]) for st in fs.listStatus(path)
-            if st.getPath().getName().startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS"))]
-    return max(done) if done else None
+        return []
+    return sorted((int(st.getPath().getName()[2:]) for st in fs.listStatus(path)
+                   if st.getPath().getName().startswith("v=")), reverse=True)
+
+
+def _latest_manifest(spark: SparkSession, root: str) -> int | None:
+    for v in _versions(spark, root):     # the first is committed unless its batch is under way
+        fs, path = _fs(spark, f"{root}/_manifest/v={v}/_SUCCESS")
+        if fs.exists(path):
+            return v
+    return None
 
 
-def _manifest(spark: SparkSession, root: str) -> tuple[dict[int, str], int | None]:
-    """(bucket -> path of its newest committed version, bucket count) from the latest manifest."""
+def _manifest(spark: SparkSession, root: str) -> dict[int, tuple[str, int]]:
+    """bucket -> (path of its newest committed version, rows)."""
     v = _latest_manifest(spark, root)
     if v is None:
-        return {}, None
-    rows = spark.read.parquet(f"{root}/_manifest/v={v}").collect()  # at most `buckets` rows
-    return {r["bucket"]: r["path"] for r in rows}, (rows[0]["buckets"] if rows else None)
+        return {}
+    rows = spark.read.parquet(f"{root}/_manifest/v={v}").collect()  # one row per bucket
+    return {r["bucket"]: (r["path"], r["rows"]) for r in rows}
+
+
+def _bucket_count(current: dict[int, tuple[str, int]], asked: int | None, keys_per_bucket: int) -> int:
+    """Every manifest lists all its buckets, so their number is the map's size."""
+    n = len(current) or asked or BUCKETS
+    return n * 2 if current and max(rows for _, rows in current.values()) > keys_per_bucket else n
 
 
 def _committed(spark: SparkSession, root: str) -> dict[int, str]:
-    return _manifest(spark, root)[0]
+    return {b: path for b, (path, _) in _manifest(spark, root).items() if path}
 
 
 def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame | None:
@@ -79,47 +93,71 @@ def read_snapshot(spark: SparkSession, root: str, schema=None) -> DataFrame | No
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[str],
-                 root: str, buckets: int | None = None) -> None:
+                 root: str, buckets: int | None = None, keys_per_bucket: int = KEYS_PER_BUCKET,
+                 retain: int = RETAIN) -> None:
     """Merge one batch into the snapshot at ``root`` (the ``foreachBatch`` body).
 
-    ``buckets`` fixes the bucket count of a new snapshot; by default it is
-    sized from the first batch (``approx_count_distinct`` of the keys). An
-    existing snapshot keeps the count its manifest records."""
+    ``buckets`` is their number in a new snapshot (it grows by doubling). The
+    batch is first reduced to its last row per key, with a partial limit on the
+    map side; those rows and the touched buckets then shuffle once, by bucket,
+    and are ranked inside (bucket, key)."""
     spark = batch.sparkSession
     fs, path = _fs(spark, f"{root}/_manifest/v={batch_id}")
     if fs.exists(path.suffix("/_SUCCESS")):
         return  # replay of a committed batch
-    cols = batch.columns
-    current, recorded = _manifest(spark, root)
-    if recorded is not None:
-        buckets = recorded
-    elif buckets is None:
-        est = batch.agg(F.approx_count_distinct(F.struct(*keys))).first()[0] or 0
-        buckets = int(min(MAX_BUCKETS, max(1, -(-est // KEYS_PER_BUCKET))))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    new = batch.withColumn(BUCKET, bucket)
-    # at most `buckets` values: a hash aggregate over the key columns only
-    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-    old_paths = [current[b] for b in touched if b in current]
-    merged = new
-    if old_paths:
-        old = spark.read.schema(batch.select(*cols).schema).parquet(*old_paths).withColumn(BUCKET, bucket)
-        merged = old.unionByName(new)
-    # one de-duplication over old snapshot rows and the raw batch together
-    out = latest_per_key(merged, keys, order)
-    out.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/v={batch_id}")
-    # commit: the new bucket map, written after the data
-    fresh = {b: f"{root}/v={batch_id}/{BUCKET}={b}" for b in touched}
-    mapping = [(b, p, buckets) for b, p in sorted({**current, **fresh}.items())]
-    (spark.createDataFrame(mapping, "bucket int, path string, buckets int").coalesce(1)
+    current = _manifest(spark, root)
+    n = _bucket_count(current, buckets, keys_per_bucket)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int")
+    new = latest_per_key(batch, keys, order).withColumn(BUCKET, bucket).persist()
+    try:
+        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]    # at most n numbers
+        grown = bool(current) and n != len(current)
+        old_paths = [p for b, (p, _) in current.items() if p and (grown or b in touched)]
+        merged = new
+        if old_paths:
+            old = spark.read.schema(batch.schema).parquet(*old_paths).withColumn(BUCKET, bucket)
+            merged = old.unionByName(new)
+        w = Window.partitionBy(BUCKET, *keys).orderBy(*[F.col(o).desc() for o in order])
+        (merged.repartition(BUCKET).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+               .write.mode("overwrite").partitionBy(BUCKET).parquet(f"{root}/v={batch_id}"))
+    finally:
+        new.unpersist()
+    # commit: the new bucket map, written after the data (row counts from the files' footers)
+    rows = {}
+    if touched or grown:
+        written = spark.read.schema(f"{BUCKET} int").parquet(f"{root}/v={batch_id}")
+        rows = {r[BUCKET]: r["count"] for r in written.groupBy(BUCKET).count().collect()}
+    mapping = []
+    for b in range(n):
+        path_rows = (f"{root}/v={batch_id}/{BUCKET}={b}", rows[b]) if b in rows else current.get(b, (None, 0)) if not grown else (None, 0)
+        mapping.append((b, *path_rows))
+    (spark.createDataFrame(mapping, "bucket int, path string, rows long").coalesce(1)
           .write.mode("overwrite").parquet(f"{root}/_manifest/v={batch_id}"))
+    _expire(spark, root, retain)
+
+
+def _expire(spark: SparkSession, root: str, retain: int) -> None:
+    """Remove versions behind the newest ``retain`` manifests."""
+    versions = _versions(spark, root)
+    kept = versions[:max(1, retain)]
+    if len(kept) == len(versions):
+        return
+    used = {int(p.split("/v=")[-1].split("/")[0]) for v in kept
+            for p, in spark.read.parquet(f"{root}/_manifest/v={v}").where("path IS NOT NULL").select("path").collect()}
+    fs, path = _fs(spark, root)
+    old = [int(st.getPath().getName()[2:]) for st in fs.listStatus(path) if st.getPath().getName().startswith("v=")]
+    for folder in [*(f"{root}/_manifest/v={v}" for v in versions[len(kept):]),
+                   *(f"{root}/v={v}" for v in old if v not in used and v < kept[-1])]:
+        fs, path = _fs(spark, folder)
+        fs.delete(path, True)
 
 
 def stream_upsert(df: DataFrame, keys: Sequence[str], order: Sequence[str], root: str,
-                  checkpoint: str, buckets: int | None = None, trigger: dict | None = None):
+                  checkpoint: str, buckets: int | None = None, trigger: dict | None = None,
+                  keys_per_bucket: int = KEYS_PER_BUCKET, retain: int = RETAIN):
     """Start a streaming query that upserts every micro-batch into ``root``."""
     w = (df.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda b, i: upsert_batch(b, i, keys, order, root, buckets)))
+         .foreachBatch(lambda b, i: upsert_batch(b, i, keys, order, root, buckets, keys_per_bucket, retain)))
     if trigger:
         w = w.trigger(**trigger)
     return w.start()

@@ -3,7 +3,8 @@
 Each micro-batch is persisted once and written twice: dimension rows are upserted
 into the keyed snapshot (SNK6 via SNK4) and fact rows become ``dwd<topic>``
 frames (SNK3), written to the bus when ``servers`` is given, else to a
-directory per batch. Both writes are idempotent by batch id.
+directory per batch. The snapshot and the directory are idempotent by batch id;
+the bus is at-least-once (a replayed batch sends its facts again).
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -39,7 +39,7 @@ def stream_window_count(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     ``pane=True``: two chained aggregates, panes of length ``slide`` first,
     then the windows over the pane ends (valid when slide divides size).
     ``keep_window=True`` keeps the ``window`` struct, which carries the event
-    time into a chained aggregate such as :func:`stream_topn`.
+    time into a chained aggregate.
     """
     if not pane or not slide:
         win = F.window(ts, size, slide) if slide else F.window(ts, size)
@@ -52,29 +52,53 @@ def stream_window_count(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     return out.select(*(["window"] if keep_window else []), *bounds, *keys, name)
 
 
-def stream_topn(counts: DataFrame, n: int, score: str, item: str) -> DataFrame:
-    """Top-n per window on a stream (TOP1/TOP2): a second aggregate on the
-    closed ``window`` (kept by ``stream_window_count(keep_window=True)``)
-    collects (-score, item) and keeps the first n (append mode). Ties go to the
-    smaller item, as in the batch form."""
-    group = "window_end"
-    ranked = (counts.groupBy(F.col("window"))
-              .agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("neg"), F.col(item).alias("it")))),
-                           1, n).alias("_top")))
-    return (ranked.select(F.col("window.end").alias(group), F.posexplode("_top").alias("_pos", "_e"))
-                  .select(group, (F.col("_pos") + 1).cast("bigint").alias("rank"), F.col("_e.it").alias(item),
-                          (-F.col("_e.neg")).alias(score)))
+def stream_window_agg(df: DataFrame, keys: Sequence[str], ts: str, size: str, slide: str | None = None,
+                      aggs: Sequence[tuple[str, str, str]] = (("cnt", "count", "*"),)) -> DataFrame:
+    """Windowed avg / min / max / sum / count on a watermarked stream (append
+    mode emits closed windows). The stream form of ``window_agg``'s plain plan:
+    the pane plan would group on a plain column, without a watermark."""
+    from eventide.operators.windows import window_agg
+    return window_agg(df, keys, ts, size, slide, aggs, plan="plain")
+
+
+def stream_topn(counts: DataFrame, n: int, score: str, item: str, write: Callable[[DataFrame, int], None],
+                checkpoint: str, group: str = "window_end", trigger: dict | None = None):
+    """Top-n per window on a stream (TOP1/TOP2), handed to ``write`` per batch.
+
+    ``counts`` emits each window's rows when it closes (append mode), all in one
+    micro-batch, so the batch operator ranks it: at most ``n`` rows per window
+    leave each task, however many items a window has. Ties go to the smaller
+    item, as in the batch form."""
+    from eventide.operators.topn import topn_per_group
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        top = topn_per_group(batch, [group], n, score, [item])
+        write(top.select(group, F.col("rank").cast("bigint").alias("rank"), item, score), batch_id)
+
+    w = counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(body)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
 
 
 def stream_unique_visitors(df: DataFrame, ts: str, user: str, size: str, name: str = "uv") -> DataFrame:
     """Distinct users per window on a stream (AGG12): de-duplicate (window,
     user) in state, then count per window; ``count(DISTINCT)`` is not allowed
     on streams."""
-    d = df.select(F.window(ts, size).alias("_w"), F.col(user)).dropDuplicates(["_w", user])
+    d = df.where(F.col(user).isNotNull()).select(F.window(ts, size).alias("_w"), F.col(user)).dropDuplicates(["_w", user])
     out = d.groupBy("_w").agg(F.count(F.lit(1)).alias(name))
     return out.select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), name)
 
 
+def stream_flag_repeats(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
+                        name: str = "seen_before") -> DataFrame:
+    """Streaming "seen before?" (AGG13): every row, in time order, with whether
+    its key occurred earlier; the state holds one flag per key."""
+    from eventide.streaming import processors as P
+    from eventide.streaming.rules import _key_fields
+    return P.run_ordered(df, list(keys), ts, tiebreak, [], P.RepeatProcessor(_key_fields(df, keys), name=name))
+
+
 def stream_flag_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Streaming "seen before?" (AGG13): keep only the first row per key
     within the watermark (later copies are the repeats)."""

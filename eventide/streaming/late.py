@@ -20,23 +20,23 @@ from eventide.operators.sequence import with_running
 
 
 def _read_max(spark, root: str, batch_id: int):
+    """Largest event time of all earlier batches; the first batch has none. A
+    missing or unreadable record of a later one is an error: taking it for
+    "nothing seen" would let late rows pass."""
     if batch_id <= 0:
         return None
-    try:
-        r = spark.read.parquet(f"{root}/batch={batch_id - 1}").first()
-    except Exception:  # no record: the previous batch never committed one
-        return None
-    return None if r is None else r[0]
+    return spark.read.schema("max_us long").parquet(f"{root}/batch={batch_id - 1}").first()[0]
 
 
 def split_late_batch(batch: DataFrame, batch_id: int, ts: str, delay: str, root: str,
                      arrival: Sequence[str] | None = None,
-                     arrival_slice: str = "1 hour") -> tuple[DataFrame, DataFrame]:
+                     arrival_slice: str = "1 second") -> tuple[DataFrame, DataFrame]:
     """(on_time, late) rows of one micro-batch; records the running maximum.
 
     Inside the batch the running maximum over arrival order is sliced by
-    ``arrival_slice`` (see :mod:`eventide.operators.sequence`), so a large
-    batch is not one task."""
+    ``arrival_slice`` (see :mod:`eventide.operators.sequence`): choose it well
+    below the time in which a batch arrives, so that it is spread over tasks.
+    The batch is read three times (maximum, on-time, late): persist it."""
     spark = batch.sparkSession
     prev = _read_max(spark, root, batch_id)
     us = epoch_us(F.col(ts))
@@ -57,12 +57,16 @@ def split_late_batch(batch: DataFrame, batch_id: int, ts: str, delay: str, root:
 
 def stream_split_late(df: DataFrame, ts: str, delay: str, root: str, checkpoint: str,
                       on_time: Callable[[DataFrame, int], None], late: Callable[[DataFrame, int], None],
-                      arrival: Sequence[str] | None = None, trigger: dict | None = None):
+                      arrival: Sequence[str] | None = None, trigger: dict | None = None, arrival_slice: str = "1 second"):
     """Start a query that hands each batch's on-time and late rows to two writers."""
     def body(batch: DataFrame, batch_id: int) -> None:
-        ok, lt = split_late_batch(batch, batch_id, ts, delay, root, arrival)
-        on_time(ok, batch_id)
-        late(lt, batch_id)
+        batch = batch.persist()
+        try:
+            ok, lt = split_late_batch(batch, batch_id, ts, delay, root, arrival, arrival_slice)
+            on_time(ok, batch_id)
+            late(lt, batch_id)
+        finally:
+            batch.unpersist()
 
     w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(body)
     if trigger:

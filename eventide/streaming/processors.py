@@ -143,8 +143,10 @@ class OrderedProcessor(StatefulProcessor):
 
 
 def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
-                payload: Sequence[Column], processor: OrderedProcessor) -> DataFrame:
-    """Group a watermarked stream by ``keys`` and run ``processor`` on it (append mode)."""
+                payload: Sequence[Column], processor: OrderedProcessor, event_time: str = "") -> DataFrame:
+    """Group a watermarked stream by ``keys`` and run ``processor`` on it (append
+    mode). ``event_time`` names the output column (TIMESTAMP) that carries the
+    event time and its watermark on, so that another stateful step can follow."""
     from eventide.session import ship_package
 
     spark = df.sparkSession
@@ -158,7 +160,7 @@ def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                     *payload)
     return inp.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output_schema(),
-        outputMode="Append", timeMode="EventTime")
+        outputMode="Append", timeMode="EventTime", eventTimeColumnName=event_time)
 
 
 def _next_second(t: np.ndarray, kind: np.ndarray, pend: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -178,20 +180,28 @@ def _next_second(t: np.ndarray, kind: np.ndarray, pend: list[tuple]) -> tuple[np
 class ClickCapProcessor(OrderedProcessor):
     """First ``max_count + 1`` rows per key and day pass; the next raises one
     warning; the count resets with the day (``day`` = day number in the cap's
-    zone). State of a finished day is dropped once the watermark passes it."""
+    zone). State of a finished day is dropped once the watermark passes it.
 
-    payload = [("day", "long")]
-    out_fields = [("output", "string"), ("event_id", "long"), ("t_us", "long"), ("day", "long")]
+    ``carry``: more columns (name, type) of the input that the output rows keep;
+    ``event_time``: name of an output column with the row's time as TIMESTAMP."""
 
-    def __init__(self, key_fields, max_count: int, ttl_ms: int | None = None):
+    def __init__(self, key_fields, max_count: int, ttl_ms: int | None = None,
+                 carry: Sequence[tuple[str, str]] = (), event_time: str = ""):
         super().__init__(key_fields, ttl_ms)
-        self.max_count = max_count
+        self.max_count, self.event_time = max_count, event_time
+        self.payload = [("day", "long"), *carry]
+        self.out_fields = [("output", "string"), ("event_id", "long"), ("t_us", "long"), ("day", "long"), *carry,
+                           *([(event_time, "timestamp")] if event_time else [])]
+
+    def _row(self, output, i, t, day, more):
+        at = [pd.Timestamp(t, unit="us", tz="UTC")] if self.event_time else []
+        return (output, i, t, day, *more, *at)
 
     def setup(self, handle):
         self.st = self.value_state("cap", "day long, n long, warned boolean")
 
     def step(self, key, r):
-        t, i, day = r
+        t, i, day, *more = r
         s = self.st.get() if self.st.exists() else None
         if s is None or s[0] != day:
             s = (day, 0, False)
@@ -199,9 +209,9 @@ class ClickCapProcessor(OrderedProcessor):
         n, warned = s[1] + 1, s[2]
         out = []
         if n <= self.max_count + 1:
-            out.append(("pass", i, t, day))
+            out.append(self._row("pass", i, t, day, more))
         elif not warned:
-            out.append(("warn", i, t, day))
+            out.append(self._row("warn", i, t, day, more))
             warned = True
         self.st.update((day, n, warned))
         return out
@@ -209,7 +219,7 @@ class ClickCapProcessor(OrderedProcessor):
     def process_due(self, key, due):
         if self.ttl_us is not None:
             return super().process_due(key, due)
-        t, i, day = (np.asarray(c) for c in zip(*due))
+        t, i, day = (np.array([r[c] for r in due]) for c in range(3))
         s = self.st.get() if self.st.exists() else None
         out = []
         # rows are in time order, so days form runs; each run continues or resets the count
@@ -221,11 +231,11 @@ class ClickCapProcessor(OrderedProcessor):
                 self.handle.registerTimer((d + 1) * 86_400_000 + 1)
             rank = n0 + np.arange(1, b - a + 1)
             keep = np.flatnonzero(rank <= self.max_count + 1) + a
-            out += [("pass", int(i[j]), int(t[j]), d) for j in keep]
+            out += [self._row("pass", int(i[j]), int(t[j]), d, due[j][3:]) for j in keep.tolist()]
             over = np.flatnonzero(rank > self.max_count + 1)
             if not warned and len(over):
                 j = int(over[0]) + a
-                out.append(("warn", int(i[j]), int(t[j]), d))
+                out.append(self._row("warn", int(i[j]), int(t[j]), d, due[j][3:]))
                 warned = True
             s = (d, int(n0 + (b - a)), warned)
         self.st.update(s)
@@ -308,14 +318,16 @@ class MissingFollowupProcessor(OrderedProcessor):
 # ---------------------------------------------------------------- PAT1
 class ConsecutiveProcessor(OrderedProcessor):
     """Emit the last row of ``times`` consecutive rows with ``c`` true, the
-    first within ``within_us`` of the last (strict)."""
+    first within ``within_us`` of the last (strict); ``emit='list'`` adds the
+    ids of all matched rows in order (bounded by ``times``)."""
 
     payload = [("c", "boolean")]
-    out_fields = [("first_event_id", "long"), ("first_t_us", "long"), ("event_id", "long"), ("t_us", "long")]
 
-    def __init__(self, key_fields, times: int, within_us: int, ttl_ms: int | None = None):
+    def __init__(self, key_fields, times: int, within_us: int, ttl_ms: int | None = None, emit: str = "last"):
         super().__init__(key_fields, ttl_ms)
-        self.times, self.within = times, within_us
+        self.times, self.within, self.emit = times, within_us, emit
+        self.out_fields = [("first_event_id", "long"), ("first_t_us", "long"), ("event_id", "long"), ("t_us", "long"),
+                           *([("event_ids", "array<long>")] if emit == "list" else [])]
 
     def setup(self, handle):
         self.last = self.list_state("last", "t long, id long, c boolean")
@@ -326,7 +338,7 @@ class ConsecutiveProcessor(OrderedProcessor):
         out = []
         if (c and len(prev) == self.times - 1 and all(p[2] for p in prev)
                 and t - prev[0][0] < self.within):
-            out.append((prev[0][1], prev[0][0], i, t))
+            out.append((prev[0][1], prev[0][0], i, t, *([[*(p[1] for p in prev), i]] if self.emit == "list" else [])))
         keep = (prev + [(t, i, bool(c))])[-(self.times - 1):]
         self.last.put(keep)
         return out
@@ -344,11 +356,30 @@ class ConsecutiveProcessor(OrderedProcessor):
         j = np.arange(max(len(prev), n - 1), m)          # due rows with n-1 rows before them
         first = j - (n - 1)
         ok = (cs[j + 1] - cs[first] == n) & (t[j] - t[first] < self.within)
-        out = [(int(ids[a]), int(t[a]), int(ids[b]), int(t[b])) for a, b in zip(first[ok], j[ok])]
+        out = [(int(ids[a]), int(t[a]), int(ids[b]), int(t[b]), *([ids[a:b + 1].tolist()] if self.emit == "list" else []))
+               for a, b in zip(first[ok], j[ok])]
         self.last.put([(int(t[x]), int(ids[x]), bool(c[x])) for x in range(max(0, m - (n - 1)), m)])
         return out
 
 
+# ---------------------------------------------------------------- AGG13
+class RepeatProcessor(OrderedProcessor):
+    """Every row with whether its key occurred before it."""
+
+    def __init__(self, key_fields, ttl_ms: int | None = None, name: str = "seen_before"):
+        super().__init__(key_fields, ttl_ms)
+        self.out_fields = [("event_id", "long"), ("t_us", "long"), (name, "boolean")]
+
+    def setup(self, handle):
+        self.seen = self.value_state("seen", "yes boolean")
+
+    def step(self, key, r):
+        before = self.seen.exists()
+        if not before:
+            self.seen.update((True,))
+        return [(r[1], r[0], before)]
+
+
 # ---------------------------------------------------------------- WIN3
 class JumpProcessor(OrderedProcessor):
     """Compare each value with the previous one of the key (``first_prev`` first)."""

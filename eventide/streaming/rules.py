@@ -22,14 +22,17 @@ def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def stream_rate_cap(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max_count: int,
-                    day_tz: str = "UTC", ttl_ms: int | None = None) -> DataFrame:
-    """STA1 on a stream: rows tagged ``output`` = ``pass`` / ``warn``."""
+                    day_tz: str = "UTC", ttl_ms: int | None = None, carry: Sequence[str] = (),
+                    event_time: str = "") -> DataFrame:
+    """STA1 on a stream: rows tagged ``output`` = ``pass`` / ``warn``, with the
+    columns ``carry``; ``event_time`` names an output column that is the event
+    time of a following step (a windowed count of the rows that passed)."""
     # instant -> UTC wall clock -> wall clock in day_tz, whatever the session zone
     utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(ts).cast("timestamp_ntz"))
     local = utc if day_tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(day_tz), utc)
     day = F.datediff(F.to_date(local), F.lit("1970-01-01").cast("date")).cast("long").alias("day")
-    proc = P.ClickCapProcessor(_key_fields(df, keys), max_count, ttl_ms)
-    return P.run_ordered(df, list(keys), ts, tiebreak, [day], proc)
+    proc = P.ClickCapProcessor(_key_fields(df, keys), max_count, ttl_ms, _key_fields(df, carry), event_time)
+    return P.run_ordered(df, list(keys), ts, tiebreak, [day, *carry], proc, event_time)
 
 
 def _kind(first: Column, second: Column) -> Column:
@@ -53,9 +56,11 @@ def stream_missing_followup(df: DataFrame, key: str, ts: str, tiebreak: str, fir
 
 
 def stream_consecutive(df: DataFrame, key: str, ts: str, tiebreak: str, cond: Column, times: int = 2,
-                       within: str = "1 day", ttl_ms: int | None = None) -> DataFrame:
-    """PAT1/PAT2 on a stream: the first and last row of each run of ``times``."""
-    proc = P.ConsecutiveProcessor(_key_fields(df, [key]), times, duration_us(within), ttl_ms)
+                       within: str = "1 day", ttl_ms: int | None = None, emit: str = "last") -> DataFrame:
+    """PAT1/PAT2 on a stream: the first and last row of each run of ``times``;
+    ``emit='list'`` adds the ids of all its rows. Behind
+    :func:`eventide.streaming.late.stream_split_late` late rows go to a side output."""
+    proc = P.ConsecutiveProcessor(_key_fields(df, [key]), times, duration_us(within), ttl_ms, emit)
     return P.run_ordered(df, [key], ts, tiebreak, [cond.alias("c")], proc)
 
 

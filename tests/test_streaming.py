@@ -92,8 +92,12 @@ def test_chained_topn(spark, stream_dir, batch):
     from eventide.operators.topn import topn_per_group
     ev = source(spark, stream_dir, batch).where(F.col("event_type") == "view") \
         .withColumn("item_id", F.get_json_object("props", "$.k").cast("int"))
-    counts = stream_window_count(ev, ["item_id"], "event_time", "1 hour", "5 minutes", keep_window=True)
-    got = collect_stream(spark, stream_topn(counts, 5, "cnt", "item_id"))
+    counts = stream_window_count(ev, ["item_id"], "event_time", "1 hour", "5 minutes")
+    out = scratch_path(spark, "topn")
+    q = stream_topn(counts, 5, "cnt", "item_id", lambda top, i: top.write.mode("overwrite").parquet(f"{out}/batch={i}"),
+                    scratch_path(spark, "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(out)
     b = batch.where(F.col("event_type") == "view").withColumn("item_id", F.get_json_object("props", "$.k").cast("int"))
     want = topn_per_group(window_count(b, ["item_id"], "ts", "1 hour", "5 minutes"), ["window_end"], 5, "cnt",
                           ["item_id"])

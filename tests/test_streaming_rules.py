@@ -1,0 +1,62 @@
+"""Composed and extended stream rules equal their batch forms on the closed part."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_streaming import SENTINEL_USER, batch, collect_stream, rows, source, stream_dir  # noqa: F401  (fixtures)
+from eventide.operators.patterns import consecutive, rate_cap
+from eventide.operators.windows import flag_repeats, window_agg, window_count
+from eventide.session import scratch_path
+from eventide.streaming.event_time import stream_flag_repeats, stream_topn, stream_window_agg, stream_window_count
+from eventide.streaming.rules import stream_consecutive, stream_rate_cap
+
+ORDER = ["ts", "event_id"]
+
+
+def test_cap_feeds_the_province_count(spark, stream_dir, batch):
+    ev = source(spark, stream_dir, batch).withColumn("province", F.col("user_id") % 7)
+    capped = stream_rate_cap(ev, ["user_id", "event_type"], "event_time", "event_id", 0, carry=["province"], event_time="at")
+    got = collect_stream(spark, stream_window_count(capped.where("output = 'pass'"), ["province"], "at", "60 minutes", "5 minutes"))
+    passed, _ = rate_cap(batch.withColumn("province", F.col("user_id") % 7), ["user_id", "event_type"], "ts", ORDER, 0)
+    want = window_count(passed, ["province"], "ts", "60 minutes", "5 minutes")
+    last = passed.agg(F.max("ts")).first()[0]
+    cols = ["window_end", "province", "cnt"]
+    g = got.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")).where(F.col("window_end") <= F.lit(last))
+    assert rows(g, cols) == rows(want.where(F.col("window_end") <= F.lit(last)), cols) and g.count() > 100
+
+
+@pytest.mark.parametrize("fn", ["avg", "min", "sum"])
+def test_window_aggregates(spark, stream_dir, batch, fn):
+    ev = source(spark, stream_dir, batch)
+    got = collect_stream(spark, stream_window_agg(ev, ["event_type"], "event_time", "1 hour", "5 minutes", [("x", fn, "value")]))
+    want = window_agg(batch, ["event_type"], "ts", "1 hour", "5 minutes", [("x", fn, "value")])
+    r = lambda d: sorted((str(x.window_end)[:19], x.event_type, round(x.x, 6)) for x in d.collect())
+    g, w = r(got.where(F.year("window_end") < 2100)), r(want)
+    assert set(g) == set(w) and g
+
+
+def test_consecutive_gives_the_event_list(spark, stream_dir, batch):
+    ev = source(spark, stream_dir, batch)
+    got = collect_stream(spark, stream_consecutive(ev, "user_id", "event_time", "event_id", F.col("event_type") == "view", 3, "20 days", emit="list"))
+    want = consecutive(batch, "user_id", ORDER, F.col("event_type") == "view", 3, "20 days", emit="list")
+    g = sorted((r.user_id, tuple(r.event_ids)) for r in got.collect())
+    assert g == sorted((r.user_id, tuple(e.event_id for e in r.events)) for r in want.collect()) and g
+
+
+def test_repeat_flag(spark, stream_dir, batch):
+    ev = source(spark, stream_dir, batch)
+    got = collect_stream(spark, stream_flag_repeats(ev, ["user_id", "event_type"], "event_time", "event_id"))
+    want = flag_repeats(batch, ["user_id", "event_type"], ORDER)
+    cols = ["event_id", "seen_before"]
+    assert rows(got.where(F.col("user_id") != SENTINEL_USER), cols) == rows(want, cols)
+
+
+def test_topn_of_a_window_with_many_items(spark, stream_dir, batch):
+    ev = source(spark, stream_dir, batch)
+    counts = stream_window_count(ev, ["event_id"], "event_time", "5 days")      # many items a window
+    out = scratch_path(spark, "topn-many")
+    q = stream_topn(counts, 3, "cnt", "event_id", lambda top, i: top.write.mode("overwrite").parquet(f"{out}/batch={i}"),
+                    scratch_path(spark, "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.groupBy("window_end").count().agg(F.max("count")).first()[0] <= 3 and got.count() >= 3
