@@ -6,7 +6,6 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-DATA = os.path.join(ROOT, "tests", "data")
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
 
@@ -21,8 +20,3 @@ def spark():
     yield s
     s.stop()
 
-
-def read_lines(name):
-    """Rows of a fixture file with their 1-based line number (the arrival order)."""
-    with open(os.path.join(DATA, name)) as f:
-        return [(i + 1, *line.strip().split(",")) for i, line in enumerate(f) if line.strip()]

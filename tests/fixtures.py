@@ -1,37 +1,88 @@
-"""Fixture DataFrames built from the small CSV files in tests/data (event time in UTC wall clock)."""
+"""Small own rows for the operator tests (event time in UTC wall clock).
+
+They reach the edges of each rule: a gap exactly at a limit, ties, rows out of
+order, a cap that is crossed, rows without partner on either side.
+"""
 
-from conftest import read_lines
 from eventide.functions.timefn import ntz_from_epoch
 
+T0 = 1_700_000_000     # seconds
+
+SENSORS = [  # line, id, milliseconds after T0, temperature
+    (1, "probe_a", 20, 18.5), (2, "probe_b", 25, 71.25), (3, "probe_b", 30, 66.0), (4, "probe_c", 35, 52.5), (5, "probe_b", 42, 33.75),
+    (6, "probe_d", 45, 47.0), (7, "probe_b", 50, 88.5), (8, "probe_c", 55, 29.0), (9, "probe_d", 60, 81.0), (10, "probe_d", 65, 44.5),
+    (11, "probe_e", 66, 12.0), (12, "probe_e", 66, 19.0),
+]
+
+LOGINS = [  # line, user, ip, event, seconds after T0
+    (1, 11, "10.0.0.1", "ok", 0), (2, 12, "10.0.0.2", "fail", 1), (3, 11, "10.0.0.1", "fail", 5), (4, 12, "10.0.0.3", "fail", 3),
+    (5, 11, "10.0.0.4", "fail", 6), (6, 11, "10.0.0.5", "fail", 7), (7, 13, "10.0.0.6", "fail", 8), (8, 13, "10.0.0.6", "ok", 9),
+    (9, 13, "10.0.0.6", "fail", 9), (10, 12, "10.0.0.2", "fail", 4), (11, 14, "10.0.0.7", "fail", 20), (12, 14, "10.0.0.7", "fail", 22),
+]
+
+
+def _orders():
+    """Orders 100..119: most paid after a few seconds, one exactly at 15 s, one
+    exactly at 900 s, one late, one never; a payment without an order."""
+    rows, line = [], 0
+    delay = {103: 15, 107: 900, 111: 1200, 113: None, 117: 14}
+    for k in range(100, 120):
+        line += 1
+        rows.append((line, k, "create", "", 3 * (k - 100)))
+        d = delay.get(k, (k * 7) % 23 + 1)
+        if d is not None:
+            line += 1
+            rows.append((line, k, "pay", f"tx{k}", 3 * (k - 100) + d))
+    rows.append((line + 1, 999, "pay", "tx999", 70))
+    return rows
+
+
+ORDERS = _orders()     # line, order, event, tx, seconds after T0
+
+RECEIPTS = [  # line, tx, channel, seconds after T0: at the limit, just over it, twice for one tx, and strangers
+    *((i + 1, tx, "card" if t % 2 else "cash", t + shift) for i, ((_, _, _, tx, t), shift) in enumerate(
+        (r, s) for r, s in zip([r for r in ORDERS if r[2] == "pay"], [0, 2, 5, -5, 6, -6, 3, 40, 1, -2, 5, 0, 7, 4, -1, 30, 2], strict=False))),
+    (50, "tx101", "cash", 24), (51, "nobody", "cash", 40), (52, "nothing", "card", 41),
+]
+
+
+def _clicks():
+    """One user clicks one ad 130 times, the others a few times, over two days."""
+    places = ["north", "south", "east", "west"]
+    rows = [(i + 1, 7, 70, "north", "n1", 30 * i) for i in range(130)]
+    rows += [(200 + i, 8 + i % 5, 70 + i % 3, places[i % 4], f"c{i % 6}", 50 * i + (86_400 if i % 9 == 0 else 0)) for i in range(40)]
+    rows += [(300 + i, 7, 70, "north", "n1", 86_400 + i) for i in range(3)]
+    return rows
+
+
+CLICKS = _clicks()     # line, user, ad, province, city, seconds after T0
+
 
 def sensors(spark):
-    rows = [(n, i, int(t), float(v)) for n, i, t, v in read_lines("sensors.csv")]
+    rows = [(n, i, T0 * 1000 + ms, v) for n, i, ms, v in SENSORS]
     df = spark.createDataFrame(rows, "line long, id string, t_ms long, temperature double")
     return df.withColumn("ts", ntz_from_epoch("t_ms", "ms"))
 
 
-def logins(spark):
-    rows = [(n, int(u), ip, e, int(t)) for n, u, ip, e, t in read_lines("LoginLog.csv")]
-    df = spark.createDataFrame(rows, "line long, user_id long, ip string, event_type string, t_s long")
+def _seconds(spark, rows, schema):
+    df = spark.createDataFrame([(*r[:-1], T0 + r[-1]) for r in rows], schema + ", t_s long")
     return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
 
 
+def logins(spark):
+    return _seconds(spark, LOGINS, "line long, user_id long, ip string, event_type string")
+
+
 def orders(spark):
-    rows = [(n, int(o), e, tx, int(t)) for n, o, e, tx, t in read_lines("OrderLog.csv")]
-    df = spark.createDataFrame(rows, "line long, order_id long, event_type string, tx_id string, t_s long")
-    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+    return _seconds(spark, ORDERS, "line long, order_id long, event_type string, tx_id string")
 
 
 def receipts(spark):
-    rows = [(n, tx, ch, int(t)) for n, tx, ch, t in read_lines("ReceiptLog.csv")]
-    df = spark.createDataFrame(rows, "line long, tx_id string, channel string, t_s long")
-    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+    return _seconds(spark, RECEIPTS, "line long, tx_id string, channel string")
 
 
 def ad_clicks(spark):
-    rows = [(n, int(u), int(a), p, c, int(t)) for n, u, a, p, c, t in read_lines("AdClickLog.csv")]
-    df = spark.createDataFrame(rows, "line long, user_id long, ad_id long, province string, city string, t_s long")
-    return df.withColumn("ts", ntz_from_epoch("t_s", "s"))
+    return _seconds(spark, CLICKS, "line long, user_id long, ad_id long, province string, city string")
 
 
 def t_ms(c):

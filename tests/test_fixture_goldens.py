@@ -1,9 +1,11 @@
-"""Operators on the reference's own input rows, against hand-checked results (FIXTURES.md)."""
+"""Operators on small own rows (fixtures.py), against brute force over the same rows."""
+
+import collections
 
 import pytest
 from pyspark.sql import functions as F
 
-from fixtures import ad_clicks, logins, orders, receipts, sensors, t_ms
+from fixtures import CLICKS, LOGINS, ORDERS, RECEIPTS, SENSORS, T0, ad_clicks, logins, orders, receipts, sensors, t_ms
 from eventide.functions.timefn import slice_id
 from eventide.operators.analytic import jump_flag, over_rows
 from eventide.operators.joins import interval_match, unify, window_join
@@ -18,12 +20,30 @@ def _slice(size):
     return None if size is None else slice_id("ts", size)
 
 
+def by_key(rows, key, time):
+    """Rows of each key in order (time, line)."""
+    out = collections.defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[time], r[0])):
+        out[r[key]].append(r)
+    return out
+
+
+def windows_of(rows, key, size):
+    """(key, window start in ms) -> rows, tumbling windows of ``size`` ms."""
+    out = collections.defaultdict(list)
+    for r in rows:
+        t = T0 * 1000 + r[2]
+        out[r[key], t - t % size].append(r)
+    return out
+
+
 @pytest.mark.parametrize("size", SLICES)
 def test_login_fail_pairs(spark, size):
     r = consecutive(logins(spark), "user_id", ["ts", "line"], F.col("event_type") == "fail", 2,
                     "2 seconds", cols=["ip"], slice_col=_slice(size))
-    got = sorted((x.user_id, x.ip, x.t_s) for x in r.collect())
-    assert got == [(1035, "83.149.24.26", 1558430844), (1035, "83.149.9.216", 1558430843)]
+    want = [b[0] for rows in by_key(LOGINS, 1, 4).values() for a, b in zip(rows, rows[1:])
+            if a[3] == b[3] == "fail" and b[4] - a[4] < 2]
+    assert sorted(x.line for x in r.collect()) == sorted(want) and len(want) >= 3
 
 
 def test_three_fails_give_two_overlapping_pairs(spark):
@@ -48,21 +68,29 @@ def test_gap_equal_to_within_is_a_timeout(spark):
     assert u.count() == 0
 
 
-@pytest.mark.parametrize("within,success,timeout", [("900 seconds", 37, 2), ("15 seconds", 14, 25)])
-def test_order_pay_result(spark, within, success, timeout):
+def first_pay(order, rows):
+    return next((r[4] - order[4] for r in rows if r[2] == "pay" and (r[4], r[0]) > (order[4], order[0])), None)
+
+
+@pytest.mark.parametrize("within", [900, 15])
+def test_order_pay_result(spark, within):
     r = followed_by(orders(spark), "order_id", ["ts", "line"], F.col("event_type") == "create",
-                    F.col("event_type") == "pay", within, slice_col=slice_id("ts", "1 minute"))
-    rows = r.collect()
-    assert sum(x.matched for x in rows) == success
-    assert sum(not x.matched for x in rows) == timeout
-    if within == "900 seconds":
-        assert sorted(x.order_id for x in rows if not x.matched) == [34756, 34767]
+                    F.col("event_type") == "pay", f"{within} seconds", slice_col=slice_id("ts", "1 minute"))
+    want = {}
+    for k, rows in by_key(ORDERS, 1, 4).items():
+        for o in rows:
+            if o[2] == "create":
+                gap = first_pay(o, rows)
+                want[k] = gap is not None and gap < within
+    assert {x.order_id: x.matched for x in r.collect()} == want and 0 < sum(want.values()) < len(want)
 
 
 def test_order_unpaid(spark):
     r = missing_followup(orders(spark), "order_id", ["ts", "line"], F.col("event_type") == "create",
                          F.col("event_type") == "pay", "15 minutes")
-    assert sorted(x.order_id for x in r.collect()) == [34756, 34767]
+    want = [k for k, rows in by_key(ORDERS, 1, 4).items() for o in rows if o[2] == "create"
+            and (first_pay(o, rows) is None or first_pay(o, rows) > 900)]
+    assert sorted(x.order_id for x in r.collect()) == sorted(want) == [111, 113]   # 107 pays at the limit
 
 
 def _pays(spark):
@@ -70,11 +98,51 @@ def _pays(spark):
     return o.where((F.col("event_type") == "pay") & F.col("tx_id").isNotNull() & (F.col("tx_id") != ""))
 
 
-@pytest.mark.parametrize("tol,counts", [("5 seconds", (5, 35, 35)), (None, (38, 2, 2))])
-def test_tx_match(spark, tol, counts):
-    m, lo, ro = interval_match(_pays(spark), receipts(spark), "tx_id", "ts", "ts", tol, ["order_id"], ["channel"])
-    assert (m.count(), lo.count(), ro.count()) == counts
-    assert unify(m, lo, ro).count() == sum(counts)
+def brute_match(tol):
+    pays = [r for r in ORDERS if r[2] == "pay"]
+    pairs = [(p[0], r[0]) for p in pays for r in RECEIPTS if p[3] == r[1] and (tol is None or abs(p[4] - r[3]) <= tol)]
+    return (sorted(pairs), sorted(p[0] for p in pays if p[0] not in {a for a, _ in pairs}),
+            sorted(r[0] for r in RECEIPTS if r[0] not in {b for _, b in pairs}))
+
+
+@pytest.mark.parametrize("tol", [5, 0, None])
+@pytest.mark.parametrize("size", ["1 second", "1 day"])
+def test_tx_match(spark, tol, size):
+    m, lo, ro = interval_match(_pays(spark), receipts(spark), "tx_id", "ts", "ts", None if tol is None else f"{tol} seconds",
+                               ["line"], ["line"], slice_size=size)
+    pairs, left, right = brute_match(tol)
+    assert sorted((x.l_line, x.r_line) for x in m.collect()) == pairs and pairs
+    assert sorted(x.l_line for x in lo.collect()) == left and sorted(x.r_line for x in ro.collect()) == right
+    both = interval_match(_pays(spark), receipts(spark), "tx_id", "ts", "ts", None if tol is None else f"{tol} seconds",
+                          ["line"], ["line"], unified=True)
+    assert both.count() == len(pairs) + len(left) + len(right)
+    assert sorted(unify(m, lo, ro).columns) == sorted(both.columns)
+
+
+@pytest.mark.parametrize("tol", ["5 seconds", "0 seconds", None])
+def test_rows_without_time_or_key(spark, tol):
+    l = [(i, None if i % 11 == 3 else i % 60, None if i % 10 == 0 else i) for i in range(50)]
+    r = [(i, None if i % 13 == 5 else i % 60, None if i % 10 == 0 else i) for i in range(20, 200)]
+    sides = [spark.createDataFrame(x, "id long, k long, s long").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")) for x in (l, r)]
+    m, lo, ro = interval_match(*sides, "k", "ts", "ts", tol, ["id"], ["id"])
+    near = {None: lambda a, b: True, "5 seconds": lambda a, b: a is not None and b is not None and abs(a - b) <= 5,
+            "0 seconds": lambda a, b: a is not None and a == b}[tol]
+    pairs = {(a[0], b[0]) for a in l for b in r if a[1] is not None and a[1] == b[1] and near(a[2], b[2])}
+    assert {(x.l_id, x.r_id) for x in m.collect()} == pairs and pairs
+    assert sorted(x.l_id for x in lo.collect()) == [a[0] for a in l if a[0] not in {p for p, _ in pairs}]
+    assert sorted(x.r_id for x in ro.collect()) == [b[0] for b in r if b[0] not in {p for _, p in pairs}]
+
+
+def test_unified_match_reads_its_inputs_fewer_times(spark):
+    from conftest import SF001
+    from eventide.plans import QUERIES
+    plan = QUERIES["tx_unified"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") - plan.count("ReusedExchange") < 7
+
+
+def test_zero_slice_is_refused():
+    with pytest.raises(ValueError):
+        slice_id("ts", "0 seconds")
 
 
 def test_tx_match_repeated_key_returns_every_pair(spark):
@@ -85,18 +153,20 @@ def test_tx_match_repeated_key_returns_every_pair(spark):
     assert (m.count(), lo.count(), ro.count()) == (2, 0, 0)
 
 
-def test_click_cap(spark):
-    clicks = ad_clicks(spark)
-    passed, warn = rate_cap(clicks, ["user_id", "ad_id"], "ts", ["ts", "line"], 100, day_tz="Asia/Shanghai")
-    w = warn.collect()
-    assert len(w) == 1 and (w[0].user_id, w[0].ad_id) == (937166, 1715)
-    assert w[0].msg == "Click over 100 times today."
-    assert passed.count() == 123
-    by_prov = {r.province: r["count"] for r in passed.groupBy("province").count().collect()}
-    assert by_prov == {"beijing": 103, "guangdong": 5, "hebei": 1, "henan": 3, "jiangsu": 4,
-                       "shanghai": 2, "zhejiang": 5}
-    warn_ts = warn.select(t_ms("warn_ts").alias("ms")).first().ms
-    assert warn_ts == 1511661702000
+@pytest.mark.parametrize("cap,size", [(100, None), (100, "1 hour"), (1500, None)])
+def test_click_cap(spark, cap, size):
+    passed, warn = rate_cap(ad_clicks(spark), ["user_id", "ad_id"], "ts", ["ts", "line"], cap, day_tz="Asia/Shanghai", slice_size=size)
+    seen, ok, late = collections.Counter(), [], []
+    for r in sorted(CLICKS, key=lambda r: (r[5], r[0])):
+        day = (T0 + r[5] + 8 * 3600) // 86400
+        seen[r[1], r[2], day] += 1
+        if seen[r[1], r[2], day] <= cap + 1:
+            ok.append(r[0])
+        elif seen[r[1], r[2], day] == cap + 2:
+            late.append((r[1], r[2], (T0 + r[5]) * 1000, f"Click over {cap} times today."))
+    assert sorted(x.line for x in passed.collect()) == sorted(ok)
+    got = warn.select("user_id", "ad_id", t_ms("warn_ts").alias("ms"), "msg").collect()
+    assert [tuple(x) for x in got] == late and len(late) == (cap == 100)
 
 
 def _sensor_sides(spark):
@@ -104,72 +174,78 @@ def _sensor_sides(spark):
     return s.where(F.col("temperature") > 40), s.where(F.col("temperature") <= 40)
 
 
+def brute_join():
+    hi, lo = [r for r in SENSORS if r[3] > 40], [r for r in SENSORS if r[3] <= 40]
+    a, b = windows_of(hi, 1, 30), windows_of(lo, 1, 30)
+    return a, b, [(k[0], x[3], y[3], k[1]) for k in a for x in a[k] for y in b.get(k, [])]
+
+
 def test_window_inner_join(spark):
     hi, lo = _sensor_sides(spark)
     r = window_join(hi, lo, "id", "ts", "30 milliseconds", "inner", ["temperature"], ["temperature"])
-    got = sorted((x.id, round(x.l_temperature, 3), round(x.r_temperature, 3)) for x in r.collect())
-    assert got == [("sensor_2", 63.963, 35.889), ("sensor_2", 90.137, 35.889), ("sensor_4", 55.524, 34.931)]
-    assert {x.ms for x in r.select(t_ms("window_start").alias("ms")).collect()} == {1592184525930}
+    got = r.select("id", "l_temperature", "r_temperature", t_ms("window_start").alias("ms")).collect()
+    assert sorted(tuple(x) for x in got) == sorted(brute_join()[2]) and got
 
 
-def test_window_left_join(spark):
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_window_outer_join(spark, how):
     hi, lo = _sensor_sides(spark)
-    r = window_join(hi, lo, "id", "ts", "30 milliseconds", "left", ["temperature"], ["temperature"])
-    rows = r.select("id", t_ms("l_ts").alias("ms"), "r_temperature").collect()
-    assert len(rows) == 7
-    assert sorted((x.id, x.ms) for x in rows if x.r_temperature is None) == [
-        ("sensor_2", 1592184525925), ("sensor_5", 1592184525945), ("sensor_5", 1592184525960),
-        ("sensor_5", 1592184525965)]
-
-
-@pytest.mark.parametrize("size,expected", [
-    ("50 milliseconds", {("sensor_1", 525950): 23.2082, ("sensor_2", 525950): 59.6533,
-                         ("sensor_2", 526000): 90.1366, ("sensor_4", 525950): 55.5242,
-                         ("sensor_4", 526000): 34.9314, ("sensor_5", 525950): 53.3333,
-                         ("sensor_5", 526000): 68.5993}),
-    ("20 milliseconds", {("sensor_1", 525940): 23.2082, ("sensor_2", 525940): 71.5355,
-                         ("sensor_2", 525960): 63.0128, ("sensor_4", 525940): 55.5242,
-                         ("sensor_4", 525960): 34.9314, ("sensor_5", 525960): 53.3333,
-                         ("sensor_5", 525980): 68.5993})])
-def test_tumbling_average(spark, size, expected):
-    r = window_agg(sensors(spark), ["id"], "ts", size, None, [("avg_t", "avg", "temperature")])
-    got = {(x.id, x.ms - 1592184000000): round(x.avg_t, 4)
-           for x in r.select("id", t_ms("window_end").alias("ms"), "avg_t").collect()}
-    assert got == expected
+    r = window_join(hi, lo, "id", "ts", "30 milliseconds", how, ["temperature"], ["temperature"])
+    a, b, want = brute_join()
+    want += [(k[0], x[3], None, k[1]) for k in a if k not in b for x in a[k]]
+    if how == "full":
+        want += [(k[0], None, y[3], k[1]) for k in b if k not in a for y in b[k]]
+        assert "FullOuter" not in r._jdf.queryExecution().executedPlan().toString()
+    got = r.select("id", "l_temperature", "r_temperature", t_ms("window_start").alias("ms")).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("size", [50, 20])
+def test_tumbling_average(spark, size):
+    r = window_agg(sensors(spark), ["id"], "ts", f"{size} milliseconds", None, [("avg_t", "avg", "temperature")])
+    want = {(k[0], k[1] + size): round(sum(x[3] for x in v) / len(v), 9) for k, v in windows_of(SENSORS, 1, size).items()}
+    assert {(x.id, x.ms): round(x.avg_t, 9) for x in r.select("id", t_ms("window_end").alias("ms"), "avg_t").collect()} == want
 
 
 def test_tumbling_count_sql(spark):
     sensors(spark).createOrReplaceTempView("sensor_fixture")
     r = spark.sql("SELECT id, count(1) AS cnt, window.end AS window_end FROM sensor_fixture "
                   "GROUP BY id, window(ts, '10 seconds')")
-    got = {(x.id, x.cnt, x.ms) for x in r.select("id", "cnt", t_ms("window_end").alias("ms")).collect()}
-    assert got == {("sensor_1", 1, 1592184530000), ("sensor_2", 4, 1592184530000),
-                   ("sensor_4", 2, 1592184530000), ("sensor_5", 3, 1592184530000)}
+    want = {(k[0], len(v), k[1] + 10_000) for k, v in windows_of(SENSORS, 1, 10_000).items()}
+    assert {(x.id, x.cnt, x.ms) for x in r.select("id", "cnt", t_ms("window_end").alias("ms")).collect()} == want
 
 
 @pytest.mark.parametrize("size", SLICES)
 def test_over_last3(spark, size):
     r = over_rows(sensors(spark), "id", ["ts", "line"], "temperature", 2, slice_col=_slice(size))
-    rows = sorted(r.collect(), key=lambda x: x.line)
-    assert [x.cnt for x in rows] == [1, 1, 2, 1, 3, 1, 3, 2, 2, 3]
-    assert [round(x.avg, 4) for x in rows] == [23.2082, 79.1076, 71.5355, 55.5242, 59.6533, 53.3333,
-                                               63.3297, 45.2278, 66.3461, 63.5107]
+    want = {}
+    for rows in by_key(SENSORS, 1, 2).values():
+        for i, x in enumerate(rows):
+            last = [y[3] for y in rows[max(0, i - 2):i + 1]]
+            want[x[0]] = len(last), round(sum(last) / len(last), 9)
+    assert {x.line: (x.cnt, round(x.avg, 9)) for x in r.collect()} == want
+
+
+def test_jump_flag(spark):
+    r = jump_flag(sensors(spark), "id", ["ts", "line"], "temperature", 15.0)
+    want = {x[0]: abs(x[3] - (rows[i - 1][3] if i else 0.0)) > 15 for rows in by_key(SENSORS, 1, 2).values() for i, x in enumerate(rows)}
+    assert {x.line: x.jumped for x in r.collect()} == want and len(set(want.values())) == 2
 
 
-def test_jump_flag_all_rows(spark):
-    r = jump_flag(sensors(spark), "id", ["ts", "line"], "temperature", 5.0)
-    assert r.where("jumped").count() == 10
+def test_jump_flag_previous_value_is_null(spark):
+    df = spark.createDataFrame([(1, "a", 7.0), (2, "a", None), (3, "a", 9.0)], "n long, id string, v double")
+    got = {x.n: (x.prev_value, x.jumped) for x in jump_flag(df, "id", ["n"], "v", 5.0).collect()}
+    assert got == {1: (0.0, True), 2: (7.0, None), 3: (None, None)}
 
 
 @pytest.mark.parametrize("size", SLICES)
 def test_rise_pairs(spark, size):
-    pairs, timeouts = next_pairs(sensors(spark), "id", ["ts", "line"], "temperature", "5 seconds",
+    pairs, timeouts = next_pairs(sensors(spark), "id", ["ts", "line"], "temperature", "15 milliseconds",
                                  slice_col=_slice(size))
-    got = sorted((x.id, x.nms, round(x.temperature, 3), round(x.nxt.temperature, 3))
-                 for x in pairs.select("*", t_ms("nxt.ts").alias("nms")).collect())
-    assert got == [("sensor_2", 1592184525950, 35.889, 90.137), ("sensor_5", 1592184525960, 53.333, 79.359)]
-    # Starts without any next row of their key within 5 s: the last row of each id.
-    assert timeouts.count() == 4
+    near = [(a[0], b[0], b[3] > a[3]) for rows in by_key(SENSORS, 1, 2).values() for a, b in zip(rows, rows[1:]) if b[2] - a[2] < 15]
+    got = sorted((x.line, x.nxt.line) for x in pairs.collect())
+    assert got == sorted((a, b) for a, b, up in near if up) and got
+    assert sorted(x.line for x in timeouts.collect()) == sorted({r[0] for r in SENSORS} - {a for a, _, _ in near})
 
 
 @pytest.mark.parametrize("size,slide", [("60 minutes", "5 seconds"), ("10 minutes", "1 minute"),
@@ -205,15 +281,16 @@ def test_window_plan_thresholds_from_session(spark):
 def test_api_forms(spark):
     from eventide.operators.patterns import next_pairs
     from eventide.operators.topn import topn_per_window
-    m = interval_match(_pays(spark), receipts(spark), "tx_id", "ts", "ts", "5 seconds", unified=True)
-    assert m.count() == 5 + 35 + 35
     # a custom cross-row condition: next reading cooler by more than 20
     pairs, _ = next_pairs(sensors(spark), "id", ["ts", "line"], "temperature", "5 seconds",
                           cond=lambda nxt: nxt["temperature"] < F.col("temperature") - 20)
-    assert sorted(r.line for r in pairs.collect()) == [3, 4, 9]
+    want = [a[0] for rows in by_key(SENSORS, 1, 2).values() for a, b in zip(rows, rows[1:]) if b[3] < a[3] - 20]
+    assert sorted(r.line for r in pairs.collect()) == sorted(want) and want
     top = topn_per_window(window_count(ad_clicks(spark), ["province"], "ts", "1 hour"), 1, "cnt", ["province"])
-    got = sorted((r.window_end.hour, r.province, r.cnt) for r in top.collect())
-    assert got == [(2, "guangdong", 5), (3, "beijing", 121)]
+    count = collections.Counter(((T0 + r[5]) // 3600, r[3]) for r in CLICKS)
+    best = {h: min((-n, p) for (g, p), n in count.items() if g == h) for h, _ in count}
+    got = {x.ms // 3_600_000 - 1: (-x.cnt, x.province) for x in top.select(t_ms("window_end").alias("ms"), "cnt", "province").collect()}
+    assert got == best
 
 
 @pytest.mark.parametrize("fn", ["avg", "min", "max", "sum"])
