@@ -32,9 +32,11 @@ def main() -> None:
              "aggregates, joins AQE made broadcast, widest Parquet read (columns of 6 in `events`), "
              "pushed filters.", "",
              "How to read it:", "",
-             "- **Sequence queries:** one shuffle each, because every key fits one task here "
-             "(`choose_slice` returns no slice). With a hot key the same queries run per (key, slice): "
-             "one full shuffle plus two small ones (per-slice summary, carry).",
+             "- **Sequence queries:** per (key, time slice): one full shuffle plus two small ones (per-slice "
+             "summary, carry).",
+             "- **Queries that write first** (`csv_scan`, `csv_roundtrip`, `access_log_parse`, "
+             "`catalog_roundtrip`, `upsert_latest`, `rising_alert_repeat`): the read half only; the writes "
+             "and checkpoints run while the query is built.",
              "- **Top-n and the click cap:** a partial WindowGroupLimit runs before their only "
              "shuffle of rows.",
              "- **Broadcast joins:** chosen by AQE from measured sizes at this scale (small carry "
