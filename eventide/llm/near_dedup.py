@@ -40,6 +40,7 @@ PERCENT = 75          # similarity in per cent at least
 POSTED, PROBED = 32, 224
 SHARED = 10           # of the posted coordinates; for 75 %
 MATCHES = 158         # of all coordinates; for 75 %: five standard deviations below the 192 expected
+HEAD, HEAD_MATCHES = 64, 30   # the first coordinates, counted inside the lists already
 PIVOTS = 4
 BLOCK = 512
 _SHORT = 0x8CB92BA72F3D8DD7
@@ -154,6 +155,28 @@ def similar(pairs: DataFrame, info: DataFrame, matches: int = MATCHES, percent:
     return near.mapInArrow(count, "a long, b long")
 
 
+def _within_lists(lists: DataFrame, info: DataFrame, pivots: int, head: int, head_matches: int, percent: int, name: str) -> DataFrame:
+    """Pairs ``a, b`` of each list's pivots with its members of other components
+    whose sizes and first coordinates allow the similarity."""
+    rows = saved(lists.join(info.select("node", "n", F.expr(f"substring(sig, 1, {head})").alias("head")), "node"), f"near-{name}-rows")
+    pick = [F.min(F.struct(F.xxhash64(F.col("node"), F.lit(i)).alias("h"), "node", "root", "n", "head")) for i in range(pivots)]
+    centre = saved(rows.groupBy("key").agg(F.array(*pick).alias("p"))
+                   .select("key", F.explode(F.array_distinct(F.transform("p", lambda x: x.dropFields("h")))).alias("p"))
+                   .select("key", F.col("p.node").alias("a"), F.col("p.root").alias("ra"), F.col("p.n").alias("na"), F.col("p.head").alias("ha")),
+                   f"near-{name}-centre")
+    pairs = (rows.join(centre, "key")
+             .where((F.col("root") != F.col("ra")) & (F.least("n", "na") * 100 >= F.greatest("n", "na") * percent))
+             .select("a", F.col("node").alias("b"), "ha", "head"))
+
+    def count(batches):
+        for batch in batches:
+            if batch.num_rows:
+                hit = (_matrix(batch.column(2), head) == _matrix(batch.column(3), head)).sum(1) >= head_matches
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(hit)) for c in batch.columns[:2]], ["a", "b"])
+
+    return pairs.mapInArrow(count, "a long, b long").distinct()
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Pairs whose full sets are similar enough. ``a`` is the side that many pairs share."""
     both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
@@ -298,10 +321,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = saved(_texts(rows, info, size), "near-texts")
 
     def star(lists, pivots: int, name: str):
-        pick = [F.min(F.struct(F.xxhash64(F.col("node"), F.lit(i)), "node", "root")) for i in range(pivots)]
-        centre = saved(lists.groupBy("key").agg(F.array(*pick).alias("p")).select("key", F.explode(F.array_distinct("p")).alias("p"))
-                  .select("key", F.col("p.node").alias("a"), F.col("p.root").alias("ra")), f"near-{name}-centre")
-        pairs = lists.join(centre, "key").where("root != ra").select("a", F.col("node").alias("b")).distinct()
+        pairs = _within_lists(lists, info, pivots, HEAD, HEAD_MATCHES, percent, name)
         return confirmed(saved(similar(pairs, info, matches, percent), f"near-{name}"), texts, size, percent)
 
     labels = _merge(None, star(posts.withColumn("root", F.col("node")), 1, "star"), "near-1")
