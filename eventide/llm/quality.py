@@ -1,8 +1,8 @@
 """Quality by importance resampling: hashed n-gram models, Gumbel top-k.
 
 Words and word pairs are hashed into ``BUCKETS`` features. The target model is
-the feature frequencies of the good rows, the raw model those of all rows
-(both smoothed). A text's log weight is the mean log ratio of its features -
+fitted on the feature frequencies of at most ``TARGET_ROWS`` good rows, those of
+smallest hash; the raw model on those of all rows (both smoothed). A text's log weight is the mean log ratio of its features -
 the mean, so that length does not decide - times ``SHARPNESS``. Each row gets
 its log weight plus Gumbel noise, seeded by its id and text; the ``k`` largest
 are the sample, which is a draw without replacement in proportion to weight.
@@ -29,6 +29,7 @@ from eventide.llm.shared import saved, ship
 from eventide.llm.textops import U, Words, mix, steps
 
 BUCKETS = 1 << 16
+TARGET_ROWS = 20_000    # good rows that the target model reads at most
 SMOOTH = 1.0
 SHARPNESS = 40.0
 KEEP = 0.85         # share of the rows that is sampled
@@ -126,11 +127,13 @@ def cutoff(keys: DataFrame, k: int, cells: int = 4096) -> tuple[float, int] | No
 
 
 def resample(docs: DataFrame, good: DataFrame, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", seed: int = 0,
-             buckets: int = BUCKETS) -> DataFrame:
+             buckets: int = BUCKETS, target_rows: int = TARGET_ROWS) -> DataFrame:
     """``id, log_weight, gumbel_key, kept``; ``good(id)`` names the target rows,
     ``keep`` the share of rows that is sampled."""
-    marked = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(
-        good.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct().withColumn("good", F.lit(1)), id_col, "left")
+    # at most `target_rows` ids: small enough to broadcast, whatever the table
+    target = (good.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct()
+              .orderBy(F.xxhash64(id_col), id_col).limit(target_rows).withColumn("good", F.lit(1)))
+    marked = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(target), id_col, "left")
     ship(docs.sparkSession)
     ratio = log_ratio(*counts(marked, buckets))
     keys = saved(weighed(docs, ratio, id_col, text_col, seed=seed), "quality-keys")
