@@ -45,8 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` and the digest of the text that the ids decode to."""
     ranks, pattern = tokenizer()
-    ids = bpe.encode(docs, ranks, pattern, keep=("doc_id", "source"))
-    return bpe.decode(ids, ranks).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+    ids = bpe.encode(docs, ranks, pattern, keep=("doc_id", "source"), bytes_col="bytes")
+    return ids.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                                          F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

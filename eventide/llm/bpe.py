@@ -34,7 +34,8 @@ from eventide.llm.textops import steps
 CHUNK_CHARS = 16_384
 OVERLAP = 512
 MARGIN = 8
-CACHED_PIECES = 200_000
+CACHED_PIECES = 50_000
+STEP = 1 << 20          # text bytes that are Python objects at a time
 
 
 def read_ranks(path: str) -> bytes:
@@ -113,8 +114,11 @@ def _id_lists(lists: list[list[int]]) -> pa.Array:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
-           keep: tuple[str, ...] = ("doc_id",), chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP) -> DataFrame:
-    """The columns ``keep`` and ``ids_col`` (array of int), one row per input row."""
+           keep: tuple[str, ...] = ("doc_id",), chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP,
+           bytes_col: str | None = None) -> DataFrame:
+    """The columns ``keep`` and ``ids_col`` (array of int), one row per input
+    row. ``bytes_col`` adds the decoded bytes of those ids in the same pass, as
+    :func:`decode` does in one of its own (with workers of its own)."""
     if chunk_chars < 2 * overlap + MARGIN or overlap <= MARGIN:
         raise ValueError("a chunk must hold two overlaps, and an overlap more than the margin")
     spark = docs.sparkSession
@@ -122,14 +126,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     raw = read_ranks(ranks_path)
     slim = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     fields = [slim.schema[k] for k in keep]
-    out = T.StructType([*fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    out = T.StructType([*fields, T.StructField(ids_col, T.ArrayType(T.IntegerType())),
+                        *([T.StructField(bytes_col, T.BinaryType())] if bytes_col else [])])
 
     def whole(batches):
-        enc = PieceEncoder(raw, pattern)
+        enc, dec = PieceEncoder(raw, pattern), Decoder(raw)
         for batch in batches:
-            for part in steps(batch, "_text"):
+            for part in steps(batch, "_text", STEP):
                 ids = _id_lists([enc.ids(enc.findall(t)) for t in part.column(len(keep)).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], ids], [*keep, ids_col])
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], ids, *([dec.bytes(ids)] if bytes_col else [])], out.names)
 
     short = slim.where(F.length("_text") <= chunk_chars).mapInArrow(whole, out)
 
@@ -159,17 +164,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
             lists = [[len(x) for x in findall(t)] for t in batch.column(len(keep) + 2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, _id_lists(lists)], [f.name for f in split])
 
-    made: list[PieceEncoder] = []   # one for all documents of a task
+    made: list = []   # one encoder and decoder for all documents of a task
 
     def join_chunks(pdf):
         import pandas as pd
         pdf = pdf.sort_values("_no")
         if not made:
-            made.append(PieceEncoder(raw, pattern))
-        enc = made[0]
+            made.extend((PieceEncoder(raw, pattern), Decoder(raw)))
+        enc, dec = made
         pieces = stitch(pdf["_chunk"].tolist(), [np.asarray(x) for x in pdf["_lengths"]], overlap, enc.findall)
         row = {k: [pdf[k].iloc[0]] for k in keep}
-        return pd.DataFrame({**row, ids_col: [enc.ids(pieces)]})
+        ids = np.array(enc.ids(pieces), np.int32)
+        joined = {bytes_col: [dec.bytes(_id_lists([ids]))[0].as_py()]} if bytes_col else {}
+        return pd.DataFrame({**row, ids_col: [ids], **joined})
 
     long = (slim.where(F.length("_text") > chunk_chars)
             .withColumn("_row", F.monotonically_increasing_id())
@@ -179,6 +186,29 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     return short.unionByName(long)
 
 
+class Decoder:
+    """Raw bytes of ids, joined: one gather from the vocabulary's bytes."""
+
+    def __init__(self, raw: bytes):
+        ranks = parse_ranks(raw)
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.size)[:-1]]) if len(tokens) else self.size
+
+    def bytes(self, lists: pa.ListArray) -> pa.Array:
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        count = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
+        width = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(width)])
+        data = self.blob[np.repeat(self.first[ids] - ends[:-1], width) + np.arange(ends[-1])]
+        offs = ends[np.concatenate([[0], np.cumsum(count)])]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(lists), [None, pa.py_buffer(offs.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]).cast(pa.binary())
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col: str = "bytes") -> DataFrame:
     """Adds ``bytes_col``: the raw bytes of the ids, joined."""
     ship(encoded.sparkSession)
@@ -187,26 +217,10 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", bytes_col:
     at = encoded.columns.index(ids_col)
 
     def to_bytes(batches):
-        ranks = parse_ranks(raw)
-        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        blob = np.frombuffer(b"".join(tokens), np.uint8)
-        size = np.array([len(t) for t in tokens], np.int64)
-        first = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
+        decoder = Decoder(raw)
         for batch in batches:
-            lists = batch.column(at)
-            for a in range(0, len(lists), 512):
-                part = batch.slice(a, 512)
-                col = part.column(at)
-                ids = col.flatten().to_numpy(zero_copy_only=False)
-                count = np.nan_to_num(pc.list_value_length(col).to_numpy(zero_copy_only=False)).astype(np.int64)
-                width = size[ids]
-                ends = np.concatenate([[0], np.cumsum(width)])
-                data = blob[np.repeat(first[ids] - ends[:-1], width) + np.arange(ends[-1])]
-                offs = ends[np.concatenate([[0], np.cumsum(count)])]
-                joined = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), len(col), [None, pa.py_buffer(offs.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
-                yield pa.RecordBatch.from_arrays([*part.columns, joined.cast(pa.binary())], [f.name for f in out])
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                yield pa.RecordBatch.from_arrays([*part.columns, decoder.bytes(part.column(at))], [f.name for f in out])
 
     return encoded.mapInArrow(to_bytes, out)

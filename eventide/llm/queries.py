@@ -137,8 +137,7 @@ def op8_source_mix(spark, sf_dir):
 @register("op9_byte_bpe")
 def op9_byte_bpe(spark, sf_dir):
     ranks, pattern = tokenizer()
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
-    back = bpe.decode(ids, ranks)
+    back = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern, bytes_col="bytes")
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -32,6 +32,8 @@ def test_ids_are_those_of_tiktoken(spark, reference, chunk, overlap):
 def test_round_trip(spark):
     rows = documents(n=40) + [(900, "it's we'll they've​ ́ \x00 \x85 don't", None, None, 1), (901, "'" * 50 + "ll", None, None, 1)]
     back = bpe.decode(bpe.encode(frame(spark, rows), RANKS, PATTERN), RANKS).collect()
+    same = bpe.encode(frame(spark, rows), RANKS, PATTERN, chunk_chars=120, overlap=40, bytes_col="bytes").collect()
+    assert collections.Counter(map(repr, same)) == collections.Counter(map(repr, back))
     assert collections.Counter((r["doc_id"], bytes(r["bytes"]).decode()) for r in back) == collections.Counter((r[0], r[1] or "") for r in rows)
 
 
