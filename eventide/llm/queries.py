@@ -3,6 +3,8 @@ their whole tables; and their DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from eventide.llm import (bpe, exact_dedup, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
@@ -17,9 +19,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 # Rules (action, host and path); fixed values of the query.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-# Sites that are blocked with all their subdomains where no rule fits.
-LISTED = ("ads-track.example.org", "casino-win.example.org", "cheap-pills.example.com", "free-bets.example.com",
-          "spam-farm.example.org")
+# Sites that are blocked with all their subdomains where no rule fits; an input of the query, for any table.
+LISTED = urlfilter.read_sites(Path(__file__).with_name("listed_sites.txt"))
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORD = r"[^\x20\x09-\x0D]+"

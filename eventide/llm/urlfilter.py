@@ -39,6 +39,14 @@ SEED = 42                     # of Spark's own xxhash64()
 ALLOW, BLOCK, LISTED = 0, 1, 2
 
 
+def read_sites(path) -> tuple[str, ...]:
+    """Listed sites of a text file: one a line, A-Z lower-cased; blank lines and ``#`` comments do not count."""
+    with open(path, encoding="utf-8") as f:
+        lines = [line.partition("#")[0].strip() for line in f]
+    upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return tuple(sorted({line.translate(upper) for line in lines if line}))
+
+
 def entries(spark: SparkSession, rules, listed) -> DataFrame:
     """``text, action`` of rules ``(action, text)`` and of listed sites."""
     rows = [(text, {"allow": ALLOW, "block": BLOCK}[action]) for action, text in rules] + [(site, LISTED) for site in listed]

@@ -3,13 +3,15 @@ import base64
 import collections
 import hashlib
 import random
+import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from eventide.llm import fingerprint, quality, urlfilter
-from eventide.llm.queries import LISTED, RULES
+from eventide.llm.queries import LISTED, ORACLES, QUERIES, RULES
 from llm.fixture_docs import documents, frame, lower, words
 
 URLS = ["http://Example.ORG/en/1x", "https://a.example.org/es/", "http://example.org/es", "http://org/", "http://xorg/", "http://a.com/fr/1?x=/de/",
@@ -49,6 +51,20 @@ def test_url_empty_tables(spark):
     assert [r["verdict"] for r in urlfilter.verdicts(pages, empty).collect()] == ["allow"]
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_planted_hosts_are_blocked_at_every_scale(spark, sf):
+    """The planted hosts change with the table; the list must not be that of one of them."""
+    path = f"/root/testdata/{sf}"
+    planted = re.compile(r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$")
+    got = QUERIES["op6_url_filter"](spark, path).collect()
+    hit = [r for r in got if planted.search(r["host"]) and r["rule"] is None]
+    assert hit and all(r["verdict"] == "block" for r in hit)
+    assert all(r["verdict"] == "allow" for r in got if not planted.search(r["host"]) and r["rule"] is None)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{path}/pages.parquet')")
+    assert collections.Counter(map(tuple, got)) == collections.Counter(con.execute(ORACLES["op6_url_filter"]).fetchall())
+
+
 def test_digest_collisions_are_told_apart(monkeypatch):
     monkeypatch.setattr(urlfilter, "digest", lambda t: len(t) % 3)
     texts = [f"t{i}".encode() * (i % 4 + 1) for i in range(40)]
