@@ -3,10 +3,17 @@
 Words and word pairs are hashed into ``BUCKETS`` features. The target model is
 fitted on the feature frequencies of at most ``TARGET_ROWS`` good rows, those of
 smallest hash; the raw model on those of all rows (both smoothed). A text's log weight is the mean log ratio of its features -
-the mean, so that length does not decide - times ``SHARPNESS``. Each row gets
+the mean, so that length does not decide - times a sharpness. Each row gets
 its log weight plus Gumbel noise, seeded by its id and text; the ``k`` largest
 are the sample, which is a draw without replacement in proportion to weight.
 
+Sharpness and ``k`` come from the data (:func:`calibrated`). The sharpness is
+the slope of the logistic curve that tells good from poor fitting rows by their
+mean log ratio, taken under a model fitted without them (two folds): how far
+the ratio is to be trusted. The share kept is the good share of all labelled
+rows. Where only good rows are named, it is the smallest share of all rows per
+share of good rows above any ratio, and the rows under that share count as poor.
+
 The ``k``-th largest value is found by narrowing a histogram of the scored
 table, so nothing is sorted whole and the driver holds one histogram. Rows
 equal in value are told apart by a hash of id and text; rows equal in both are
@@ -15,6 +22,7 @@ taken together.
 Null and empty texts have no features and log weight 0 x nothing: they are
 given the smallest weight, never sampled before any text. An empty table gives
 no rows; without good rows both models agree and every text weighs the same.
+Without any labelled row every row is kept, with poor ones only none.
 The models are vectors of ``BUCKETS`` counts, whatever the size of the corpus.
 """
 
@@ -27,12 +35,12 @@ from pyspark.sql import types as T
 
 from eventide.llm.shared import saved, ship
 from eventide.llm.textops import U, Words, mix, steps
+from eventide.llm.toxicity import _fit
 
 BUCKETS = 1 << 16
-TARGET_ROWS = 20_000    # good rows that the target model reads at most
+TARGET_ROWS = 20_000    # good rows that the target model reads at most, and poor rows that the sharpness is fitted on
 SMOOTH = 1.0
-SHARPNESS = 40.0
-KEEP = 0.85         # share of the rows that is sampled
+CELLS = 4096            # of the histogram that the sharpness is fitted on
 EMPTY = -1e9
 _PAIR = 0xD1B54A32D192ED03
 
@@ -48,25 +56,30 @@ def features(col: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndar
     return np.concatenate([w.doc, w.doc[1:][two]]), (h % U(buckets)).astype(np.int64)
 
 
-def counts(rows: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Feature counts over the good rows and over all rows of ``text, good``;
-    summed per task, then by bucket: the driver gets one vector of each."""
+def counts(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Feature counts over the good rows of either fold and over all rows of
+    ``text, good, fold``; summed per task, then by bucket: the driver gets one
+    vector of each."""
     def count(batches):
-        total = np.zeros((2, buckets), np.int64)
+        total = np.zeros((3, buckets), np.int64)
         for batch in batches:
             for part in steps(batch, "text"):
                 row, b = features(part.column(0), buckets)
                 good = np.nan_to_num(part.column(1).to_numpy(zero_copy_only=False).astype(float)).astype(bool)
-                total[1] += np.bincount(b, minlength=buckets)
-                total[0] += np.bincount(b[good[row]], minlength=buckets)
-        used = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[0][used]), pa.array(total[1][used])], ["b", "good", "every"])
-
-    found = (rows.select("text", "good").mapInArrow(count, "b long, good long, every long")
-             .groupBy("b").agg(F.sum("good").alias("good"), F.sum("every").alias("every")).toPandas())
-    out = np.zeros((2, buckets), np.int64)
-    out[0, found["b"]], out[1, found["b"]] = found["good"], found["every"]
-    return out[0], out[1]
+                fold = part.column(2).to_numpy()
+                total[2] += np.bincount(b, minlength=buckets)
+                for f in (0, 1):
+                    total[f] += np.bincount(b[(good & (fold == f))[row]], minlength=buckets)
+        used = np.flatnonzero(total[2])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(t[used]) for t in total)], ["b", "good0", "good1", "every"])
+
+    names = ("good0", "good1", "every")
+    found = (rows.select("text", "good", "fold").mapInArrow(count, "b long, good0 long, good1 long, every long")
+             .groupBy("b").agg(*(F.sum(c).alias(c) for c in names)).toPandas())
+    out = np.zeros((3, buckets), np.int64)
+    for i, c in enumerate(names):
+        out[i, found["b"]] = found[c]
+    return out
 
 
 def log_ratio(good: np.ndarray, every: np.ndarray, smooth: float = SMOOTH) -> np.ndarray:
@@ -74,27 +87,51 @@ def log_ratio(good: np.ndarray, every: np.ndarray, smooth: float = SMOOTH) -> np
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
-def weighed(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: str = "text", sharpness: float = SHARPNESS,
-            seed: int = 0) -> DataFrame:
-    """``id, log_weight, gumbel_key, tie`` of every row."""
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       F.xxhash64(F.lit(seed), id_col, text_col).alias("tie"))
-    out = T.StructType([rows.schema[id_col], T.StructField("log_weight", T.DoubleType()), T.StructField("gumbel_key", T.DoubleType()),
-                        T.StructField("tie", T.LongType())])
+def weighed(rows: DataFrame, ratios: np.ndarray, id_col: str = "doc_id") -> DataFrame:
+    """``id, good, ratio, fair, noise, tie`` of every row of ``id, text, good,
+    fold, tie``: mean log ratio under the whole model (``ratios[2]``) and under
+    the one of the other fold (null without features), Gumbel noise."""
+    out = T.StructType([rows.schema[id_col], T.StructField("good", T.IntegerType()), T.StructField("ratio", T.DoubleType()),
+                        T.StructField("fair", T.DoubleType()), T.StructField("noise", T.DoubleType()), T.StructField("tie", T.LongType())])
 
     def weigh(batches):
         for batch in batches:
             for part in steps(batch, "text"):
-                row, b = features(part.column(1), len(ratio))
+                row, b = features(part.column(1), ratios.shape[1])
                 n = np.bincount(row, minlength=part.num_rows)
-                total = np.bincount(row, weights=ratio[b], minlength=part.num_rows)
-                weight = np.where(n > 0, sharpness * total / np.maximum(n, 1), EMPTY)
-                u = ((mix(part.column(2).to_numpy().view(U)) >> U(11)).astype(float) + 0.5) / 2**53
-                key = weight - np.log(-np.log(u))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(weight), pa.array(key), part.column(2)], out.names)
-
-    return rows.mapInArrow(weigh, out)
+                other = 1 - part.column(3).to_numpy()
+                whole, fair = (np.bincount(row, weights=w, minlength=part.num_rows) / np.maximum(n, 1) for w in (ratios[2][b], ratios[other[row], b]))
+                u = ((mix(part.column(4).to_numpy().view(U)) >> U(11)).astype(float) + 0.5) / 2**53
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(whole, mask=n == 0), pa.array(fair, mask=n == 0),
+                                                  pa.array(-np.log(-np.log(u))), part.column(4)], out.names)
+
+    return rows.select(id_col, "text", "good", "fold", "tie").mapInArrow(weigh, out)
+
+
+def calibrated(rows: DataFrame, cells: int = CELLS) -> tuple[float, float]:
+    """``(sharpness, good share)`` from ``good, fair`` of :func:`weighed` rows;
+    the driver gets a histogram of three counts. The share is estimated from the
+    good rows alone."""
+    ends = rows.agg(F.count("*").alias("n"), F.min("fair").alias("lo"), F.max("fair").alias("hi"), F.count(F.when(F.col("good") == 1, F.col("fair"))).alias("good")).first()
+    if not ends["good"]:
+        return 1.0, 1.0
+    lo, width = ends["lo"], (ends["hi"] - ends["lo"]) / cells
+    cell = F.least(F.floor((F.col("fair") - lo) / width), F.lit(cells - 1)) if width > 0 else F.lit(0)
+    n = lambda mark: F.count(F.when(F.col("good") == mark, 1))
+    some = (rows.where(F.col("fair").isNotNull()).groupBy(cell.alias("c"))
+            .agg(n(1).alias("good"), n(0).alias("poor"), F.count("*").alias("every")).orderBy("c").collect())
+    at = lo + (np.array([r["c"] for r in some]) + 0.5) * width
+    good, poor, every = (np.array([r[c] for r in some], float) for c in ("good", "poor", "every"))
+    above = lambda x: np.cumsum(x[::-1])[::-1]
+    seen = above(good) / good.sum()
+    share = min(1.0, float((above(every) / ends["n"] / seen.clip(0.5))[seen >= 0.5].min()))
+    if not poor.sum():
+        under = np.cumsum(every) - every
+        poor = np.clip(max(0.0, every.sum() - share * ends["n"]) - under, 0, every)
+    if not poor.sum():
+        return 1.0, share
+    slope, _ = _fit(np.concatenate([at, at]), np.repeat([1.0, 0.0], len(at)), n=np.concatenate([good, poor]))
+    return max(0.0, slope), share
 
 
 def cutoff(keys: DataFrame, k: int, cells: int = 4096) -> tuple[float, int] | None:
@@ -126,17 +163,32 @@ def cutoff(keys: DataFrame, k: int, cells: int = 4096) -> tuple[float, int] | No
     return left[-1]["gumbel_key"], left[-1]["tie"]
 
 
-def resample(docs: DataFrame, good: DataFrame, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", seed: int = 0,
-             buckets: int = BUCKETS, target_rows: int = TARGET_ROWS) -> DataFrame:
+def resample(docs: DataFrame, good: DataFrame, keep: float | None = None, id_col: str = "doc_id", text_col: str = "text", seed: int = 0,
+             buckets: int = BUCKETS, target_rows: int = TARGET_ROWS, poor: DataFrame | None = None, sharpness: float | None = None) -> DataFrame:
     """``id, log_weight, gumbel_key, kept``; ``good(id)`` names the target rows,
-    ``keep`` the share of rows that is sampled."""
-    # at most `target_rows` ids: small enough to broadcast, whatever the table
-    target = (good.select(F.col(id_col)).where(F.col(id_col).isNotNull()).distinct()
-              .orderBy(F.xxhash64(id_col), id_col).limit(target_rows).withColumn("good", F.lit(1)))
-    marked = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(target), id_col, "left")
+    ``poor(id)`` labelled rows that are none; ``keep``, the share of rows that is
+    sampled, and ``sharpness`` are worked out from them if not given."""
+    marks = good.select(F.col(id_col), F.lit(1).alias("good"))
+    if poor is not None:
+        marks = marks.unionByName(poor.select(F.col(id_col), F.lit(0).alias("good")))
+    marks = marks.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("good").alias("good"))
+    # at most `target_rows` ids of either kind: small enough to broadcast, whatever the table
+    fitting = [marks.where(F.col("good") == g).orderBy(F.xxhash64(id_col), id_col).limit(target_rows) for g in ((1,) if poor is None else (1, 0))]
+    target = fitting[0] if poor is None else fitting[0].unionByName(fitting[1])
+    rows = (docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(F.lit(seed), id_col, text_col).alias("tie"))
+            .join(F.broadcast(target), id_col, "left").withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(2)).cast("int")))
     ship(docs.sparkSession)
-    ratio = log_ratio(*counts(marked, buckets))
-    keys = saved(weighed(docs, ratio, id_col, text_col, seed=seed), "quality-keys")
+    fold0, fold1, every = counts(rows.withColumn("good", F.col("good") == 1), buckets)
+    ratios = np.stack([log_ratio(g, every) for g in (fold0, fold1, fold0 + fold1)])
+    scored = saved(weighed(rows, ratios, id_col), "quality-keys")
+    if keep is None or sharpness is None:
+        slope, share = calibrated(scored)
+        if poor is not None:
+            labelled = marks.agg(F.avg("good")).first()[0]
+            share = 1.0 if labelled is None else labelled
+        keep, sharpness = share if keep is None else keep, slope if sharpness is None else sharpness
+    keys = (scored.withColumn("log_weight", F.coalesce(F.lit(float(sharpness)) * F.col("ratio"), F.lit(EMPTY)))
+            .withColumn("gumbel_key", F.col("log_weight") + F.col("noise")))
     edge = cutoff(keys, int(round(keep * keys.count())))
     kept = F.lit(True) if edge is None else (
         (F.col("gumbel_key") > edge[0]) | ((F.col("gumbel_key") == edge[0]) & (F.col("tie") >= edge[1])))

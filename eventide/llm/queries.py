@@ -99,8 +99,9 @@ def op6_url_filter(spark, sf_dir):
 
 @register("op7_quality")
 def op7_quality(spark, sf_dir):
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return quality.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
+    labels = table(spark, sf_dir, "labels")
+    good, poor = (labels.where(F.col("quality") == q).select("doc_id") for q in (1, 0))
+    return quality.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), good, poor=poor)
 
 
 @register("op8_source_mix", rf"""

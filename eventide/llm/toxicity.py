@@ -233,22 +233,23 @@ def _densities(sample: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndar
     return np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
-    """Logistic curve by damped Newton steps on a standardised density."""
+def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, n: np.ndarray | None = None) -> tuple[float, float]:
+    """Logistic curve by damped Newton steps on a standardised density; ``n``: rows that each value stands for."""
     order = np.lexsort((y, x))
+    n = np.ones(len(x)) if n is None else n[order]
     x, y = x[order], y[order]
-    scale = max(float(np.sqrt((x * x).mean())), 1e-9)
+    scale = max(float(np.sqrt((n * x * x).sum() / n.sum())), 1e-9)
     a = np.column_stack([x / scale, np.ones(len(x))])
     w = np.zeros(2)
 
     def loss(v):
         z = a @ v
-        return float(np.logaddexp(0, z).sum() - (y * z).sum() + ridge / 2 * (v @ v))
+        return float((n * np.logaddexp(0, z)).sum() - (n * y * z).sum() + ridge / 2 * (v @ v))
 
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        grad = a.T @ (p - y) + ridge * w
-        hess = (a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
+        grad = a.T @ (n * (p - y)) + ridge * w
+        hess = (a * (n * p * (1 - p))[:, None]).T @ a + ridge * np.eye(2)
         step = np.linalg.solve(hess, grad)
         size = 1.0
         while size > 1e-6 and loss(w - size * step) > loss(w):

@@ -169,3 +169,24 @@ def test_sample_keeps_the_good_and_drops_the_poor(spark):
     share = {r["quality"]: r["kept"] for r in got.join(labels.where(held_out(F.col("doc_id"))), "doc_id").groupBy("quality")
              .agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
     assert share[1] > 0.95 and share[0] < 0.25
+
+
+@pytest.mark.parametrize("share", [0.3, 0.99])
+def test_the_share_kept_and_the_sharpness_come_from_the_labels(spark, tmp_path, share):
+    """The share and sharpness of one table must not be those of every other."""
+    rng = random.Random(6)
+    vocab = [[f"{kind}{i}" for i in range(60)] for kind in ("poor", "good")]
+    n = 1000
+    rows = [(i, " ".join(rng.choices(vocab[i < share * n], k=40)), None, None, 1) for i in range(n)]
+    quality_of = {i: int(i < share * n) for i in range(n)}
+    for kind, label in (("real", quality_of.get), ("random", lambda i: int(rng.random() < share))):
+        frame(spark, rows).write.parquet(f"{tmp_path}/{kind}/documents.parquet")
+        labels = [(i, label(i), 0) for i in range(0, n, 2)]
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{kind}/labels.parquet")
+        got = QUERIES["op7_quality"](spark, f"{tmp_path}/{kind}").collect()
+        kept = [r["doc_id"] for r in got if r["kept"]]
+        assert len(got) == n and len(kept) == round(n * sum(q for _, q, _ in labels) / len(labels))
+        if kind == "real":
+            assert sum(quality_of[i] for i in kept) >= 0.97 * len(kept)
+        else:       # labels that say nothing of the text: next to no weight, the noise decides
+            assert max(abs(r["log_weight"]) for r in got) < 2
