@@ -10,8 +10,12 @@ text, and a logistic curve turns that into a score.
 Learning takes labelled rows only: terms are the words and word beginnings
 whose documents are toxic far more often than chance (log-odds), exceptions the
 word pairs around a term that clean documents use, the curve is fitted by
-Newton steps. It uses a documented, bounded sample of the labelled rows, those
-of smallest hash (``SAMPLE_ROWS``); scoring covers every row and whole texts.
+Newton steps. A term needs ``MIN_DOCS`` toxic documents and a frequency among
+them that chance gives at most with ``MAX_CHANCE`` (Fisher's exact test),
+however many there are. It uses a documented, bounded sample of the labelled rows, those of smallest hash,
+drawn for either label (``SAMPLE_ROWS``), so rare toxic rows are all read; the
+curve is set back to the shares of the labels. Scoring covers every row and
+whole texts.
 
 Null and empty texts have no match and get the score of zero density. Rows are
 independent, so repeated rows get equal scores; an empty table or a table
@@ -33,10 +37,12 @@ from pyspark.sql import types as T
 from eventide.llm.shared import saved, ship
 from eventide.llm.textops import steps
 
-SAMPLE_ROWS = 20_000     # labelled rows that learning reads at most
+SAMPLE_ROWS = 20_000     # labelled rows of either label that learning reads at most
 MAX_TERMS = 2_000        # terms of a learned lexicon at most
 PREFIX = (4, 5, 6, 7)    # lengths of word beginnings that may be terms
 MIN_WEIGHT = 3.0         # log-odds of a term at least
+MIN_DOCS = 3             # toxic documents of a term at least
+MAX_CHANCE = 1e-3        # that a term of equal frequency in both labels is in so many toxic documents
 THRESHOLD = 0.7
 
 # Letters of other scripts that look like a Latin one.
@@ -162,17 +168,46 @@ def _count(sample: DataFrame, of, name: str) -> DataFrame:
     return sample.mapInArrow(counted, schema).groupBy(name).agg(n(0).alias("clean"), n(1).alias("toxic"))
 
 
+def _critical(toxic: int, clean: int, chance: float, upto: int = 200) -> list[int]:
+    """For terms of 1, 2, ... documents the least number of toxic ones that equal
+    frequency gives with at most ``chance`` (Fisher's exact test, one side)."""
+    def ways(n, k):
+        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+    out = []
+    for n in range(1, min(upto, toxic + clean) + 1):
+        least, tail = n + 1, 0.0
+        for t in range(min(n, toxic), max(0, n - clean) - 1, -1):
+            tail += math.exp(ways(toxic, t) + ways(clean, n - t) - ways(toxic + clean, n))
+            if tail > chance:
+                break
+            least = t
+        out.append(least)
+    return out
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+
+
 def sampled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``text, label`` of the labelled rows, at most ``rows`` of them by smallest hash of their id."""
-    known = (labels.where(F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    # at most `rows` pairs of numbers: small enough to broadcast, whatever the table
-    return saved(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "label"), "toxicity-sample")
+    """``text, label`` of the labelled rows, at most ``rows`` of either label by smallest hash of their id."""
+    clean, toxic = (_known(labels).where(F.col("label") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for t in (0, 1))
+    # at most twice `rows` pairs of numbers: small enough to broadcast, whatever the table
+    return saved(docs.select("doc_id", "text").join(F.broadcast(clean.unionByName(toxic)), "doc_id").select("text", "label"), "toxicity-sample")
+
+
+def draw_shift(labels: DataFrame, rows: int = SAMPLE_ROWS) -> float:
+    """Log-odds of toxic rows in ``labels`` less those in the draw of :func:`sampled`."""
+    n = {r["label"]: r["n"] for r in _known(labels).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    part = {label: math.log(max(k, rows) / rows) for label, k in n.items()}
+    return part.get(1, 0.0) - part.get(0, 0.0)
 
 
 def learn(sample: DataFrame, max_terms: int = MAX_TERMS, min_weight: float = MIN_WEIGHT,
-          exceptions: tuple[str, ...] = ()) -> Lexicon:
-    """Lexicon from ``text, label`` rows; ``sample`` must be bounded (see :func:`sampled`)."""
+          exceptions: tuple[str, ...] = (), shift: float = 0.0) -> Lexicon:
+    """Lexicon from ``text, label`` rows; ``sample`` must be bounded (see :func:`sampled`),
+    ``shift`` is added to the curve's intercept (see :func:`draw_shift`)."""
     ship(sample.sparkSession)
     n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)
@@ -186,8 +221,16 @@ def learn(sample: DataFrame, max_terms: int = MAX_TERMS, min_weight: float = MIN
     def log_odds(t, c):
         return F.log((t + 0.5) / (toxic + 1.0)) - F.log((c + 0.5) / (clean + 1.0))
 
-    least = max(3, math.ceil(0.01 * toxic))
-    found = (_count(sample, feature_maker, "term").where(F.col("toxic") >= least)
+    # by the exact tail for terms of few documents, above by its bound
+    few = _critical(toxic, clean, MAX_CHANCE)
+
+    def unlikely(t, c):
+        share = toxic / (toxic + clean)
+        excess = t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0)
+        bound = (t > (t + c) * share) & (excess >= -math.log(MAX_CHANCE))
+        return F.when(t + c <= len(few), t >= F.element_at(F.lit(few), F.least(t + c, F.lit(len(few))).cast("int"))).otherwise(bound)
+
+    found = (_count(sample, feature_maker, "term").where((F.col("toxic") >= MIN_DOCS) & unlikely(F.col("toxic"), F.col("clean")))
              .withColumn("weight", log_odds(F.col("toxic"), F.col("clean"))).where(F.col("weight") >= min_weight)
              .orderBy(F.desc("weight"), F.desc("toxic"), "term").limit(max_terms).collect())
     terms: dict[str, float] = {}
@@ -217,7 +260,8 @@ def learn(sample: DataFrame, max_terms: int = MAX_TERMS, min_weight: float = MIN
                .where((F.col("clean") >= 2) & (log_odds(F.col("toxic"), F.col("clean")) <= 0))
                .orderBy(F.desc("clean"), "phrase").limit(max_terms).collect())
     lexicon.exceptions = (*exceptions, *(r["phrase"] for r in excused))
-    lexicon.curve = _fit(*_densities(sample, lexicon))
+    slope, intercept = _fit(*_densities(sample, lexicon))
+    lexicon.curve = slope, intercept + shift
     return lexicon
 
 
@@ -286,4 +330,4 @@ def held_out(doc_id):
 def learn_from_labels(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Lexicon:
     """Lexicon from the rows of ``labels(doc_id, toxic)`` that are not held out."""
     seen = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out(F.col("doc_id")))
-    return learn(sampled(docs, seen, rows))
+    return learn(sampled(docs, seen, rows), shift=draw_shift(seen, rows))

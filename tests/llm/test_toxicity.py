@@ -52,6 +52,28 @@ def test_held_out_rows_never_reach_learning(spark):
     assert n == 300 - len(held)
 
 
+def test_rare_toxic_rows_reach_learning(spark):
+    """0.5% of the labelled rows are toxic, and the draw is a twentieth of the rows."""
+    rows = [(i, f"aaaa w{i * 7919 % 89}x bbbb cccc {'nastyword' if i % 200 == 0 else 'dddd'}", None, None, 1) for i in range(6000)]
+    labels = spark.createDataFrame([(i, 1, int(i % 200 == 0)) for i in range(6000)], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    lexicon = toxicity.learn_from_labels(docs, labels, rows=300)
+    got = toxicity.score(docs, lexicon).collect()
+    assert {r["doc_id"] for r in got if r["score"] >= toxicity.THRESHOLD} == set(range(0, 6000, 200))
+    seen = labels.select("doc_id", F.col("toxic").alias("label"))
+    n = {r["label"]: r["count"] for r in toxicity.sampled(docs, seen, 300).groupBy("label").count().collect()}
+    assert n == {0: 300, 1: 30} and toxicity.draw_shift(seen, 300) == pytest.approx(-toxicity.math.log(5970 / 300))
+
+
+def test_terms_of_few_among_many_toxic_rows_are_learned(spark):
+    """Under 1% of the toxic rows use the word; a word as rare in both labels is no term."""
+    def text(i, t):
+        return f"aaaa bbbb {'nastyword' if t and i < 18 else 'usual'} {'evenword' if i < 4 else 'usual'}"
+    sample = spark.createDataFrame([(text(i, t), t) for t in (0, 1) for i in range(2500)], "text string, label int").repartition(4)
+    terms = toxicity.learn(sample).terms
+    assert any(t.startswith(" nast") for t in terms) and not any(t.startswith(" even") for t in terms)
+
+
 def test_held_out_accuracy(spark):
     got = {r["doc_id"]: r for r in QUERIES["op1_toxicity"](spark, SF).collect()}
     labels = duckdb.sql(f"SELECT doc_id, toxic FROM read_parquet('{SF}/labels.parquet')").fetchall()
