@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from eventide.llm import (bpe, exact_dedup, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
+from eventide.llm import (bpe, chat_log, exact_dedup, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
                           urlfilter)
 from eventide.llm.registry import ORACLES, QUERIES, register
 from eventide.llm.textops import table
@@ -151,3 +151,26 @@ def op10_iblt_fingerprint(spark, sf_dir):
     return (fingerprint.compared(versions, "text", {"edited": ("edited_fingerprint", "near_edited"), "next_text": (None, "near_next")})
             .select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                     "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
+
+
+_CHAT_TEST = "</s>[INST] ok [/INST]"
+
+
+@register("op12_chat_format", rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '{_CHAT_TEST}' UNION ALL SELECT -7, 1, 'assistant', '{_CHAT_TEST}'),
+     e AS (SELECT *, regexp_replace(replace(text, '\', '\\'), '(\[|<)(/?s>|/?(?:INST|OUT|SYS|ROLE)\]|:\])', '\1\\\2', 'g') AS body,
+                  regexp_replace(replace(role, '\', '\\'), '(\[|<)(/?s>|/?(?:INST|OUT|SYS|ROLE)\]|:\])', '\1\\\2', 'g') AS named FROM t),
+     p AS (SELECT *, CASE role WHEN 'user' THEN '[INST] ' || body || ' [/INST]' WHEN 'assistant' THEN '[OUT] ' || body || '</s>'
+                               WHEN 'system' THEN '[SYS] ' || body || ' [/SYS]' ELSE '[ROLE] ' || named || '[:]' || body || ' [/ROLE]' END AS piece FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(3 + sum(length(piece)) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id
+""")
+def op12_chat_format(spark, sf_dir):
+    table_turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tested = spark.range(2).select(F.lit(-7).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(_CHAT_TEST))
+    log = chat_log.log_of_turns(table_turns.unionAll(tested))
+    return chat_log.digests(chat_log.read_back(chat_log.render(chat_log.fold(log))))
