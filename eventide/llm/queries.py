@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from eventide.llm import (bpe, chat_log, exact_dedup, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
+from eventide.llm import (bpe, chat_log, exact_dedup, filter_audit, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
                           urlfilter)
 from eventide.llm.registry import ORACLES, QUERIES, register
 from eventide.llm.textops import table
@@ -174,3 +174,36 @@ def op12_chat_format(spark, sf_dir):
     tested = spark.range(2).select(F.lit(-7).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(_CHAT_TEST))
     log = chat_log.log_of_turns(table_turns.unionAll(tested))
     return chat_log.digests(chat_log.read_back(chat_log.render(chat_log.fold(log))))
+
+
+@register("op11_filter_audit", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+                     FROM documents),
+     l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+     m AS (SELECT d.doc_id, part, coalesce(good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+                  CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+                  + 4 * CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) AS INT)
+                  + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+                  + 16 * CAST(coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false) AS INT) AS mask
+           FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+     c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+     f(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+     o AS (SELECT '' AS filter_order, 0 AS used, 0 AS k
+           UNION ALL SELECT filter_order || name, used | bit, k + 1 FROM o JOIN f ON used & bit = 0 WHERE k < 5),
+     s AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+                  list_sum([0] || [1 << (ascii(filter_order[i]) - 65) FOR i IN range(1, step)])::INT AS gone
+           FROM o, (SELECT unnest(range(1, 6))::INT AS step) WHERE k = 5),
+     r AS (SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (gone | bit) = 0 THEN n ELSE 0 END) AS kept,
+                  sum(CASE WHEN mask & bit > 0 AND mask & gone = 0 THEN n ELSE 0 END) AS removed,
+                  sum(CASE WHEN mask & bit > 0 AND mask & gone > 0 THEN n ELSE 0 END) AS redundant,
+                  sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                  sum(CASE WHEN mask & bit > 0 AND mask & gone = 0 THEN good ELSE 0 END) AS good_lost,
+                  sum(CASE WHEN mask & bit > 0 AND mask & gone = 0 THEN toxic ELSE 0 END) AS toxic_lost
+           FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+""")
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
