@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from eventide.llm import (bpe, chat_log, exact_dedup, filter_audit, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
+from eventide.llm import (bpe, chat_log, collocations, exact_dedup, filter_audit, fingerprint, mixing, near_dedup, quality, substring_dedup, suffix_dedup, toxicity,
                           urlfilter)
 from eventide.llm.registry import ORACLES, QUERIES, register
 from eventide.llm.textops import table
@@ -207,3 +207,27 @@ FROM r
 """)
 def op11_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
+@register("op13_collocations", rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {_AZ}), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+     g AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+     c AS (SELECT lang, w[i:i + k - 1] AS ws, count(*) AS f FROM g, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)
+           GROUP BY lang, ws HAVING count(*) >= 30),
+     a AS (SELECT lang, ws, f AS a, len(ws) AS m FROM c WHERE len(ws) >= 2),
+     s AS (SELECT a.lang, a.ws, a.a, a.m, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a.a) // (l.f + r.f) AS score
+           FROM a, (SELECT unnest([1, 2, 3]) AS k), c AS l, c AS r
+           WHERE k < a.m AND l.lang = a.lang AND r.lang = a.lang AND l.ws = a.ws[1:k] AND r.ws = a.ws[k + 1:a.m]),
+     x AS (SELECT lang, ws, a, m, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+     i AS (SELECT lang, ws[b:b + k - 1] AS ws, max(a) AS f FROM a, (SELECT unnest([2, 3]) AS k), (SELECT unnest([1, 2, 3]) AS b)
+           WHERE k < m AND b + k - 1 <= m GROUP BY ALL),
+     y AS (SELECT x.*, array_to_string(x.ws, ' ') AS phrase FROM x LEFT JOIN i ON x.lang = i.lang AND x.ws = i.ws
+           WHERE i.f IS NULL OR 100::HUGEINT * i.f < 80::HUGEINT * a),
+     z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM y)
+SELECT z.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z JOIN t ON z.lang = t.lang WHERE rank <= 2000
+""")
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
