@@ -197,7 +197,8 @@ def ranges(texts: DataFrame, part_bytes: int = PART_BYTES) -> tuple[Ranges, int]
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / part_bytes))
     spread = (heads.repartitionByRange(n, "head").select(F.spark_partition_id().alias("p"), "head", "size")
               .groupBy("p").agg(F.min("head").alias("low"), F.max("head").alias("high"), F.sum("size").alias("size")).orderBy("low").collect())
-    return Ranges([(r["low"], r["high"], r["size"]) for r in spread], part_bytes), total
+    fair = max(1, min(part_bytes, total // n))
+    return Ranges([(r["low"], r["high"], r["size"]) for r in spread], fair), total
 
 
 LOCAL = "doc_id long, part string, mask int, text binary, range int, task int, parts array<string>"
