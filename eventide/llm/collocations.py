@@ -49,8 +49,9 @@ DEPTH = 4                    # words of the longest phrase
 MIN_COUNT = 30
 TOP = 2000
 DROP_SHARE = 80              # percent of a phrase's occurrences inside a longer one that drop it
-GROUP_WORDS = 4 << 20        # suffixes in one subtree
-STEP_BYTES = 16 << 20        # text that one task works on at a time
+GROUP_WORDS = 1 << 20        # suffixes in one subtree
+STEP_BYTES = 4 << 20         # text that one task works on at a time
+HELD_WORDS = 400_000         # word counts that a task holds before it ships them
 BITS = 1 << 24
 SALTS = 32
 
@@ -84,9 +85,9 @@ class Words:
         np.cumsum(last - first + 1, out=ends[1:])
         data = np.ascontiguousarray(buf[solid])
         flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
-        self.words, self.code = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.words, self.code = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False)
         doc = np.searchsorted(offs, first, "right") - 1
-        self.lang = langs.indices.to_numpy(zero_copy_only=False)[doc].astype(np.int64) if n else np.empty(0, np.int64)
+        self.lang = langs.indices.to_numpy(zero_copy_only=False)[doc] if n else np.empty(0, np.int32)
         piece = np.cumsum(_PIECE_END[buf], dtype=np.int64)[first] if n else np.empty(0, np.int64)
         stop = np.ones(n, bool)
         if n:
@@ -95,7 +96,7 @@ class Words:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Language and word in one number, and how many words there are."""
-        return self.lang * max(1, len(self.words)) + self.code, len(self.words)
+        return self.lang * np.int64(max(1, len(self.words))) + self.code, len(self.words)
 
 
 def ahead(stop: np.ndarray) -> np.ndarray:
@@ -118,7 +119,8 @@ _COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.in
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of every step with their number; all words of a language under null."""
+    """Words with their number, summed over the steps of a task; all words of a language under null."""
+    held = []
     for batch in batches:
         for part in steps(batch, "text", STEP_BYTES):
             w = Words(part)
@@ -126,9 +128,22 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(pairs):
                 continue
             pair, n = np.unique(pairs, return_counts=True)
-            yield _rows(_COUNTS, w.langs.take(pair // many), _text(w.words.take(pair % many)), n)
+            held.append(_rows(_COUNTS, w.langs.take(pair // many), _text(w.words.take(pair % many)), n))
             n = np.bincount(w.lang, minlength=len(w.langs))
-            yield _rows(_COUNTS, w.langs, pa.nulls(len(w.langs), pa.string()), n)
+            held.append(_rows(_COUNTS, w.langs, pa.nulls(len(w.langs), pa.string()), n))
+            if sum(b.num_rows for b in held) > HELD_WORDS:
+                held = _summed(held)
+                if sum(b.num_rows for b in held) > HELD_WORDS / 2:
+                    yield from held
+                    held = []
+    yield from _summed(held)
+
+
+def _summed(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if not held:
+        return []
+    t = pa.Table.from_batches(held).group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+    return pa.table([t["lang"], t["phrase"], t["f_sum"]], schema=_COUNTS).combine_chunks().to_batches()
 
 
 def bucket(lang: bytes, word: bytes, bits: int) -> int:
@@ -162,8 +177,8 @@ class Suffixes:
         at = np.flatnonzero(run >= 2)
         run = run[at]
         self.words, self.langs, self.many = w.words, w.langs, many
-        code = np.append(w.code, np.full(DEPTH, -1))
-        cols = [w.lang[at]] + [np.where(run > d, code[at + d], -1) for d in range(DEPTH)]
+        code = np.append(w.code, np.full(DEPTH, -1, np.int32))
+        cols = [w.lang[at]] + [np.where(run > d, code[at + d], np.int32(-1)) for d in range(DEPTH)]
         order, new = tree_order(cols, many)
         starts = np.flatnonzero(new[DEPTH])
         self.cols = [c[order][starts] for c in cols]
@@ -192,9 +207,11 @@ class Suffixes:
 
 def tree_order(cols: list[np.ndarray], many: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Order of suffixes ``lang, c0..c3`` as leaves of a tree, and per depth where a new node begins."""
+    many = np.int64(many)
     upper = (cols[0] * many + cols[1]) * (many + 1) + cols[2] + 1
-    lower = (cols[3] + 1) * (many + 1) + cols[4] + 1
+    lower = (cols[3] + np.int64(1)) * (many + 1) + cols[4] + 1
     order = np.lexsort((lower, upper))
+    del upper, lower
     new, at = [], np.zeros(len(order), bool)
     at[:1] = True
     for c in cols:
@@ -265,7 +282,7 @@ def _shipped(bits, n_bits: int, large: list[tuple[str, ...]], groups: int):
             used = np.unique(c)
             used = used[used >= 0]
             place[used] = np.arange(len(used), dtype=np.int32)
-            leaves = np.vstack([cols[0, a:b].astype(np.int32), place[c], own[a:b].astype(np.int32), number[a:b].astype(np.int32)])
+            leaves = np.vstack([cols[0, a:b], place[c], own[a:b].astype(np.int32), number[a:b].astype(np.int32)])
             yield _rows(_PACKED, [int(group[a])], [langs], [b"\n".join(s.words.take(pa.array(used)).to_pylist())], [b - a],
                         [pa.compress(leaves.tobytes(), "zstd", asbytes=True)])
 
@@ -294,9 +311,9 @@ def _subtrees(min_count: int):
         parts, at_lang, at_word = [], 0, 0
         for r in held:
             size = r["rows"] * (DEPTH + 3) * 4
-            m = np.frombuffer(pa.decompress(r["leaves"], size, "zstd"), np.int32).reshape(DEPTH + 3, -1).astype(np.int64)
+            m = np.frombuffer(pa.decompress(r["leaves"], size, "zstd"), np.int32).reshape(DEPTH + 3, -1).copy()
             n_words = r["words"].count(b"\n") + 1
-            to = np.append(word_of[at_word:at_word + n_words], -1)
+            to = np.append(word_of[at_word:at_word + n_words], np.int32(-1))
             m[0] = lang_of[at_lang:at_lang + len(r["langs"])][m[0]]
             m[1:DEPTH + 1] = to[m[1:DEPTH + 1]]
             parts.append(m)
@@ -308,7 +325,7 @@ def _subtrees(min_count: int):
         m = m[:, order]
         for depth in range(2, DEPTH + 1):
             first = np.flatnonzero(new[depth])
-            total = np.add.reduceat(m[DEPTH + 2], first)
+            total = np.add.reduceat(m[DEPTH + 2], first, dtype=np.int64)
             first, total = (x[(total >= min_count) & (m[depth, first] >= 0) & (m[DEPTH + 1, first] <= depth)] for x in (first, total))
             if len(first):
                 yield _rows(_COUNTS, langs.dictionary.take(pa.array(m[0, first])), phrase(words.dictionary, [m[d + 1, first] for d in range(depth)]), total)
