@@ -1,10 +1,11 @@
 """Keyed state processors for streams (STA1-STA3, PAT1, WIN3, UDF5).
 
 Rows of one key arrive in micro-batches in any order. :class:`OrderedProcessor`
-buffers them in list state and, when the watermark has passed them, replays
+buffers them by time slice and, when the watermark has passed them, replays
 them in (event time, tie-break id) order through ``step``, so a stream gives
 the same answer as the batch operator of the same name on the closed part of
-the input. Work is keyed: Spark shuffles by key and each task holds the state
+the input. A batch adds a part to each slice that it has rows for, without
+reading the slice; a timer reads and drops the due slices only. Work is keyed: Spark shuffles by key and each task holds the state
 of its keys only (RocksDB provider, checkpointed with the query).
 
 Input contract (see :func:`run_ordered`): key columns, ``ev_t`` (event time as
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 
@@ -29,6 +30,8 @@ class OrderedProcessor(StatefulProcessor):
     payload: list[tuple[str, str]] = []
     out_fields: list[tuple[str, str]] = []
 
+    slice_us = 60_000_000        # length of a buffer slice
+
     def __init__(self, key_fields: Sequence[tuple[str, str]], ttl_ms: int | None = None):
         self.key_fields = list(key_fields)
         # STA4: optional time-to-live of a key's state in *event time*: the
@@ -48,8 +51,9 @@ class OrderedProcessor(StatefulProcessor):
     # -- StatefulProcessor API ------------------------------------------------
     def init(self, handle) -> None:
         self.handle = handle
-        schema = ", ".join(f"{n} {t}" for n, t in [("ev_t", "long"), ("ev_id", "long"), *self.payload])
-        self.buf = handle.getListState("buf", schema)
+        row = ", ".join(f"{n}: {t}" for n, t in [("ev_t", "long"), ("ev_id", "long"), *self.payload])
+        self.buf = handle.getMapState("buf", "slice long, part int", f"rows array<struct<{row}>>")
+        self._slices = handle.getMapState("open_slices", "slice long", "parts int, first_t long")
         self._buf_timer = handle.getValueState("buf_timer", "ms long")
         self._last = handle.getValueState("last_seen", "t long")
         self.setup(handle)
@@ -64,13 +68,42 @@ class OrderedProcessor(StatefulProcessor):
             self.handle.registerTimer(ms)
             self._buf_timer.update((ms,))
 
+    def _add(self, rows: list[tuple]) -> None:
+        """One more part for every slice that has rows."""
+        by_slice = {}
+        for r in rows:
+            by_slice.setdefault(r[0] // self.slice_us, []).append(tuple(r))
+        for s, part in by_slice.items():
+            n, first = self._slices.getValue((s,)) if self._slices.containsKey((s,)) else (0, part[0][0])
+            self.buf.updateValue((s, n), (part,))
+            self._slices.updateValue((s,), (n + 1, min(first, *(r[0] for r in part))))
+
+    def _take(self, wm_us: int) -> list[tuple]:
+        """Rows before the watermark, taken out of their slices; later slices are not read."""
+        due, back = [], []
+        slices = {s: v for (s,), v in self._slices.iterator()} if self._slices.exists() else {}
+        for s, (parts, first) in slices.items():
+            if first >= wm_us:
+                continue
+            for n in range(parts):
+                rows = [tuple(r) for r in self.buf.getValue((s, n))[0]]
+                due += [r for r in rows if r[0] < wm_us]
+                back += [r for r in rows if r[0] >= wm_us]
+                self.buf.removeKey((s, n))
+            self._slices.removeKey((s,))
+        self._add(back)
+        later = [first for _, first in slices.values() if first >= wm_us] + [r[0] for r in back]
+        if later:
+            self._arm(min(later))
+        return sorted(due, key=lambda r: r[:2])
+
     def handleInputRows(self, key, rows, timerValues):
         new = []
         for pdf in rows:
             cols = [pdf[c].tolist() for c in self._cols()]
             new.extend(zip(*cols))
         if new:
-            self.buf.appendList([tuple(r) for r in new])
+            self._add(new)
             self._arm(min(r[0] for r in new))
         return iter([])
 
@@ -78,18 +111,10 @@ class OrderedProcessor(StatefulProcessor):
         wm = timerValues.getCurrentWatermarkInMs() * 1000
         if self._buf_timer.exists() and self._buf_timer.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
             self._buf_timer.clear()
-        rows = list(self.buf.get()) if self.buf.exists() else []
-        due = sorted(r for r in rows if r[0] < wm)
+        due = self._take(wm)
         out = self.process_due(key, due) if due else []
         out.extend(self.on_watermark(key, wm))
         self._expire_if_idle(wm)
-        if due:
-            rest = [r for r in rows if r[0] >= wm]
-            if rest:
-                self.buf.put(rest)
-                self._arm(min(r[0] for r in rest))
-            else:
-                self.buf.clear()
         if out:
             names = [n for n, _ in [*self.key_fields, *self.out_fields]]
             yield pd.DataFrame([(*key, *o) for o in out], columns=names)
@@ -111,6 +136,11 @@ class OrderedProcessor(StatefulProcessor):
         self._states.append(st)
         return st
 
+    def map_state(self, name: str, key_schema: str, schema: str):
+        st = self.handle.getMapState(name, key_schema, schema)
+        self._states.append(st)
+        return st
+
     def _expire_if_idle(self, now_us: int) -> None:
         """Clear the key's state when its last row is more than the TTL before ``now_us``."""
         if self.ttl_us is not None and self._last.exists() and self._last.get()[0] + self.ttl_us < now_us:
@@ -142,22 +172,30 @@ class OrderedProcessor(StatefulProcessor):
         return []
 
 
+def use_state_store(spark: SparkSession) -> None:
+    """State with several column families needs the RocksDB provider (it also
+    serves every other stateful operator); set it if the session has another."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def run_ordered(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str,
                 payload: Sequence[Column], processor: OrderedProcessor, event_time: str = "") -> DataFrame:
     """Group a watermarked stream by ``keys`` and run ``processor`` on it (append
     mode). ``event_time`` names the output column (TIMESTAMP) that carries the
     event time and its watermark on, so that another stateful step can follow."""
-    from eventide.session import ship_package
-
-    spark = df.sparkSession
-    ship_package(spark)
-    # state with several column families needs the RocksDB provider (it also
-    # serves every other stateful operator); set it if the session has another
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if "RocksDB" not in (spark.conf.get(key, "") or ""):
-        spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     inp = df.select(*keys, F.unix_micros(F.col(ts)).alias("ev_t"), F.col(tiebreak).cast("long").alias("ev_id"),
                     *payload)
+    return run_grouped(inp, keys, processor, event_time)
+
+
+def run_grouped(inp: DataFrame, keys: Sequence[str], processor: OrderedProcessor, event_time: str = "") -> DataFrame:
+    """Rows of the input contract through ``processor``."""
+    from eventide.session import ship_package
+
+    ship_package(inp.sparkSession)
+    use_state_store(inp.sparkSession)
     return inp.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output_schema(),
         outputMode="Append", timeMode="EventTime", eventTimeColumnName=event_time)

@@ -50,7 +50,37 @@ class _List:
         self.v = []
 
 
+class _Map:
+    def __init__(self):
+        self.v, self.reads = {}, 0
+
+    def exists(self):
+        return bool(self.v)
+
+    def containsKey(self, k):
+        return tuple(k) in self.v
+
+    def getValue(self, k):
+        self.reads += 1
+        return self.v[tuple(k)]
+
+    def updateValue(self, k, v):
+        self.v[tuple(k)] = tuple(v)
+
+    def removeKey(self, k):
+        self.v.pop(tuple(k), None)
+
+    def iterator(self):
+        return iter(list(self.v.items()))
+
+    def keys(self):
+        return iter(list(self.v))
+
+
 class _Handle:
+    def getMapState(self, name, k, v, ttl=None):
+        return _Map()
+
     def getValueState(self, name, schema, ttl=None):
         return _Value()
 
@@ -127,3 +157,44 @@ def test_vectorised_equals_row_by_row(kind):
         return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows)
     assert norm(out_a) == norm(out_b)
     assert out_a or kind in ()
+
+
+class _Timer:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    def getExpiryTimeInMs(self):
+        return self.ms
+
+
+def test_a_timer_reads_due_slices_only():
+    import pandas as pd
+    p = JumpProcessor([("k", "long")], 1.0)
+    p.init(_Handle())
+    minute, rng, rows = 60_000_000, random.Random(2), []
+    for part in range(5):                                   # five batches over 100 slices
+        new = [(s * minute + rng.randrange(minute), part * 100 + s, float(s)) for s in range(100)]
+        rows += new
+        p.handleInputRows((1,), iter([pd.DataFrame(new, columns=p._cols())]), _Timer(0))
+    assert p.buf.reads == 0                                 # adding rows reads no slice
+    got = []
+    for upto in (10, 11, 40):
+        before = p.buf.reads
+        for out in p.handleExpiredTimer((1,), _Timer(upto * 60_000), _Timer(upto * 60_000)):
+            got += out["event_id"].tolist()
+        assert p.buf.reads - before <= 5 * {10: 10, 11: 1, 40: 29}[upto]
+    assert got == [r[1] for r in sorted(rows) if r[0] < 40 * minute]
+    assert len(p.buf.v) == 5 * 60 and len(p._slices.v) == 60
+
+
+def test_a_watermark_inside_a_slice_keeps_the_rest():
+    import pandas as pd
+    p = JumpProcessor([("k", "long")], 1.0)
+    p.init(_Handle())
+    rows = [(t * 1_000_000, t, float(t)) for t in (5, 50, 20, 59, 61)]
+    p.handleInputRows((1,), iter([pd.DataFrame(rows, columns=p._cols())]), _Timer(0))
+    got = [i for ms in (30_000, 30_000, 60_000, 90_000) for out in p.handleExpiredTimer((1,), _Timer(ms), _Timer(ms)) for i in out["event_id"]]
+    assert got == [5, 20, 50, 59, 61] and not p.buf.v and not p._slices.v
