@@ -50,7 +50,7 @@ MIN_COUNT = 30
 TOP = 2000
 DROP_SHARE = 80              # percent of a phrase's occurrences inside a longer one that drop it
 GROUP_WORDS = 1 << 20        # suffixes in one subtree
-STEP_BYTES = 4 << 20         # text that one task works on at a time
+STEP_BYTES = 8 << 20         # text that one task works on at a time
 HELD_WORDS = 400_000         # word counts that a task holds before it ships them
 BITS = 1 << 24
 SALTS = 32
@@ -127,7 +127,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs, many = w.pairs()
             if not len(pairs):
                 continue
-            pair, n = np.unique(pairs, return_counts=True)
+            n = np.bincount(pairs) if len(w.langs) * many <= 8 * len(pairs) else None
+            pair, n = np.unique(pairs, return_counts=True) if n is None else (at := np.flatnonzero(n), n[at])
             held.append(_rows(_COUNTS, w.langs.take(pair // many), _text(w.words.take(pair % many)), n))
             n = np.bincount(w.lang, minlength=len(w.langs))
             held.append(_rows(_COUNTS, w.langs, pa.nulls(len(w.langs), pa.string()), n))
@@ -161,21 +162,39 @@ def bitmap(words: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
+def perhaps(w: Words, bits: bytes, n_bits: int) -> np.ndarray:
+    """Per word, whether the bitmap lets it pass as frequent."""
+    pairs, many = w.pairs()
+    if not len(pairs):
+        return np.empty(0, bool)
+    lang, word = np.divmod(first := _distinct(pairs, len(w.langs) * many), many)
+    langs, words = [x.encode() + b"\n" for x in w.langs.to_pylist()], w.words.to_pylist()
+    h = np.fromiter((zlib.crc32(langs[a] + words[b]) for a, b in zip(lang.tolist(), word.tolist(), strict=True)), np.int64, len(first)) % n_bits
+    known = np.frombuffer(bits, np.uint8)
+    hit = (known[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool)
+    return hit[np.searchsorted(first, pairs)] if len(w.langs) * many > 8 * len(pairs) else _spread(first, hit, len(w.langs) * many)[pairs]
+
+
+def _distinct(x: np.ndarray, below: int) -> np.ndarray:
+    return np.unique(x) if below > 8 * len(x) else np.flatnonzero(np.bincount(x, minlength=below))
+
+
+def _spread(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, values.dtype)
+    out[at] = values
+    return out
+
+
 class Suffixes:
-    """Distinct suffixes of two words or more of a step: columns ``lang, c0..c3``
-    (-1: none) in order, and their ``number``."""
-
-    def __init__(self, w: Words, bits: bytes, n_bits: int):
-        pairs, many = w.pairs()
-        pair, back = np.unique(pairs, return_inverse=True)
-        langs = [x.encode() for x in w.langs.to_pylist()]
-        words = w.words.to_pylist()
-        h = np.fromiter((bucket(langs[p // many], words[p % many], n_bits) for p in pair.tolist()), np.int64, len(pair))
-        known = np.frombuffer(bits, np.uint8)
-        maybe = (known[h >> 3] >> (h & 7).astype(np.uint8) & 1).astype(bool)[back] if len(pair) else np.empty(0, bool)
-        run = np.minimum(np.minimum(w.run, ahead(~maybe)), DEPTH)
-        at = np.flatnonzero(run >= 2)
-        run = run[at]
+    """Distinct suffixes of ``least`` words or more of a step: columns ``lang,
+    c0..c3`` (-1: none) in order, and their ``number``; of those that begin at
+    ``begin`` and end before a word that is not in ``among``."""
+
+    def __init__(self, w: Words, among: np.ndarray | None = None, begin: np.ndarray | None = None, least: int = 2, depth: int = DEPTH):
+        many = len(w.words)
+        run = w.run if among is None else np.minimum(w.run, ahead(~among))
+        at = np.flatnonzero((run >= least) if begin is None else (run >= least) & begin)
+        run = np.minimum(run[at], depth)
         self.words, self.langs, self.many = w.words, w.langs, many
         code = np.append(w.code, np.full(DEPTH, -1, np.int32))
         cols = [w.lang[at]] + [np.where(run > d, code[at + d], np.int32(-1)) for d in range(DEPTH)]
@@ -222,14 +241,17 @@ def tree_order(cols: list[np.ndarray], many: int) -> tuple[np.ndarray, list[np.n
     return order, new
 
 
-def _extensions(bits, n_bits: int, large: list[tuple[str, ...]], depth: int):
+def _extensions(large: list[tuple[str, ...]], depth: int):
     """Counts of the prefixes of ``depth`` words that begin with a large one of ``depth - 1``."""
+    heads = pa.array({p[1].encode() for p in large}, pa.large_binary())
 
     def run(batches):
         for batch in batches:
             for part in steps(batch, "text", STEP_BYTES):
-                s = Suffixes(Words(part), bits.value, n_bits)
-                hit = s.codes(large, depth - 1) & (s.cols[depth] >= 0)
+                w = Words(part)
+                begin = pc.is_in(w.words, heads).to_numpy(zero_copy_only=False)[w.code]
+                s = Suffixes(w, None, begin, depth, depth)
+                hit = s.codes(large, depth - 1)
                 if hit.any():
                     first = np.flatnonzero(s.new[depth])
                     n = np.bincount(s.node_ids(depth), s.number).astype(np.int64)
@@ -255,7 +277,8 @@ def _shipped(bits, n_bits: int, large: list[tuple[str, ...]], groups: int):
     def run(batches):
         for batch in batches:
             for part in steps(batch, "text", STEP_BYTES):
-                yield from packed(Suffixes(Words(part), bits.value, n_bits))
+                w = Words(part)
+                yield from packed(Suffixes(w, perhaps(w, bits.value, n_bits)))
 
     def packed(s):
         own = np.ones(len(s.number), np.int64)     # words of the prefix that names the group
@@ -272,19 +295,19 @@ def _shipped(bits, n_bits: int, large: list[tuple[str, ...]], groups: int):
             key = np.where(own > d, (key ^ h[cols[d + 1]]) * _M1 + _M2, key)
         group = ((key >> np.uint64(20)) % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
-        cols, own, number, group = cols[:, order], own[order], number[order], group[order]
+        cols, own, number, group = np.array([c[order] for c in cols]), own[order], number[order], group[order]
         place = np.zeros(s.many + 1, np.int32)
         place[-1] = -1
         cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-        langs = s.langs.to_pylist()
+        langs, words = s.langs.to_pylist(), s.words.cast(pa.binary())
         for a, b in zip(cuts, np.append(cuts[1:], len(group)), strict=True):
             c = cols[1:, a:b]
             used = np.unique(c)
             used = used[used >= 0]
             place[used] = np.arange(len(used), dtype=np.int32)
             leaves = np.vstack([cols[0, a:b], place[c], own[a:b].astype(np.int32), number[a:b].astype(np.int32)])
-            yield _rows(_PACKED, [int(group[a])], [langs], [b"\n".join(s.words.take(pa.array(used)).to_pylist())], [b - a],
-                        [pa.compress(leaves.tobytes(), "zstd", asbytes=True)])
+            names = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(used)], pa.int32()), words.take(pa.array(used))), b"\n")
+            yield _rows(_PACKED, [int(group[a])], [langs], names, [b - a], [pa.compress(leaves, "zstd", asbytes=True)])
 
     return run
 
@@ -353,7 +376,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, group_words: i
         last = [p for p in large if len(p) == depth]
         if not last:
             break
-        more = saved(texts.mapInArrow(_extensions(bits, n_bits, last, depth), COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        more = saved(texts.mapInArrow(_extensions(last, depth), COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
                      .where((F.col("f") > group_words) & (F.col("f") >= min_count)), "large")
         large += names(more)
         found.append(more)
