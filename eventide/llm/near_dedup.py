@@ -12,16 +12,19 @@
    meet in a prefix list count their collisions on the whole signatures, and
    pairs with ``MATCHES`` or more go on to be confirmed on their full sets.
 4. Lists are joined star-wise: every member with one pivot, then, where a list
-   still holds several components, with a few more, and at last all members of
-   different components, in blocks. So a group of thousands of near copies
-   costs its number of members, and yet no link between components is lost.
+   still holds several components, with a few more, and at last the members
+   outside a list's largest component with all members of other components, in
+   blocks. So a group of thousands of near copies costs its number of members,
+   and yet no link between components is lost.
 5. Components by contraction: every node hooks to its smallest neighbour,
    pointers jump to the root, edges are relabelled, until none is left.
 
 A text without words has an empty set and is linked with nothing; with fewer
 words than a shingle the whole sequence is one shingle. Null counts as empty.
-Rows that repeat are equal sets; a null id never is a component's smallest
-unless there is no other. An empty table gives no rows.
+Rows that repeat are equal sets; an id with several texts has a row for each,
+judged by its own set; a null id never is a component's smallest unless there
+is no other. Very long texts go through whole, one at a time. Columns of other
+names are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -243,16 +246,23 @@ def _open_lists(posts: DataFrame, labels: DataFrame, name: str) -> DataFrame:
 
 
 def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block: int) -> DataFrame:
-    """Pairs of different components within each list, compared block by block."""
-    size = lists.groupBy("key").agg(F.count("*").alias("_size"))
-    blocks = F.ceil(F.col("_size") / block).cast("int")
-    placed = (lists.join(size, "key").withColumn("_of", blocks)
-              .withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_of")).cast("int"))
-              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))))
+    """Pairs of different components within each list: of two members at least
+    one is outside the largest component, so those few ("small") are compared
+    with all, a block of them with a block of the list at a time."""
+    sizes = lists.groupBy("key", "root").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("key").agg(F.sum("n").alias("_size"), F.max(F.struct("n", "root")).alias("_top"))
+    size = top.select("key", "_size", F.col("_top.root").alias("_large"), (F.col("_size") - F.col("_top.n")).alias("_small"))
+    blocks = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
+    h = F.xxhash64("node")
+    placed = lists.join(size, "key").withColumn("_rows", blocks("_small")).withColumn("_cols", blocks("_size"))
+    each = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    asks = F.when(F.col("root") != F.col("_large"),
+                  F.transform(each("_cols"), lambda j: F.struct(F.pmod(h, F.col("_rows")).cast("int").alias("i"), j.alias("j"), F.lit(False).alias("second"))))
+    told = F.transform(each("_rows"), lambda i: F.struct(i.alias("i"), F.pmod(h, F.col("_cols")).cast("int").alias("j"), F.lit(True).alias("second")))
+    placed = placed.withColumn("_at", F.explode(F.concat(told, F.coalesce(asks, F.slice(told, 1, 0)))))
     # a pair is reported in the first list that both are in: at most `posted` keys a node
     own = lists.groupBy("node").agg(F.collect_set("key").alias("own"))
-    dealt = (placed.select("key", F.least("_mine", "_other").alias("i"), F.greatest("_mine", "_other").alias("j"),
-                           (F.col("_mine") > F.col("_other")).alias("second"), "node", "root")
+    dealt = (placed.select("key", "_at.i", "_at.j", "_at.second", "node", "root")
              .join(info.select("node", "n", "sig").join(own, "node"), "node")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "second", "node")
              .select("key", "i", "j", "second", "node", "root", "n", "sig", "own"))
@@ -284,17 +294,13 @@ def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: i
             own[i] = set(lists[i].as_py())
         return own[i]
 
-    within = table.column(1).to_numpy() == table.column(2).to_numpy()
     raw = table.column(7).combine_chunks()
     sig = _matrix(raw, len(raw[0].as_py()))
     out = []
     for lo, hi in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True):
-        if within[lo]:
-            sides = ((i, np.arange(i + 1, hi)) for i in range(lo, hi - 1))
-        else:
-            turn = lo + int(np.searchsorted(second[lo:hi], True))
-            sides = ((i, np.arange(turn, hi)) for i in range(lo, turn))
-        for i, other in sides:
+        turn = lo + int(np.searchsorted(second[lo:hi], True))
+        for i in range(lo, turn):
+            other = np.arange(turn, hi)
             other = other[(root[other] != root[i]) & (np.minimum(n[other], n[i]) * 100 >= np.maximum(n[other], n[i]) * percent)]
             if len(other):
                 hit = other[(sig[other] == sig[i]).sum(1) >= matches]
@@ -309,6 +315,17 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``id, n_shingles, component_id, kept`` of every row. ``shared`` and
     ``matches`` must fit ``percent``: far enough below ``percent`` of ``posted``
     and of all coordinates that a true pair does not fall under them."""
+    judged = _judged(docs, id_col, text_col, size, percent, posted, probed, shared, matches, block)
+    return judged.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", _stays().alias("kept"))
+
+
+def _stays():
+    return F.col("id").eqNullSafe(F.col("component_id"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, posted: int, probed: int, shared: int, matches: int,
+            block: int) -> DataFrame:
+    """``id, n, lo, hi, component_id`` of every row: its id, its set and its group."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -336,31 +353,48 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = named.join(first, "root").select("node", "component_id")
     known = (nodes.select("lo", "hi", "n", "node", "rep").join(grouped, "node", "left")
              .select("lo", "hi", "n", F.coalesce("component_id", "rep").alias("component_id")))
-    full = sets.where("n > 0").join(known, ["lo", "hi", "n"]).select("id", "n", "component_id")
-    empty = sets.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return full.unionByName(empty).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                                          F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    full = sets.where("n > 0").join(known, ["lo", "hi", "n"]).select("id", "n", "lo", "hi", "component_id")
+    empty = sets.where("n = 0").select("id", "n", "lo", "hi", F.col("id").alias("component_id"))
+    return full.unionByName(empty)
 
 
-def _texts(rows: DataFrame, info: DataFrame, size: int) -> DataFrame:
-    """``node, text`` of the nodes that have postings."""
-    asked = info.select(F.col("rep").alias("_rep"), "node", "lo", "hi")
-    found = rows.join(asked, F.col("id").eqNullSafe(F.col("_rep"))).select("text", "node", "lo", "hi")
+def _with_sets(rows: DataFrame, text: int, size: int) -> DataFrame:
+    """The rows and their sets' ``n, lo, hi``; ``text`` is the place of the text column."""
+    names = rows.columns
 
-    def right(batches):
-        for batch in batches:                      # an id may have several texts
-            for part in steps(batch, "text"):
-                row, h = shingles(part.column(0), size)
-                _, lo, hi = set_sums(row, h, part.num_rows)
-                ok = pa.array((lo.view(np.int64) == part.column(2).to_numpy()) & (hi.view(np.int64) == part.column(3).to_numpy()))
-                yield pa.RecordBatch.from_arrays([part.column(1).filter(ok), part.column(0).filter(ok)], ["node", "text"])
+    def run(batches):
+        for batch in batches:
+            for part in steps(batch, names[text]):
+                row, h = shingles(part.column(text), size)
+                n, lo, hi = set_sums(row, h, part.num_rows)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n.astype(np.int64)), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64))],
+                                                 [*names, "n", "lo", "hi"])
 
-    return found.mapInArrow(right, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema, *(T.StructField(c, T.LongType()) for c in ("n", "lo", "hi"))]))
+
+
+def _id_key(c: str) -> list:
+    """An id, null too, as values that an equality join takes."""
+    return [F.coalesce(F.col(c), F.lit(0)).alias("_id"), F.col(c).isNull().alias("_none")]
+
+
+_SET = ["_id", "_none", "n", "lo", "hi"]
+
+
+def _texts(rows: DataFrame, info: DataFrame, size: int) -> DataFrame:
+    """``node, text`` of the nodes that have postings: of the rows with the node's id and set."""
+    asked = info.select("node", *_id_key("rep"), "n", "lo", "hi")
+    found = _with_sets(rows, 1, size).select("text", *_id_key("id"), "n", "lo", "hi").join(asked, _SET)
+    return found.groupBy("node").agg(F.min("text").alias("text"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, posted: int = POSTED, probed: int = PROBED, shared: int = SHARED,
+             matches: int = MATCHES, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay: of every group the one with the smallest
-    id, with all columns of ``docs``."""
-    kept = near_groups(docs, **options).where("kept").select("doc_id").distinct()
-    rows = docs.select(F.struct("*").alias("row"), "doc_id")     # so no column name of its own can clash
-    return rows.join(kept, rows["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select("row.*")
+    id, with all columns of ``docs``. An id's rows with other texts are judged
+    by their own groups."""
+    judged = _judged(docs.select("doc_id", "text"), "doc_id", "text", size, percent, posted, probed, shared, matches, block)
+    kept = judged.where(_stays()).select(*_id_key("id"), "n", "lo", "hi").distinct()
+    # the row is one struct, so no column name of its own can clash
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("id"))
+    return _with_sets(rows, 1, size).select("row", *_id_key("id"), "n", "lo", "hi").join(kept, _SET, "left_semi").select("row.*")

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from eventide.llm import near_dedup
 from llm.fixture_docs import documents, frame, lower, words
@@ -72,6 +73,56 @@ def test_chains_match_brute_force(spark, block):
     assert result(near_dedup.near_groups(frame(spark, rows), block=block)) == brute(rows)
 
 
+def test_rows_without_an_id_or_with_a_repeated_one(spark):
+    """400 near copies without an id, and ids that several texts share: each row by its own set."""
+    rng = random.Random(8)
+    rows = [(None, *r[1:]) for r in near_rows(8, groups=10, members=40)]
+    rows += [(rng.randrange(5), *r[1:]) for r in near_rows(9, groups=6, members=10)]
+    assert result(near_dedup.near_groups(frame(spark, rows))) == brute(rows)
+
+
+def test_texts_are_fetched_once_a_node(spark):
+    """Rows that share a null id do not meet in the join for texts."""
+    rows = [(None, f"text number {i} of some words", None, None, None) for i in range(300)]
+    df = frame(spark, rows).selectExpr("cast(doc_id as long) as id", "text")
+    info = (near_dedup._with_sets(df, 1, 5).groupBy("lo", "hi", "n").agg(F.min("id").alias("rep")).withColumn("node", F.monotonically_increasing_id()))
+    texts = near_dedup._texts(df, info, 5)
+    assert texts.count() == 300 and texts.select("text").distinct().count() == 300
+
+
+def test_pairs_at_exactly_the_threshold(spark):
+    """Hundreds of pairs with 75% and, next to them, just under it."""
+    rng = random.Random(4)
+    rows, want = [], []
+    for g in range(150):
+        # one changed word at the start and one at the end, far apart: 300 shingles shared of 400, or one less
+        n = 350 + 4
+        base = [f"g{g}w{i}" for i in range(n)]
+        less = g % 3 == 0
+        kept = base[50 + less:]                              # 300 or 299 of the 350 shingles of the first
+        other = kept + [f"g{g}x{i}" for i in range(50 + less)]
+        rows += [(2 * g, " ".join(base), "en", "s", 1), (2 * g + 1, " ".join(other), "en", "s", 1)]
+        want.append((2 * g + 1, 2 * g + 1 if less else 2 * g))
+    rng.shuffle(rows)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(frame(spark, rows)).collect()}
+    sets = {r[0]: shingle_set(r[1]) for r in rows}
+    assert all(100 * len(sets[i - 1] & sets[i]) >= 75 * len(sets[i - 1] | sets[i]) for i, c in want if c != i)
+    assert [(i, got[i]) for i, _ in want] == want
+
+
+def test_a_list_of_one_large_component_costs_its_members(spark):
+    """Rows dealt for the last comparison: members of a list once per block of those outside its largest component."""
+    lists = [(1, i, 0 if i < 4900 else i) for i in range(5000)]
+    df = spark.createDataFrame(lists, "key long, node long, root long")
+    info = df.select("node").withColumn("n", F.lit(10).cast("long")).withColumn("sig", F.lit(bytearray(8)).cast("binary"))
+    out = near_dedup._blocks(df, info, 9, 75, 512)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and out.count() == 0
+    pairs = {(r["a"], r["b"]) for r in near_dedup._blocks(df.where("node >= 4880"), info, 8, 75, 7).distinct().collect()}
+    small = [r for r in lists if r[1] >= 4880]
+    assert pairs == {(a[1], b[1]) for a in small for b in small if a[1] < b[1] and a[2] != b[2]}
+
+
 def test_empty_table_and_texts_without_words(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
     rows = [(1, None, None, None, None), (2, " ", None, None, 1), (None, "", None, None, 0)]
@@ -85,6 +136,13 @@ def test_keep_one_leaves_one_row_of_each_group(spark):
     assert df.columns[-2:] == ["row", "_keep"]
 
 
+def test_keep_one_judges_each_text_of_an_id(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(3, a, None, None, 1), (7, b, None, None, 1), (7, a, None, None, 1), (None, a, None, None, 1), (None, "alone in the table", None, None, 1), (9, None, None, None, 0)]
+    got = near_dedup.keep_one(frame(spark, rows, extra=("n", "lo", "id")))
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted([(3, a), (7, b), (None, "alone in the table"), (9, None)], key=str)
+
+
 def test_signatures_agree_with_set_similarity():
     rng = random.Random(2)
     words_ = [f"x{i}" for i in range(4000)]
