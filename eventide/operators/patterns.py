@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventide.functions.timefn import duration_us, slice_id
-from eventide.operators.sequence import next_where, null_safe_join, with_neighbours, with_running
+from eventide.functions.timefn import duration_us, epoch_us, from_epoch_us, slice_id
+from eventide.operators.sequence import mark_hot, next_where, null_safe_join, unmarked, with_neighbours, with_running
+from eventide.operators.userfn import apply_groups
 
 # Fixed value: the warning text of the click cap, with the cap inserted.
 CAP_WARNING = "Click over {n} times today."
@@ -184,12 +187,12 @@ def _rising_runs(df: DataFrame, key: str, order: Sequence[str], value: str, hold
                  slice_col: Column | None) -> tuple[DataFrame, DataFrame]:
     """(rows with segment id and rise flag, first alert of every run with its segment)."""
     ts = order[0]
-    d = with_neighbours(df, [key], order, [value], 1, prefix="_p", slice_col=slice_col)
+    d = with_neighbours(mark_hot(df, [key], slice_col), [key], order, [value], 1, prefix="_p", slice_col=slice_col)
     prev = F.col("_p1")[value]
     d = (d.withColumn("_fall", F.coalesce(F.col(value) < prev, F.lit(False)).cast("long"))
           .withColumn("_rise", F.coalesce(F.col(value) > prev, F.lit(False)))
           .drop("_p1"))
-    d = with_running(d, [key], order, F.col("_fall"), "sum", "_seg", slice_col=slice_col)
+    d = unmarked(with_running(d, [key], order, F.col("_fall"), "sum", "_seg", slice_col=slice_col))
     # Per segment (rows between falls; a fall opens a new segment): first rise
     # and the segment's first row. Both are partial aggregates.
     seg = d.groupBy(key, "_seg").agg(
@@ -199,7 +202,7 @@ def _rising_runs(df: DataFrame, key: str, order: Sequence[str], value: str, hold
     alert = F.timestamp_add("MICROSECOND", F.lit(duration_us(hold)), F.col("run_start"))
     alerts = (null_safe_join(seg.where(F.col("run_start").isNotNull()), nxt, [key], "left", extra=["_seg"])
                  .where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
-                 .select(key, "_seg", "run_start", alert.alias("alert_ts")))
+                 .select(key, "_seg", "run_start", alert.alias("alert_ts"), "_next_fall"))
     return d, alerts
 
 
@@ -211,62 +214,41 @@ def rising_alert(df: DataFrame, key: str, order: Sequence[str], value: str, hold
     that or never. Output: key, ``run_start``, ``alert_ts``.
     """
     _, alerts = _rising_runs(df, key, order, value, hold, slice_col)
-    return alerts.drop("_seg")
+    return alerts.drop("_seg", "_next_fall")
 
 
 def rising_alert_chain(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
-                       slice_size: str | None = None, max_rounds: int = 60) -> DataFrame:
+                       slice_size: str | None = None) -> DataFrame:
     """Rising alerts with re-arming (the stream processor's ``repeat=True``):
     in a run, the first rise arms an alert at ``t0 + hold``; after it fires,
-    the first rise later than the alert time arms the next one. The chain of
-    arming rises is found with pointer doubling: ``nxt(r)`` = first rise of the
-    run later than ``r + hold``; ``log2(chain length)`` joins build the jump
-    tables and as many more collect the chain from each run's first rise. The
-    driver loops over rounds, never over rows. An alert fires when the run's
-    next fall is later than it (or never comes).
-    """
-    ts, tie = order[0], order[1]
-    lim = duration_us(hold)
-    sliced = lambda t: slice_id(t, slice_size) if slice_size else None
-    d, alerts = _rising_runs(df, key, order, value, hold, sliced(ts))
-    seg_end = alerts.select(key, "_seg").distinct()  # only runs that alert at least once
-    rises = null_safe_join(d.where(F.col("_rise")).select(key, "_seg", ts, tie, value), seg_end, [key], "inner",
-                           extra=["_seg"])
-    nf = d.groupBy(key, "_seg").agg(F.min(ts).alias("_start"))
-    nf = nf.select(key, (F.col("_seg") - 1).alias("_seg"), F.col("_start").alias("_next_fall"))
-    node = F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"))
-    # nxt(r): probes at r + hold sort after rises of the same time, so the
-    # first rise after a probe is the first one strictly later than r + hold
-    probe = rises.select(key, "_seg", F.timestamp_add("MICROSECOND", F.lit(lim), F.col(ts)).alias("_pt"),
-                         F.lit(1).alias("_kind"), node.alias("_from"))
-    rise_pts = rises.select(key, "_seg", F.col(ts).alias("_pt"), F.lit(0).alias("_kind"), node.alias("_from"))
-    both = probe.unionByName(rise_pts)
-    both = next_where(both, [key, "_seg"], ["_pt", "_kind"], F.col("_kind") == 0, ["_from"], "_n", slice_col=sliced("_pt"))
-    from eventide.session import ensure_checkpoint_dir
-
-    # each round uses the previous table twice: cut the lineage every round
-    # (reliable checkpoints in the shared checkpoint folder)
-    ensure_checkpoint_dir(df.sparkSession)
-    ptr = both.where(F.col("_kind") == 1).select(key, "_seg", F.col("_from").alias("_node"),
-                                                  F.col("_n._from").alias("_to")).checkpoint()
-    tables = [ptr]
-    for _ in range(max_rounds):  # P_{k+1} = P_k o P_k until no pointer is left
-        last = tables[-1]
-        if last.where(F.col("_to").isNotNull()).isEmpty():
-            break
-        hop = last.select(key, "_seg", F.col("_node").alias("_mid"), F.col("_to").alias("_to2"))
-        nxt = null_safe_join(last.withColumnRenamed("_to", "_mid"), hop, [key], "left", extra=["_seg", "_mid"])
-        tables.append(nxt.select(key, "_seg", "_node", F.col("_to2").alias("_to")).checkpoint())
-    else:
-        raise RuntimeError(f"a chain of alerts is longer than 2**{max_rounds}")
-    chain = rises.groupBy(key, "_seg").agg(F.min(node).alias("_node")).checkpoint()
-    for table in reversed(tables[:-1] if len(tables) > 1 else tables):
-        step = null_safe_join(chain, table, [key], "inner", extra=["_seg", "_node"]).where(F.col("_to").isNotNull())
-        chain = chain.unionByName(step.select(key, "_seg", F.col("_to").alias("_node"))).distinct().checkpoint()
-    alert = F.timestamp_add("MICROSECOND", F.lit(lim), F.col("_node.t"))
-    out = null_safe_join(chain, nf, [key], "left", extra=["_seg"])
-    return (out.where(F.col("_next_fall").isNull() | (F.col("_next_fall") > alert))
-               .select(key, F.col("_node.t").alias("run_start"), alert.alias("alert_ts")))
+    the first rise later than the alert time arms the next one, until the run's
+    next fall. Only the rises of runs that alert at all are dealt, by (key,
+    run), so a hot key is spread over its runs; each run passes in time order
+    in chunks, from alert to alert by binary search."""
+    ts, lim = order[0], duration_us(hold)
+    d, alerts = _rising_runs(df, key, order, value, hold, slice_id(ts, slice_size) if slice_size else None)
+    ends = alerts.select(key, "_seg", epoch_us(F.col("_next_fall")).alias("_fall_us"))
+    rises = null_safe_join(d.where(F.col("_rise")).select(key, "_seg", epoch_us(F.col(ts)).alias("_t")), ends, [key], "inner",
+                           extra=["_seg"]).where(F.col("_t").isNotNull())
+
+    def alerts_of(run, frames):
+        out, alert = [], None
+        for f in frames:
+            t = f["_t"].to_numpy()
+            fall = f["_fall_us"].iloc[0]
+            while True:
+                at = 0 if alert is None else int(np.searchsorted(t, alert, "right"))
+                if at == len(t):
+                    break
+                if fall == fall and fall is not None and t[at] + lim >= fall:    # the fall comes first
+                    yield pd.DataFrame(out, columns=[key, "_t", "_a"])
+                    return
+                alert = int(t[at]) + lim
+                out.append((run[0], int(t[at]), alert))
+        yield pd.DataFrame(out, columns=[key, "_t", "_a"])
+
+    found = apply_groups(rises, [key, "_seg"], alerts_of, f"{key} {df.schema[key].dataType.simpleString()}, _t long, _a long", order=["_t"])
+    return found.select(key, from_epoch_us(F.col("_t")).alias("run_start"), from_epoch_us(F.col("_a")).alias("alert_ts"))
 
 
 def rising_alert_rows(df: DataFrame, key: str, order: Sequence[str], value: str, hold: str,
@@ -278,7 +260,7 @@ def rising_alert_rows(df: DataFrame, key: str, order: Sequence[str], value: str,
     ts = order[0]
     d, alerts = _rising_runs(df, key, order, value, hold, slice_col)
     rises = d.where(F.col("_rise")).drop("_rise", "_fall")
-    j = null_safe_join(rises, alerts, [key], "inner", extra=["_seg"])
+    j = null_safe_join(rises, alerts.drop("_next_fall"), [key], "inner", extra=["_seg"])
     return j.where(F.col(ts).between(F.col("run_start"), F.col("alert_ts"))).drop("_seg")
 
 

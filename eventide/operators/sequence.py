@@ -2,17 +2,21 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one
 task. With one key holding a third of all rows that task is the whole job. The
-*sliced* forms below partition by (key, time slice) instead and stitch the
-slice boundaries from small per-slice summaries:
-
-* the window over (key, slice) is the only full shuffle;
-* per-slice summaries (last rows, totals) are pre-aggregated before they
-  shuffle (partial ``WindowGroupLimit`` / partial aggregation), so they are
-  tiny; they read the input a second time, which costs a column-pruned scan
-  but no second full shuffle or full sort;
-* the carry from earlier slices is a window over the summaries (one row per
-  non-empty slice of a key), joined back on (key, slice), which keeps the big
-  side's partitioning, so no second full shuffle happens.
+*sliced* forms below count the rows of each key first. Calm keys (up to
+``HOT_ROWS`` rows) stay whole; a hot key is cut into time slices, which are
+stitched from per-slice summaries:
+
+* the window over (key, slice) is the only full shuffle; the slice of a calm
+  key is a constant, so for those it is the plain window;
+* the count per key is a partial aggregate over the key columns alone. The hot
+  keys number at most rows / ``HOT_ROWS``, so they are broadcast;
+* summaries (last rows, totals) are made of hot keys only, one per slice,
+  pre-aggregated before they shuffle; where no key is hot they are empty;
+* the carry from earlier slices is a window over the summaries, joined back on
+  (key, slice), which keeps the big side's partitioning.
+
+One plan at every size: the data decide which keys are cut, at run time.
+:func:`mark_hot` finds them once for several steps on the same keys.
 
 ``slice_col`` must be monotone non-decreasing in ``order`` (a time slice of the
 leading order column); its length is a parameter, so that one slice of the
@@ -31,7 +35,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: Rows of a key from which its time slices go to different tasks.
+HOT_ROWS = 1_000_000
+
 _S = "_slice"
+_HOT = "_hot_slice"    # time slice of the rows of hot keys, NULL for all others
 _NULL_SLICE = 1 << 62  # slice of rows with a NULL order value: before all others
 
 
@@ -68,9 +76,35 @@ def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]
     return df, cols
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column) -> tuple[DataFrame, list[str]]:
-    df = df.withColumn(_S, F.coalesce(slice_col, F.lit(-_NULL_SLICE)).cast("long"))
-    return _key_cols(df, keys)
+def mark_hot(df: DataFrame, keys: Sequence[str], slice_col: Column | None) -> DataFrame:
+    """``df`` with the time slice of hot keys' rows, for several sliced steps
+    over the same keys; they pass it on, and :func:`unmarked` takes it off."""
+    if slice_col is None or _HOT in df.columns:
+        return df
+    part = F.coalesce(slice_col, F.lit(-_NULL_SLICE)).cast("long")
+    if not keys:
+        return df.withColumn(_HOT, part)
+    d, kc = _key_cols(df, keys)
+    hot = (d.groupBy(*kc).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+           .select(*kc, F.lit(True).alias("_is_hot")))
+    return d.join(F.broadcast(hot), kc, "left").withColumn(_HOT, F.when(F.col("_is_hot"), part)).drop("_is_hot", *kc)
+
+
+def unmarked(df: DataFrame) -> DataFrame:
+    return df.drop(_HOT)
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], slice_col: Column) -> tuple[DataFrame, list[str], list[str]]:
+    """The rows with their slice, the key columns, and the columns to drop at the end."""
+    mine = [] if _HOT in df.columns else [_HOT]
+    df = mark_hot(df, keys, slice_col)
+    df, kc = _key_cols(df.withColumn(_S, F.coalesce(_HOT, F.lit(0).cast("long"))), keys)
+    return df, kc, [*kc, _S, *mine]
+
+
+def _cut(src: DataFrame) -> DataFrame:
+    """The rows that summaries are made of."""
+    return src.where(F.col(_HOT).isNotNull())
 
 
 def _by_slice(reverse: bool) -> Column:
@@ -101,7 +135,8 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             df = df.withColumn(f"{prefix}{i}", F.lag(value, i).over(w))
         return df
 
-    src, kc = _sliced(df, keys, slice_col)
+    src, kc, mine = _sliced(df, keys, slice_col)
+    cut = _cut(src)
     w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, reverse))
     base = src.withColumn("_pos", F.row_number().over(w))
     for i in range(1, n + 1):
@@ -112,7 +147,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         # partial aggregation, no sort; the carry is the previous slice's.
         pick = F.min_by if reverse else F.max_by
         key = F.struct(*[F.col(o) for o in order])
-        last = src.groupBy(*kc, _S).agg(pick(value, key).alias("_t"))
+        last = cut.groupBy(*kc, _S).agg(pick(value, key).alias("_t"))
         carry = last.select(*kc, _S, F.array(F.lag("_t", 1).over(Window.partitionBy(*kc).orderBy(_by_slice(reverse))))
                             .alias("_carry"))
     else:
@@ -121,7 +156,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         # WindowGroupLimit before its shuffle, so at most n rows per (key,
         # slice) leave each map task.
         wd = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, not reverse))
-        tail = (src.withColumn("_rd", F.row_number().over(wd))
+        tail = (cut.withColumn("_rd", F.row_number().over(wd))
                 .where(F.col("_rd") <= n)
                 .groupBy(*kc, _S)
                 .agg(F.sort_array(F.collect_list(F.struct("_rd", value.alias("v")))).alias("_t"))
@@ -138,7 +173,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             f"{prefix}{i}",
             F.when(F.col("_pos") > i, F.col(f"_in{i}"))
              .otherwise(F.get(F.col("_carry"), F.lit(i) - F.col("_pos"))))
-    return out.drop(*kc, _S, "_pos", "_carry", *[f"_in{i}" for i in range(1, n + 1)])
+    return out.drop(*mine, "_pos", "_carry", *[f"_in{i}" for i in range(1, n + 1)])
 
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
@@ -160,7 +195,7 @@ class Running:
 def with_runnings(df: DataFrame, keys: Sequence[str], order: Sequence[str], specs: Sequence[Running],
                   slice_col: Column | None = None) -> DataFrame:
     """Add several running values in one pass: one shuffle by (key, slice), one
-    summary per slice, one carry join, whatever the number and directions."""
+    summary per slice of a hot key, one carry join, whatever the number and directions."""
     agg = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
 
     def frame(w, spec):
@@ -171,7 +206,7 @@ def with_runnings(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec
             df = df.withColumn(s.name, agg[s.fn](s.value).over(frame(_spec(keys).orderBy(*_ordering(order, s.reverse)), s)))
         return df
 
-    src, kc = _sliced(df, keys, slice_col)
+    src, kc, mine = _sliced(df, keys, slice_col)
     base, totals, carries = src, [], []
     for i, s in enumerate(specs):
         w = Window.partitionBy(*kc, _S).orderBy(*_ordering(order, s.reverse))
@@ -180,7 +215,7 @@ def with_runnings(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec
         totals.append(agg[s.fn](s.value).alias(f"_tot{i}"))
         wk = Window.partitionBy(*kc).orderBy(_by_slice(s.reverse)).rowsBetween(Window.unboundedPreceding, -1)
         carries.append(_MERGE[s.fn](f"_tot{i}").over(wk).alias(f"_carry{i}"))
-    carry = src.groupBy(*kc, _S).agg(*totals).select(*kc, _S, *carries)
+    carry = _cut(src).groupBy(*kc, _S).agg(*totals).select(*kc, _S, *carries)
     out = base.join(carry, on=[*kc, _S], how="left")
     for i, s in enumerate(specs):
         here, before = F.col(f"_in{i}"), F.col(f"_carry{i}")
@@ -191,7 +226,7 @@ def with_runnings(df: DataFrame, keys: Sequence[str], order: Sequence[str], spec
         else:
             res = F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
         out = out.withColumn(s.name, res)
-    return out.drop(*kc, _S, *[f"_{x}{i}" for x in ("in", "carry") for i in range(len(specs))])
+    return out.drop(*mine, *[f"_{x}{i}" for x in ("in", "carry") for i in range(len(specs))])
 
 
 def with_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,

@@ -4,6 +4,6 @@ the DuckDB SQL that defines its expected result (where SQL can express it)."""
 from eventide.plans.registry import ORACLES, QUERIES
 
 # Importing the modules fills the registry.
-from eventide.plans import stateless, windowed, joined, sequenced, sinks  # noqa: E402,F401
+from eventide.plans import stateless, windowed, joined, sequenced, sinks, userdefined  # noqa: E402,F401
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -6,9 +6,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions.timefn import slice_id
+from eventide.operators import sequence
 from eventide.operators.sequence import Running, next_where, prev_where, with_neighbours, with_running, with_runnings
 
 
+@pytest.fixture(autouse=True, params=[-1, 60], ids=["all cut", "hot cut"])
+def hot_rows(request, monkeypatch):
+    """Every key or only the hot one is cut into slices."""
+    monkeypatch.setattr(sequence, "HOT_ROWS", request.param)
+    return request.param
+
+
 @pytest.fixture(scope="module")
 def seq(spark):
     rnd = random.Random(7)
@@ -80,8 +88,24 @@ def test_several_running_values_in_one_pass(seq):
     plain = with_runnings(seq, ["k"], ["ts", "id"], specs)
     sliced = with_runnings(seq, ["k"], ["ts", "id"], specs, slice_id("ts", "1 hour"))
     assert _rows(plain, ["id", "a", "b", "c"]) == _rows(sliced, ["id", "a", "b", "c"])
-    # the rows once, and three small ones for the summaries
-    assert sliced._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 4
+    # the rows once, three small ones for the summaries of hot keys, and the count per key, which stands in the plan
+    # twice and runs once (the second broadcast is a reused one)
+    assert sliced._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 7
+
+
+def test_a_hot_key_is_dealt_over_its_slices_and_calm_keys_stay_whole(seq, hot_rows):
+    marked = sequence.mark_hot(seq, ["k"], slice_id("ts", "1 hour"))
+    parts = {r["k"]: r["n"] for r in marked.groupBy("k").agg(F.count_distinct("_hot_slice").alias("n")).collect()}
+    assert parts[0] > 40
+    assert all(n > 0 for n in parts.values()) if hot_rows < 0 else not any(n for k, n in parts.items() if k != 0)
+
+
+def test_marked_rows_are_cut_the_same_by_every_step(seq):
+    d = sequence.mark_hot(seq, ["k"], slice_id("ts", "1 hour"))
+    d = with_neighbours(d, ["k"], ["ts", "id"], ["v"], 1, slice_col=slice_id("ts", "1 hour"))
+    d = sequence.unmarked(with_running(d, ["k"], ["ts", "id"], F.col("v"), "sum", "r", slice_col=slice_id("ts", "1 hour")))
+    plain = with_running(with_neighbours(seq, ["k"], ["ts", "id"], ["v"], 1), ["k"], ["ts", "id"], F.col("v"), "sum", "r")
+    assert d.columns == plain.columns and _rows(d, ["id", "prev1", "r"]) == _rows(plain, ["id", "prev1", "r"])
 
 
 def test_burst_of_one_key_is_dealt_over_its_slices(spark):
@@ -96,7 +120,7 @@ def test_burst_of_one_key_is_dealt_over_its_slices(spark):
     assert _rows(plain, ["id", "prev1"]) == _rows(sliced, ["id", "prev1"])
 
 
-def test_no_job_while_a_query_is_built_and_no_single_partition(spark):
+def test_no_job_while_a_query_is_built_and_no_single_partition(spark, hot_rows):
     from conftest import SF001
     from eventide.plans import QUERIES
     tracker = spark.sparkContext.statusTracker()
@@ -104,11 +128,11 @@ def test_no_job_while_a_query_is_built_and_no_single_partition(spark):
     for name in ("late_rows", "over_last3", "running_min", "rise_pairs", "not_followed_by"):
         df = QUERIES[name](spark, SF001)
         assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString(), name
-    spark.sparkContext.setJobGroup("building", "queries being built")
+    spark.sparkContext.setJobGroup(f"building {hot_rows}", "queries being built")
     try:
         for name in ("late_rows", "over_last3", "rising_alert"):
             QUERIES[name](spark, SF001)
-        jobs = [j for j in tracker.getJobIdsForGroup("building")]
+        jobs = [j for j in tracker.getJobIdsForGroup(f"building {hot_rows}")]
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs) <= 3      # at most the schema of the file, once a query
