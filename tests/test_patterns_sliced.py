@@ -7,12 +7,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions.timefn import slice_id
+from eventide.operators import sequence
 from eventide.operators.patterns import (consecutive, followed_by, next_pairs, not_next, rising_alert,
                                          split_late)
 
 ORDER = ["ts", "id"]
 
 
+@pytest.fixture(autouse=True)
+def cut_small_keys(monkeypatch):
+    """Keys of more than five rows are cut into slices."""
+    monkeypatch.setattr(sequence, "HOT_ROWS", 5)
+
+
 @pytest.fixture(scope="module")
 def ev(spark):
     rnd = random.Random(11)
