@@ -30,7 +30,7 @@ class OrderedProcessor(StatefulProcessor):
     payload: list[tuple[str, str]] = []
     out_fields: list[tuple[str, str]] = []
 
-    slice_us = 60_000_000        # length of a buffer slice
+    slice_us = 600_000_000       # length of a buffer slice
 
     def __init__(self, key_fields: Sequence[tuple[str, str]], ttl_ms: int | None = None):
         self.key_fields = list(key_fields)
@@ -53,7 +53,7 @@ class OrderedProcessor(StatefulProcessor):
         self.handle = handle
         row = ", ".join(f"{n}: {t}" for n, t in [("ev_t", "long"), ("ev_id", "long"), *self.payload])
         self.buf = handle.getMapState("buf", "slice long, part int", f"rows array<struct<{row}>>")
-        self._slices = handle.getMapState("open_slices", "slice long", "parts int, first_t long")
+        self._slices = handle.getValueState("open_slices", "slices array<struct<slice: long, parts: int, first_t: long>>")
         self._buf_timer = handle.getValueState("buf_timer", "ms long")
         self._last = handle.getValueState("last_seen", "t long")
         self.setup(handle)
@@ -68,21 +68,30 @@ class OrderedProcessor(StatefulProcessor):
             self.handle.registerTimer(ms)
             self._buf_timer.update((ms,))
 
-    def _add(self, rows: list[tuple]) -> None:
+    def _index(self) -> dict[int, tuple[int, int]]:
+        """Parts and earliest time of the open slices: one small value a key."""
+        return {s: (n, first) for s, n, first in self._slices.get()[0]} if self._slices.exists() else {}
+
+    def _set_index(self, index: dict[int, tuple[int, int]]) -> None:
+        if index:
+            self._slices.update(([(s, n, first) for s, (n, first) in index.items()],))
+        else:
+            self._slices.clear()
+
+    def _add(self, rows: list[tuple], index: dict[int, tuple[int, int]]) -> None:
         """One more part for every slice that has rows."""
         by_slice = {}
         for r in rows:
             by_slice.setdefault(r[0] // self.slice_us, []).append(tuple(r))
         for s, part in by_slice.items():
-            n, first = self._slices.getValue((s,)) if self._slices.containsKey((s,)) else (0, part[0][0])
+            n, first = index.get(s, (0, part[0][0]))
             self.buf.updateValue((s, n), (part,))
-            self._slices.updateValue((s,), (n + 1, min(first, *(r[0] for r in part))))
+            index[s] = n + 1, min(first, *(r[0] for r in part))
 
     def _take(self, wm_us: int) -> list[tuple]:
         """Rows before the watermark, taken out of their slices; later slices are not read."""
-        due, back = [], []
-        slices = {s: v for (s,), v in self._slices.iterator()} if self._slices.exists() else {}
-        for s, (parts, first) in slices.items():
+        due, back, index = [], [], self._index()
+        for s, (parts, first) in list(index.items()):
             if first >= wm_us:
                 continue
             for n in range(parts):
@@ -90,11 +99,12 @@ class OrderedProcessor(StatefulProcessor):
                 due += [r for r in rows if r[0] < wm_us]
                 back += [r for r in rows if r[0] >= wm_us]
                 self.buf.removeKey((s, n))
-            self._slices.removeKey((s,))
-        self._add(back)
-        later = [first for _, first in slices.values() if first >= wm_us] + [r[0] for r in back]
-        if later:
-            self._arm(min(later))
+            del index[s]
+        if due:
+            self._add(back, index)
+            self._set_index(index)
+        if index:
+            self._arm(min(first for _, first in index.values()))
         return sorted(due, key=lambda r: r[:2])
 
     def handleInputRows(self, key, rows, timerValues):
@@ -103,7 +113,9 @@ class OrderedProcessor(StatefulProcessor):
             cols = [pdf[c].tolist() for c in self._cols()]
             new.extend(zip(*cols))
         if new:
-            self._add(new)
+            index = self._index()
+            self._add(new, index)
+            self._set_index(index)
             self._arm(min(r[0] for r in new))
         return iter([])
 

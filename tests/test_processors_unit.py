@@ -174,6 +174,7 @@ def test_a_timer_reads_due_slices_only():
     import pandas as pd
     p = JumpProcessor([("k", "long")], 1.0)
     p.init(_Handle())
+    p.slice_us = 60_000_000
     minute, rng, rows = 60_000_000, random.Random(2), []
     for part in range(5):                                   # five batches over 100 slices
         new = [(s * minute + rng.randrange(minute), part * 100 + s, float(s)) for s in range(100)]
@@ -187,14 +188,15 @@ def test_a_timer_reads_due_slices_only():
             got += out["event_id"].tolist()
         assert p.buf.reads - before <= 5 * {10: 10, 11: 1, 40: 29}[upto]
     assert got == [r[1] for r in sorted(rows) if r[0] < 40 * minute]
-    assert len(p.buf.v) == 5 * 60 and len(p._slices.v) == 60
+    assert len(p.buf.v) == 5 * 60 and len(p._index()) == 60
 
 
 def test_a_watermark_inside_a_slice_keeps_the_rest():
     import pandas as pd
     p = JumpProcessor([("k", "long")], 1.0)
+    p.slice_us = 60_000_000
     p.init(_Handle())
     rows = [(t * 1_000_000, t, float(t)) for t in (5, 50, 20, 59, 61)]
     p.handleInputRows((1,), iter([pd.DataFrame(rows, columns=p._cols())]), _Timer(0))
     got = [i for ms in (30_000, 30_000, 60_000, 90_000) for out in p.handleExpiredTimer((1,), _Timer(ms), _Timer(ms)) for i in out["event_id"]]
-    assert got == [5, 20, 50, 59, 61] and not p.buf.v and not p._slices.v
+    assert got == [5, 20, 50, 59, 61] and not p.buf.v and not p._index()
