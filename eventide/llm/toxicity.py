@@ -12,13 +12,16 @@ whose documents are toxic far more often than chance (log-odds), exceptions the
 word pairs around a term that clean documents use, the curve is fitted by
 Newton steps. A term needs ``MIN_DOCS`` toxic documents and a frequency among
 them that chance gives at most with ``MAX_CHANCE`` (Fisher's exact test),
-however many there are. It uses a documented, bounded sample of the labelled rows, those of smallest hash,
-drawn for either label (``SAMPLE_ROWS``), so rare toxic rows are all read; the
+however many there are; every term that passes is kept. It uses a documented, bounded sample of the labelled rows, those of smallest hash,
+drawn for either label (``SAMPLE_ROWS``), so rare toxic rows are all read, one
+row an id (the smallest text, where an id repeats); the
 curve is set back to the shares of the labels. Scoring covers every row and
 whole texts.
 
 Null and empty texts have no match and get the score of zero density. Rows are
-independent, so repeated rows get equal scores; an empty table or a table
+independent, so repeated rows get equal scores, and columns of other names are
+passed on as they are (one named like the score is replaced). Very long texts
+are scanned once, in time that grows with their length; an empty table or a table
 without labels gives a lexicon without terms and scores that say "not toxic".
 """
 
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -38,7 +42,6 @@ from eventide.llm.shared import saved, ship
 from eventide.llm.textops import steps
 
 SAMPLE_ROWS = 20_000     # labelled rows of either label that learning reads at most
-MAX_TERMS = 2_000        # terms of a learned lexicon at most
 PREFIX = (4, 5, 6, 7)    # lengths of word beginnings that may be terms
 MIN_WEIGHT = 3.0         # log-odds of a term at least
 MIN_DOCS = 3             # toxic documents of a term at least
@@ -125,7 +128,18 @@ class Matcher:
         folded = fold(text, self.table)
         found, excused = self.hits(folded)
         if excused:
-            found = {s: w for s, w in found.items() if not any(a <= s < b for a, b in excused)}
+            starts, ends = [], []                      # the phrases' spans, merged
+            for a, b in sorted(excused):
+                if ends and a <= ends[-1]:
+                    ends[-1] = max(ends[-1], b)
+                else:
+                    starts.append(a), ends.append(b)
+
+            def inside(s):
+                at = bisect_right(starts, s) - 1
+                return at >= 0 and s < ends[at]
+
+            found = {s: w for s, w in found.items() if not inside(s)}
         return sum(found.values()) / math.sqrt(folded.count(" ") + 8)
 
     def score(self, text: str) -> float:
@@ -191,10 +205,12 @@ def _known(labels: DataFrame) -> DataFrame:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``text, label`` of the labelled rows, at most ``rows`` of either label by smallest hash of their id."""
+    """``text, label`` of the labelled rows, at most ``rows`` of either label by
+    smallest hash of their id; an id that repeats gives its smallest text."""
     clean, toxic = (_known(labels).where(F.col("label") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for t in (0, 1))
     # at most twice `rows` pairs of numbers: small enough to broadcast, whatever the table
-    return saved(docs.select("doc_id", "text").join(F.broadcast(clean.unionByName(toxic)), "doc_id").select("text", "label"), "toxicity-sample")
+    found = docs.select("doc_id", "text").join(F.broadcast(clean.unionByName(toxic)), "doc_id")
+    return saved(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).select("text", "label"), "toxicity-sample")
 
 
 def draw_shift(labels: DataFrame, rows: int = SAMPLE_ROWS) -> float:
@@ -204,7 +220,7 @@ def draw_shift(labels: DataFrame, rows: int = SAMPLE_ROWS) -> float:
     return part.get(1, 0.0) - part.get(0, 0.0)
 
 
-def learn(sample: DataFrame, max_terms: int = MAX_TERMS, min_weight: float = MIN_WEIGHT,
+def learn(sample: DataFrame, min_weight: float = MIN_WEIGHT,
           exceptions: tuple[str, ...] = (), shift: float = 0.0) -> Lexicon:
     """Lexicon from ``text, label`` rows; ``sample`` must be bounded (see :func:`sampled`),
     ``shift`` is added to the curve's intercept (see :func:`draw_shift`)."""
@@ -232,7 +248,7 @@ def learn(sample: DataFrame, max_terms: int = MAX_TERMS, min_weight: float = MIN
 
     found = (_count(sample, feature_maker, "term").where((F.col("toxic") >= MIN_DOCS) & unlikely(F.col("toxic"), F.col("clean")))
              .withColumn("weight", log_odds(F.col("toxic"), F.col("clean"))).where(F.col("weight") >= min_weight)
-             .orderBy(F.desc("weight"), F.desc("toxic"), "term").limit(max_terms).collect())
+             .orderBy(F.desc("weight"), F.desc("toxic"), "term").collect())      # of a bounded sample
     terms: dict[str, float] = {}
     for r in sorted(found, key=lambda r: len(r["term"].rstrip())):   # a beginning stands for the words it begins
         parts = [r["term"][:k] for k in range(2, len(r["term"]))]
@@ -258,7 +274,7 @@ def learn(sample: DataFrame, max_terms: int = MAX_TERMS, min_weight: float = MIN
 
     excused = (_count(sample, pair_maker, "phrase")
                .where((F.col("clean") >= 2) & (log_odds(F.col("toxic"), F.col("clean")) <= 0))
-               .orderBy(F.desc("clean"), "phrase").limit(max_terms).collect())
+               .orderBy(F.desc("clean"), "phrase").collect())
     lexicon.exceptions = (*exceptions, *(r["phrase"] for r in excused))
     slope, intercept = _fit(*_densities(sample, lexicon))
     lexicon.curve = slope, intercept + shift

@@ -1,4 +1,7 @@
 """Toxicity: folding, exceptions, learning, held-out accuracy."""
+import math
+import random
+import time
 import zlib
 
 import duckdb
@@ -25,6 +28,44 @@ def test_exceptions_and_word_starts():
     assert m.density("clown fish and clown") > 0
 
 
+def plain_density(text, lexicon):
+    """Every place of the text tried with every term and every phrase."""
+    folded = toxicity.fold(text or "", toxicity.Folding())
+    spans = [(i, i + len(p) + 2) for p in lexicon.exceptions for i in range(len(folded)) if folded.startswith(f" {p} ", i)]
+    total = 0.0
+    for i in range(len(folded)):
+        weights = [w for t, w in lexicon.terms.items() if folded.startswith(t, i)]
+        if weights and not any(a <= i < b - 1 for a, b in spans):
+            total += max(weights)
+    return total / math.sqrt(folded.count(" ") + 8)
+
+
+def test_scores_match_a_plain_scan_of_the_lexicon(spark):
+    rng = random.Random(3)
+    vocab = ["clown", "fish", "bad", "badly", "id10t", "nice", "сlown", "the", "circus", "x"]
+    rows = documents() + [(1000 + i, rng.choice([" ", ", ", "\n"]).join(rng.choice(vocab) for _ in range(rng.randint(0, 40))), None, None, 0) for i in range(200)]
+    lexicon = toxicity.Lexicon({" clown ": 4.0, " bad": 3.0, " badly ": 5.0, " idiot ": 4.5, " word ": 1.0},
+                               ("clown fish", "the clown", "fish bad nice", "circus clown fish"), (1.3, -2.0))
+    got = toxicity.score(frame(spark, rows, extra=("label",)), lexicon).select("doc_id", "text", "score").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(1.3 * plain_density(r["text"], lexicon) - 2.0))))
+
+
+def test_a_text_of_a_million_words_with_matches_and_exceptions():
+    m = toxicity.Matcher(toxicity.Lexicon({" clown ": 4.0, " bad": 3.0}, ("clown fish",)))
+    text = "clown fish bad day " * 250_000
+    t = time.time()
+    assert m.density(text) == pytest.approx(3.0 * 250_000 / math.sqrt(1_000_001 + 8))
+    assert time.time() - t < 30
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    rows = [(i % 2, f"text {i}", None, None, 1) for i in range(500)]
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, label int")
+    assert sorted(r["text"] for r in toxicity.sampled(frame(spark, rows), labels, 5).collect()) == ["text 0", "text 1"]
+
+
 def test_score_normalises_by_length():
     m = toxicity.Matcher(toxicity.Lexicon({" bad ": 4.0}))
     assert m.score("bad") > m.score("bad " + "good " * 500) > m.score("good")
