@@ -8,7 +8,8 @@ that pick the same anchor form a segment (about 70 words for 20 windows).
 
 Only segments whose key occurs more than once go on; equal segments are
 combined to one *content* before anything is shuffled by key, which also takes
-care of groups of copies. A key with more than ``HOT_CONTENTS`` different
+care of groups of copies. Rows equal in id and text give their contents once,
+with all their places counted. A key with more than ``HOT_CONTENTS`` different
 contents (a common line in ever different surroundings) is not given to one
 task: its windows are compared singly, by a grouping on their digests.
 """
@@ -126,21 +127,28 @@ def repeated_segments(rows: DataFrame, across: bool, min_words: int = MIN_WORDS,
 def contents(rows: DataFrame, segs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Different segments with their words: ``key, content, first_doc, n,
     count, anchor, words`` (64-bit word hashes), fetched from the first
-    document that has each."""
+    document that has each. Rows equal in id and text give a content once per
+    task that reads them; :func:`judged_windows` drops those repeats."""
     last = F.coalesce(F.col("doc"), F.lit(2**63 - 1))
     different = (segs.groupBy("key", "content")
                  .agg(F.min(F.struct(last.alias("last"), "doc", "rid", "start", "count", "anchor")).alias("at"), F.count("*").alias("n")))
     wanted = (different.select("at.doc", "at.rid", F.struct("at.start", "at.count", "at.anchor", "key", "content", "n").alias("seg"))
               .groupBy("doc", "rid").agg(F.collect_list("seg").alias("segs")))   # at most the document's own segments
     texts = rows.join(wanted.withColumnRenamed("doc", "_doc").withColumnRenamed("rid", "_rid"),
-                      F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("rid") == F.col("_rid"))).select("doc", "text", "segs")
+                      F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("rid") == F.col("_rid"))).select("doc", "text", "segs", "rid")
     return texts.mapInArrow(_fetch(min_words), "key long, content long, first_doc long, n long, count int, anchor int, words binary")
 
 
 def _fetch(min_words: int):
     def run(batches):
+        seen = set()
         for batch in batches:
             for part in steps(batch, "text"):
+                rows = list(zip(part.column(0).to_pylist(), part.column(3).to_pylist(), strict=True))
+                new = [i for i, r in enumerate(rows) if not (r in seen or seen.add(r))]
+                if not new:
+                    continue
+                part = part if len(new) == len(rows) else part.take(pa.array(new))
                 w = Words(part.column(1))
                 lists = part.column(2)
                 seg = lists.flatten()
@@ -182,6 +190,7 @@ def judged_windows(found: DataFrame, judge, min_words: int = MIN_WORDS, hot_cont
     out = "key long, content long, first_docs array<long>, places array<long>"
 
     def shard(pdf):
+        pdf = pdf.drop_duplicates(["key", "content"])
         words = [np.frombuffer(x, U) for x in pdf["words"]]
         docs = pdf["first_doc"].fillna(2**63 - 1).astype("int64") if pdf["first_doc"].isna().any() else pdf["first_doc"].astype("int64")
         first, places = judge(words, pdf["count"].to_numpy(np.int64), pdf["anchor"].to_numpy(np.int64), docs.to_numpy(), pdf["n"].to_numpy(np.int64))
@@ -191,7 +200,7 @@ def judged_windows(found: DataFrame, judge, min_words: int = MIN_WORDS, hot_cont
             .groupBy("_shard").applyInPandas(shard, out))
     if (total[1] or 0) <= hot_contents:
         return done
-    single = found.join(hot, "key").mapInArrow(_windows(min_words), "key long, content long, no int, w1 long, w2 long, doc long, n long")
+    single = found.join(hot, "key").dropDuplicates(["key", "content"]).mapInArrow(_windows(min_words), "key long, content long, no int, w1 long, w2 long, doc long, n long")
     known = single.groupBy("w1", "w2").agg(F.min("doc").alias("first_doc"), F.sum("n").alias("places"))
     rest = (single.join(known, ["w1", "w2"]).groupBy("key", "content")
             .agg(F.sort_array(F.collect_list(F.struct("no", "first_doc", "places"))).alias("w"))   # the windows of one segment

@@ -169,7 +169,8 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     judged = passages.judged_windows(passages.contents(rows, segs, min_words), one_shard, min_words)
     last = F.coalesce(F.col("doc"), F.lit(2**63 - 1))
-    marked = (segs.select("key", "content", "doc", "rid", "start").join(judged.select("key", "content", "first_docs"), ["key", "content"])
+    own = segs.select("key", "content", "doc", "rid", "start").distinct()       # of rows equal in id and text once
+    marked = (own.join(judged.select("key", "content", "first_docs"), ["key", "content"])
               .withColumn("hits", F.transform("first_docs", lambda x: x < last))
               .where(F.array_contains("hits", True))
               .groupBy(F.col("doc").alias("_doc"), F.col("rid").alias("_rid"))

@@ -12,7 +12,8 @@ directions up to the full window.
 Result: maximal runs of words covered by windows that occur at two or more
 places of the table (other documents, or elsewhere in the same one). Words are
 runs without space and TAB..CR, unchanged. Null and empty texts and texts with
-fewer than ``min_words`` words have none. Rows equal in id and text count as
+fewer than ``min_words`` words have none; very long texts go through whole, a
+bounded number of segments at a time. Columns of other names are not read. Rows equal in id and text count as
 two places and give their runs once; an empty table gives no rows.
 """
 
@@ -93,7 +94,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     judged = passages.judged_windows(found, one_shard, min_words)
     twice = F.exists("places", lambda n: n > 1)
-    marked = (segs.join(judged.where(twice), ["key", "content"])
+    own = segs.select("doc", "rid", "start", "key", "content").distinct()       # of rows equal in id and text once
+    marked = (own.join(judged.where(twice), ["key", "content"])
               .groupBy("doc", "rid").agg(F.collect_list(F.struct("start", "first_docs", "places")).alias("segs")))
 
     names = [id_col, "start", "end", "n_words", "first_id", "places"]

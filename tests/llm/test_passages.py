@@ -92,6 +92,17 @@ def test_both_match_brute_force(spark, rows, size):
     assert repeats(spark, rows, size, extra=extra) == brute_repeats(rows, size)
 
 
+@pytest.mark.parametrize("copies,hot", [(1, 20_000), (2, 20_000), (2, 0)])
+def test_rows_equal_in_id_and_text_count_once_each(spark, monkeypatch, copies, hot):
+    """A row three times, and one or two copies of it under other ids."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(4, text, None, None, 0)] * 3 + [(9 + i, text + " more", None, None, 0) for i in range(copies - 1)] + [(None, text, None, None, 0)] * (copies - 1)
+    monkeypatch.setattr(passages.judged_windows, "__defaults__", (50, hot, 500))
+    got = repeats(spark, rows)
+    assert got == brute_repeats(rows, 50) and {g[5] for g in got} == {len(rows)}
+    assert removed(spark, rows) == brute_removed(rows, 50)
+
+
 @pytest.mark.parametrize("module", [suffix_dedup, substring_dedup])
 def test_hot_keys_are_compared_window_by_window(spark, module, monkeypatch):
     rows = quilt(3)
