@@ -15,7 +15,10 @@
    still holds several components, with a few more, and at last the members
    outside a list's largest component with all members of other components, in
    blocks. So a group of thousands of near copies costs its number of members,
-   and yet no link between components is lost.
+   and yet no link between components is lost. What the blocks compare are
+   signatures of ``WIDE`` coordinates, made for the members of open lists only:
+   these are many and often just under the similarity, so the narrower the band
+   that goes on to full sets, the better.
 5. Components by contraction: every node hooks to its smallest neighbour,
    pointers jump to the root, edges are relabelled, until none is left.
 
@@ -29,6 +32,8 @@ names are not read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -44,6 +49,7 @@ POSTED, PROBED = 32, 224
 SHARED = 10           # of the posted coordinates; for 75 %
 MATCHES = 158         # of all coordinates; for 75 %: five standard deviations below the 192 expected
 HEAD, HEAD_MATCHES = 64, 30   # the first coordinates, counted inside the lists already
+WIDE = 1024           # coordinates of the last comparison
 PIVOTS = 4
 BLOCK = 512
 _SHORT = 0x8CB92BA72F3D8DD7
@@ -129,6 +135,26 @@ def _matrix(col: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(lists), np.uint8).reshape(len(lists), width)
 
 
+def least_matches(coordinates: int, percent: int) -> int:
+    """Collisions that a pair of ``percent`` has, less five standard deviations."""
+    p = percent / 100
+    return math.floor(coordinates * p - 5 * math.sqrt(coordinates * p * (1 - p)))
+
+
+def wide_signatures(lists: DataFrame, info: DataFrame, texts: DataFrame, size: int, wide: int) -> DataFrame:
+    """``node, n, sig`` of the members of ``lists``, ``sig`` with ``wide`` coordinates."""
+    def run(batches):
+        for batch in batches:
+            for part in steps(batch, "text", 1 << 20):
+                row, h = shingles(part.column(1), size)
+                _, sig = signatures(row, h, np.bincount(row, minlength=part.num_rows), 0, wide)
+                yield pa.RecordBatch.from_arrays([part.column(0), _binaries(sig)], ["node", "sig"])
+
+    asked = lists.select("node").distinct()
+    made = texts.join(asked, "node", "left_semi").select("node", "text").mapInArrow(run, "node long, sig binary")
+    return saved(made.join(info.select("node", "n"), "node").select("node", "n", "sig"), "near-wide")
+
+
 def prefixes(nodes: DataFrame, posted: int = POSTED, shared: int = SHARED) -> DataFrame:
     """``key, node``: the postings in the prefix of each node (pairs that no
     other node has stand first in the order and need no posting)."""
@@ -245,10 +271,11 @@ def _open_lists(posts: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return saved(placed.join(several, "key"), name)
 
 
-def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block: int) -> DataFrame:
+def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block: int, head: int = HEAD, head_matches: int = 0) -> DataFrame:
     """Pairs of different components within each list: of two members at least
     one is outside the largest component, so those few ("small") are compared
-    with all, a block of them with a block of the list at a time."""
+    with all, a block of them with a block of the list at a time: by ``head``
+    coordinates first, then by all."""
     sizes = lists.groupBy("key", "root").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.sum("n").alias("_size"), F.max(F.struct("n", "root")).alias("_top"))
     size = top.select("key", "_size", F.col("_top.root").alias("_large"), (F.col("_size") - F.col("_top.n")).alias("_small"))
@@ -277,14 +304,14 @@ def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block
             done = int(cut[-1]) if len(cut) else 0
             rest = table.slice(done).combine_chunks()
             if done:
-                yield _compare_groups(table.slice(0, done), np.concatenate([[0], cut]), matches, percent)
+                yield _compare_groups(table.slice(0, done), np.concatenate([[0], cut]), matches, percent, head, head_matches)
         if rest is not None and rest.num_rows:
-            yield _compare_groups(rest, np.array([0, rest.num_rows]), matches, percent)
+            yield _compare_groups(rest, np.array([0, rest.num_rows]), matches, percent, head, head_matches)
 
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: int) -> pa.RecordBatch:
+def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: int, head: int, head_matches: int) -> pa.RecordBatch:
     second, node, root, n = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in range(3, 7))
     key, own = table.column(0).to_numpy(), {}
     lists = table.column(8).combine_chunks()
@@ -296,12 +323,14 @@ def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: i
 
     raw = table.column(7).combine_chunks()
     sig = _matrix(raw, len(raw[0].as_py()))
+    first = np.ascontiguousarray(sig[:, :head])
     out = []
     for lo, hi in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True):
         turn = lo + int(np.searchsorted(second[lo:hi], True))
         for i in range(lo, turn):
             other = np.arange(turn, hi)
             other = other[(root[other] != root[i]) & (np.minimum(n[other], n[i]) * 100 >= np.maximum(n[other], n[i]) * percent)]
+            other = other[(first[other] == first[i]).sum(1) >= head_matches]
             if len(other):
                 hit = other[(sig[other] == sig[i]).sum(1) >= matches]
                 out += [(node[i], node[x]) for x in hit.tolist() if min(keys_of(i) & keys_of(x)) == key[i]]
@@ -345,7 +374,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
     open_ = _open_lists(posts, labels, "near-open-1")
     labels = _merge(labels, star(open_, PIVOTS, "more"), "near-2")
     open_ = _open_lists(open_.select("key", "node"), labels, "near-open-2")
-    rest = saved(_blocks(open_, info, matches, percent, block).distinct(), "near-rest")
+    wide = wide_signatures(open_, info, texts, size, WIDE)
+    rest = saved(_blocks(open_, wide, least_matches(WIDE, percent), percent, block, posted + probed, matches).distinct(), "near-rest")
     labels = _merge(labels, confirmed(rest, texts, size, percent), "near-3")
 
     named = labels.join(info.select("node", "rep"), "node")
