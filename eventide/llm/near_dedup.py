@@ -16,9 +16,11 @@
    outside a list's largest component with all members of other components, in
    blocks. So a group of thousands of near copies costs its number of members,
    and yet no link between components is lost. What the blocks compare are
-   signatures of ``WIDE`` coordinates, made for the members of open lists only:
-   these are many and often just under the similarity, so the narrower the band
-   that goes on to full sets, the better.
+   signatures of ``WIDE`` coordinates, made for the members of open lists only.
+   Pairs that these allow are many and often just under the similarity, so they
+   never become rows: a member lists its candidates, the texts come to the block
+   once a member, and the block confirms its pairs on the full sets itself and
+   gives only the links that join components.
 5. Components by contraction: every node hooks to its smallest neighbour,
    pointers jump to the root, edges are relabelled, until none is left.
 
@@ -52,6 +54,7 @@ HEAD, HEAD_MATCHES = 64, 30   # the first coordinates, counted inside the lists
 WIDE = 1024           # coordinates of the last comparison
 PIVOTS = 4
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20      # of the members of one side of a block together
 _SHORT = 0x8CB92BA72F3D8DD7
 
 
@@ -271,17 +274,24 @@ def _open_lists(posts: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     return saved(placed.join(several, "key"), name)
 
 
-def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block: int, head: int = HEAD, head_matches: int = 0) -> DataFrame:
+def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block: int, head: int = HEAD, head_matches: int = 0,
+            candidates: bool = False, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Pairs of different components within each list: of two members at least
     one is outside the largest component, so those few ("small") are compared
     with all, a block of them with a block of the list at a time: by ``head``
-    coordinates first, then by all."""
-    sizes = lists.groupBy("key", "root").agg(F.count("*").alias("n"))
-    top = sizes.groupBy("key").agg(F.sum("n").alias("_size"), F.max(F.struct("n", "root")).alias("_top"))
-    size = top.select("key", "_size", F.col("_top.root").alias("_large"), (F.col("_size") - F.col("_top.n")).alias("_small"))
-    blocks = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
+    coordinates first, then by all.
+
+    With ``candidates`` the pairs do not become rows: a block gives the members
+    that have any (``key, i, j, second, node, root, others``), once each, and
+    ``others`` holds the second members that a first one is similar to."""
+    lists = lists.join(info.select("node", F.col("n").alias("_n")), "node")
+    sizes = lists.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("_n").alias("s"))
+    top = sizes.groupBy("key").agg(F.sum("n").alias("_size"), F.sum("s").alias("_sum"), F.max(F.struct("n", "root", "s")).alias("_top"))
+    size = top.select("key", "_size", "_sum", F.col("_top.root").alias("_large"), (F.col("_size") - F.col("_top.n")).alias("_small"),
+                      (F.col("_sum") - F.col("_top.s")).alias("_small_sum"))
+    blocks = lambda c, s: F.greatest(F.ceil(F.col(c) / block), F.ceil(F.col(s) / block_shingles), F.lit(1)).cast("int")
     h = F.xxhash64("node")
-    placed = lists.join(size, "key").withColumn("_rows", blocks("_small")).withColumn("_cols", blocks("_size"))
+    placed = lists.join(size, "key").withColumn("_rows", blocks("_small", "_small_sum")).withColumn("_cols", blocks("_size", "_sum"))
     each = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     asks = F.when(F.col("root") != F.col("_large"),
                   F.transform(each("_cols"), lambda j: F.struct(F.pmod(h, F.col("_rows")).cast("int").alias("i"), j.alias("j"), F.lit(False).alias("second"))))
@@ -295,23 +305,34 @@ def _blocks(lists: DataFrame, info: DataFrame, matches: int, percent: int, block
              .select("key", "i", "j", "second", "node", "root", "n", "sig", "own"))
 
     def compare(batches):
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            group = [table.column(c).to_numpy() for c in range(3)]
-            n = table.num_rows
-            cut = np.flatnonzero(np.any([g[1:] != g[:-1] for g in group], 0)) + 1 if n > 1 else np.empty(0, np.int64)
-            done = int(cut[-1]) if len(cut) else 0
-            rest = table.slice(done).combine_chunks()
-            if done:
-                yield _compare_groups(table.slice(0, done), np.concatenate([[0], cut]), matches, percent, head, head_matches)
-        if rest is not None and rest.num_rows:
-            yield _compare_groups(rest, np.array([0, rest.num_rows]), matches, percent, head, head_matches)
+        for table, marks in _whole_blocks(batches):
+            hits = _compare_groups(table, marks, matches, percent, head, head_matches)
+            yield _members(table, hits) if candidates else _pairs(table, hits)
+
+    return dealt.mapInArrow(compare, _MEMBERS if candidates else "a long, b long")
+
 
-    return dealt.mapInArrow(compare, "a long, b long")
+_MEMBERS = "key long, i int, j int, second boolean, node long, root long, others array<long>"
 
 
-def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: int, head: int, head_matches: int) -> pa.RecordBatch:
+def _whole_blocks(batches):
+    """Rows sorted by ``key, i, j`` as tables that end with a block, and where their blocks begin and end."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        group = [table.column(c).to_numpy() for c in range(3)]
+        n = table.num_rows
+        cut = np.flatnonzero(np.any([g[1:] != g[:-1] for g in group], 0)) + 1 if n > 1 else np.empty(0, np.int64)
+        done = int(cut[-1]) if len(cut) else 0
+        rest = table.slice(done).combine_chunks()
+        if done:
+            yield table.slice(0, done), np.concatenate([[0], cut])
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: int, head: int, head_matches: int) -> list[tuple[int, list[int]]]:
+    """Row numbers of the members that have candidates, with those of the candidates."""
     second, node, root, n = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in range(3, 7))
     key, own = table.column(0).to_numpy(), {}
     lists = table.column(8).combine_chunks()
@@ -333,11 +354,85 @@ def _compare_groups(table: pa.Table, marks: np.ndarray, matches: int, percent: i
             other = other[(first[other] == first[i]).sum(1) >= head_matches]
             if len(other):
                 hit = other[(sig[other] == sig[i]).sum(1) >= matches]
-                out += [(node[i], node[x]) for x in hit.tolist() if min(keys_of(i) & keys_of(x)) == key[i]]
-    a, b = (np.array(x, np.int64) for x in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
+                if found := [x for x in hit.tolist() if min(keys_of(i) & keys_of(x)) == key[i]]:
+                    out.append((i, found))
+    return out
+
+
+def _pairs(table: pa.Table, hits: list[tuple[int, list[int]]]) -> pa.RecordBatch:
+    node = table.column(4).to_numpy()
+    a = node[np.repeat([i for i, _ in hits], [len(x) for _, x in hits])] if hits else np.empty(0, np.int64)
+    b = node[np.concatenate([x for _, x in hits])] if hits else np.empty(0, np.int64)
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
+def _members(table: pa.Table, hits: list[tuple[int, list[int]]]) -> pa.RecordBatch:
+    node = table.column(4).to_numpy()
+    found = {i: node[x] for i, x in hits}
+    rows = sorted({*found, *(x for _, others in hits for x in others)})
+    some = table.select(range(6)).take(pa.array(rows, pa.int64())).combine_chunks()
+    columns = [c.combine_chunks() for c in some.columns]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([found.get(i) for i in rows], pa.list_(pa.int64()))], [*some.column_names, "others"])
+
+
+class _Joined:
+    """Components that links of this task have joined."""
+
+    def __init__(self):
+        self.up = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _links(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that join the components of ``members`` (of :func:`_blocks`),
+    confirmed on full sets, fewer in a task than the components it meets: pairs
+    whose components the task has joined already need no look."""
+    dealt = (members.join(texts.select("node", "text"), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "second", "node")
+             .select("key", "i", "j", "second", "node", "root", "others", "text"))
+
+    def confirm(batches):
+        joined = _Joined()
+        for table, marks in _whole_blocks(batches):
+            for lo, hi in zip(marks[:-1].tolist(), marks[1:].tolist(), strict=True):
+                out = _confirm_block(table.slice(lo, hi - lo).combine_chunks().to_batches()[0], joined, size, percent)
+                if out:
+                    a, b = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return dealt.mapInArrow(confirm, "a long, b long")
+
+
+def _confirm_block(block: pa.RecordBatch, joined: _Joined, size: int, percent: int) -> list[tuple[int, int]]:
+    sets = []
+    for part in steps(block, "text", 1 << 20):
+        row, h = shingles(part.column(7), size)
+        sets += np.split(h, np.cumsum(np.bincount(row, minlength=part.num_rows))[:-1])
+    second, node, root, others = (block.column(c).to_pylist() for c in range(3, 7))
+    place = {x: at for at, x in enumerate(node) if second[at]}
+    out = []
+    for i, asked in enumerate(others):
+        mine = joined.find(root[i])
+        asked = [at for x in asked or () if joined.find(root[at := place[x]]) != mine]
+        if not asked:
+            continue
+        n = np.array([len(sets[at]) for at in asked])
+        theirs = np.concatenate([sets[at] for at in asked])
+        where = np.minimum(np.searchsorted(sets[i], theirs), len(sets[i]) - 1)
+        inter = np.add.reduceat((sets[i][where] == theirs).astype(np.int64), np.cumsum(n) - n)
+        near = inter * 100 >= (len(sets[i]) + n - inter) * percent
+        out += [(node[i], node[at]) for at, ok in zip(asked, near.tolist(), strict=True) if ok and joined.join(root[i], root[at])]
+    return out
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT,
                 posted: int = POSTED, probed: int = PROBED, shared: int = SHARED, matches: int = MATCHES,
                 block: int = BLOCK) -> DataFrame:
@@ -375,8 +470,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
     labels = _merge(labels, star(open_, PIVOTS, "more"), "near-2")
     open_ = _open_lists(open_.select("key", "node"), labels, "near-open-2")
     wide = wide_signatures(open_, info, texts, size, WIDE)
-    rest = saved(_blocks(open_, wide, least_matches(WIDE, percent), percent, block, posted + probed, matches).distinct(), "near-rest")
-    labels = _merge(labels, confirmed(rest, texts, size, percent), "near-3")
+    near = _blocks(open_, wide, least_matches(WIDE, percent), percent, block, posted + probed, matches, candidates=True)
+    labels = _merge(labels, _links(near, texts, size, percent), "near-3")
 
     named = labels.join(info.select("node", "rep"), "node")
     first = named.groupBy("root").agg(F.min("rep").alias("component_id"))

@@ -123,6 +123,40 @@ def test_a_list_of_one_large_component_costs_its_members(spark):
     assert pairs == {(a[1], b[1]) for a in small for b in small if a[1] < b[1] and a[2] != b[2]}
 
 
+@pytest.mark.parametrize("block, span", [(512, 1 << 20), (9, 1 << 20), (512, 2000)])
+def test_blocks_confirm_their_pairs_and_give_links_only(spark, block, span):
+    """A group whose members are mostly just under the threshold: its pairs never become rows, and no link is lost."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for at in rng.sample(range(120), 2 + i % 3):
+            w[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(w)))
+    sets = [shingle_set(t) for _, t in rows]
+    near = {(i, j) for j in range(240) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert 50 < len(near) < 240 * 239 // 4
+
+    texts = spark.createDataFrame(rows, "node long, text string").repartition(3)
+    info = texts.join(spark.createDataFrame([(i, len(s)) for i, s in enumerate(sets)], "node long, n long"), "node")
+    lists = texts.selectExpr("explode(array(1L, 2L)) as key", "node", "node as root")
+    info = near_dedup.wide_signatures(lists, info, texts, 5, 64)
+    members = near_dedup._blocks(lists, info, 0, 75, block, candidates=True, block_shingles=span)
+    got = [tuple(r) for r in near_dedup._links(members, texts, 5, 75).collect()]
+    assert {tuple(sorted(p)) for p in got} <= near and near_dedup._blocks(lists, info, 0, 75, block).count() > 20_000
+    if (block, span) == (512, 1 << 20):
+        assert members.count() <= 480 and len(got) < 240
+
+    def groups(pairs):
+        root = list(range(240))
+        for a, b in pairs:
+            root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+        return root
+
+    assert groups(got) == groups(near)
+
+
 def test_empty_table_and_texts_without_words(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
     rows = [(1, None, None, None, None), (2, " ", None, None, 1), (None, "", None, None, 0)]
