@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from eventide.functions.timefn import add_us, duration_us, slice_id
-from eventide.operators.sequence import Running, with_runnings
+from eventide.operators.sequence import Running, mark_hot, unmarked, with_runnings
 
 
 def _prefixed(df: DataFrame, keep: Sequence[str], key: str, p: str) -> DataFrame:
@@ -71,25 +71,27 @@ def interval_match(left: DataFrame, right: DataFrame, key: str, lts: str, rts: s
         matched = (l.withColumn("_b", slice_id(lt, tol))
                    .join(r.withColumn("_b", F.explode(F.array(b - 1, b, b + 1))), on=[key, "_b"], how="inner")
                    .where(near).drop("_b"))
-    alone = _without_partner(l, r, key, lt, rt, tol, slice_size)
+    alone = _without_partner(l, r, key, lt, rt, tol, slice_size, at_once=unified)
     if unified:
         return matched.unionByName(alone.drop("_side"), allowMissingColumns=True)
     return (matched, alone.where(F.col("_side") == 0).select(*l.columns), alone.where(F.col("_side") == 1).select(*r.columns))
 
 
-def _without_partner(l: DataFrame, r: DataFrame, key: str, lt: str, rt: str, tol: int, slice_size: str) -> DataFrame:
+def _without_partner(l: DataFrame, r: DataFrame, key: str, lt: str, rt: str, tol: int, slice_size: str, at_once: bool = False) -> DataFrame:
     """Rows of both sides (``_side`` 0 and 1) without a partner, in one pass."""
     both = (l.withColumn("_side", F.lit(0)).withColumn("_t", F.col(lt))
             .unionByName(r.withColumn("_side", F.lit(1)).withColumn("_t", F.col(rt)), allowMissingColumns=True))
     on = lambda side: F.when(F.col("_side") == side, F.col("_t"))
     specs = [Running(f"_{at}{side}", on(side), fn, include_current=False, reverse=rev)
              for side in (0, 1) for at, fn, rev in (("before", "max", False), ("after", "min", True))]
+    part = slice_id("_t", slice_size)
+    both = mark_hot(both, [key], part, at_once)
     # rows of equal time lie next to each other, so one of the two directions sees them
-    d = with_runnings(both, [key], ["_t", "_side"], specs, slice_id("_t", slice_size))
+    d = with_runnings(both, [key], ["_t", "_side"], specs, part)
     gap = lambda at: F.abs(F.timestamp_diff("MICROSECOND", F.col(at), F.col("_t"))) <= tol
     close = lambda side: F.coalesce(gap(f"_before{side}"), F.lit(False)) | F.coalesce(gap(f"_after{side}"), F.lit(False))
     has = F.when(F.col("_side") == 0, close(1)).otherwise(close(0)) & F.col(key).isNotNull()
-    return d.where(~has).drop("_t", *[s.name for s in specs])
+    return unmarked(d).where(~has).drop("_t", *[s.name for s in specs])
 
 
 def unify(matched: DataFrame, left_only: DataFrame, right_only: DataFrame) -> DataFrame:

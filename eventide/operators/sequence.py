@@ -35,6 +35,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from eventide.session import ensure_checkpoint_dir
+
 #: Rows of a key from which its time slices go to different tasks.
 HOT_ROWS = 1_000_000
 
@@ -76,9 +78,11 @@ def _key_cols(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]
     return df, cols
 
 
-def mark_hot(df: DataFrame, keys: Sequence[str], slice_col: Column | None) -> DataFrame:
+def mark_hot(df: DataFrame, keys: Sequence[str], slice_col: Column | None, at_once: bool = False) -> DataFrame:
     """``df`` with the time slice of hot keys' rows, for several sliced steps
-    over the same keys; they pass it on, and :func:`unmarked` takes it off."""
+    over the same keys; they pass it on, and :func:`unmarked` takes it off.
+    ``at_once`` counts the keys now, so that steps do not read the input for it
+    again, and keeps the hot ones in the checkpoint folder."""
     if slice_col is None or _HOT in df.columns:
         return df
     part = F.coalesce(slice_col, F.lit(-_NULL_SLICE)).cast("long")
@@ -87,6 +91,9 @@ def mark_hot(df: DataFrame, keys: Sequence[str], slice_col: Column | None) -> Da
     d, kc = _key_cols(df, keys)
     hot = (d.groupBy(*kc).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
            .select(*kc, F.lit(True).alias("_is_hot")))
+    if at_once:
+        ensure_checkpoint_dir(df.sparkSession)
+        hot = hot.checkpoint()
     return d.join(F.broadcast(hot), kc, "left").withColumn(_HOT, F.when(F.col("_is_hot"), part)).drop("_is_hot", *kc)
 
 
