@@ -24,6 +24,9 @@
 5. Components by contraction: every node hooks to its smallest neighbour,
    pointers jump to the root, edges are relabelled, until none is left.
 
+All texts go to Python once, for the sets. A row's id and the digest of its text
+then stand for the row, so later steps fetch texts and rows by plain joins.
+
 A text without words has an empty set and is linked with nothing; with fewer
 words than a shingle the whole sequence is one shingle. Null counts as empty.
 Rows that repeat are equal sets; an id with several texts has a row for each,
@@ -55,6 +58,7 @@ WIDE = 1024           # coordinates of the last comparison
 PIVOTS = 4
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20      # of the members of one side of a block together
+SET_BYTES = 1 << 19   # text whose sets a task makes at a time
 _SHORT = 0x8CB92BA72F3D8DD7
 
 
@@ -110,21 +114,21 @@ def signatures(row: np.ndarray, h: np.ndarray, n: np.ndarray, posted: int, probe
     return keys, sig
 
 
-_SETS = "id long, n long, lo long, hi long, keys array<long>, sig binary"
+_SETS = "id long, digest binary, n long, lo long, hi long, keys array<long>, sig binary"
 
 
 def _sets(posted: int, probed: int, size: int):
     def run(batches):
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", SET_BYTES):
                 rows = part.num_rows
                 row, h = shingles(part.column(1), size)
                 n, lo, hi = set_sums(row, h, rows)
                 keys, sig = signatures(row, h, n, posted, probed)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)),
+                    [part.column(0), part.column(2), pa.array(n), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * posted), pa.array(keys.view(np.int64).ravel())),
-                     _binaries(sig)], ["id", "n", "lo", "hi", "keys", "sig"])
+                     _binaries(sig)], ["id", "digest", "n", "lo", "hi", "keys", "sig"])
     return run
 
 
@@ -449,17 +453,17 @@ def _stays():
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, posted: int, probed: int, shared: int, matches: int,
             block: int) -> DataFrame:
-    """``id, n, lo, hi, component_id`` of every row: its id, its set and its group."""
+    """``id, digest, n, component_id`` of every row: its id, its text's digest, its set's size and its group."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sets = saved(rows.mapInArrow(_sets(posted, probed, size), _SETS), "near-sets")
+    sets = saved(rows.withColumn("digest", _digest()).mapInArrow(_sets(posted, probed, size), _SETS), "near-sets")
     nodes = saved(sets.where("n > 0").groupBy("lo", "hi", "n")
                   .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
                   .withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     posts = saved(prefixes(nodes, posted, shared), "near-posts")
     info = saved(nodes.join(posts.select("node").distinct(), "node").select("node", "rep", "n", "sig", "lo", "hi"), "near-info")
-    texts = saved(_texts(rows, info, size), "near-texts")
+    texts = saved(_texts(rows, info, size, sets), "near-texts")
 
     def star(lists, pivots: int, name: str):
         pairs = _within_lists(lists, info, pivots, HEAD, HEAD_MATCHES, percent, name)
@@ -478,8 +482,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
     grouped = named.join(first, "root").select("node", "component_id")
     known = (nodes.select("lo", "hi", "n", "node", "rep").join(grouped, "node", "left")
              .select("lo", "hi", "n", F.coalesce("component_id", "rep").alias("component_id")))
-    full = sets.where("n > 0").join(known, ["lo", "hi", "n"]).select("id", "n", "lo", "hi", "component_id")
-    empty = sets.where("n = 0").select("id", "n", "lo", "hi", F.col("id").alias("component_id"))
+    full = sets.where("n > 0").join(known, ["lo", "hi", "n"]).select("id", "digest", "n", "component_id")
+    empty = sets.where("n = 0").select("id", "digest", "n", F.col("id").alias("component_id"))
     return full.unionByName(empty)
 
 
@@ -489,7 +493,7 @@ def _with_sets(rows: DataFrame, text: int, size: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in steps(batch, names[text]):
+            for part in steps(batch, names[text], SET_BYTES):
                 row, h = shingles(part.column(text), size)
                 n, lo, hi = set_sums(row, h, part.num_rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n.astype(np.int64)), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64))],
@@ -504,12 +508,22 @@ def _id_key(c: str) -> list:
 
 
 _SET = ["_id", "_none", "n", "lo", "hi"]
+_ROW = ["_id", "_none", "digest"]
+
+
+def _digest():
+    return F.unhex(F.sha2("text", 256))
 
 
-def _texts(rows: DataFrame, info: DataFrame, size: int) -> DataFrame:
-    """``node, text`` of the nodes that have postings: of the rows with the node's id and set."""
+def _texts(rows: DataFrame, info: DataFrame, size: int, sets: DataFrame | None = None) -> DataFrame:
+    """``node, text`` of the nodes that have postings: of the rows with the node's
+    id and set. ``sets`` are those of the rows with ``id, digest``, where they are made already."""
+    if sets is None:
+        sets = _with_sets(rows.withColumn("digest", _digest()), rows.columns.index("text"), size).drop("text")
     asked = info.select("node", *_id_key("rep"), "n", "lo", "hi")
-    found = _with_sets(rows, 1, size).select("text", *_id_key("id"), "n", "lo", "hi").join(asked, _SET)
+    held = (sets.select(*_id_key("id"), "digest", "n", "lo", "hi").join(asked, _SET)
+            .groupBy("node").agg(F.min(F.struct(*_ROW)).alias("row")).select("node", "row.*"))
+    found = rows.select("text", *_id_key("id"), _digest().alias("digest")).join(held, _ROW)
     return found.groupBy("node").agg(F.min("text").alias("text"))
 
 
@@ -519,7 +533,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, poste
     id, with all columns of ``docs``. An id's rows with other texts are judged
     by their own groups."""
     judged = _judged(docs.select("doc_id", "text"), "doc_id", "text", size, percent, posted, probed, shared, matches, block)
-    kept = judged.where(_stays()).select(*_id_key("id"), "n", "lo", "hi").distinct()
+    kept = judged.where(_stays()).select(*_id_key("id"), "digest").distinct()
     # the row is one struct, so no column name of its own can clash
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("id"))
-    return _with_sets(rows, 1, size).select("row", *_id_key("id"), "n", "lo", "hi").join(kept, _SET, "left_semi").select("row.*")
+    return rows.select("row", *_id_key("id"), _digest().alias("digest")).join(kept, _ROW, "left_semi").select("row.*")

@@ -1,6 +1,7 @@
 """Near-duplicate groups against brute force over full shingle sets."""
 import collections
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -196,3 +197,30 @@ def test_contract_finds_components_of_long_chains(spark):
     got = {r["node"]: r["root"] for r in near_dedup.contract(spark.createDataFrame(edges, "a long, b long")).collect()}
     for part in (names[:100], names[100:200], names[200:]):
         assert {got[x] for x in part} == {min(part)}
+
+
+def test_texts_go_to_python_once(spark, monkeypatch):
+    """For the sets; what comes after fetches texts and rows by joins."""
+    plans = []
+    saved = near_dedup.saved
+
+    def noted(df, name, *by):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return saved(df, name, *by)
+
+    monkeypatch.setattr(near_dedup, "saved", noted)
+    kept = near_dedup.keep_one(frame(spark, near_rows(3, groups=2, members=5)))
+    assert "MapInArrow" in dict(plans)["near-sets"]
+    assert "MapInArrow" not in dict(plans)["near-texts"]
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sets_of_a_large_batch_are_made_in_small_steps():
+    rng = random.Random(4)
+    text = [" ".join(f"w{rng.randrange(9000)}" for _ in range(500)) for _ in range(400)] * 10
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(text))), pa.array(text), pa.array([b""] * len(text))], ["id", "text", "digest"])
+    tracemalloc.start()
+    rows = sum(x.num_rows for x in near_dedup._sets(near_dedup.POSTED, near_dedup.PROBED, 5)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(text) and peak < 60e6 < 6 * batch.nbytes
